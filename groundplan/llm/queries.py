@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from groundplan.llm.packing import op4_packing
 from groundplan.llm.quality import op8_quality_classifier
 from groundplan.llm.rules import op10_quality_rules
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
