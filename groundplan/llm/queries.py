@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from groundplan.llm.bpe import op3_byte_bpe
 from groundplan.llm.minhash import op2_near_duplicates
 from groundplan.llm.packing import op4_packing
 from groundplan.llm.quality import op8_quality_classifier
@@ -9,6 +10,7 @@ from groundplan.llm.rules import op10_quality_rules
 
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
