@@ -5,10 +5,12 @@ from __future__ import annotations
 from groundplan.llm.bpe import op3_byte_bpe
 from groundplan.llm.minhash import op2_near_duplicates
 from groundplan.llm.packing import op4_packing
+from groundplan.llm.pii import op1_pii_pseudonyms
 from groundplan.llm.quality import op8_quality_classifier
 from groundplan.llm.rules import op10_quality_rules
 
 QUERIES = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
