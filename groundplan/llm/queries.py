@@ -8,17 +8,26 @@ from groundplan.llm.packing import op4_packing
 from groundplan.llm.pii import op1_pii_pseudonyms
 from groundplan.llm.quality import op8_quality_classifier
 from groundplan.llm.rules import op10_quality_rules
+from groundplan.llm.topk import op7_topk_search
 
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
+    "op7_topk_search": op7_topk_search,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL = {
+    "op7_topk_search": """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+""",
     "op10_quality_rules": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
