@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from groundplan.llm.bpe import op3_byte_bpe
+from groundplan.llm.license_scan import op5_license_scan
 from groundplan.llm.minhash import op2_near_duplicates
 from groundplan.llm.packing import op4_packing
 from groundplan.llm.pii import op1_pii_pseudonyms
 from groundplan.llm.quality import op8_quality_classifier
 from groundplan.llm.rules import op10_quality_rules
 from groundplan.llm.topk import op7_topk_search
+from groundplan.llm.warc import op6_warc_derivatives
 
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
+    "op5_license_scan": op5_license_scan,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_topk_search": op7_topk_search,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
