@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from groundplan.llm.bpe import op3_byte_bpe
+from groundplan.llm.chat import op9_chat_turns
 from groundplan.llm.license_scan import op5_license_scan
 from groundplan.llm.minhash import op2_near_duplicates
 from groundplan.llm.packing import op4_packing
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_warc_derivatives": op6_warc_derivatives,
     "op7_topk_search": op7_topk_search,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_chat_turns": op9_chat_turns,
     "op10_quality_rules": op10_quality_rules,
 }
 
