@@ -13,8 +13,9 @@ the latest register of its document, so that few processes have more than one or
 buckets (ROWS = 5 in each of BANDS = 24: a pair at 0.8 shares none with a probability below 0.0001).
 
 A bucket never yields all its pairs. Equal texts are one node. Every node is first verified against two pivots of its
-bucket; the components of those links are labelled; then only pairs of a bucket whose nodes are still in different
-components are verified, all of them. A pair left out is of one component already, so no link that could join classes
+bucket; the components of those links are labelled; then pairs of a bucket whose nodes are still in different
+components are verified, all of them but those that a bound on J_P from bitmaps of their shingles rules out (exactly: the
+bound is never below J_P); blocks of nodes are compared as matrices, so that no row is made for a pair that is ruled out. A pair left out is of one component already, so no link that could join classes
 is lost to the size of a bucket, and a group of many near copies costs about as many pairs as it has texts.
 
 Defined results: null is the empty text; texts without words are alike only if they are equal byte for byte; repeated
@@ -39,6 +40,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
+BITS = 4096
+BLOCK = 256
 
 
 def shingles(s: textscan.Slice, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,6 +172,72 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
+def _bitmaps(texts: DataFrame) -> DataFrame:
+    """node, total (weight of its shingles) and bits (which of BITS hash places they take) of each text."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for s in textscan.slices(batch.column("text")):
+                grams, weights, offs = shingles(s)
+                n = s.hi - s.lo
+                doc = np.repeat(np.arange(n), np.diff(offs))
+                places = np.zeros((n, BITS), np.uint8)
+                places[doc, (mix(grams ^ U(0x5BD1E995)) % U(BITS)).astype(np.int64)] = 1
+                longs = np.packbits(places, axis=1, bitorder="little").view("<i8")
+                total = np.bincount(doc, weights, n).astype(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * (BITS // 64) + 1, BITS // 64, dtype=np.int32)), pa.array(longs.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(s.lo, n), pa.array(total), lists], names=["node", "total", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, total long, bits array<long>")
+
+
+def _apart(rest: DataFrame, maps: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """The distinct pairs (a, b) of nodes that share a bucket, are in different components and may be similar enough.
+
+    The nodes of a bucket are dealt to blocks of about BLOCK, and two blocks are one row, compared as matrices: if c places
+    are common and x and y take p and q places of total weights X and Y, then 1 / J_P >= X / (X - p + c) + Y / (Y - q + c) - 1.
+    Nodes of one component are compared only where few of them (under 32) share a bucket.
+    """
+    big = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).filter("n >= 32").select("bucket", "label", F.col("label").alias("tag"))
+    tagged = rest.join(scratch.save(big, "tags"), ["bucket", "label"], "left").withColumn("tag", F.coalesce("tag", F.lit(-1).cast("long")))
+    tagged = scratch.save(tagged, "tagged")
+    counts = scratch.save(tagged.groupBy("bucket", "tag").agg(F.count(F.lit(1)).alias("n")), "tag-counts")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long")).alias("part")
+    rows = tagged.join(counts, ["bucket", "tag"]).select("bucket", "tag", part, "node", "label").join(maps, "node")
+    blocks = scratch.save(rows.groupBy("bucket", "tag", "part").agg(F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")), "blocks")
+    other = blocks.select(F.col("bucket").alias("bucket_"), F.col("tag").alias("tag_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))
+    after = (F.col("tag") < F.col("tag_")) | ((F.col("tag") == F.col("tag_")) & (F.col("tag") == -1) & (F.col("part") <= F.col("part_")))
+    met = blocks.join(other, (F.col("bucket") == F.col("bucket_")) & after).select("nodes", "others")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = []
+            sides = [_unpacked(batch.column(k)) for k in (0, 1)]
+            for (an, al, aw, ab), (bn, bl, bw, bb) in zip(*sides, strict=True):
+                c = ab @ bb.T
+                x, y = (aw - ab.sum(1))[:, None] + c, (bw - bb.sum(1))[None] + c
+                with np.errstate(divide="ignore"):
+                    fine = (aw[:, None] / x + bw[None] / y <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None])
+                i, j = np.nonzero(fine)
+                found.append(np.stack([np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])]))
+            pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.empty((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long").distinct()
+
+
+def _unpacked(col: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Nodes, labels, totals and 0/1 places of each block."""
+    flat = col.flatten()
+    node, label, total = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+    longs = flat.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64)
+    ends = np.cumsum([0, *(len(x) for x in col)])
+    return [
+        (node[i:j], label[i:j], total[i:j].astype(float), np.unpackbits(np.ascontiguousarray(longs[i:j]).view(np.uint8), axis=1).astype(np.float32))
+        for i, j in zip(ends[:-1], ends[1:], strict=True)
+    ]
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """node, label (the smallest node of its component) for each node of the edges (a, b).
 
@@ -218,12 +287,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
     mixed = scratch.save(mixed, "mixed")
     rest = scratch.save(labelled.join(mixed, "bucket"), "rest")
-    parts = rest.select("bucket", "label").distinct()
-    apart = parts.select("bucket", F.col("label").alias("la")).join(parts.select("bucket", F.col("label").alias("lb")), "bucket").filter("la < lb")
-    left = rest.select("bucket", F.col("node").alias("x"), F.col("label").alias("la"))
-    right = rest.select("bucket", F.col("node").alias("y"), F.col("label").alias("lb"))
-    cross = apart.join(left, ["bucket", "la"]).join(right, ["bucket", "lb"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    cross = scratch.save(cross.join(tried, ["a", "b"], "left_anti"), "cross")
+    maps = scratch.save(_bitmaps(texts.join(rest.select("node").distinct(), "node")), "bitmaps")
+    cross = scratch.save(_apart(rest, maps, least, scratch).join(tried, ["a", "b"], "left_anti"), "cross")
     more = scratch.save(_verified(cross, texts, least), "links-2")
     links = links.union(more)
     if more.limit(1).count():
