@@ -7,8 +7,8 @@ through the shards of its blocks one after the other and carries each query's k
 earlier shards prunes the later ones.
 
 In a tree, (query, node) pairs descend level by level; a pair is dropped when the largest inner product that the node's
-ball allows, q.c + |q| r, is below the query's kth score. The leaves that are left are visited in waves, each query's most
-promising first, with the kth score raised between waves. Bounds are widened by more than the rounding of doubles, and a
+ball allows, q.c + |q| r, is below the query's kth score. The leaves that are left are visited in waves of 1, 2, 4, ... leaves, each query's
+most promising first, with the kth score raised between waves. Bounds are widened by more than the rounding of doubles, and a
 bound equal to the kth score isn't pruned, so that ties go to the smaller id exactly.
 
 Defined results: vectors that are null, empty or hold null, NaN or infinite components take no part; a shorter vector
@@ -28,9 +28,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from groundplan.scratch import Scratch
 
-SHARD = 4096
-BLOCK = 1024
-LEAF = 48
+SHARD = 8192
+BLOCK = 4096
+LEAF = 128
 
 
 def ball_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
@@ -70,7 +70,11 @@ class Best:
         return self.score[:, -1]
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        """Offer candidates to the queries q: score is len(q) x n; -inf doesn't count."""
+        """Offer candidates to the queries q: score is len(q) x n; -inf doesn't count. Only rows that reach a kth score are sorted."""
+        some = np.flatnonzero((score >= np.maximum(self.kth()[q], -1e300)[:, None]).any(1))
+        if not len(some):
+            return
+        q, score = q[some], score[some]
         s = np.hstack([self.score[q], score])
         i = np.hstack([self.id[q], np.broadcast_to(ids, score.shape)])
         r = np.hstack([self.row[q], np.broadcast_to(rows, score.shape)])
@@ -104,10 +108,10 @@ def search(queries: np.ndarray, query_rows: np.ndarray, shard: dict, best: Best)
     starts, ends = levels[-1][:2]
     order = np.lexsort((-bound, qi))
     qi, node, bound = qi[order], node[order], bound[order]
-    turn = np.arange(len(qi)) - np.searchsorted(qi, qi)
+    wave = np.log2(np.arange(len(qi)) - np.searchsorted(qi, qi) + 1).astype(np.int64)
     work = 0
-    for t in range(int(turn.max(initial=-1)) + 1):
-        now = np.flatnonzero((turn == t) & (bound >= best.kth()[qi]))
+    for t in range(int(wave.max(initial=-1)) + 1):
+        now = np.flatnonzero((wave == t) & (bound >= best.kth()[qi]))
         now = now[np.argsort(node[now], kind="stable")]
         for part in np.split(now, np.flatnonzero(np.diff(node[now])) + 1):
             if not len(part):
