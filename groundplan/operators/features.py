@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from groundplan.functions.text import normalize_category
 
 
-def collapse_to_top_n(df: DataFrame, col: str, n: int = 10, other: str = "Other", normalise: bool = True) -> DataFrame:
-    """A column's n most frequent categories (ties: alphabetical); the others and nulls become `other`."""
-    x = df.withColumn(col, normalize_category(col)) if normalise else df
-    top = x.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_top")).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_top").limit(n).select("_top")
-    return x.join(F.broadcast(top), F.col(col) == F.col("_top"), "left").withColumn(col, F.coalesce("_top", F.lit(other))).drop("_top")
+def collapse_to_top_n(df: DataFrame, cols: str | list[str], n: int = 10, other: str = "Other", normalise: bool = True) -> DataFrame:
+    """The n most frequent categories of each column (ties: alphabetical); the others and nulls become `other`.
+
+    All counts are taken from df itself, so that the plan grows with the number of columns only.
+    """
+    cols = [cols] if isinstance(cols, str) else cols
+    x = df.withColumns({c: normalize_category(c) for c in cols}) if normalise else df
+    out = x
+    for i, c in enumerate(cols):
+        top = x.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_top{i}")).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), f"_top{i}").limit(n).select(f"_top{i}")
+        out = out.join(F.broadcast(top), F.col(c) == F.col(f"_top{i}"), "left")
+    return out.withColumns({c: F.coalesce(f"_top{i}", F.lit(other)) for i, c in enumerate(cols)}).drop(*[f"_top{i}" for i in range(len(cols))])
 
 
 def one_hot(df: DataFrame, cols: list[str], values: dict[str, list] | None = None, keep: bool = False, most: int = 10_000) -> DataFrame:

@@ -13,22 +13,30 @@ def _median(c: str) -> Column:
     return F.percentile(F.col(c).cast("double"), F.lit(0.5))
 
 
-def _with_group_median(df: DataFrame, cols: list[str], group: str, suffix: str) -> DataFrame:
-    """df with <col><suffix>: the median of the row's group; null for rows without a group."""
-    table = df.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")).agg(*[_median(c).alias(f"{c}{suffix}") for c in cols])
-    return df.join(table, F.col(group) == F.col("_g"), "left").drop("_g")
+def _group_medians(df: DataFrame, cols: list[str], group: str, suffix: str) -> DataFrame:
+    """_g<suffix> and <col><suffix>: each group's medians; rows without a group have none."""
+    return df.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias(f"_g{suffix}")).agg(*[_median(c).alias(f"{c}{suffix}") for c in cols])
 
 
-def _with_median(df: DataFrame, cols: list[str], suffix: str) -> DataFrame:
-    return df.crossJoin(F.broadcast(df.agg(*[_median(c).alias(f"{c}{suffix}") for c in cols])))
+def _with_medians(df: DataFrame, cols: list[str], groups: list[str]) -> DataFrame:
+    """df with <col>_m0, <col>_m1, ...: the medians of the row's groups, and <col>_all; every statistic is of df itself."""
+    out = df
+    for i, g in enumerate(groups):
+        out = out.join(_group_medians(df, cols, g, f"_m{i}"), F.col(g) == F.col(f"_g_m{i}"), "left")
+    return out.crossJoin(F.broadcast(df.agg(*[_median(c).alias(f"{c}_all") for c in cols])))
+
+
+def _filled(df: DataFrame, cols: list[str], groups: list[str], flags: dict[str, Column]) -> DataFrame:
+    """Missing values of the columns from the first group that has a median, else the global one; flags are added."""
+    x = _with_medians(df, cols, groups)
+    made = flags | {c: F.coalesce(F.col(c).cast("double"), *[f"{c}_m{i}" for i in range(len(groups))], f"{c}_all") for c in cols}
+    return x.withColumns(made).select(*df.columns, *[f for f in flags if f not in df.columns])
 
 
 def group_median_impute(df: DataFrame, cols: str | list[str], group: str) -> DataFrame:
     """Missing values take their group's median, else the global one; <col>_was_missing flags them."""
     cols = [cols] if isinstance(cols, str) else cols
-    x = _with_median(_with_group_median(df, cols, group, "_gm"), cols, "_am")
-    made = {f"{c}_was_missing": F.col(c).isNull() for c in cols} | {c: F.coalesce(F.col(c).cast("double"), f"{c}_gm", f"{c}_am") for c in cols}
-    return x.withColumns(made).drop(*[f"{c}{s}" for c in cols for s in ("_gm", "_am")])
+    return _filled(df, cols, [group], {f"{c}_was_missing": F.col(c).isNull() for c in cols})
 
 
 def bucketed_median_impute(df: DataFrame, col: str, bucket_on: str, n_bins: int = 5) -> DataFrame:
@@ -43,23 +51,12 @@ def bucketed_median_impute(df: DataFrame, col: str, bucket_on: str, n_bins: int
 
 def time_group_impute(df: DataFrame, col: str, time_cols: list[str]) -> DataFrame:
     """Missing values take the median of the first time column's group that has one, else the global; medians are of observed values."""
-    x = df
-    for i, t in enumerate(time_cols):
-        x = _with_group_median(x, [col], t, f"_t{i}")
-    x = _with_median(x, [col], "_am")
-    made = {f"{col}_was_missing": F.col(col).isNull(), col: F.coalesce(F.col(col).cast("double"), *[f"{col}_t{i}" for i in range(len(time_cols))], f"{col}_am")}
-    return x.withColumns(made).drop(*[f"{col}_t{i}" for i in range(len(time_cols))], f"{col}_am")
+    return _filled(df, [col], time_cols, {f"{col}_was_missing": F.col(col).isNull()})
 
 
 def centroid_impute(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude", keys: tuple[str, ...] = ("Locality", "Pincode")) -> DataFrame:
     """Coordinates from the median of the first key that has one, else the global, each by itself; geo_was_missing: either was."""
-    x = df
-    for i, k in enumerate(keys):
-        x = _with_group_median(x, [lat, lon], k, f"_c{i}")
-    x = _with_median(x, [lat, lon], "_am")
-    made = {"geo_was_missing": F.col(lat).isNull() | F.col(lon).isNull()}
-    made |= {c: F.coalesce(F.col(c).cast("double"), *[f"{c}_c{i}" for i in range(len(keys))], f"{c}_am") for c in (lat, lon)}
-    return x.withColumns(made).drop(*[f"{c}{s}" for c in (lat, lon) for s in (*[f"_c{i}" for i in range(len(keys))], "_am")])
+    return _filled(df, [lat, lon], list(keys), {"geo_was_missing": F.col(lat).isNull() | F.col(lon).isNull()})
 
 
 def layered_impute(

@@ -38,23 +38,21 @@ def build_final(archive: DataFrame, crawled: DataFrame | None, zones: DataFrame
 
 
 def clean_and_engineer(merged: DataFrame, zones: DataFrame | None, scratch: Scratch, row: str = "_row_id") -> DataFrame:
-    """Caps, imputations in their order, geography and features of matched listings; written tables cut the plan twice."""
-    x = merged.withColumn("deal_type", deal_type("URL"))
-    x = rows.duplicate_flag(x, "URL")
-    x = winsorize_by_group(x, ["Price_INR", "Area_Sqft"], "deal_type")
-    x = impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5)
-    x = scratch.save(impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK"), "bedrooms")
+    """Caps, imputations in their order, geography and features of matched listings; each step is a written table, as it takes statistics of the one before."""
+    x = scratch.save(rows.duplicate_flag(merged.withColumn("deal_type", deal_type("URL")), "URL"), "flagged")
+    x = scratch.save(winsorize_by_group(x, ["Price_INR", "Area_Sqft"], "deal_type"), "capped")
+    x = scratch.save(impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5), "bedrooms")
+    x = scratch.save(impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK"), "dependants")
     x = scratch.save(impute.layered_impute(x), "codes")
-    x = impute.centroid_impute(x)
+    x = scratch.save(impute.centroid_impute(x), "centroids")
     for c in MATERIAL_COLS:
-        x = impute.time_group_impute(x, c, ["YearMonth", "Year"])
+        x = scratch.save(impute.time_group_impute(x, c, ["YearMonth", "Year"]), f"material-{c}")
     x = x.fillna("Unknown", ["Society", "Locality"]).fillna("Not Matched", ["rera_project_status", "rera_project_type", "rera_district"])
     x = winsorize_by_group(x.withColumn("PricePerSqft", F.try_divide("Price_INR", "Area_Sqft")), ["PricePerSqft"], "deal_type")
     x = scratch.save(x, "priced")
-    x = attach_geo(x, zones, row)
+    x = scratch.save(attach_geo(x, zones, row), "placed")
     x = x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors"), "has_rera_match": F.col("rera_project_name").isNotNull().cast("int")})
-    for c in LOW_CARD_CATS:
-        x = collapse_to_top_n(x.withColumn(c, F.coalesce(F.col(c), F.lit("Unknown"))), c)
+    x = collapse_to_top_n(x.fillna("Unknown", LOW_CARD_CATS), LOW_CARD_CATS)
     return x.drop(*DROP_COLS)
 
 
