@@ -67,9 +67,8 @@ def money(x: str | Column) -> Column:
     s = F.replace(col(x), F.lit("₹"), F.lit(" "))
     amount = F.replace(F.regexp_extract(s, pattern, 1), F.lit(","), F.lit("")).try_cast("double")
     unit = F.lower(F.regexp_extract(s, pattern, 2))
-    factor = F.lit(1.0)
-    for name, value in MONEY_UNITS.items():
-        factor = F.when(unit == name, F.lit(value)).otherwise(factor)
+    table = F.create_map(*[F.lit(x) for kv in MONEY_UNITS.items() for x in kv])
+    factor = F.coalesce(F.try_element_at(table, unit), F.lit(1.0))
     return amount * factor
 
 

@@ -66,9 +66,9 @@ def blocked_match(probes: DataFrame, names: DataFrame, cutoff: float = BLOCKED)
 
 
 def _grams(s: Column) -> Column:
-    """Distinct trigrams of a longer string; a string of five letters or fewer is one key."""
+    """Distinct trigrams of a longer string; a string of four letters or fewer is one key."""
     n = F.length(s)
-    return F.when(n <= 5, F.array(F.concat(F.lit("="), s))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.substr(s, i, F.lit(3)))))
+    return F.when(n <= 4, F.array(F.concat(F.lit("="), s))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.substr(s, i, F.lit(3)))))
 
 
 def global_candidates(left: DataFrame, right: DataFrame, cutoff: float = GLOBAL) -> DataFrame:
@@ -76,8 +76,8 @@ def global_candidates(left: DataFrame, right: DataFrame, cutoff: float = GLOBAL)
 
     At such a similarity d = la + lb - 2 LCS is at most 2 la / 9 single insertions and deletions, each of which destroys
     three trigrams at most, so x keeps n_x - 3 d of its n_x distinct ones. Then the first n_x - (n_x - 3 d) + 1 trigrams of
-    both strings, the rarest first, have one in common: only these are joined. Up to five letters only equal strings reach
-    90. The table of trigram frequencies has 37**3 + rows at most for names of letters, digits and spaces.
+    both strings, the rarest first, have one in common: only these are joined. Up to four letters only equal strings
+    reach 90. The table of trigram frequencies has 37**3 + rows at most for names of letters, digits and spaces.
     """
     if cutoff < 90:
         raise ValueError("the bound holds from 90 on")

@@ -20,10 +20,13 @@ LAT = r'"?lat(?:itude)?"?\s*[:=]\s*"?([\d.]+)'
 LON = r'"?lon(?:g|gitude)?"?\s*[:=]\s*"?([\d.]+)'
 
 
+Put = Callable[[str, Column], Column]
+
+
 @dataclass(frozen=True)
 class Site:
     name: str
-    columns: Callable[[Column, Column], tuple[dict[str, Column], Column]]
+    columns: Callable[[Put, Column, Column], tuple[dict[str, Column], Column]]
     sitemap: str  # which sitemaps list its pages
     page: Callable[[Column], Column]  # which of their URLs are pages
 
@@ -45,28 +48,28 @@ def _or(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(a, F.lit("")), b)
 
 
-def _owner(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
+def _owner(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Owner listings: facts in running text, locality and coordinates in embedded data."""
-    x = t.html_to_text(html)
+    x = put("x", t.html_to_text(html))
     kind = F.when(url.contains("/property/rent/"), "Rent").otherwise("Sale")
-    slug = F.coalesce(t.segment(url, -3), F.lit(""))
-    price = t.money(t.first_group(x, rf"₹\s*({PRICE})"))
-    price = F.coalesce(F.nullif(price, F.lit(0.0)), t.money(t.first_group(x, r"for Rs\.\s*([\d,]+)")))
+    slug = put("slug", F.coalesce(t.segment(url, -3), F.lit("")))
+    price = put("price", t.money(t.first_group(x, rf"₹\s*({PRICE})")))
+    price = put("price", F.coalesce(F.nullif(price, F.lit(0.0)), t.money(t.first_group(x, r"for Rs\.\s*([\d,]+)"))))
     sized = r"(?i)(?:Super Builtup|Super Built Up|Builtup|Built Up|Carpet|Plot)\s+Area\s+([\d,.]+)\s*(sq\.?\s?ft|sq\.?\s?yard|sq\.?\s?m)"
-    unit = F.lower(t.first_group(x, sized, 2))
+    unit = put("unit", F.lower(t.first_group(x, sized, 2)))
     factor = F.when(unit.contains("yard"), n.SQFT_PER["sq.yards"]).when(unit.endswith("m"), n.SQFT_PER["sq.meter"]).otherwise(1.0)
-    area = F.coalesce(t.number(t.first_group(x, sized)) * factor, t.number(t.first_group(x, r"(?i)([\d,.]+)\s*Sq\.?\s?Ft")))
-    age = t.first_group(x, r"Age of Building\s+(.+?)\s+(?:Ownership Type|Maintenance)")
-    years = F.when(age.rlike("(?i)new|under"), 0.0).otherwise(t.number(age))
-    raw_place = t.first_group(html, r'"locality"\s*:\s*"([^"]+)"')
+    area = put("area", F.coalesce(t.number(t.first_group(x, sized)) * factor, t.number(t.first_group(x, r"(?i)([\d,.]+)\s*Sq\.?\s?Ft"))))
+    age = put("age", t.first_group(x, r"Age of Building\s+(.+?)\s+(?:Ownership Type|Maintenance)"))
+    years = put("years", F.when(age.rlike("(?i)new|under"), 0.0).otherwise(t.number(age)))
+    raw_place = put("raw_place", t.first_group(html, r'"locality"\s*:\s*"([^"]+)"'))
     parts = F.transform(F.split(raw_place, ","), lambda p: F.trim(p))
     state = F.array_position(F.transform(parts, lambda p: p.rlike("^(Telangana|Andhra)")), F.lit(True))
     from_slug = t.unslug(t.first_group(F.concat(slug, F.lit("-hyderabad")), r"-for-(?:sale|rent)-in-(.+?)-hyderabad"))
-    place = F.when(state > 1, F.get(parts, (state - 2).cast("int"))).otherwise(_or(raw_place, from_slug))
-    society = t.first_group(x, r"(?:Flat|House|Villa|Apartment|Plot|Land|Penthouse)s? for (?:Sale|Rent) in (.+?), Hyderabad")
+    place = put("place", F.when(state > 1, F.get(parts, (state - 2).cast("int"))).otherwise(_or(raw_place, from_slug)))
+    society = put("society", t.first_group(x, r"(?:Flat|House|Villa|Apartment|Plot|Land|Penthouse)s? for (?:Sale|Rent) in (.+?), Hyderabad"))
     floors = r"No\. of Floors\s+(\d+|NA)\s*/\s*(\d+)"
     floor = t.first_group(x, floors)
-    kind_of = _or(t.first_group(slug, r"-bhk-(.+?)-for-"), t.first_group(slug, r"^(.+?)-for-"))
+    kind_of = put("kind_of", _or(t.first_group(slug, r"-bhk-(.+?)-for-"), t.first_group(slug, r"^(.+?)-for-")))
     return _priced(
         price,
         area,
@@ -94,15 +97,15 @@ def _owner(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     ), _either(price, area)
 
 
-def _project_ld(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
+def _project_ld(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Project pages whose facts are in JSON-LD; a project without a price still counts."""
-    node = j.first_of_type(j.ld_json(html), "Residence", "Product")
-    x = t.html_to_text(html)
+    node = put("node", j.first_of_type(j.ld_json(html), "Residence", "Product"))
+    x = put("x", t.html_to_text(html))
     get = lambda path: F.coalesce(j.field(node, path), F.lit(""))
     low, high = t.number(j.first_offer(node, "lowPrice")), t.number(j.first_offer(node, "highPrice"))
     name, place = get("$.name"), get("$.address.addressLocality")
     after = F.substr(x, F.locate("Status", x), F.lit(80))
-    said = F.lower(t.first_group(after, r"^Status\s*([A-Za-z ]+?)(?:\s+is\s|\.|$)"))
+    said = put("said", F.lower(t.first_group(after, r"^Status\s*([A-Za-z ]+?)(?:\s+is\s|\.|$)")))
     status = F.coalesce(*[F.when(said.contains(s.lower()), F.lit(s)) for s in ("Ready To Move", "Under Construction", "New Launch")], said)
     return _priced(
         low,
@@ -124,31 +127,31 @@ def _project_ld(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     ) | {"PricePerSqft": t.number(t.first_group(x, r"around Rs\.\s*([\d,]+)/sq\. ft"))}, node.isNotNull() & ((F.coalesce(low, F.lit(0.0)) != 0) | (name != ""))
 
 
-def _resale(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
+def _resale(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Resale and rent listings, and project pages with a table of units, told apart by the URL's end."""
-    x = t.html_to_text(html)
+    x = put("x", t.html_to_text(html))
     is_project = url.endswith("/project")
-    slug = F.coalesce(t.segment(url, -2), F.lit(""))
+    slug = put("slug", F.coalesce(t.segment(url, -2), F.lit("")))
     kind = F.when(slug.startswith("rent-"), "Rent").otherwise("Sale")
     sized = r"(?i)Area\s+(?:(?:Carpet|Built-up|Super Built-up|Plot) Area\s+)?([\d,.]+)\s*(Sq\.?\s?Ft|Sq\.?\s?Yards?|Sq\.?\s?Yd|Sq\.?\s?M)"
-    unit = F.lower(t.first_group(x, sized, 2))
-    price = t.money(t.first_group(x, rf"Listing ID: #\d+\s*₹\s*({PRICE})"))
-    area = t.number(t.first_group(x, sized)) * F.when(unit.contains("y"), n.SQFT_PER["sq.yards"]).when(unit.endswith("m"), n.SQFT_PER["sq.meter"]).otherwise(1.0)
-    info = F.substr(x, F.greatest(F.locate("Property Information", x), F.lit(1)))
-    both = t.first_group(info, r"Locality\s+(.+?)\s+Price")
-    place = F.substring_index(both, " Project ", 1)
+    unit = put("unit", F.lower(t.first_group(x, sized, 2)))
+    price = put("price", t.money(t.first_group(x, rf"Listing ID: #\d+\s*₹\s*({PRICE})")))
+    area = put("area", t.number(t.first_group(x, sized)) * F.when(unit.contains("y"), n.SQFT_PER["sq.yards"]).when(unit.endswith("m"), n.SQFT_PER["sq.meter"]).otherwise(1.0))
+    info = put("info", F.substr(x, F.greatest(F.locate("Property Information", x), F.lit(1))))
+    both = put("both", t.first_group(info, r"Locality\s+(.+?)\s+Price"))
+    place = put("place", F.substring_index(both, " Project ", 1))
     project = F.when(both.contains(" Project "), F.regexp_replace(both, r"^.*? Project ", "")).otherwise("")
-    slug_place = t.first_group(slug, r"-in-(.+)$")
+    slug_place = put("slug_place", t.first_group(slug, r"-in-(.+)$"))
     letters = lambda c: F.regexp_replace(F.lower(c), "[^a-z]", "")
-    society = F.when(project != "", project).when(letters(place) == letters(slug_place), "").otherwise(t.unslug(slug_place))
+    society = put("society", F.when(project != "", project).when(letters(place) == letters(slug_place), "").otherwise(t.unslug(slug_place)))
     city = _or(t.first_group(info, r"City\s+(\w+(?: \w+)?)\s+Micro market"), F.lit("Hyderabad"))
-    age = t.first_group(x, r"Age of (?:Property|Building)\s+(.+?)\s+(?:Facing|Floor|Ownership|View)")
-    years = F.when(age != "", t.number(age))
-    units = t.groups_as_rows(x, r"(?i)(\d(?:\.\d)?)\s*BHK\s+\w+\s+([\d,]+)\s*Sq\.?\s?Ft\.?\s+(Price on Request|₹\s*[\d.,]+\s*(?:Cr|L|Lac|K)?)", 3)
+    age = put("age", t.first_group(x, r"Age of (?:Property|Building)\s+(.+?)\s+(?:Facing|Floor|Ownership|View)"))
+    years = put("years", F.when(age != "", t.number(age)))
+    units = put("units", t.groups_as_rows(x, r"(?i)(\d(?:\.\d)?)\s*BHK\s+\w+\s+([\d,]+)\s*Sq\.?\s?Ft\.?\s+(Price on Request|₹\s*[\d.,]+\s*(?:Cr|L|Lac|K)?)", 3))
     prices = F.transform(F.filter(units, lambda u: u["g3"].startswith("₹")), lambda u: t.money(u["g3"]))
     areas = F.transform(units, lambda u: t.number(u["g2"]))
     name, where = t.unslug(F.coalesce(t.segment(url, -3), F.lit(""))), t.first_group(x, r"compared with (.+?)\.")
-    avg = F.lower(t.first_group(x, r"(?i)avg\. price is ₹\s*([\d.,]+\s*k?)"))
+    avg = put("avg", F.lower(t.first_group(x, r"(?i)avg\. price is ₹\s*([\d.,]+\s*k?)")))
     per = F.nullif(t.number(avg) * F.when(avg.endswith("k"), 1000.0).otherwise(1.0), F.lit(0.0))
     pick = lambda a, b: F.when(is_project, a).otherwise(b)
     none = F.lit(None).cast("string")
@@ -188,20 +191,20 @@ LABELS = [
 ]
 
 
-def _labelled(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
+def _labelled(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Listings whose facts are label and value in flat text behind a heading."""
-    x = t.html_to_text(html)
-    at = F.locate("Property Information", x)
-    kv = t.key_values(F.substr(x, F.greatest(at, F.lit(1))), LABELS)
+    x = put("x", t.html_to_text(html))
+    at = put("at", F.locate("Property Information", x))
+    kv = put("kv", t.key_values(F.substr(x, F.greatest(at, F.lit(1))), LABELS))
     get = lambda k: F.coalesce(F.try_element_at(kv, F.lit(k)), F.lit(""))
     kind = F.split(get("Listing Type"), " ")[0]
-    price = t.money(get("Price"))
-    size = F.coalesce(*[F.nullif(get(k), F.lit("")) for k in ("Built Up Area", "Super Area", "Carpet Area", "Plot/Land Area", "Plot Area")], F.lit(""))
-    unit = F.lower(_or(t.first_group(size, r"(?i)[\d.,]+\s*(Sq\.?\s?(?:ft|Yards|Meter)\.?|Acre|Cent|Guntha|Ares|Hectares)"), F.lit("Sq.ft.")))
-    area = t.number(size) * n.sqft_per(F.replace(F.regexp_replace(unit, r"\s+", " "), F.lit("sq. ft"), F.lit("sq.ft")))
-    said = F.concat(t.first_group(html, r'"name":\s*"([^"]*)"'), F.lit(" "), F.replace(url, F.lit("-"), F.lit(" ")))
+    price = put("price", t.money(get("Price")))
+    size = put("size", F.coalesce(*[F.nullif(get(k), F.lit("")) for k in ("Built Up Area", "Super Area", "Carpet Area", "Plot/Land Area", "Plot Area")], F.lit("")))
+    unit = put("unit", F.lower(_or(t.first_group(size, r"(?i)[\d.,]+\s*(Sq\.?\s?(?:ft|Yards|Meter)\.?|Acre|Cent|Guntha|Ares|Hectares)"), F.lit("Sq.ft."))))
+    area = put("area", t.number(size) * n.sqft_per(F.replace(F.regexp_replace(unit, r"\s+", " "), F.lit("sq. ft"), F.lit("sq.ft"))))
+    said = put("said", F.concat(t.first_group(html, r'"name":\s*"([^"]*)"'), F.lit(" "), F.replace(url, F.lit("-"), F.lit(" "))))
     age, place, society = get("Age of Property"), get("Locality"), get("Project & Society")
-    years = F.when(F.lower(age).contains("new"), 0.0).otherwise(t.number(age))
+    years = put("years", F.when(F.lower(age).contains("new"), 0.0).otherwise(t.number(age)))
     spot = r'"latitude":\s*"?([\d.]+)"?,\s*"longitude":\s*"?([\d.]+)'
     return _priced(
         price,
@@ -228,21 +231,21 @@ def _labelled(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     ), (at > 0) & kind.isin("Sale", "Rent", "Lease") & _either(price, area)
 
 
-def _ranges(url: Column, html: Column) -> tuple[dict[str, Column], Column]:
+def _ranges(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Project pages with ranges of price and area around a map link, and one JSON-LD node."""
-    node = F.get(F.filter(j.ld_json(html), lambda v: F.coalesce(F.try_variant_get(v, "$['@type']", "string").isin("ApartmentComplex", "Residence", "Apartment"), F.lit(False))), F.lit(0))
+    node = put("node", F.get(F.filter(j.ld_json(html), lambda v: F.coalesce(F.try_variant_get(v, "$['@type']", "string").isin("ApartmentComplex", "Residence", "Apartment"), F.lit(False))), F.lit(0)))
     get = lambda path: F.coalesce(j.field(node, path), F.lit(""))
-    x = t.html_to_text(html)
-    k = F.locate("(show on map)", x)
-    head = F.when(k > 0, F.substr(x, k, F.lit(900))).otherwise(x)
-    before = F.when(k > 0, F.substr(x, F.greatest(k - 200, F.lit(1)), F.least(k - 1, F.lit(200)))).otherwise("")
+    x = put("x", t.html_to_text(html))
+    k = put("k", F.locate("(show on map)", x))
+    head = put("head", F.when(k > 0, F.substr(x, k, F.lit(900))).otherwise(x))
+    before = put("before", F.when(k > 0, F.substr(x, F.greatest(k - 200, F.lit(1)), F.least(k - 1, F.lit(200)))).otherwise(""))
     money = r"₹\s*([\d.,]+\s*(?:Cr|Lac|L))\s*(?:-\s*₹\s*([\d.,]+\s*(?:Cr|Lac|L)))?"
     sizes = r"sq ft\s+([\d,]+)\s*(?:-\s*([\d,]+))?\s*sq ft"
     p0, p1 = t.money(t.first_group(head, money)), t.money(t.first_group(head, money, 2))
     a0, a1 = t.number(t.first_group(head, sizes)), t.number(t.first_group(head, sizes, 2))
-    configuration = t.first_group(head, r"Configuration\s+([\d.,\s/]+(?:BHK|RK)?[^A-Za-z]*(?:BHK|RK)?)")
-    full = get("$.address.addressLocality")
-    place = F.replace(full, F.lit(", Hyderabad"), F.lit(""))
+    configuration = put("configuration", t.first_group(head, r"Configuration\s+([\d.,\s/]+(?:BHK|RK)?[^A-Za-z]*(?:BHK|RK)?)"))
+    full = put("full", get("$.address.addressLocality"))
+    place = put("place", F.replace(full, F.lit(", Hyderabad"), F.lit("")))
     maker = t.first_group(before, r"\bby\s+(.+?)\s+[A-Z][\w ]*,")
     made = _priced(
         p0,
@@ -281,8 +284,15 @@ SITES = {
 
 def parse_all(pages: DataFrame, site: str, url: str = "url", html: str = "html", today: Column | None = None) -> DataFrame:
     """The listing schema's columns and `parsed`: whether the page holds a listing."""
-    made, ok = SITES[site].columns(F.col(url), F.col(html))
-    return pages.select(*listing_columns(made, F.col(url), site, today), F.coalesce(ok, F.lit(False)).alias("parsed"))
+    stage = [pages.select(F.col(url).alias("_url"), F.col(html).alias("_html"))]
+
+    def put(name: str, value: Column) -> Column:
+        """A column that others use more than once is a projection of its own, so that it is computed once."""
+        stage[0] = stage[0].withColumn(f"_{name}", value)
+        return F.col(f"_{name}")
+
+    made, ok = SITES[site].columns(put, F.col("_url"), F.col("_html"))
+    return stage[0].select(*listing_columns(made, F.col("_url"), site, today), F.coalesce(ok, F.lit(False)).alias("parsed"))
 
 
 def parse(pages: DataFrame, site: str, **how) -> DataFrame:
