@@ -104,7 +104,7 @@ def load_zones(spark: SparkSession, paths: list[str], missing_ok: bool = False)
     if len(there) < len(paths) and not missing_ok:
         raise FileNotFoundError(", ".join(sorted(set(paths) - set(there))))
     point = T.ArrayType(T.DoubleType())
-    props = T.StructType([T.StructField(n, T.StringType()) for n in ("pincode", "Pincode", "pin_code", "district", "District", "dtname")])
+    props = T.MapType(T.StringType(), T.StringType())
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("properties", props), T.StructField("geometry", geometry)])))])
     f = spark.read.schema(schema).option("multiLine", True).json(there).select(F.posexplode("features").alias("zone_id", "f"))
@@ -112,8 +112,9 @@ def load_zones(spark: SparkSession, paths: list[str], missing_ok: bool = False)
     many = F.flatten(F.from_json("f.geometry.coordinates", T.ArrayType(T.ArrayType(T.ArrayType(point)))))
     lists = F.when(F.col("f.geometry.type") == "MultiPolygon", many).otherwise(one)
     rings = F.transform(lists, lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
-    p = F.col("f.properties")
-    zones = f.select("zone_id", pincode_key(F.coalesce(p["pincode"], p["Pincode"], p["pin_code"])).alias("pincode"), F.coalesce(p["district"], p["District"], p["dtname"]).alias("district"), rings.alias("rings"))
+    p = F.transform_keys("f.properties", lambda k, v: F.lower(k))
+    get = lambda *names: F.coalesce(*[F.try_element_at(p, F.lit(n)) for n in names])
+    zones = f.select("zone_id", pincode_key(get("pincode", "pin_code")).alias("pincode"), get("district", "dtname").alias("district"), rings.alias("rings"))
     return zones.filter(F.col("pincode").isNotNull() & valid_zone(F.col("rings")))
 
 
