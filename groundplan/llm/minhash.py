@@ -149,7 +149,8 @@ def _text_hashes(text: str):
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are similar enough."""
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    left, right = (texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}")).hint("merge") for n in "ab")
+    both = pairs.join(left, "a").join(right, "b")
 
     def sets(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         out = []
@@ -277,7 +278,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
     wanted = scratch.save(shared.select("node").distinct().join(nodes, "node").select("node", "id", "h1", "h2"), "wanted")
     source = docs.select(F.col(f"`{key}`").alias("id_"), as_text(text).alias("text")).select("id_", "text", *_text_hashes("text"))
     on = (source.id_.eqNullSafe(wanted.id)) & (source.h1 == wanted.h1) & (source.h2 == wanted.h2)
-    texts = scratch.save(source.join(wanted, on).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = scratch.save(source.join(wanted.hint("merge"), on).select("node", "text").dropDuplicates(["node"]), "texts")
 
     star = shared.select(F.col("p1").alias("a"), F.col("node").alias("b")).union(shared.select(F.col("node").alias("a"), F.col("p2").alias("b")))
     tried = scratch.save(star.filter("a < b").distinct(), "tried")
