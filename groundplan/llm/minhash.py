@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from groundplan.llm import textscan
@@ -42,6 +43,9 @@ BANDS = 24
 ROWS = 5
 BITS = 4096
 BLOCK = 256
+#: Texts that have signatures or bitmaps, and bytes of text that are verified, in a worker's memory at a time.
+AT_ONCE = 4096
+CHUNK = 1 << 23
 
 
 def shingles(s: textscan.Slice, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +135,7 @@ def _signed(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for s in textscan.slices(batch.column("text")):
+            for s in textscan.slices(batch.column("text"), rows=AT_ONCE):
                 grams, weights, offs = shingles(s)
                 keys = bands(signatures(grams, weights, offs, BANDS * ROWS), BANDS, ROWS)
                 full = np.diff(offs) > 0
@@ -147,6 +151,16 @@ def _text_hashes(text: str):
     return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Borders of at most 512 rows whose texts have about CHUNK bytes, one row at least."""
+    upto = np.cumsum(pc.add(pc.binary_length(batch.column("ta")), pc.binary_length(batch.column("tb"))).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(upto):
+        hi = min(lo + 512, max(lo + 1, int(np.searchsorted(upto, CHUNK + (upto[lo - 1] if lo else 0), "right"))))
+        yield lo, min(hi, len(upto))
+        lo = hi
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are similar enough."""
     left, right = (texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}")).hint("merge") for n in "ab")
@@ -161,8 +175,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
+            for lo, hi in _chunks(whole):
+                batch = whole.slice(lo, hi - lo)
                 same = batch.column("ta").dictionary_encode()  # a pivot's text comes many times
                 known = sets(same.dictionary)
                 which = same.indices.to_pylist()
@@ -178,7 +192,7 @@ def _bitmaps(texts: DataFrame) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for s in textscan.slices(batch.column("text")):
+            for s in textscan.slices(batch.column("text"), rows=AT_ONCE):
                 grams, weights, offs = shingles(s)
                 n = s.hi - s.lo
                 doc = np.repeat(np.arange(n), np.diff(offs))
@@ -212,31 +226,37 @@ def _apart(rest: DataFrame, maps: DataFrame, least: float, scratch: Scratch) ->
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = []
-            sides = [_unpacked(batch.column(k)) for k in (0, 1)]
-            for (an, al, aw, ab), (bn, bl, bw, bb) in zip(*sides, strict=True):
+            found = [np.empty((2, 0), np.int64)]
+            waiting = 0
+            for (an, al, aw, ab), (bn, bl, bw, bb) in zip(_unpacked(batch.column(0)), _unpacked(batch.column(1)), strict=True):
                 c = ab @ bb.T
                 x, y = (aw - ab.sum(1))[:, None] + c, (bw - bb.sum(1))[None] + c
                 with np.errstate(divide="ignore"):
                     fine = (aw[:, None] / x + bw[None] / y <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None])
                 i, j = np.nonzero(fine)
                 found.append(np.stack([np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])]))
-            pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.empty((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                waiting += len(i)
+                if waiting > 1_000_000:
+                    yield _distinct_pairs(found)
+                    found, waiting = [np.empty((2, 0), np.int64)], 0
+            yield _distinct_pairs(found)
 
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
-def _unpacked(col: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Nodes, labels, totals and 0/1 places of each block."""
+def _distinct_pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found, 1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def _unpacked(col: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Nodes, labels, totals and 0/1 places of one block after the other: places take 32 times the room of their bits."""
     flat = col.flatten()
     node, label, total = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-    longs = flat.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64)
-    ends = np.cumsum([0, *(len(x) for x in col)])
-    return [
-        (node[i:j], label[i:j], total[i:j].astype(float), np.unpackbits(np.ascontiguousarray(longs[i:j]).view(np.uint8), axis=1).astype(np.float32))
-        for i, j in zip(ends[:-1], ends[1:], strict=True)
-    ]
+    bits = flat.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64)
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(col).to_numpy(zero_copy_only=False))])
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield node[i:j], label[i:j], total[i:j].astype(float), np.unpackbits(np.ascontiguousarray(bits[i:j]).view(np.uint8), axis=1).astype(np.float32)
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:

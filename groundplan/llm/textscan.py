@@ -54,8 +54,8 @@ class Slice:
     offs: np.ndarray  # int64, hi - lo + 1 offsets into data
 
 
-def slices(col: pa.Array, limit: int = SLICE) -> Iterator[Slice]:
-    """Slices of a string column; nulls are empty texts."""
+def slices(col: pa.Array, limit: int = SLICE, rows: int | None = None) -> Iterator[Slice]:
+    """Slices of a string column, of at most `rows` texts where that is given; nulls are empty texts."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if pa.types.is_null(col.type) or col.null_count:
@@ -69,7 +69,7 @@ def slices(col: pa.Array, limit: int = SLICE) -> Iterator[Slice]:
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + (rows or n))
         yield Slice(lo, hi, data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
         lo = hi
 
