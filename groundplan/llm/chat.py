@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from groundplan.llm.frames import map_arrow
 from groundplan.scratch import shared_dir
 
 ROLES = ("system", "user", "assistant")
@@ -130,7 +131,7 @@ def fit(turns: DataFrame, key: str, order: str, role: str, text: str) -> Model:
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([json.dumps(k) for k in found]), pa.array(list(found.values()), pa.int64())], names=["what", "n"])
 
-    total = rows.mapInArrow(run, "what string, n long").groupBy("what").agg(F.sum("n").alias("n"))
+    total = map_arrow(rows, run, "what string, n long").groupBy("what").agg(F.sum("n").alias("n"))
     return Model.of_counts({tuple(json.loads(w)): n for w, n in total.collect()})
 
 
@@ -214,7 +215,7 @@ def _borders(model: Model, cut: DataFrame) -> dict[int, dict[str, tuple]]:
                     value["rest"] = transfer(model, seen[1:]).tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([json.dumps(value)])], names=["part", "value"])
 
-    rows = sorted(((p, json.loads(v)) for p, v in cut.mapInArrow(run, "part long, value string").collect()), key=lambda x: (x[0], x[1]["which"] == "last"))
+    rows = sorted(((p, json.loads(v)) for p, v in map_arrow(cut, run, "part long, value string").collect()), key=lambda x: (x[0], x[1]["which"] == "last"))
     chains: list[list[tuple[int, dict]]] = []
     pieces: dict[tuple[int, str], dict[bool, dict]] = {}
     order = []
@@ -294,7 +295,7 @@ def turns(lines: DataFrame, model: Model, key: str = "conv_id", order: str = "po
         if out:
             yield batch()
 
-    return cut.mapInArrow(run, f"`{key}` {kinds[key]}, at {kinds[order]}, line long, continues boolean, role string, content string, rendered string")
+    return map_arrow(cut, run, f"`{key}` {kinds[key]}, at {kinds[order]}, line long, continues boolean, role string, content string, rendered string")
 
 
 def _decoded(model: Model, key, lines: list[tuple[object, int, str]], border: tuple | None) -> list[tuple]:

@@ -2,12 +2,44 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
+#: Bytes of a batch that goes to Python. Both sides hold several copies of a batch.
+BATCH_BYTES = 1 << 23
+_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow in batches of about BATCH_BYTES; at the end of a task its worker gives free memory back.
+
+    Spark reads the size of batches from the session when a job starts: a larger setting is lowered, a smaller one stays.
+    """
+    spark = df.sparkSession
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_SETTING, "64m").removeprefix("-"))
+    if now > BATCH_BYTES or spark.conf.get(_SETTING, "").startswith("-"):
+        spark.conf.set(_SETTING, str(BATCH_BYTES))
+
+    def trimmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(it)
+        give_back()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def give_back() -> None:
+    """Return free memory of Arrow and of the C library to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever its case."""
     taken = {c.lower() for c in df.columns}
@@ -28,7 +60,7 @@ def append_column(df: DataFrame, field: T.StructField, work: Callable[[pa.Record
         for batch in it:
             yield pa.RecordBatch.from_arrays([*batch.columns, work(batch)], names=[*batch.schema.names, field.name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, field]))
+    return map_arrow(df, run, T.StructType([*df.schema.fields, field]))
 
 
 def struct_of(names, arrays) -> pa.StructArray:

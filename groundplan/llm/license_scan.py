@@ -24,6 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from groundplan.llm.frames import map_arrow
 from groundplan.llm import textscan
 
 CUES = (b"licen", b"copyright", b"permission is hereby", b"redistribut", b"warrant", b"all rights reserved", b"public domain", b"spdx")
@@ -237,7 +238,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tu
                     names=[key, "license", "template", "start", "end", "saving", "cover", "differences"],
                 )
 
-    return chosen.mapInArrow(run, f"`{key}` {kind}, license string, template string, start long, end long, saving double, cover double, differences array<string>")
+    return map_arrow(chosen, run, f"`{key}` {kind}, license string, template string, start long, end long, saving double, cover double, differences array<string>")
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:

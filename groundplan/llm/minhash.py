@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from groundplan.llm import textscan
-from groundplan.llm.frames import as_text, fresh
+from groundplan.llm.frames import as_text, fresh, map_arrow
 from groundplan.llm.textscan import MULT, U, mix
 from groundplan.scratch import Scratch
 
@@ -144,7 +144,7 @@ def _signed(docs: DataFrame, text: str, key: str) -> DataFrame:
                 rest = [batch.column(f.name).slice(s.lo, s.hi - s.lo) for f in fields]
                 yield pa.RecordBatch.from_arrays([*rest, lists], names=[*[f.name for f in fields], "bands"])
 
-    return base.mapInArrow(run, T.StructType([*fields, T.StructField("bands", T.ArrayType(T.LongType()))]))
+    return map_arrow(base, run, T.StructType([*fields, T.StructField("bands", T.ArrayType(T.LongType()))]))
 
 
 def _text_hashes(text: str):
@@ -184,7 +184,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keep = pa.array(sim >= least)
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(sim).filter(keep)], names=["a", "b", "similarity"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
+    return map_arrow(both.select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
 def _bitmaps(texts: DataFrame) -> DataFrame:
@@ -203,7 +203,7 @@ def _bitmaps(texts: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * (BITS // 64) + 1, BITS // 64, dtype=np.int32)), pa.array(longs.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(s.lo, n), pa.array(total), lists], names=["node", "total", "bits"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, total long, bits array<long>")
+    return map_arrow(texts.select("node", "text"), run, "node long, total long, bits array<long>")
 
 
 def _apart(rest: DataFrame, maps: DataFrame, least: float, scratch: Scratch) -> DataFrame:
@@ -241,7 +241,7 @@ def _apart(rest: DataFrame, maps: DataFrame, least: float, scratch: Scratch) ->
                     found, waiting = [np.empty((2, 0), np.int64)], 0
             yield _distinct_pairs(found)
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(met, run, "a long, b long").distinct()
 
 
 def _distinct_pairs(found: list[np.ndarray]) -> pa.RecordBatch:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from groundplan.llm.frames import map_arrow
 from groundplan.llm import textscan
 from groundplan.llm.pieces import UnitCache
 
@@ -223,7 +224,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
         if rows:
             yield flush()
 
-    return chosen.mapInArrow(run, T.StructType([kind, *PIECES.fields]))
+    return map_arrow(chosen, run, T.StructType([kind, *PIECES.fields]))
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:

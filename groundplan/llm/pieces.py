@@ -23,35 +23,39 @@ class UnitCache:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.keys = np.empty(0, np.uint64)  # ascending
+        self.slots = np.empty(0, np.int32)
         self.ids = np.empty(1 << 16, np.int32)
         self.offs = np.zeros(1 << 12, np.int64)
 
-    def _append(self, new: Sequence[Sequence[int]], hashes: list[int]) -> None:
-        n = len(self.slot)
+    def _append(self, new: Sequence[Sequence[int]], hashes: np.ndarray) -> None:
+        """Add units with ascending hashes that aren't there yet."""
+        n = len(self.keys)
         sizes = np.fromiter((len(x) for x in new), np.int64, len(new))
         top = self.offs[n] + np.cumsum(sizes)
         while len(self.offs) < n + len(new) + 1:
             self.offs = np.concatenate([self.offs, np.zeros_like(self.offs)])
         self.offs[n + 1 : n + 1 + len(new)] = top
-        while len(self.ids) < (top[-1] if len(top) else 0):
+        while len(self.ids) < top[-1]:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        if len(top):
-            self.ids[self.offs[n] : top[-1]] = np.concatenate([np.asarray(x, np.int32) for x in new])
-        self.slot.update(zip(hashes, range(n, n + len(new)), strict=True))
+        self.ids[self.offs[n] : top[-1]] = np.concatenate([np.asarray(x, np.int32) for x in new])
+        at = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.slots = np.insert(self.slots, at, np.arange(n, n + len(new), dtype=np.int32))
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units one after the other, and how many each unit has."""
-        if len(self.slot) > MAX_UNITS or self.offs[len(self.slot)] > MAX_IDS:
+        if len(self.keys) > MAX_UNITS or self.offs[len(self.keys)] > MAX_IDS:
             self.clear()
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        fresh = [i for i, h in enumerate(keys) if h not in self.slot]
-        if fresh:
-            at = first[fresh]
-            self._append(self.encode([data[a:b].tobytes() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]), [keys[i] for i in fresh])
-        slots = np.fromiter((self.slot[h] for h in keys), np.int64, len(keys))[which]
-        sizes = (self.offs[1:] - self.offs[:-1])[slots]
+        at = np.searchsorted(self.keys, distinct)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == distinct[known]
+        new = first[~known]
+        if len(new):
+            self._append(self.encode([data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]), distinct[~known])
+        slots = self.slots[np.searchsorted(self.keys, distinct)][which]
+        sizes = self.offs[slots + 1] - self.offs[slots]
         return gather(self.ids, self.offs[slots], sizes), sizes
 
 

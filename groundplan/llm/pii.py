@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from groundplan.llm import textscan
-from groundplan.llm.frames import fresh
+from groundplan.llm.frames import fresh, map_arrow
 
 KINDS = ("email", "card", "phone", "ssn", "iban", "ip", "date", "access_key", "secret")
 #: A real key is a secret that the caller passes.
@@ -265,7 +265,7 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY, cou
                 columns.append(pa.array([found.get(i, []) for i in range(len(col))], pa.map_(pa.string(), pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
-    return source.mapInArrow(run, out)
+    return map_arrow(source, run, out)
 
 
 def op1_pii_pseudonyms(spark, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from groundplan.llm.frames import map_arrow
 from groundplan.scratch import Scratch
 
 SHARD = 8192
@@ -196,7 +197,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
         if best is not None:
             yield out()
 
-    found = pairs.mapInArrow(run, "query_row long, query_id long, id long, row long, score long")
+    found = map_arrow(pairs, run, "query_row long, query_id long, id long, row long, score long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(key), "score")

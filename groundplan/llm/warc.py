@@ -28,6 +28,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from groundplan.llm.frames import map_arrow
+
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:groundplan:warc-derivative")
 RESPONSE = "record_id string, target_uri string, warc_date string, block binary"
 DERIVED = (
@@ -144,7 +146,7 @@ def derive(records: DataFrame, key: str | None = None) -> DataFrame:
                 cols = [pa.array(list(c), pa.int64() if n == "content_length" else pa.string()) for n, c in zip(names, zip(*rows, strict=True), strict=True)]
                 yield pa.RecordBatch.from_arrays([*([batch.column("_key").take(pa.array(at))] if key else []), *cols], names=[*([key] if key else []), *names])
 
-    return chosen.mapInArrow(run, kind + DERIVED)
+    return map_arrow(chosen, run, kind + DERIVED)
 
 
 def serialised(derived: DataFrame) -> DataFrame:
@@ -204,7 +206,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield _response_batch(rows)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RESPONSE)
+    return map_arrow(spark.read.format("binaryFile").load(path).select("content"), run, RESPONSE)
 
 
 def _response_batch(rows: list[tuple]) -> pa.RecordBatch:
