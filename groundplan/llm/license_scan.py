@@ -1,8 +1,8 @@
 """License scans by conditional compression.
 
 Lines with a cue word (and close neighbours) are candidate blocks. Each block is compressed alone and once with each
-template as a zstandard raw dictionary; the share of bytes that a template saves ranks the templates. Winners are
-confirmed by exact wording: the words of template and block are aligned, every template word must be there in order but
+template as a zstandard raw dictionary; the share of bytes that a template saves ranks the templates and rules none out.
+Exact wording decides: the words of template and block are aligned, every template word must be there in order but
 for a few, and the words that tell licenses apart (names, versions) without exception. The differences are returned.
 
 Long lines are cut to the stretch around their cues that a template could cover, so that prose around a notice doesn't
@@ -90,8 +90,8 @@ def words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
 
 
 class Scanner:
-    def __init__(self, templates: tuple[Template, ...] = TEMPLATES, level: int = 6, least_saving: float = 0.2, least_cover: float = 0.85):
-        self.templates, self.least_saving, self.least_cover = templates, least_saving, least_cover
+    def __init__(self, templates: tuple[Template, ...] = TEMPLATES, level: int = 6, least_cover: float = 0.85):
+        self.templates, self.least_cover = templates, least_cover
         self.words = [words(t.text)[0] for t in templates]
         self.longest = max(len(t.text) for t in templates)
         params = zstandard.ZstdCompressionParameters.from_level(level, write_checksum=0, write_content_size=0, write_dict_id=0)
@@ -169,8 +169,9 @@ class Scanner:
                         ranked[k] = max(s, ranked.get(k, -1.0))
                 decoded = block.decode("utf-8", "replace")
                 have, at = words(decoded)
+                # The saving only ranks: a short notice within prose saves little, so wording alone decides.
                 for k, s in sorted(ranked.items(), key=lambda x: -x[1]):
-                    if s < self.least_saving or not have:
+                    if not have:
                         break
                     rest, shift = have, 0
                     while (hit := self.confirm(k, rest, decoded)) is not None:

@@ -265,6 +265,22 @@ def test_license_scan(spark):
     assert one[0] == "GPL-3.0" and one[2] == ["-the +a"]
 
 
+def notices(t):
+    b = t.encode()
+    rows = license_scan.Scanner().scan(b, license_scan.cue_positions(np.frombuffer(b, np.uint8)).tolist())
+    return [(x[0], b[x[2] : x[3]].decode()) for x in rows]
+
+
+def test_license_within_prose(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en' and length(text) > 1000 and not lower(text) rlike 'licen|copyright'").orderBy("doc_id").limit(60)
+    prose = [" ".join(r.text.split()) for r in docs.collect()]
+    short = [t for t in license_scan.TEMPLATES if t.name != "text" and t.name != "notice"]
+    assert len(prose) == 60 and len(short) > 6
+    for p in prose:
+        for t in short:
+            assert [x[0] for x in notices(f"{p[:400]} {t.text} {p[400:800]}")] == [t.license]
+
+
 # WARC
 
 
