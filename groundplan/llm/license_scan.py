@@ -1,12 +1,10 @@
 """License scans by conditional compression.
 
-Lines with a cue word (and close neighbours) are candidate blocks. Each block is compressed alone and once with each
-template as a zstandard raw dictionary; the share of bytes that a template saves ranks the templates and rules none out.
-Exact wording decides: the words of template and block are aligned, every template word must be there in order but
-for a few, and the words that tell licenses apart (names, versions) without exception. The differences are returned.
-
-Long lines are cut to the stretch around their cues that a template could cover, so that prose around a notice doesn't
-hide it and memory stays bounded; cues anywhere in a text are found.
+The stretch around a cue word that a template could cover, blank lines or not, is a candidate block. Parts of a block are
+compressed alone and once with each template as a zstandard raw dictionary; the share of bytes that a template saves ranks
+the templates and rules none out. Exact wording decides: the words of template and block are aligned, every template word
+must be there in order but for a few, and the words that tell licenses apart (names, versions) without exception. The
+differences are returned. Cues anywhere in a text are found.
 
 Defined results: null and empty texts have no matches; repeated rows are scanned each for itself; of several templates of
 one license in a block the best stands; extra columns are ignored.
@@ -102,13 +100,11 @@ class Scanner:
         ]
 
     def blocks(self, text: bytes, cues: list[int]) -> list[tuple[int, int]]:
-        """Byte spans around the cues: their lines and the paragraph's lines in a template's reach, joined where they touch."""
+        """Byte spans around the cues within a template's reach, blank lines or not, joined where they touch."""
         reach = 2 * self.longest
         out: list[tuple[int, int]] = []
         for c in cues:
-            lo, hi = max(0, c - reach), min(len(text), c + reach)
-            top, bottom = text.rfind(b"\n\n", lo, c), text.find(b"\n\n", c, hi)
-            a, b = lo if top < 0 else top + 2, hi if bottom < 0 else bottom
+            a, b = max(0, c - reach), min(len(text), c + reach)
             while a > 0 and a < c and (text[a] & 0xC0) == 0x80:
                 a += 1
             while b < len(text) and (text[b] & 0xC0) == 0x80:

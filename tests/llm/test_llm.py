@@ -281,6 +281,60 @@ def test_license_within_prose(spark):
             assert [x[0] for x in notices(f"{p[:400]} {t.text} {p[400:800]}")] == [t.license]
 
 
+MIT = """MIT License
+
+Copyright (c) 2024 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License along with this program.
+"""
+BSD = """Copyright (c) 2024, A. Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_license_of_several_paragraphs():
+    for name, t, first, last in (("MIT", MIT, "Permission", "Software."), ("GPL-3.0", GPL, "This", "details."), ("BSD-3-Clause", BSD, "Redistribution", "permission.")):
+        for whole in (t, "Prose before.\n\n" + t + "\nProse after.\n", t.replace("\n", "\r\n"), t.replace("\n\n", "\n \n\n")):
+            (one,) = notices(whole)
+            assert one[0] == name and one[1].startswith(first) and one[1].endswith(last)
+    assert [x[0] for x in notices(MIT + "\n" + GPL + "\n" + BSD)] == ["MIT", "GPL-3.0", "BSD-3-Clause"]
+
+
 # WARC
 
 
