@@ -4,14 +4,15 @@ The stretch around a cue word that a template could cover, blank lines or not, i
 compressed alone and once with each template as a zstandard raw dictionary; the share of bytes that a template saves ranks
 the templates and rules none out. Exact wording decides: the words of template and block are aligned, every template word
 must be there in order but for a few, and the words that tell licenses apart (names, versions) without exception. The
-differences are returned. Cues anywhere in a text are found.
+differences are returned. Notices of a template are taken from left to right; cues anywhere in a text are found.
 
-Defined results: null and empty texts have no matches; repeated rows are scanned each for itself; of several templates of
-one license in a block the best stands; extra columns are ignored.
+Defined results: null and empty texts have no matches; repeated rows are scanned each for itself; of overlapping
+notices of one license the best stands; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterator
@@ -91,6 +92,10 @@ class Scanner:
     def __init__(self, templates: tuple[Template, ...] = TEMPLATES, level: int = 6, least_cover: float = 0.85):
         self.templates, self.least_cover = templates, least_cover
         self.words = [words(t.text)[0] for t in templates]
+        self.places: list[dict[str, int]] = [{} for _ in templates]  # bits of the places of each word in its template
+        for places, want in zip(self.places, self.words, strict=True):
+            for i, w in enumerate(want):
+                places[w] = places.get(w, 0) | 1 << i
         self.longest = max(len(t.text) for t in templates)
         params = zstandard.ZstdCompressionParameters.from_level(level, write_checksum=0, write_content_size=0, write_dict_id=0)
         self.plain = zstandard.ZstdCompressor(compression_params=params)
@@ -120,71 +125,86 @@ class Scanner:
         alone = len(self.plain.compress(block))
         return [(alone - len(c.compress(block))) / alone for c in self.given]
 
-    def confirm(self, k: int, have: list[str], around: str) -> tuple[float, int, int, list[str]] | None:
-        """Share of the template's words, first and last word of the match, and wording differences; None if it isn't there."""
-        want = self.words[k]
-        if any(key not in have for key in self.templates[k].keys):
-            return None
-        best = None
-        starts = [i for i, w in enumerate(have) if w in want[:3]] or [0]
-        last = -1
-        for i in starts:
-            if i <= last:
+    def confirm(self, k: int, have: list[str]) -> Iterator[tuple[float, int, int, list[str]]]:
+        """Share of the template's words, first word and end of each match, from left to right, and wording differences."""
+        known = set(have)
+        if any(key not in known for key in self.templates[k].keys):
+            return
+        starts = [i for i, w in enumerate(have) if w in self.words[k][:3]] or [0]
+        q = 0
+        while q < len(starts):
+            best = self._at(k, have, starts[q])
+            q += 1
+            if best is None:
                 continue
-            part = have[i : i + len(want) + 3 + len(want) // 4]
-            ops = difflib.SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
+            end = best[3]
+            while q < len(starts) and starts[q] < end:  # a later start within the match may fit it better
+                other = self._at(k, have, starts[q])
+                if other is not None and other[2] < end and other[0] > best[0]:
+                    best = other
+                q += 1
+            yield best[1:]
+            q = bisect.bisect_left(starts, best[3])
+
+    def _at(self, k: int, have: list[str], i: int) -> tuple[float, float, int, int, list[str]] | None:
+        """Likeness, cover, first word, end and differences of the match in the words from i on; None if it isn't there."""
+        want, places = self.words[k], self.places[k]
+        n = len(want)
+        part = have[i : i + n + 3 + n // 4]
+        mask = (1 << n) - 1
+        v, common = mask, []
+        for w in part:
+            u = v & places.get(w, 0)
+            v = ((v + u) | (v - u)) & mask
+            common.append(n - v.bit_count())
+        if not common or common[-1] / n < self.least_cover:  # no alignment has more words in order
+            return None
+        likeness = [2 * c / (n + j) for j, c in enumerate(common, 1)]
+        # The words behind a notice may belong to the next one: the end that fits best is tried first.
+        for upto in dict.fromkeys((likeness.index(max(likeness)) + 1, common.index(common[-1]) + 1, len(part))):
+            ops = difflib.SequenceMatcher(None, want, part[:upto], autojunk=False).get_opcodes()
             same = [op for op in ops if op[0] == "equal"]
             if not same:
                 continue
-            cover = sum(op[2] - op[1] for op in same) / len(want)
+            total = sum(op[2] - op[1] for op in same)
             a, b = same[0][3], same[-1][4]
-            if cover >= self.least_cover and all(key in part[a:b] for key in self.templates[k].keys) and (best is None or cover > best[0]):
+            if total / n >= self.least_cover and all(key in part[a:b] for key in self.templates[k].keys):
                 diff = []
                 for op, i1, i2, j1, j2 in ops:
                     if op != "equal" and (j1 >= a and j2 <= b or op == "delete"):
                         diff.append(f"-{' '.join(want[i1:i2])} +{' '.join(part[j1:j2])}" if op != "delete" else f"-{' '.join(want[i1:i2])}")
-                best = (cover, i + a, i + b, diff)
-                last = i + a
-                if cover == 1.0:
-                    break
-        return best
+                return 2 * total / (n + b - a), total / n, i + a, i + b, diff
+        return None
 
     def scan(self, text: bytes, cues: list[int]) -> list[tuple]:
         """license, template, start, end (bytes), saving, cover and differences of each confirmed notice."""
         out = []
-        for a, b in self.blocks(text, cues):
-            todo = [(a, b)]
-            # A notice is looked for near each cue, so that several in one block are all found.
-            found: dict[tuple[str, int], tuple] = {}
-            for lo, hi in todo:
-                block = text[lo:hi]
-                near = self._lines(block, [c - lo for c in cues if lo <= c < hi])
-                ranked: dict[int, float] = {}
-                for part in near:
-                    for k, s in enumerate(self.saving(part)):
-                        ranked[k] = max(s, ranked.get(k, -1.0))
-                decoded = block.decode("utf-8", "replace")
-                have, at = words(decoded)
-                # The saving only ranks: a short notice within prose saves little, so wording alone decides.
-                for k, s in sorted(ranked.items(), key=lambda x: -x[1]):
-                    if not have:
-                        break
-                    rest, shift = have, 0
-                    while (hit := self.confirm(k, rest, decoded)) is not None:
-                        cover, i, j, diff = hit
-                        start = lo + len(decoded[: at[shift + i][0]].encode())
-                        end = lo + len(decoded[: at[shift + j - 1][1]].encode())
-                        row = (self.templates[k].license, self.templates[k].name, start, end, round(s, 6), round(cover, 6), diff)
-                        old = next((x for x in found.values() if x[0] == row[0] and x[2] < end and start < x[3]), None)
-                        if old is None:
-                            found[row[0], start] = row
-                        elif (cover * (end - start), s) > (old[5] * (old[3] - old[2]), old[4]):
-                            del found[old[0], old[2]]
-                            found[row[0], start] = row
-                        shift += j
-                        rest = have[shift:]
-            out += sorted(found.values(), key=lambda r: (r[2], r[0]))
-        return out
+        for lo, hi in self.blocks(text, cues):
+            block = text[lo:hi]
+            decoded = block.decode("utf-8", "replace")
+            have, at = words(decoded)
+            if not have:
+                continue
+            # The saving only ranks: a short notice within prose saves little, so wording alone decides.
+            ranked: dict[int, float] = {}
+            for part in self._lines(block, [c - lo for c in cues if lo <= c < hi]):
+                for k, s in enumerate(self.saving(part)):
+                    ranked[k] = max(s, ranked.get(k, -1.0))
+            hits = []
+            for k, s in ranked.items():
+                for cover, i, j, diff in self.confirm(k, have):
+                    start = lo + len(decoded[: at[i][0]].encode())
+                    end = lo + len(decoded[: at[j - 1][1]].encode())
+                    hits.append((self.templates[k].license, self.templates[k].name, start, end, round(s, 6), round(cover, 6), diff))
+            # Of overlapping notices of one license the best stands.
+            taken: dict[str, list[tuple[int, int]]] = {}
+            for row in sorted(hits, key=lambda r: (-r[5] * (r[3] - r[2]), -r[4], r[2])):
+                spans = taken.setdefault(row[0], [])
+                p = bisect.bisect_left(spans, (row[3], 0))
+                if p == 0 or spans[p - 1][1] <= row[2]:
+                    spans.insert(p, (row[2], row[3]))
+                    out.append(row)
+        return sorted(out, key=lambda r: (r[2], r[0]))
 
     def _lines(self, block: bytes, cues: list[int]) -> list[bytes]:
         """The whole block, and each line with a cue, cut to a template's reach."""

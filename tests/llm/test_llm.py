@@ -278,7 +278,7 @@ def test_license_within_prose(spark):
     assert len(prose) == 60 and len(short) > 6
     for p in prose:
         for t in short:
-            assert [x[0] for x in notices(f"{p[:400]} {t.text} {p[400:800]}")] == [t.license]
+            assert notices(f"{p[:400]} {t.text} {p[400:800]}") == [(t.license, t.text)]
 
 
 MIT = """MIT License
@@ -335,6 +335,14 @@ def test_license_of_several_paragraphs():
     assert [x[0] for x in notices(MIT + "\n" + GPL + "\n" + BSD)] == ["MIT", "GPL-3.0", "BSD-3-Clause"]
 
 
+def test_license_varied_before_exact():
+    varied, exact = "This work is licensed under a GNU General Public License, version 3.", "This work is licensed under the GNU General Public License, version 3."
+    for t in (f"{varied}\n{exact}", f"{varied} {exact}", f"{exact}\n{varied}\n{exact}", f"{varied}\n{varied}\n{exact}"):
+        assert notices(t) == [("GPL-3.0", x[0]) for x in re.finditer("This work[^.]*[.]", t)]
+    cut = "Licensed under Apache License, Version 2.0."
+    assert len(notices(f"{cut} Licensed under the Apache License, Version 2.0. {cut}")) == 3
+
+
 # WARC
 
 
