@@ -281,10 +281,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
             return labels
 
 
-def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
-    """One row for each row of docs: key, class_id, class_size, n_links (verified links of its text to other texts)."""
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark, "minhash")
+def _placed(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch, *more_columns: str) -> DataFrame:
+    """One row for each row of docs: id, more columns (h1, h2), label (one for each class), n_links."""
     signed = scratch.save(_signed(docs, text, key), "signed")
     copies = scratch.save(signed.groupBy("h1", "h2").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "copies")
     members = scratch.save(
@@ -316,7 +314,14 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
         labels = components(links, scratch, "cc2")
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     known = scratch.save(labels.join(ends, "node", "left"), "known")
-    placed = scratch.save(members.join(known, "node", "left").select("id", F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")), "placed")
+    links_of = F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
+    return scratch.save(members.join(known, "node", "left").select("id", *more_columns, F.coalesce("label", "node").alias("label"), links_of), "placed")
+
+
+def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
+    """One row for each row of docs: key, class_id, class_size, n_links (verified links of its text to other texts)."""
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+    placed = _placed(docs, text, key, least, scratch)
     sizes = scratch.save(placed.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).filter("class_size > 1"), "sizes")
     return placed.join(sizes, "label", "left").select(
         F.col("id").alias(key),
@@ -327,23 +332,27 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD) -> DataFrame:
-    """The rows of docs without near-duplicates: of each class the document with the smallest key stays, once.
+    """The rows of docs without near-duplicates: exactly one row of each class stays, one with its smallest key.
 
-    Rows without a key stay only if their class has no key at all, one of them.
+    Rows are told apart by key and text, so rows without a key or with a repeated one are each judged by their own text. Rows
+    without a key stay only if their class has no key at all. Of several texts with the smallest key one stays by its hashes.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    found = classes(docs, text, key, least, scratch)
-    gone = scratch.save(found.filter(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("gone_key")).distinct(), "gone")
-    twice = scratch.save(docs.groupBy(F.col(f"`{key}`").alias("twice_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("twice_key"), "twice")
-    kept = docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("gone_key")), "left_anti")
+    placed = _placed(docs, text, key, least, scratch, "h1", "h2")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
+    firsts = scratch.save(placed.groupBy("label").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size"), "firsts")
+    several = scratch.save(placed.join(firsts, "label").select("id", "h1", "h2", row.eqNullSafe(F.col("first")).alias("stays")), "several")
+    names, others = [fresh(docs, f"row_{c}") for c in ("id", "h1", "h2")], [fresh(docs, f"other_{c}") for c in ("id", "h1", "h2")]
+    several = several.select(*[F.col(c).alias(o) for c, o in zip(("id", "h1", "h2"), others, strict=True)], "stays")
+    gone = scratch.save(several.filter("not stays").drop("stays").distinct(), "gone")
+    twice = scratch.save(several.filter("stays").drop("stays").groupBy(*others).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1").drop("n_rows"), "twice")
+    known = docs.select("*", *[c.alias(n) for c, n in zip((F.col(f"`{key}`"), *_text_hashes(as_text(text))), names, strict=True)])
+    same = F.col(names[0]).eqNullSafe(F.col(others[0])) & (F.col(names[1]) == F.col(others[1])) & (F.col(names[2]) == F.col(others[2]))
+    kept = known.join(gone, same, "left_anti")
     if not twice.limit(1).count():
-        return kept
-    again = F.col(f"`{key}`").eqNullSafe(F.col("twice_key"))
-    n = fresh(docs, "twice_row")
-    # Rows that share a key are one document: its first text by hash stays.
-    several = kept.join(twice, again, "left_semi").withColumn(n, F.xxhash64(as_text(text)))
-    one = several.dropDuplicates([key]) if "." not in key else several
-    return kept.join(twice, again, "left_anti").unionByName(one.drop(n))
+        return kept.drop(*names)
+    one = kept.join(twice, same, "left_semi").dropDuplicates(names)
+    return kept.join(twice, same, "left_anti").unionByName(one).drop(*names)
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:

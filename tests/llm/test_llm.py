@@ -143,6 +143,20 @@ def test_classes_edges(spark):
     assert len(got) == len({r.text or "" for r in got}) == 7
 
 
+def test_keep_one_by_row(spark):
+    r = random.Random(8)
+    text = [" ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(60)) for _ in range(7)]
+    near = text[0].rsplit(" ", 1)[0] + " other"
+    # Unique texts without a key; copies with and without one; a key on several rows, one of which is a copy of a smaller key's.
+    rows = [(None, text[1]), (None, text[2]), (None, text[2]), (1, text[0]), (None, near), (5, near), (5, text[3]), (5, text[4]), (5, text[4]), (7, text[5]), (7, None), (9, ""), (8, text[6]), (8, text[6] + " end")]
+    docs = spark.createDataFrame([(*x, i) for i, x in enumerate(rows)], "doc_id long, text string, row_h1 int")
+    got = minhash.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = [(x[0], x[1] or "") for x in got.collect()]
+    want = {(None, text[1]), (None, text[2]), (1, text[0]), (5, text[3]), (5, text[4]), (7, text[5]), (7, "")}
+    assert want < set(kept) and len(kept) == len(want) + 1 and len([k for k in kept if k[0] == 8]) == 1
+
+
 # BPE
 
 
