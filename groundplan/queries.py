@@ -283,6 +283,12 @@ def normalize_name(spark, sf):
     return table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", text.name_key("text").alias("name"))
 
 
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS name FROM documents")
+def normalize_name_all(spark, sf):
+    """The names of all documents, in all languages."""
+    return table(spark, sf, "documents").select("doc_id", text.name_key("text").alias("name"))
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE (500000 + p_partkey)::VARCHAR END AS pincode FROM part")
 def normalize_pincode(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.pincode_key(F.when(F.col("p_partkey") % 5 == 0, "junk").otherwise(F.concat((F.lit(500000) + F.col("p_partkey")).cast("string"), F.lit(".0")))).alias("pincode"))

@@ -1,10 +1,12 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from groundplan.functions import json_html as j, numeric as n, text as t
 from groundplan.operators import fuzzy
+from groundplan.queries import QUERIES
 
 
 def one(spark, values, make, kind="string"):
@@ -17,6 +19,14 @@ def test_money_and_numbers(spark):
     assert one(spark, ["12 years", "a 1,234.5 b", ",", ""], t.number) == [12.0, 1234.5, None, None]
 
 
+def test_names_of_all_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    got = {r.doc_id: r.name for r in QUERIES["normalize_name_all"](spark, sf).collect()}
+    assert {r.lang for r in docs} > {"en"} and len(got) == len(docs)
+    assert got == {r.doc_id: " ".join(re.sub("[^A-Z0-9 ]", " ", (r.text or "").upper()).split()) for r in docs}
+
+
 def test_age_group(spark):
     assert one(spark, [0.0, 1.0, 5.0, 6.0, 12.0, None], n.age_group, "double") == ["New", "New", "1-5 Years", "6-10 Years", "10+ Years", ""]
 
