@@ -349,7 +349,7 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def op9_chat_turns(spark, sf_dir: str) -> DataFrame:
-    """Recovered turns of all conversations, from raw transcripts; the model counts the turns of every other conversation."""
+    """Recovered turns of all conversations, from raw transcripts; the model counts the turns of all conversations."""
     raw = transcripts(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
-    model = fit(raw.filter(F.pmod(F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")), F.lit(2)) == 0), "conv_id", "position", "role", "text")
+    model = fit(raw, "conv_id", "position", "role", "text")
     return turns(raw.drop("role"), model)

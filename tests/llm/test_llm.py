@@ -396,6 +396,13 @@ def test_top_k_against_brute_force(spark):
 # Chat
 
 
+def test_chat_query_counts_all_conversations(spark, monkeypatch):
+    seen, fit = [], chat.fit
+    monkeypatch.setattr(chat, "fit", lambda rows, *a: seen.append(rows.count()) or fit(rows, *a))
+    chat.op9_chat_turns(spark, SF)
+    assert seen == [spark.read.parquet(f"{SF}/conversations.parquet").count()]
+
+
 def test_chat_recovers_roles_and_is_exact_across_partitions(spark):
     raw = chat.transcripts(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
     model = chat.fit(raw.filter("conv_id % 2 = 0"), "conv_id", "position", "role", "text")
