@@ -232,6 +232,24 @@ def test_pack_query(spark):
     assert packing.pack(empty(spark), P.path("word_bpe_49k.json")).count() == 0
 
 
+def test_packing_conversations_by_loss(spark):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    talks = collections.defaultdict(list)
+    for r in rows:
+        talks[r.conv_id].append(r.text or "")
+    docs = [(k, " ".join(t), len(t[-1].split())) for k, t in talks.items()]  # prompts bear no loss
+    limits = packing.Limits(1024, 128, 64)
+    pieces = packing.pack(spark.createDataFrame(docs, "doc_id long, text string, n long"), P.path("word_bpe_49k.json"), limits=limits, loss="n").collect()
+    used, per_doc = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for r in pieces:
+        used[r.sequence_id] += collections.Counter(tokens=r.length, loss=r.loss_tokens)
+        per_doc[r.doc_id] += collections.Counter(tokens=r.length, loss=r.loss_tokens)
+        per_doc[r.doc_id, "all"] = r.doc_tokens
+    assert all(u["tokens"] <= 1024 and u["loss"] <= 64 for u in used.values())
+    assert any(u["loss"] == 64 and u["tokens"] < 1024 for u in used.values())  # the limit binds
+    assert all(per_doc[k]["tokens"] == per_doc[k, "all"] and per_doc[k]["loss"] == min(n, per_doc[k, "all"]) for k, _, n in docs)
+
+
 # PII
 
 
