@@ -389,12 +389,26 @@ def token_sort_match_global(spark, sf):
     ).select(F.col("ref").alias("name"), "score", "idx")
 
 
-@query()
-def tiered_match(spark, sf):
+def match_tables(spark, sf):
+    """Listings and a registry of all parts, every fourth of them under a name that no listing has."""
     x = table(spark, sf, "part")
     listings = x.select("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.concat("p_name", F.lit(" "), F.substring("p_type", 1, 2))).alias("Society"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey") % 50 + 500000).cast("string").alias("Pincode"))
-    registry = x.filter("p_partkey % 4 = 0").select(F.col("p_partkey").alias("idx"), F.col("p_name").alias("rera_project_name"), (F.col("p_partkey") % 50 + 500000).cast("string").alias("rera_pincode"))
-    return fuzzy.match(listings, registry, "p_partkey")
+    name = F.when(F.col("p_partkey") % 4 == 3, F.concat(F.lit("Zq"), F.reverse("p_name"), F.lit(" Xv"), F.col("p_partkey"))).otherwise(F.col("p_name"))
+    registry = x.select(
+        F.col("p_partkey").alias("idx"), name.alias("rera_project_name"), (F.col("p_partkey") % 50 + 500000).cast("string").alias("rera_pincode"),
+        F.concat(F.lit("Promoter "), F.col("p_partkey") % 7).alias("rera_promoter_name"),
+    )
+    return listings, registry
+
+
+@query()
+def tiered_match(spark, sf):
+    return fuzzy.match(*match_tables(spark, sf), "p_partkey")
+
+
+@query()
+def match_report(spark, sf):
+    return fuzzy.report(fuzzy.attach(*match_tables(spark, sf), "p_partkey", ["rera_project_name", "rera_promoter_name"]))
 
 
 # Spatial: axis-aligned boxes, whose distances have a closed form --------------------------------------------------
@@ -571,6 +585,14 @@ def etl_flow(spark, sf):
     return flows.run_etl(*synthetic_listings(spark, sf), _zones(spark)).cleaned
 
 
+@query()
+def one_hot_feature_matrix(spark, sf):
+    """The feature matrix of the same flow."""
+    from groundplan.plans import flows
+
+    return flows.run_etl(*synthetic_listings(spark, sf), _zones(spark)).features
+
+
 @query("""WITH l AS (SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 'http://x/for-sale/' WHEN 1 THEN 'http://x/for-rent/' ELSE 'http://x/resale/' END || (p_partkey % 700)::VARCHAR AS url FROM part)
 SELECT min(k) AS k FROM l WHERE contains(url, 'sale') GROUP BY url""")
 def sale_only(spark, sf):

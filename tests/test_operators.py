@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from groundplan.functions.text import name_key, pincode_key, token_sort
 from groundplan.operators import features, fuzzy, impute, reports, robust, rows, spatial
+from groundplan.queries import QUERIES, match_tables
 
 
 def test_winsorize_by_group(spark):
@@ -140,3 +142,32 @@ def test_correlation_of_a_constant_is_null(spark):
 def test_split_is_disjoint_and_near_a_fifth(spark):
     n = spark.range(5000).filter(features.in_test("id")).count()
     assert 850 < n < 1150
+
+
+def test_match_queries_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    listings, registry = match_tables(spark, sf)
+    n = spark.read.parquet(f"{sf}/part.parquet").count()
+    names = registry.select("idx", token_sort(name_key("rera_project_name")).alias("s"), pincode_key("rera_pincode").alias("b")).collect()
+    assert len(names) == n
+    want = {}
+    for r in listings.select("p_partkey", token_sort(name_key("Society")).alias("s"), pincode_key("Pincode").alias("b")).collect():
+        scored = [(fuzzy.ratio(r.s, x.s), -x.idx, x.b) for x in names] if r.s else []
+        one = max((x for x in scored if x[2] == r.b and r.b is not None and x[0] >= 85), default=None)
+        two = max((x for x in scored if x[0] >= 90), default=None)
+        hit = one or two
+        want[r.p_partkey] = ("no_society" if not r.s else "pincode_block" if one else "name_only" if two else "unmatched", -hit[1] if hit else None)
+    got = {r.p_partkey: (r.match_method, r.idx) for r in QUERIES["tiered_match"](spark, sf).collect()}
+    assert got == want and {m for m, _ in got.values()} == {"pincode_block", "name_only", "unmatched", "no_society"}
+    (r,) = QUERIES["match_report"](spark, sf).collect()
+    methods = [m for m, _ in want.values()]
+    assert (r.n_rows, r.n_matched) == (n, methods.count("pincode_block") + methods.count("name_only"))
+    assert (r.n_unmatched, r.n_no_society) == (methods.count("unmatched"), methods.count("no_society"))
+
+
+def test_feature_matrix_query(spark):
+    sf = "/root/testdata/sf0.001"
+    x = QUERIES["one_hot_feature_matrix"](spark, sf)
+    assert x.count() == QUERIES["etl_flow"](spark, sf).count() > 0
+    made = [c for c in x.columns if c.startswith("deal_type_")]
+    assert len(made) == 3 and x.filter(" + ".join(f"int(`{c}`)" for c in made) + " <> 1").count() == 0
