@@ -348,7 +348,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", least: fl
     twice = scratch.save(several.filter("stays").drop("stays").groupBy(*others).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1").drop("n_rows"), "twice")
     known = docs.select("*", *[c.alias(n) for c, n in zip((F.col(f"`{key}`"), *_text_hashes(as_text(text))), names, strict=True)])
     same = F.col(names[0]).eqNullSafe(F.col(others[0])) & (F.col(names[1]) == F.col(others[1])) & (F.col(names[2]) == F.col(others[2]))
-    kept = known.join(gone, same, "left_anti")
+    kept = known.join(gone.hint("merge"), same, "left_anti")
     if not twice.limit(1).count():
         return kept.drop(*names)
     one = kept.join(twice, same, "left_semi").dropDuplicates(names)
