@@ -53,6 +53,14 @@ def column(df: DataFrame, name: str):
     return df[f"`{name.replace('`', '``')}`"]
 
 
+def position(df: DataFrame, name: str) -> int:
+    """The place of a column by its exact name, dots and all, else by its name in any case; the first of several."""
+    same = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not same:
+        raise ValueError(f"no column {name} among {df.columns}")
+    return same[0]
+
+
 def append_column(df: DataFrame, field: T.StructField, work: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
     """df with one more column, computed batch by batch in Arrow; other columns pass through as they are."""
 

@@ -15,25 +15,29 @@ buckets (ROWS = 5 in each of BANDS = 24: a pair at 0.8 shares none with a probab
 A bucket never yields all its pairs. Equal texts are one node. Every node is first verified against two pivots of its
 bucket; the components of those links are labelled; then pairs of a bucket whose nodes are still in different
 components are verified, all of them but those that a bound on J_P from bitmaps of their shingles rules out (exactly: the
-bound is never below J_P); blocks of nodes are compared as matrices, so that no row is made for a pair that is ruled out. A pair left out is of one component already, so no link that could join classes
-is lost to the size of a bucket, and a group of many near copies costs about as many pairs as it has texts.
+bound is never below J_P); blocks of nodes are compared as matrices, so that no row is made for a pair that is ruled out.
+A pair left out is of one component already, so no link that could join classes is lost to the size of a bucket, and a
+group of many near copies costs about as many pairs as it has texts.
 
 Defined results: null is the empty text; texts without words are alike only if they are equal byte for byte; repeated
 rows are copies of each other; a class id is the smallest doc_id of its class (null if it has none); an empty table gives
-no rows; extra columns are ignored.
+no rows; extra columns are ignored, and pass through `keep_one` whatever their names.
+
+All joins are sort-merge joins of written tables, whose hot keys Spark can split; nothing is broadcast.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from groundplan.llm import textscan
-from groundplan.llm.frames import as_text, fresh, map_arrow
+from groundplan.llm.frames import as_text, map_arrow, position
 from groundplan.llm.textscan import MULT, U, mix
 from groundplan.scratch import Scratch
 
@@ -127,10 +131,20 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float((x[i] / (below + above / ratio[i])).sum())
 
 
-def _signed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """rid, id, h1, h2 and the band keys of each row of docs."""
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{key}`").alias("id"), as_text(text).alias("text"))
-    base = base.select("rid", "id", *_text_hashes("text"), "text")
+def _numbered(docs: DataFrame, text: str, key: str, scratch: Scratch) -> DataFrame:
+    """rid, id, row (a hash of the whole row), h1, h2 and the columns of docs as c0, c1, ...: written, so that rid stays."""
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    fields = [f for f in flat.schema.fields if f.dataType.typeName() != "void"]
+    plain = [f.name for f in fields if not re.search("map<|variant", f.dataType.simpleString())]
+    words = as_text(f"c{position(docs, text)}")
+    hashes = F.xxhash64(words).alias("h1"), F.xxhash64(F.lit("second"), words).alias("h2")
+    chosen = F.monotonically_increasing_id().alias("rid"), F.col(f"c{position(docs, key)}").alias("id"), F.xxhash64(*plain).alias("row"), *hashes
+    return scratch.save(flat.select(*chosen, *[f.name for f in fields]), "numbered")
+
+
+def _signed(numbered: DataFrame, words: Column) -> DataFrame:
+    """rid, id, row, h1, h2 and the band keys of each row."""
+    base = numbered.select("rid", "id", "row", "h1", "h2", words.alias("text"))
     fields = [f for f in base.schema.fields if f.name != "text"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +161,6 @@ def _signed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return map_arrow(base, run, T.StructType([*fields, T.StructField("bands", T.ArrayType(T.LongType()))]))
 
 
-def _text_hashes(text: str):
-    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")
-
-
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
     """Borders of at most 512 rows whose texts have about CHUNK bytes, one row at least."""
     upto = np.cumsum(pc.add(pc.binary_length(batch.column("ta")), pc.binary_length(batch.column("tb"))).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -163,7 +173,7 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are similar enough."""
-    left, right = (texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}")).hint("merge") for n in "ab")
+    left, right = (_merge(texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}"))) for n in "ab")
     both = pairs.join(left, "a").join(right, "b")
 
     def sets(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -206,33 +216,49 @@ def _bitmaps(texts: DataFrame) -> DataFrame:
     return map_arrow(texts.select("node", "text"), run, "node long, total long, bits array<long>")
 
 
-def _apart(rest: DataFrame, maps: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+def _merge(df: DataFrame) -> DataFrame:
+    """df as a side of a sort-merge join at every size: tables here grow with the input, so none is broadcast."""
+    return df.hint("merge")
+
+
+def _apart(shared: DataFrame, labels: DataFrame, texts: DataFrame, least: float, scratch: Scratch) -> DataFrame | None:
     """The distinct pairs (a, b) of nodes that share a bucket, are in different components and may be similar enough.
 
     The nodes of a bucket are dealt to blocks of about BLOCK, and two blocks are one row, compared as matrices: if c places
     are common and x and y take p and q places of total weights X and Y, then 1 / J_P >= X / (X - p + c) + Y / (Y - q + c) - 1.
-    Nodes of one component are compared only where few of them (under 32) share a bucket.
+    Nodes of one component are compared only where few of them (under 32) share a bucket. Pairs with a pivot of the bucket
+    are left out, as they have been verified. None: every bucket is within one component.
     """
-    big = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).filter("n >= 32").select("bucket", "label", F.col("label").alias("tag"))
-    tagged = rest.join(scratch.save(big, "tags"), ["bucket", "label"], "left").withColumn("tag", F.coalesce("tag", F.lit(-1).cast("long")))
-    tagged = scratch.save(tagged, "tagged")
-    counts = scratch.save(tagged.groupBy("bucket", "tag").agg(F.count(F.lit(1)).alias("n")), "tag-counts")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long")).alias("part")
-    rows = tagged.join(counts, ["bucket", "tag"]).select("bucket", "tag", part, "node", "label").join(maps, "node")
-    blocks = scratch.save(rows.groupBy("bucket", "tag", "part").agg(F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")), "blocks")
-    other = blocks.select(F.col("bucket").alias("bucket_"), F.col("tag").alias("tag_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))
+    labelled = shared.join(_merge(labels), "node", "left").select("bucket", "node", "p1", "p2", F.coalesce("label", "node").alias("label"))
+    labelled = scratch.save(labelled, "labelled")
+    counts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    few = F.when(F.col("n") < 32, F.col("n")).otherwise(0)
+    mixed = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.sum(few).alias("small")).filter("labels > 1").drop("labels")
+    sizes = counts.join(_merge(mixed), "bucket").select("bucket", "label", F.when(F.col("n") < 32, F.lit(-1)).otherwise(F.col("label")).alias("tag"), F.when(F.col("n") < 32, F.col("small")).otherwise(F.col("n")).alias("size"))
+    sizes = scratch.save(sizes, "sizes")
+    if sizes.isEmpty():
+        return None
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK).cast("long")).alias("part")
+    rows = scratch.save(labelled.join(_merge(sizes), ["bucket", "label"]).select("bucket", "tag", part, "node", "label", "p1", "p2"), "rows")
+    maps = scratch.save(_bitmaps(texts.join(_merge(rows.select("node")), "node", "left_semi")), "bitmaps")
+    packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
+    blocks = scratch.save(rows.join(_merge(maps), "node").groupBy("bucket", "tag", "part").agg(F.min("p1").alias("p1"), F.min("p2").alias("p2"), packed), "blocks")
+    other = blocks.select("bucket", F.col("tag").alias("tag_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))
     after = (F.col("tag") < F.col("tag_")) | ((F.col("tag") == F.col("tag_")) & (F.col("tag") == -1) & (F.col("part") <= F.col("part_")))
-    met = blocks.join(other, (F.col("bucket") == F.col("bucket_")) & after).select("nodes", "others")
+    met = blocks.join(_merge(other), "bucket").filter(after).select("nodes", "others", "p1", "p2")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             found = [np.empty((2, 0), np.int64)]
             waiting = 0
-            for (an, al, aw, ab), (bn, bl, bw, bb) in zip(_unpacked(batch.column(0)), _unpacked(batch.column(1)), strict=True):
+            pivots = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            for (an, al, aw, ab), (bn, bl, bw, bb), ends in zip(_unpacked(batch.column(0)), _unpacked(batch.column(1)), pivots, strict=True):
                 c = ab @ bb.T
                 x, y = (aw - ab.sum(1))[:, None] + c, (bw - bb.sum(1))[None] + c
                 with np.errstate(divide="ignore"):
                     fine = (aw[:, None] / x + bw[None] / y <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None])
+                fine[np.isin(an, ends)] = False
+                fine[:, np.isin(bn, ends)] = False
                 i, j = np.nonzero(fine)
                 found.append(np.stack([np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])]))
                 waiting += len(i)
@@ -260,71 +286,77 @@ def _unpacked(col: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
-    """node, label (the smallest node of its component) for each node of the edges (a, b).
+    """node, label (one of the nodes of its component) for each node of the edges (a, b), which are distinct, a < b.
 
-    Labels spread along edges and then jump to their own labels until none changes; each round is a written table.
+    Every node goes to its first neighbour or stays, and the graph shrinks to the nodes that are left and the edges between
+    them, until there are none: after one turn for stars around their smallest node, which is what pivots yield, after two
+    for any star. The order is the nodes' own in the first two turns, then by a hash that changes every two turns, so that a
+    long path shrinks by a constant factor too. Each turn is two written tables.
     """
-    both = scratch.save(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-0")
-    turn = 0
+    steps: list[DataFrame] = []
     while True:
-        turn += 1
-        near = both.join(labels, both.a == labels.node).groupBy(F.col("b").alias("node")).agg(F.min("label").alias("label"))
-        best = scratch.save(labels.union(near).groupBy("node").agg(F.min("label").alias("label")), f"{name}-{turn}-near")
-        up = best.select(F.col("node").alias("label"), F.col("label").alias("upper"))
-        new = scratch.save(best.join(up, "label").select("node", F.least("label", "upper").alias("label")), f"{name}-{turn}")
-        old = labels.select("node", F.col("label").alias("old"))
-        changed = new.join(old, "node").filter("label <> old").limit(1).count()
-        scratch.drop(f"{name}-{turn - 1}", f"{name}-{turn}-near")
-        labels = new
-        if not changed:
-            return labels
-
-
-def _placed(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch, *more_columns: str) -> DataFrame:
-    """One row for each row of docs: id, more columns (h1, h2), label (one for each class), n_links."""
-    signed = scratch.save(_signed(docs, text, key), "signed")
-    copies = scratch.save(signed.groupBy("h1", "h2").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "copies")
-    members = scratch.save(
-        signed.select("rid", "id", "h1", "h2").join(copies, ["h1", "h2"], "left").select("rid", "id", "h1", "h2", F.coalesce("rep", "rid").alias("node")), "members"
-    )
-    nodes = members.filter("rid = node")
-    firsts = signed.join(copies, ["h1", "h2"], "left").filter("rep is null or rep = rid")
-    buckets = firsts.select(F.col("rid").alias("node"), F.explode("bands").alias("bucket"))
-    shared_keys = scratch.save(buckets.groupBy("bucket").agg(F.min("node").alias("p1"), F.max("node").alias("p2")).filter("p1 < p2"), "keys")
-    shared = scratch.save(buckets.join(shared_keys, "bucket"), "shared")
-    wanted = scratch.save(shared.select("node").distinct().join(nodes, "node").select("node", "id", "h1", "h2"), "wanted")
-    source = docs.select(F.col(f"`{key}`").alias("id_"), as_text(text).alias("text")).select("id_", "text", *_text_hashes("text"))
-    on = (source.id_.eqNullSafe(wanted.id)) & (source.h1 == wanted.h1) & (source.h2 == wanted.h2)
-    texts = scratch.save(source.join(wanted.hint("merge"), on).select("node", "text").dropDuplicates(["node"]), "texts")
+        turn = len(steps)
+        rank = lambda c: F.xxhash64(c, F.lit(turn // 2)) if turn > 1 else F.col(c)  # noqa: B023, E731
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", rank("b")).alias("first"), F.min(rank("b")).alias("rank"))
+        up = scratch.save(near.select("node", F.when(rank("node") < F.col("rank"), F.col("node")).otherwise(F.col("first")).alias("label")), f"{name}-{turn}")
+        steps.append(up)
+        ends = [_merge(up.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))) for n in "ab"]
+        left = edges.select("a", "b").join(ends[0], "a").join(ends[1], "b").filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
+        edges = scratch.save(left.distinct(), f"{name}-{turn}-edges")
+        if edges.isEmpty():
+            break
+    labels = steps[0]
+    for up in steps[1:]:
+        labels = labels.join(_merge(up.select(F.col("node").alias("label"), F.col("label").alias("upper"))), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
+    return scratch.save(labels, name) if len(steps) > 1 else labels
+
+
+def _linked(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows of docs (numbered, signed), nodes (a row for each text: its first row, n), and label and n_links of nodes with links."""
+    numbered = _numbered(docs, text, key, scratch)
+    words = as_text(f"c{position(docs, text)}")
+    signed = scratch.save(_signed(numbered, words), "signed")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "rid")).alias("first")
+    nodes = signed.groupBy("h1", "h2").agg(first, F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
+    nodes = scratch.save(nodes.select(F.col("first.rid").alias("node"), "first", "h1", "h2", "n", "bands"), "nodes")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    several = scratch.save(buckets.groupBy("bucket").agg(F.min("node").alias("p1"), F.max("node").alias("p2")).filter("p1 < p2"), "keys")
+    shared = scratch.save(buckets.join(_merge(several), "bucket"), "shared")
+    texts = scratch.save(numbered.select(F.col("rid").alias("node"), words.alias("text")).join(_merge(shared.select("node")), "node", "left_semi"), "texts")
 
     star = shared.select(F.col("p1").alias("a"), F.col("node").alias("b")).union(shared.select(F.col("node").alias("a"), F.col("p2").alias("b")))
-    tried = scratch.save(star.filter("a < b").distinct(), "tried")
-    links = scratch.save(_verified(tried, texts, least), "links-1")
+    links = scratch.save(_verified(star.filter("a < b").distinct(), texts, least), "links-1")
     labels = components(links, scratch, "cc1")
-    labelled = scratch.save(shared.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
-    mixed = scratch.save(mixed, "mixed")
-    rest = scratch.save(labelled.join(mixed, "bucket"), "rest")
-    maps = scratch.save(_bitmaps(texts.join(rest.select("node").distinct(), "node")), "bitmaps")
-    cross = scratch.save(_apart(rest, maps, least, scratch).join(tried, ["a", "b"], "left_anti"), "cross")
-    more = scratch.save(_verified(cross, texts, least), "links-2")
-    links = links.union(more)
-    if more.limit(1).count():
-        labels = components(links, scratch, "cc2")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    known = scratch.save(labels.join(ends, "node", "left"), "known")
-    links_of = F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
-    return scratch.save(members.join(known, "node", "left").select("id", *more_columns, F.coalesce("label", "node").alias("label"), links_of), "placed")
+    cross = _apart(shared, labels, texts, least, scratch)
+    if cross is not None:
+        more = scratch.save(_verified(cross, texts, least), "links-2")
+        ends = [_merge(labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))) for n in "ab"]
+        between = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        between = scratch.save(between.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "between")
+        if not between.isEmpty():
+            links = links.union(more)
+            upper = components(between, scratch, "cc2").select(F.col("node").alias("label"), F.col("label").alias("upper"))
+            every = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(_merge(labels), "node", "left")
+            labels = every.select("node", F.coalesce("label", "node").alias("label")).join(_merge(upper), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
+    counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    return numbered, signed, nodes, scratch.save(counts.join(_merge(labels), "node").select("node", "label", "n_links"), "known")
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
-    """One row for each row of docs: key, class_id, class_size, n_links (verified links of its text to other texts)."""
+    """One row for each row of docs: key, class_id, class_size, n_links.
+
+    n_links counts the links of its text to other texts that have been verified: at least those that hold its class
+    together. Pairs of one component aren't verified any further.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "minhash")
-    placed = _placed(docs, text, key, least, scratch)
-    sizes = scratch.save(placed.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).filter("class_size > 1"), "sizes")
-    return placed.join(sizes, "label", "left").select(
-        F.col("id").alias(key),
+    _, signed, nodes, known = _linked(docs, text, key, least, scratch)
+    told = nodes.select("node", F.col("first.id").alias("id"), "h1", "h2", "n").join(_merge(known), "node", "left")
+    told = scratch.save(told.select("h1", "h2", "id", "n", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "told")
+    sizes = scratch.save(told.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size")).filter("class_size > 1"), "class-sizes")
+    placed = told.join(_merge(sizes), "label", "left").select("h1", "h2", "class_id", "class_size", "n_links")
+    return signed.select("id", "h1", "h2").join(_merge(placed), ["h1", "h2"]).select(
+        F.col("id").alias(docs.columns[position(docs, key)]),
         F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
         "n_links",
@@ -332,27 +364,21 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD) -> DataFrame:
-    """The rows of docs without near-duplicates: exactly one row of each class stays, one with its smallest key.
+    """The rows of docs without near-duplicates: exactly one row of each class stays, the first by (key, hashes of the text, hash of the row).
 
-    Rows are told apart by key and text, so rows without a key or with a repeated one are each judged by their own text. Rows
-    without a key stay only if their class has no key at all. Of several texts with the smallest key one stays by its hashes.
+    Rows without a key stay only if their class has no key at all. Which row stays depends on the rows alone, not on how
+    they are partitioned; only of rows that are equal in all columns (maps aside) any one may stay.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    placed = _placed(docs, text, key, least, scratch, "h1", "h2")
-    row = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
-    firsts = scratch.save(placed.groupBy("label").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size"), "firsts")
-    several = scratch.save(placed.join(firsts, "label").select("id", "h1", "h2", row.eqNullSafe(F.col("first")).alias("stays")), "several")
-    names, others = [fresh(docs, f"row_{c}") for c in ("id", "h1", "h2")], [fresh(docs, f"other_{c}") for c in ("id", "h1", "h2")]
-    several = several.select(*[F.col(c).alias(o) for c, o in zip(("id", "h1", "h2"), others, strict=True)], "stays")
-    gone = scratch.save(several.filter("not stays").drop("stays").distinct(), "gone")
-    twice = scratch.save(several.filter("stays").drop("stays").groupBy(*others).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1").drop("n_rows"), "twice")
-    known = docs.select("*", *[c.alias(n) for c, n in zip((F.col(f"`{key}`"), *_text_hashes(as_text(text))), names, strict=True)])
-    same = F.col(names[0]).eqNullSafe(F.col(others[0])) & (F.col(names[1]) == F.col(others[1])) & (F.col(names[2]) == F.col(others[2]))
-    kept = known.join(gone.hint("merge"), same, "left_anti")
-    if not twice.limit(1).count():
-        return kept.drop(*names)
-    one = kept.join(twice, same, "left_semi").dropDuplicates(names)
-    return kept.join(twice, same, "left_anti").unionByName(one).drop(*names)
+    numbered, _, nodes, known = _linked(docs, text, key, least, scratch)
+    members = scratch.save(nodes.select("node", "first", "h1", "h2").join(_merge(known.select("node", "label")), "node"), "members")
+    order = F.struct("first.none", "first.id", "h1", "h2", "first.row", "node")
+    best = members.groupBy("label").agg(F.min(order).alias("best")).select(F.col("best.node").alias("rid"))
+    alone = nodes.select(F.col("node").alias("rid")).join(_merge(members.select(F.col("node").alias("rid"))), "rid", "left_anti")
+    kept = numbered.join(_merge(alone.union(best)), "rid", "left_semi")
+    have = set(kept.columns)
+    whole = [f"c{i}" for i in range(len(docs.columns))]
+    return kept.select(*[F.col(c) if c in have else F.lit(None).alias(c) for c in whole]).toDF(*docs.columns)
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
