@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset (tests, one machine) a temporary one."""
+    """The folder named by spark.checkpoint.dir; only where it is unset and Spark runs in one process, a temporary one.
+
+    Elsewhere executors would each write to their own disk: RuntimeError.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="groundplan-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
