@@ -24,8 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal values replaced; n_chars follows the new text."""
-    done = pii.pseudonymise(docs)
+    """All documents, personal values replaced by the session's key; n_chars follows the new text."""
+    done = pii.pseudonymise(docs, pii.session_key(spark))
     return done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else done
 
 

@@ -62,13 +62,22 @@ def position(df: DataFrame, name: str) -> int:
 
 
 def append_column(df: DataFrame, field: T.StructField, work: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
-    """df with one more column, computed batch by batch in Arrow; other columns pass through as they are."""
+    """df with one more column, computed batch by batch in Arrow; other columns pass through, one of its name is replaced by it."""
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() != field.name.lower()]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            yield pa.RecordBatch.from_arrays([*batch.columns, work(batch)], names=[*batch.schema.names, field.name])
+            yield pa.RecordBatch.from_arrays([*[batch.columns[i] for i in kept], work(batch)], names=[*[batch.schema.names[i] for i in kept], field.name])
 
-    return map_arrow(df, run, T.StructType([*df.schema.fields, field]))
+    return map_arrow(df, run, T.StructType([*[df.schema.fields[i] for i in kept], field]))
+
+
+def key_name(key: str, results) -> str:
+    """The name under which a key is returned: its own, or with underscores before it where a result column has that name."""
+    taken = {c.lower() for c in results}
+    while key.lower() in taken:
+        key = f"_{key}"
+    return key
 
 
 def struct_of(names, arrays) -> pa.StructArray:

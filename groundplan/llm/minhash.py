@@ -340,7 +340,9 @@ def _linked(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch
             every = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(_merge(labels), "node", "left")
             labels = every.select("node", F.coalesce("label", "node").alias("label")).join(_merge(upper), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
     counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    return numbered, signed, nodes, scratch.save(counts.join(_merge(labels), "node").select("node", "label", "n_links"), "known")
+    known = scratch.save(counts.join(_merge(labels), "node").select("node", "label", "n_links"), "known")
+    scratch.drop("keys", "shared", "texts", "labelled", "sizes", "rows", "bitmaps", "blocks", "between")
+    return numbered, signed, nodes, known
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:

@@ -8,7 +8,9 @@ is used as E^-1(E(x) + 1), which has no fixed points.
 
 Kept: a card's first digit, length and valid check digit; a phone's country code and punctuation; an IBAN's country,
 letters and digits at their places, check digits valid; an e-mail's domain; the case and kind of each character of an
-identifier or secret; a date's notation. Numbers and dates that fail validation are left alone.
+identifier or secret; a date's notation. Numbers and dates that fail validation are left alone. A phone number is one value
+however it is written: country code and national digits count, +1 where none is written. Secrets have no greatest length;
+their characters are permuted in stretches of STRETCH, each by its number.
 
 Defined results: null stays null; texts without values, empty ones included, are returned byte for byte; repeated rows get
 equal results; other columns pass through.
@@ -25,14 +27,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from groundplan.llm import textscan
 from groundplan.llm.frames import fresh, map_arrow
 
 KINDS = ("email", "card", "phone", "ssn", "iban", "ip", "date", "access_key", "secret")
-#: A real key is a secret that the caller passes.
+#: For tests and demonstrations: whoever has this source can undo it. A real key is a secret in the setting KEY_SETTING.
 DEMO_KEY = b"groundplan demonstration key"
+KEY_SETTING = "spark.groundplan.pii.key"
+STRETCH = 256
+#: Country calling codes of one and two digits; all others have three (fixed values).
+CODES_1 = frozenset("1 7".split())
+CODES_2 = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 _LOW, _UP, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -77,7 +86,7 @@ class Feistel:
 class Pseudonyms:
     """Replaces the values of one text; step -1 undoes step 1."""
 
-    def __init__(self, key: bytes = DEMO_KEY, step: int = 1):
+    def __init__(self, key: bytes, step: int = 1):
         self.key, self.step = key, step
         self.networks: dict[tuple[str, int], Feistel] = {}
 
@@ -104,11 +113,12 @@ class Pseudonyms:
 
     def characters(self, label: str, text: str, alphabets: list[str]) -> str:
         """Permute the characters that are in an alphabet, each staying in its own; others stay."""
-        at = [(i, a) for i, c in enumerate(text) for a in alphabets if c in a]
-        new = self.mixed(label, [a.index(text[i]) for i, a in at], [len(a) for _, a in at])
         out = list(text)
-        for (i, a), p in zip(at, new, strict=True):
-            out[i] = a[p]
+        for lo in range(0, len(text), STRETCH):
+            at = [(i, a) for i in range(lo, min(lo + STRETCH, len(text))) for a in alphabets if text[i] in a]
+            new = self.mixed(f"{label}|{lo}" if lo else label, [a.index(text[i]) for i, a in at], [len(a) for _, a in at])
+            for (i, a), p in zip(at, new, strict=True):
+                out[i] = a[p]
         return "".join(out)
 
     # One method for each kind; None: not valid, leave it.
@@ -123,14 +133,14 @@ class Pseudonyms:
 
     def phone(self, m: re.Match) -> str | None:
         s = m["phone"]
-        code = re.match(r"\+[0-9]{1,3}(?=[ .(-])", s)
-        head = code[0] if code else ""
-        digits = [int(c) for c in s[len(head) :] if c.isdigit()]
+        every = "".join(c for c in s if c.isdigit())
+        code = calling_code(every) if s[0] == "+" else ""
+        digits = [int(c) for c in every[len(code) :]]
         if not 7 <= len(digits) <= 12:
             return None
         first, lowest = (8, 2) if digits[0] >= 2 else (2, 0)
-        new = self.mixed(f"phone{head or '+1'}", [digits[0] - lowest, *digits[1:]], [first, *[10] * (len(digits) - 1)])
-        return head + refill(s[len(head) :], [new[0] + lowest, *new[1:]])
+        new = self.mixed(f"phone+{code or '1'}", [digits[0] - lowest, *digits[1:]], [first, *[10] * (len(digits) - 1)])
+        return refill(s, [*map(int, code), new[0] + lowest, *new[1:]])
 
     def ssn(self, m: re.Match) -> str | None:
         area, group, serial = (int(x) for x in m["ssn"].split("-"))
@@ -208,7 +218,7 @@ PATTERN = re.compile(
     r"""
       (?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})(?![\w-])
     | (?<![\w])(?P<access_key>(?:AKIA|ASIA)[A-Z0-9]{16})(?![\w])
-    | (?i:\b(?:pass(?:word|wd)|token|secret|api[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?)(?P<secret>[A-Za-z0-9_+/.-]{6,512}[A-Za-z0-9_+/-])
+    | (?i:\b(?:pass(?:word|wd)|token|secret|api[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?)(?P<secret>[A-Za-z0-9_+/.-]{6,}[A-Za-z0-9_+/-])
     | (?<![\w])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![\w])
     | (?<![\w.-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
     | (?<![\w./-])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{4}/[0-9]{2}/[0-9]{2})(?![\w/-]|\.[0-9])
@@ -231,14 +241,24 @@ def mod97(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s)) % 97
 
 
+def calling_code(digits: str) -> str:
+    """The country calling code that an international number starts with; no code starts with another."""
+    return digits[:1] if digits[:1] in CODES_1 else digits[:2] if digits[:2] in CODES_2 else digits[:3]
+
+
 def refill(form: str, digits: list[int]) -> str:
     """The form with its digits replaced in order."""
     new = iter(digits)
     return "".join(str(next(new)) if c.isdigit() else c for c in form)
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY, counts: str | None = None, step: int = 1) -> DataFrame:
-    """docs with the values in `text` replaced; `counts` names a further map<string, long> column of how many of each kind."""
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session's KEY_SETTING holds; the demonstration key where it is unset."""
+    return spark.conf.get(KEY_SETTING, "").encode() or DEMO_KEY
+
+
+def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", counts: str | None = None, step: int = 1) -> DataFrame:
+    """docs with the values in `text` replaced by `key`; `counts` names a further map<string, long> column of how many of each kind."""
     fields = [T.StructField(f.name, T.StringType() if f.name == text else f.dataType, f.nullable) for f in docs.schema.fields]
     out = T.StructType([*fields, *([T.StructField(counts, T.MapType(T.StringType(), T.LongType()))] if counts else [])])
     source = docs if dict(docs.dtypes)[text] == "string" else docs.withColumn(text, F.col(f"`{text}`").cast("string"))
@@ -272,5 +292,5 @@ def op1_pii_pseudonyms(spark, sf_dir: str) -> DataFrame:
     """Every document with its personal values replaced, and how many of each kind were."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     c = fresh(docs, "counts")
-    done = pseudonymise(docs, counts=c)
+    done = pseudonymise(docs, session_key(spark), counts=c)
     return done.select("doc_id", "text", *[F.coalesce(F.element_at(c, k), F.lit(0)).alias(f"n_{k}") for k in KINDS])

@@ -49,7 +49,7 @@ def test_stages(spark):
     base = {i for i, r in rows[1].items() if len(w := r.text.split()) >= 10 and w}
     assert rows[2].keys() <= base
     assert rows[3].keys() == first_of_classes({i: r.text for i, r in rows[2].items()})
-    p = pii.Pseudonyms()
+    p = pii.Pseudonyms(pii.DEMO_KEY)
     assert {i: r.text for i, r in rows[4].items()} == {i: p.replace(r.text) for i, r in rows[3].items()}
     placed = collections.Counter()
     for r in at[5].collect():
