@@ -4,12 +4,14 @@ Texts are cut by the tokenizer's pattern; every distinct piece is encoded once.
 bucket being one matrix of token ids padded on the right. In each round every row merges its leftmost pair of minimum
 rank: the ranks of neighbouring pairs come from an open-addressing hash table of (left, right), a row-wise argmin picks
 the pair, and deleting one cell a row compacts the matrix; rows without a mergeable pair leave. Only the two pairs beside
-a merge are looked up again. Pieces beyond LONG bytes are merged one at a time with a heap, which gives the same ids
-without work that grows with the square of the length.
+a merge are looked up again. A matrix has at most CELLS cells. Pieces beyond LONG bytes (a run of letters without any space,
+digit or point) are merged one at a time with a heap, which gives the same ids without work that grows with the square of
+the length.
 
 Decoding gathers the tokens' bytes; encode and decode are exact inverses for any valid text.
 
-Defined results: null is the empty text with no ids; repeated rows get equal results; extra columns pass through.
+Defined results: null is the empty text with no ids; repeated rows get equal results; an empty table gives no rows; extra
+columns pass through, one that is named like the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from groundplan.llm.frames import append_column, struct_of
 from groundplan.llm.pieces import UnitCache, gather
 from groundplan.llm.textscan import MULT, U, mix
 
-LONG = 1024
+LONG = 16384
+CELLS = 1 << 22
 NONE = np.int32(2**31 - 1)
 #: White space of Unicode beyond ASCII in UTF-8; where it occurs, units of text are not independent.
 _WIDE_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -119,8 +122,9 @@ class ByteBPE:
             else:
                 out[i] = np.empty(0, np.int32)
         for rows in buckets.values():
-            for lo in range(0, len(rows), 8192):
-                self._merge_bucket(pieces, rows[lo : lo + 8192], out)
+            most = max(1, min(8192, CELLS // max(len(pieces[i]) for i in rows)))
+            for lo in range(0, len(rows), most):
+                self._merge_bucket(pieces, rows[lo : lo + most], out)
         return out
 
     def _merge_bucket(self, pieces: list[bytes], rows: list[int], out: list) -> None:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from groundplan.llm.frames import map_arrow
+from groundplan.llm.frames import key_name, map_arrow, position
 from groundplan.scratch import shared_dir
 
 ROLES = ("system", "user", "assistant")
@@ -256,9 +256,11 @@ def _borders(model: Model, cut: DataFrame) -> dict[int, dict[str, tuple]]:
 
 
 def turns(lines: DataFrame, model: Model, key: str = "conv_id", order: str = "position", text: str = "text") -> DataFrame:
-    """key, at (position of the turn's first line), line (its number in that row's text), continues, role, content, rendered."""
+    """key (as key_name says), at (position of the turn's first line), line (its number in that row's text), continues, role, content, rendered."""
     shared_dir(lines.sparkSession)
-    kinds = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+    kinds = {c: lines.schema.fields[position(lines, c)].dataType.simpleString() for c in (key, order)}
+    results = ("at", "line", "continues", "role", "content", "rendered")
+    name = key_name(key, results)
     rows = lines.select(F.col(f"`{key}`").alias("k"), F.col(f"`{order}`").alias("o"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
     cut = _dealt(rows).checkpoint()
     borders = _borders(model, cut)
@@ -277,7 +279,7 @@ def turns(lines: DataFrame, model: Model, key: str = "conv_id", order: str = "po
         def batch() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True))
             types = (kind_k, kind_o, pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.string())
-            made = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[key, "at", "line", "continues", "role", "content", "rendered"])
+            made = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=[name, *results])
             out.clear()
             return made
 
@@ -295,7 +297,7 @@ def turns(lines: DataFrame, model: Model, key: str = "conv_id", order: str = "po
         if out:
             yield batch()
 
-    return map_arrow(cut, run, f"`{key}` {kinds[key]}, at {kinds[order]}, line long, continues boolean, role string, content string, rendered string")
+    return map_arrow(cut, run, f"`{name}` {kinds[key]}, at {kinds[order]}, line long, continues boolean, role string, content string, rendered string")
 
 
 def _decoded(model: Model, key, lines: list[tuple[object, int, str]], border: tuple | None) -> list[tuple]:

@@ -23,8 +23,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from groundplan.llm.frames import map_arrow
 from groundplan.llm import textscan
+from groundplan.llm.frames import key_name, map_arrow, position
 
 CUES = (b"licen", b"copyright", b"permission is hereby", b"redistribut", b"warrant", b"all rights reserved", b"public domain", b"spdx")
 
@@ -230,8 +230,10 @@ def cue_positions(data: np.ndarray) -> np.ndarray:
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
-    """One row for each notice: key, license, template, start, end (bytes of the text), saving, cover, differences."""
-    kind = next(f.dataType.simpleString() for f in docs.schema.fields if f.name == key)
+    """One row for each notice: key (as key_name says), license, template, start, end (bytes of the text), saving, cover, differences."""
+    kind = docs.schema.fields[position(docs, key)].dataType.simpleString()
+    results = ("license", "template", "start", "end", "saving", "cover", "differences")
+    name = key_name(key, results)
     chosen = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,10 +254,10 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tu
                 types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("k").take(pa.array(ids)), *[pa.array(list(c), t) for c, t in zip(cols, types, strict=True)]],
-                    names=[key, "license", "template", "start", "end", "saving", "cover", "differences"],
+                    names=[name, *results],
                 )
 
-    return map_arrow(chosen, run, f"`{key}` {kind}, license string, template string, start long, end long, saving double, cover double, differences array<string>")
+    return map_arrow(chosen, run, f"`{name}` {kind}, license string, template string, start long, end long, saving double, cover double, differences array<string>")
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -10,12 +10,14 @@ Packing runs inside each input partition, with a bounded pool of waiting example
 lost task is repeated with the same result. Sequence ids hold the partition's number in their upper bits.
 
 Defined results: a null or empty text is one token (the end token); repeated rows are packed each for itself; an empty
-table has no pieces; extra columns are ignored; texts longer than a sequence are cut.
+table has no pieces; extra columns are ignored; texts longer than a sequence are cut; of examples with equal products the
+one that has waited in the lower place goes first.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from groundplan.llm.frames import map_arrow
 from groundplan.llm import textscan
+from groundplan.llm.frames import key_name, map_arrow, position
 from groundplan.llm.pieces import UnitCache
 
 
@@ -128,19 +130,39 @@ class Packer:
             self.limits = cap
 
 
-_tokenizer: dict[str, UnitCache] = {}
+class WordCoder:
+    """A tokenizers file whose pre-tokenizer drops white space, so that words are encoded each for itself, once.
 
+    Only texts that hold the string of an added token, which the library finds anywhere, are encoded as a whole.
+    """
 
-def word_cache(path: str) -> UnitCache:
-    """The cache of a tokenizers file whose pre-tokenizer drops white space, so that words are encoded each for itself."""
-    if path not in _tokenizer:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizer[path] = UnitCache(lambda units: [e.ids for e in tok.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)])
-    return _tokenizer[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.added = re.compile("|".join(map(re.escape, added)).encode(), re.I) if added else None
+        self.cache = UnitCache(lambda units: [e.ids for e in self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)])
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def found(self, data: np.ndarray, offs: np.ndarray) -> set[int]:
+        """The texts that hold an added token's string."""
+        if self.added is None:
+            return set()
+        return {int(np.searchsorted(offs, m.start(), "right")) - 1 for m in self.added.finditer(data)}
+
+
+_coders: dict[str, WordCoder] = {}
+
+
+def word_coder(path: str) -> WordCoder:
+    """The coder of a file, kept by each Python worker."""
+    if path not in _coders:
+        _coders[path] = WordCoder(path)
+    return _coders[path]
 
 
 _LETTER = np.zeros(256, bool)
@@ -169,15 +191,17 @@ def word_parts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return data, starts, ends
 
 
-def token_ids(col: pa.Array, cache: UnitCache, end: int) -> Iterator[np.ndarray]:
-    """The ids of each text, the end token last."""
+def token_ids(col: pa.Array, coder: WordCoder, end: int) -> Iterator[np.ndarray]:
+    """The ids of each text as the library gives them without adding special tokens, the end token last."""
     for s in textscan.slices(col):
+        whole = coder.found(s.data, s.offs)
         data, starts, ends = word_parts(s.data, s.offs)
-        flat, sizes = cache.lookup(data, starts, ends, textscan.span_hashes(data, starts, ends))
+        flat, sizes = coder.cache.lookup(data, starts, ends, textscan.span_hashes(data, starts, ends))
         upto = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, s.offs)]
-        for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
-            ids = np.empty(b - a + 1, "<u4")
-            ids[:-1] = flat[a:b]
+        for i, (a, b) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)):
+            part = coder.whole(s.data[s.offs[i] : s.offs[i + 1]].tobytes().decode()) if i in whole else flat[a:b]
+            ids = np.empty(len(part) + 1, "<u4")
+            ids[:-1] = part
             ids[-1] = end
             yield ids
 
@@ -186,15 +210,15 @@ PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", end: int = 2, limits: Limits = Limits(), loss: str | None = None) -> DataFrame:
-    """One row for each piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
+    """One row for each piece: key (as key_name says), start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
 
     loss names a column with how many last tokens of an example bear loss (null or unnamed: all).
     """
-    kind = next(f for f in docs.schema.fields if f.name == key)
+    kind = T.StructField(key_name(key, PIECES.names), docs.schema.fields[position(docs, key)].dataType)
     chosen = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), (F.col(f"`{loss}`") if loss else F.lit(None)).cast("long").alias("l"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(tokenizer)
+        coder = word_coder(tokenizer)
         first = TaskContext.get().partitionId() << 36
         keys: list = []
         rows: list[tuple] = []
@@ -206,7 +230,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
 
         def flush() -> pa.RecordBatch:
             columns = np.array(rows, np.int64).reshape(-1, len(PIECES)).T
-            batch = pa.RecordBatch.from_arrays([pa.array(keys, kind_arrow), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=[key, *PIECES.names])
+            batch = pa.RecordBatch.from_arrays([pa.array(keys, kind_arrow), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=[kind.name, *PIECES.names])
             keys.clear()
             rows.clear()
             return batch
@@ -216,7 +240,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
         for batch in it:
             kind_arrow = batch.schema.field("k").type
             losses = batch.column("l").to_pylist()
-            for k, n, ids in zip(batch.column("k").to_pylist(), losses, token_ids(batch.column("t"), cache, end), strict=True):
+            for k, n, ids in zip(batch.column("k").to_pylist(), losses, token_ids(batch.column("t"), coder, end), strict=True):
                 packer.add(k, ids, n)
                 if len(rows) >= 10_000:
                     yield flush()

@@ -3,19 +3,24 @@
 `responses` builds response records of a table of pages, `derive` turns response records (from anywhere) into a metadata
 and a conversion record each. A derived record keeps its source's WARC-Record-ID as WARC-Refers-To, its target URI and
 date, and in the metadata's body the source's HTTP status and headers and both its digests; the two derived records name
-each other by WARC-Concurrent-To. Digests are SHA-1 in base 32. Ids of derived records are UUIDs computed from the source's id and the
-kind, so that a repeated task writes the same records.
+each other by WARC-Concurrent-To. Digests are SHA-1 in base 32. Ids of derived records are UUIDs computed from the source's id,
+its block's digest and the kind, so that a repeated task writes the same records.
+
+The conversion's text is that of the payload without its transfer and content encodings (chunked; gzip, deflate, zstd):
+HTML and XML lose their tags, other text stays, and content that isn't text has an empty conversion.
 
 `read` parses WARC files (plain or with a gzip member for each record), `write` writes records as WARC files.
 
 Defined results: a null payload is empty; a response without a header block is all payload; unknown charsets are read as
-UTF-8, undecodable bytes replaced; a null URI stays null; repeated responses are derived each for itself; records that
-aren't responses are skipped; extra columns are ignored.
+UTF-8, undecodable bytes replaced; a payload in an unknown or broken encoding isn't text; a null URI stays null; a source
+without an id has a null refers_to; repeated responses are derived each for itself; pages equal in key, URL and content are
+one response and share its id; records that aren't responses are skipped; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import gzip
 import hashlib
 import html
@@ -23,12 +28,14 @@ import io
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundplan.llm.frames import map_arrow
+from groundplan.llm.frames import key_name, map_arrow, position
 
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:groundplan:warc-derivative")
 RESPONSE = "record_id string, target_uri string, warc_date string, block binary"
@@ -70,8 +77,60 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, headers, body
 
 
+def header(headers: list[tuple[str, str]], name: str) -> str:
+    """All values of a header, joined."""
+    return ", ".join(v for k, v in headers if k.lower() == name)
+
+
+def unchunked(body: bytes) -> bytes:
+    """The payload of a chunked body; ValueError if it isn't one."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        if end < 0:
+            raise ValueError("a chunk has no size")
+        size = int(body[at:end].split(b";")[0], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def unpacked(body: bytes, headers: list[tuple[str, str]]) -> bytes | None:
+    """The payload without its encodings; None if one is unknown or broken. Crawlers often store bodies decoded already."""
+    try:
+        if "chunked" in header(headers, "transfer-encoding").lower():
+            with contextlib.suppress(ValueError):
+                body = unchunked(body)
+        for name in reversed([x.strip().lower() for x in header(headers, "content-encoding").split(",")]):
+            if name in ("gzip", "x-gzip"):
+                body = gzip.decompress(body) if body[:2] == b"\x1f\x8b" else body
+            elif name == "deflate":
+                try:
+                    body = zlib.decompress(body)
+                except zlib.error:
+                    body = zlib.decompress(body, -zlib.MAX_WBITS)
+            elif name == "zstd":
+                body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+            elif name not in ("", "identity"):
+                return None
+    except (OSError, EOFError, zlib.error, zstandard.ZstdError):
+        return None
+    return body
+
+
+def text_kind(headers: list[tuple[str, str]], body: bytes) -> str:
+    """html, text or '' by the content type; without one, by whether the body has null bytes."""
+    kind = header(headers, "content-type").split(";")[0].strip().lower()
+    if not kind:
+        return "" if b"\0" in body else "html"
+    if "html" in kind or kind.endswith(("/xml", "+xml")):
+        return "html"
+    return "text" if kind.startswith("text/") or kind in ("application/json", "application/javascript") or kind.endswith("+json") else ""
+
+
 def decode(body: bytes, headers: list[tuple[str, str]]) -> str:
-    kind = next((v for k, v in headers if k.lower() == "content-type"), "")
+    kind = header(headers, "content-type")
     found = _CHARSET.search(kind) or _CHARSET.search(body[:1024].decode("latin-1"))
     try:
         return body.decode(found[1] if found else "utf-8", "replace")
@@ -99,24 +158,26 @@ def links(source: str) -> list[tuple[str, str]]:
     return out
 
 
-def derive_one(source: str, uri: str | None, date: str | None, block: bytes) -> list[tuple]:
+def derive_one(source: str | None, uri: str | None, date: str | None, block: bytes) -> list[tuple]:
     """The metadata and the conversion record of one response."""
     status, headers, body = split_http(block)
-    page = decode(body, headers)
-    ids = [record_id(source, kind) for kind in ("metadata", "conversion")]
-    title = _TITLE.search(page)
-    found = links(page)
     of_block, of_body = digest(block), digest(body)
-    text = plain_text(page)
+    ids = [record_id(f"{source or f'{date} {uri}'} {of_block}", kind) for kind in ("metadata", "conversion")]
+    plain = unpacked(body, headers)
+    kind = text_kind(headers, plain) if plain is not None else ""
+    page = decode(plain, headers) if kind else ""
+    title = _TITLE.search(page) if kind == "html" else None
+    found = links(page) if kind == "html" else []
+    text = plain_text(page) if kind == "html" else page
     meta = {
         "source": {"WARC-Record-ID": source, "WARC-Target-URI": uri, "WARC-Date": date, "WARC-Block-Digest": of_block, "WARC-Payload-Digest": of_body, "Content-Length": len(block)},
         "http": {"status": status, "headers": [list(h) for h in headers]},
         "html": {"title": " ".join(html.unescape(title[1]).split()) if title else None, "links": [{"tag": t, "url": u} for t, u in found], "text_characters": len(text)},
     }
     out = []
-    for i, (kind, mime, content) in enumerate((("metadata", "application/json", json.dumps(meta, ensure_ascii=False)), ("conversion", "text/plain; charset=utf-8", text))):
+    for i, (what, mime, content) in enumerate((("metadata", "application/json", json.dumps(meta, ensure_ascii=False)), ("conversion", "text/plain; charset=utf-8", text))):
         raw = content.encode("utf-8", "replace")
-        out.append((source, kind, ids[i], source, ids[1 - i], uri, date, mime, len(raw), digest(raw), of_block, of_body, raw.decode()))
+        out.append((source, what, ids[i], source, ids[1 - i], uri, date, mime, len(raw), digest(raw), of_block, of_body, raw.decode()))
     return out
 
 
@@ -124,16 +185,23 @@ def responses(pages: DataFrame, url: str = "url", content: str = "html", key: st
     """Response records of a table of pages: key, record_id, target_uri, warc_date, block (an HTTP message)."""
     body = F.encode(F.coalesce(F.col(f"`{content}`").cast("string"), F.lit("")), "UTF-8")
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
-    h = F.md5(F.concat_ws("\u0001", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{url}`").cast("string"), F.lit(""))))
+    h = F.md5(F.concat_ws("\u0001", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")), F.sha1(body)))
     name = F.concat(F.lit("<urn:uuid:"), *[x for i, (a, n) in enumerate(((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) for x in ([F.lit("-")] if i else []) + [F.substring(h, a, n)]], F.lit(">"))
     return pages.select(F.col(f"`{key}`").alias(key), name.alias("record_id"), F.col(f"`{url}`").cast("string").alias("target_uri"), F.lit(date).alias("warc_date"), F.concat(F.encode(head, "UTF-8"), body).alias("block"))
 
 
-def derive(records: DataFrame, key: str | None = None) -> DataFrame:
-    """Two records (DERIVED) for each response record; `key` names a column to carry along."""
+def derive(records: DataFrame, key: str | None = None, kind: str | None = None) -> DataFrame:
+    """Two records (DERIVED) for each response record.
+
+    `key` names a column to carry along (under the name that key_name says); `kind` names a column with the records' types,
+    of which all but responses are skipped (without it, all records are responses).
+    """
+    if kind:
+        records = records.filter(F.lower(F.col(f"`{kind}`")) == "response")
     chosen = records.select(*([F.col(f"`{key}`").alias("_key")] if key else []), "record_id", "target_uri", "warc_date", "block")
     names = [c.split()[0] for c in DERIVED.split(", ")]
-    kind = f"`{key}` {next(f.dataType.simpleString() for f in records.schema.fields if f.name == key)}, " if key else ""
+    name = key_name(key, names) if key else ""
+    head = f"`{name}` {records.schema.fields[position(records, key)].dataType.simpleString()}, " if key else ""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
@@ -141,12 +209,12 @@ def derive(records: DataFrame, key: str | None = None) -> DataFrame:
                 batch = whole.slice(lo, 500)
                 rows, at = [], []
                 for i, (r, u, d, b) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("record_id", "target_uri", "warc_date", "block")), strict=True)):
-                    rows += derive_one(r or "", u, d, b or b"")
+                    rows += derive_one(r, u, d, b or b"")
                     at += [i, i]
                 cols = [pa.array(list(c), pa.int64() if n == "content_length" else pa.string()) for n, c in zip(names, zip(*rows, strict=True), strict=True)]
-                yield pa.RecordBatch.from_arrays([*([batch.column("_key").take(pa.array(at))] if key else []), *cols], names=[*([key] if key else []), *names])
+                yield pa.RecordBatch.from_arrays([*([batch.column("_key").take(pa.array(at))] if key else []), *cols], names=[*([name] if key else []), *names])
 
-    return map_arrow(chosen, run, kind + DERIVED)
+    return map_arrow(chosen, run, head + DERIVED)
 
 
 def serialised(derived: DataFrame) -> DataFrame:
@@ -167,6 +235,15 @@ def write(derived: DataFrame, path: str, compression: str = "none") -> None:
     serialised(derived).write.option("lineSep", "\r\n\r\n").option("compression", compression).mode("overwrite").text(path)
 
 
+def parse_headers(lines: list[bytes]) -> dict[str, str]:
+    """Header values by lower-case names."""
+    out = {}
+    for line in lines:
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        out[name.strip().lower()] = value.strip()
+    return out
+
+
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (lower-case names) and block of each record of an uncompressed stream; a cut last record ends it."""
     while True:
@@ -175,10 +252,10 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
             return
         if not line.startswith(b"WARC/"):
             continue
-        headers: dict[str, str] = {}
+        lines = []
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.strip().lower()] = value.strip()
+            lines.append(line)
+        headers = parse_headers(lines)
         size = int(headers.get("content-length", "0") or 0)
         block = stream.read(size)
         if len(block) < size:
@@ -186,27 +263,76 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
+#: What records start with, up to the version's last digit: the separator by which Spark cuts files into records.
+_OPENS = b"WARC/1."
+
+
+class _Joiner:
+    """Whole records from the pieces between separators of one file; a record whose content holds the separator is joined again."""
+
+    def __init__(self) -> None:
+        self.headers: dict[str, str] | None = None
+        self.parts: list[bytes] = []
+
+    def feed(self, piece: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+        waiting = [piece]
+        while waiting:
+            value = waiting.pop()
+            if self.headers is None:
+                head, end, block = value.partition(b"\r\n\r\n")
+                if not end:
+                    continue
+                self.headers, self.parts = parse_headers(head.split(b"\r\n")[1:]), [block]
+            else:
+                self.parts.append(value)
+            size = int(self.headers.get("content-length") or 0)
+            if sum(map(len, self.parts)) + len(_OPENS) * (len(self.parts) - 1) < size:
+                continue
+            block, headers, rest = _OPENS.join(self.parts), self.headers, self.parts[1:]
+            self.headers = None
+            if not rest or block[size : size + 4] in (b"\r\n\r\n", b""):
+                yield headers, block[:size]
+            else:  # the record had been cut short, and what followed were records
+                waiting += rest[::-1]
+
+    def close(self) -> Iterator[tuple[dict[str, str], bytes]]:
+        """The file ends: a record that isn't whole is dropped, what followed it is read anew."""
+        while self.headers is not None:
+            rest, self.headers = self.parts[1:], None
+            for value in rest:
+                yield from self.feed(value)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The response records of WARC files; a file is one task's input, as its records can't be found without reading it."""
+    """The response records of WARC files, read through Spark as rows of one record each.
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Plain files are split between tasks, gzip files are streamed; no file is held as a whole. A record that holds the
+    separator itself is lost only if Spark splits a plain file within it; a record that a file cuts short is skipped.
+    """
+    cut = spark.read.option("lineSep", _OPENS.decode()).text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"))
+
+    def records(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
+        joiner, at = _Joiner(), None
         for batch in it:
-            for raw in batch.column("content"):
-                data = raw.as_buffer()
-                stream = io.BufferedReader(pa.BufferReader(data))
-                if bytes(data[:2]) == b"\x1f\x8b":
-                    stream = gzip.GzipFile(fileobj=stream)
+            for value, file in zip(batch.column("value").to_pylist(), batch.column("file").to_pylist(), strict=True):
+                if file != at:
+                    yield from joiner.close()
+                    at = file
+                yield from joiner.feed(value)
+        yield from joiner.close()
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for h, block in records(it):
+            if h.get("warc-type", "").lower() == "response":
+                rows.append((h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), block))
+            if len(rows) >= 500:
+                yield _response_batch(rows)
                 rows = []
-                for h, b in parse(stream):
-                    if h.get("warc-type") == "response":
-                        rows.append((h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), b))
-                    if len(rows) >= 500:
-                        yield _response_batch(rows)
-                        rows = []
-                if rows:
-                    yield _response_batch(rows)
-
-    return map_arrow(spark.read.format("binaryFile").load(path).select("content"), run, RESPONSE)
+        if rows:
+            yield _response_batch(rows)
+
+    return map_arrow(cut, run, RESPONSE)
 
 
 def _response_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -198,11 +198,15 @@ def test_bpe_is_tiktoken(spark):
     exact = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}, special_tokens={})
     r = random.Random(3)
     texts = [t or "" for t in ODD] + ["".join(r.choice(" \n\t  abcABC123.,!?'éñß日🙂\x1f-_") for _ in range(r.randint(0, 60))) for _ in range(500)]
+    texts += ["".join(r.choice("etaoinshr") for _ in range(n)) for n in (1023, 1025, 5000, 16384, 16385, 30000)] + ["a" * 20000, "Ab" * 9000]
     got = [flat[i:j].tolist() for flat, offs in coder.encode(pa.array(texts)) for i, j in zip(offs[:-1], offs[1:])]
     assert got == [exact.encode_ordinary(t) for t in texts]
     ids = bpe.encode(odd_docs(spark), path, P.PATTERN)
     back = bpe.decode(ids.withColumnRenamed("text", "old"), path, P.PATTERN).collect()
     assert [bytes(x.text).decode() for x in back] == [x.old or "" for x in back]
+    assert bpe.encode(empty(spark), path, P.PATTERN).count() == 0 and bpe.digests(empty(spark), path, P.PATTERN).count() == 0
+    clash = bpe.encode(odd_docs(spark).withColumn("IDS", F.lit(1)), path, P.PATTERN)
+    assert clash.columns == ["doc_id", "text", "n_words", "ids"] and clash.collect() == ids.collect()
     d = bpe.digests(odd_docs(spark), path, P.PATTERN).filter("doc_id = 0").first().digests
     assert d.n_tokens == 0 and d.ids_sha256 == d.decoded_sha256 == hashlib.sha256(b"").hexdigest()
 
@@ -251,8 +255,7 @@ def test_pack_query(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, "Don't É,é—x Ü×a b-'s 'really, X'LL")], "doc_id long, text string"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, "Don't É,é—x Ü×a b-'s 'really, X'LL"), (-3, "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|> c"), (-4, "<|endoftext|>")], "doc_id long, text string"))
     texts = {r.doc_id: r.text for r in docs.collect()}
     full = collections.Counter()
     for r in packing.pack(docs, P.path("word_bpe_49k.json")).collect():
@@ -263,6 +266,49 @@ def test_pack_query(spark):
     assert packing.pack(empty(spark), P.path("word_bpe_49k.json")).count() == 0
 
 
+def test_packer_chooses_by_the_dot_product():
+    """Against a plain packer that tries every waiting example: tokens, segments and loss all bind."""
+    limits = packing.Limits(64, 4, 24)
+    r = random.Random(11)
+    items = [(n, r.randint(0, n)) for n in (r.randint(1, 40) for _ in range(300))]
+    got, _ = packed(items, limits)
+    want, pool, seq, todo = [], [], 0, list(enumerate(items))
+
+    def left(x):  # tokens and loss-bearing tokens that are not placed yet
+        return x[1][0] - x[2], max(0, x[1][0] - max(x[2], x[1][0] - x[1][1]))
+
+    def fill():
+        nonlocal seq
+        tokens, segments, loss, offset = limits.tokens, limits.segments, limits.loss, 0
+        while pool and tokens and segments:
+            score = [left(x)[0] * tokens / limits.tokens**2 + left(x)[1] * loss / limits.loss**2 + segments / limits.segments**2 for x in pool]
+            able = [i for i, x in enumerate(pool) if left(x)[0] <= tokens and left(x)[1] <= loss]
+            i = max(able or range(len(pool)), key=lambda i: (score[i], -i))
+            k, (n, bears), at = pool[i]
+            length = n - at if able else min(n - at, tokens, max(0, n - bears - at) + loss)
+            if not length:
+                break
+            used = max(0, at + length - max(at, n - bears))
+            want.append((k, at, length, seq, offset, used))
+            offset, tokens, segments, loss = offset + length, tokens - length, segments - 1, loss - used
+            if at + length == n:
+                pool[i] = pool[-1]
+                pool.pop()
+            else:
+                pool[i] = (k, (n, bears), at + length)
+        seq += 1
+
+    for k, item in todo:
+        pool.append((k, item, 0))
+        while len(pool) >= 16:
+            fill()
+    assert got[: len(want)] == want and len(want) > 250
+    full = collections.defaultdict(lambda: [0, 0, 0])
+    for _, _, length, s, _, loss in want:
+        full[s] = [full[s][0] + length, full[s][1] + 1, full[s][2] + loss]
+    assert any(x[0] == 64 for x in full.values()) and any(x[1] == 4 for x in full.values()) and any(x[2] == 24 for x in full.values())
+
+
 def test_packing_conversations_by_loss(spark):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect()
     talks = collections.defaultdict(list)
@@ -443,6 +489,48 @@ def test_warc_round_trip(spark, tmp_path):
     assert [(r.refers_to, r.record_type, r.block) for r in warc.derive(warc.read(spark, str(tmp_path / "in"))).collect()][1] == ("<urn:x>", "conversion", "hi")
 
 
+def test_warc_ids_types_and_encodings(spark):
+    import gzip
+    import zlib as z
+
+    pages = spark.createDataFrame([(i % 2, "u", h) for i, h in enumerate(["<p>a", "<p>b", "<p>c", "<p>d", "<p>d"])], "page_id int, url string, html string")
+    got = warc.derive(warc.responses(pages).withColumnRenamed("page_id", "source"), "source")
+    assert got.columns[:2] == ["_source", "source"]
+    rows = got.collect()
+    assert len(rows) == 10 and len({r.refers_to for r in rows}) == len({(r["_source"], r.source_payload_digest) for r in rows}) == 5 and len({r.record_id for r in rows}) == 10
+    assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+
+    def text(head, body):
+        return warc.derive_one(None, None, None, b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + body)[1][-1]
+
+    page = b"<p>one</p><p>two"
+    chunks = b"4;x=1\r\n<p>o\r\nc\r\nne</p><p>two\r\n0\r\n\r\n"
+    squeezed = z.compressobj(wbits=-15)
+    assert text(b"Content-Type: text/html", page) == "one\ntwo"
+    assert text(b"Content-Type: text/html\r\nContent-Encoding: gzip", gzip.compress(page)) == text(b"Content-Encoding: gzip", page) == "one\ntwo"
+    assert text(b"Content-Encoding: deflate", z.compress(page)) == text(b"Content-Encoding: deflate", squeezed.compress(page) + squeezed.flush()) == "one\ntwo"
+    assert text(b"Transfer-Encoding: chunked\r\nContent-Type: text/html", chunks) == "one\ntwo"
+    assert text(b"Content-Type: text/plain; charset=latin-1", b"<p>\xe9") == "<p>é"
+    assert text(b"Content-Type: image/png", page) == text(b"Content-Encoding: br\r\nContent-Type: text/html", page) == text(b"Content-Encoding: gzip", b"\x1f\x8bxx") == ""
+    a, b = (warc.derive_one(None, None, None, x) for x in (b"x", b"y"))
+    assert a[0][3] is None and a[0][2] != b[0][2] and a[0][4] == a[1][2]
+
+
+def test_warc_read_of_any_file(spark, tmp_path):
+    import gzip
+
+    def record(kind, name, block, cut=None):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+        return head + block[:cut] + b"\r\n\r\n"
+
+    tricky = b"a WARC/1.0\r\nWARC-Type: response\r\n\r\nz\r\n\r\n" + bytes(range(256))
+    (tmp_path / "a.warc").write_bytes(record("response", "cut", b"x" * 500, 20) + record("warcinfo", "i", b"k: v") + record("response", "t", tricky) + record("response", "end", b"y" * 900, 10))
+    (tmp_path / "b.warc").write_bytes(record("response", "b", b""))
+    (tmp_path / "c.warc.gz").write_bytes(b"".join(gzip.compress(record("response", f"g{i}", b"\xff" * i)) for i in range(1200)))
+    got = {r.record_id: bytes(r.block) for r in warc.read(spark, str(tmp_path)).coalesce(1).collect()}
+    assert got == {"<t>": tricky, "<b>": b""} | {f"<g{i}>": b"\xff" * i for i in range(1200)}
+
+
 # Search
 
 
