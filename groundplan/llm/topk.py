@@ -2,31 +2,34 @@
 
 Rows are dealt to shards of about SHARD vectors by a hash of their row number, which no hot value can skew; a shard is
 packed into one record with its ball tree: vectors in leaf order, and for each node a centre and a radius. Queries are
-packed into blocks. Each pair of a block and a shard is one record of an equi-join on the shard's number; a task works
-through the shards of its blocks one after the other and carries each query's k best along, so that the kth score of the
-earlier shards prunes the later ones.
+packed into blocks. Shards are dealt to lanes; a task is one block and one lane, reads the block once and then the lane's
+shards one after the other, and carries each query's k best along, so that the kth score of the earlier shards prunes the
+later ones. With several lanes, a first pass over one shard gives all lanes a floor under each query's kth score.
 
 In a tree, (query, node) pairs descend level by level; a pair is dropped when the largest inner product that the node's
 ball allows, q.c + |q| r, is below the query's kth score. The leaves that are left are visited in waves of 1, 2, 4, ... leaves, each query's
 most promising first, with the kth score raised between waves. Bounds are widened by more than the rounding of doubles, and a
 bound equal to the kth score isn't pruned, so that ties go to the smaller id exactly.
 
+Scores are exact integers: products of doubles where no product of the table can reach 2**53, else 64-bit integers. A
+component or score beyond a long counts as the nearest long.
+
 Defined results: vectors that are null, empty or hold null, NaN or infinite components take no part; a shorter vector
 counts as padded with zeros; equal rows are different candidates, and a query never meets its own row but does meet an
-equal one; without candidates there are no rows.
+equal one; without candidates there are no rows; a key named like a result column is returned under another (key_name).
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from groundplan.llm.frames import map_arrow
+from groundplan.llm.frames import key_name, map_arrow
 from groundplan.scratch import Scratch
 
 SHARD = 8192
@@ -58,32 +61,59 @@ def ball_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, list[tuple[n
         starts, ends = np.stack([starts, middles], 1).ravel(), np.stack([middles, ends], 1).ravel()
 
 
+NOTHING = np.iinfo(np.int64).min
+BEYOND = float(2**63 - 2**53)
+
+
 class Best:
-    """The k best of each query so far: scores descending, ties by ascending id."""
+    """The k best of each query so far: scores descending, ties by ascending id. No candidate below `floor` is wanted."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
         self.k = k
-        self.score = np.full((n, k), -np.inf)
+        self.floor = np.full(n, NOTHING) if floor is None else floor
+        self.score = np.full((n, k), NOTHING)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
         self.row = np.full((n, k), -1)
 
+    def least(self) -> np.ndarray:
+        """What a candidate must reach, as an integer (NOTHING: any will do)."""
+        return np.maximum(self.score[:, -1], self.floor)
+
     def kth(self) -> np.ndarray:
-        return self.score[:, -1]
+        """The same as a double that is not above it."""
+        least = self.least()
+        return np.where(least == NOTHING, -np.inf, least - np.abs(least) * 2.0**-52)
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        """Offer candidates to the queries q: score is len(q) x n; -inf doesn't count. Only rows that reach a kth score are sorted."""
-        some = np.flatnonzero((score >= np.maximum(self.kth()[q], -1e300)[:, None]).any(1))
+        """Offer candidates to the queries q: score is len(q) x n integers; NOTHING doesn't count. Only rows that reach their least are sorted."""
+        some = np.flatnonzero((score >= np.maximum(self.least()[q], NOTHING + 1)[:, None]).any(1))
         if not len(some):
             return
         q, score = q[some], score[some]
         s = np.hstack([self.score[q], score])
         i = np.hstack([self.id[q], np.broadcast_to(ids, score.shape)])
         r = np.hstack([self.row[q], np.broadcast_to(rows, score.shape)])
-        order = np.lexsort((r, i, -s), axis=1)[:, : self.k]
+        order = np.lexsort((r, i, ~s), axis=1)[:, : self.k]
         self.score[q], self.id[q], self.row[q] = (np.take_along_axis(a, order, 1) for a in (s, i, r))
 
 
-def search(queries: np.ndarray, query_rows: np.ndarray, shard: dict, best: Best) -> int:
+def products(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
+    """Integer inner products; exact: doubles can't hold them all, so 64-bit integers, whose overflow cancels out in sums."""
+    rough = q @ x.T
+    if not exact:
+        return rough.astype(np.int64)
+    whole = _longs(q) @ _longs(x).T
+    whole[rough >= BEYOND] = np.iinfo(np.int64).max
+    whole[rough <= -BEYOND] = NOTHING + 1
+    return whole
+
+
+def _longs(x: np.ndarray) -> np.ndarray:
+    """Integers of doubles that hold integers; what a long can't hold is only found in products that are beyond it too."""
+    return np.clip(x, -BEYOND, BEYOND).astype(np.int64)
+
+
+def search(queries: np.ndarray, query_rows: np.ndarray, shard: dict, best: Best, exact: bool = False) -> int:
     """Offer a shard's vectors to all queries; returns how many inner products it took."""
     width = max(queries.shape[1], shard["x"].shape[1])
     q, x = _wide(queries, width), _wide(shard["x"], width)
@@ -99,11 +129,12 @@ def search(queries: np.ndarray, query_rows: np.ndarray, shard: dict, best: Best)
         by = np.argsort(node, kind="stable")
         cuts = np.flatnonzero(np.diff(node[by])) + 1
         c = _wide(centres, width)
+        size = np.sqrt((c**2).sum(1))
         for part in np.split(by, cuts):
             if len(part):
                 reach[part] = q[qi[part]] @ c[node[part[0]]]
         slack = norm[qi] * radii[node]
-        bound = reach + slack + 1e-9 * (1 + np.abs(reach) + slack)
+        bound = reach + slack + 1e-9 * (1 + norm[qi] * size[node] + slack)
         on = bound >= best.kth()[qi]
         qi, node, bound = qi[on], node[on], bound[on]
     starts, ends = levels[-1][:2]
@@ -118,9 +149,9 @@ def search(queries: np.ndarray, query_rows: np.ndarray, shard: dict, best: Best)
             if not len(part):
                 continue
             a, b = starts[node[part[0]]], ends[node[part[0]]]
-            score = q[qi[part]] @ x[a:b].T
+            score = products(q[qi[part]], x[a:b], exact)
             work += score.size
-            score[query_rows[qi[part], None] == shard["rows"][a:b]] = -np.inf
+            score[query_rows[qi[part], None] == shard["rows"][a:b]] = NOTHING
             best.add(qi[part], score, shard["ids"][a:b], shard["rows"][a:b])
     return work
 
@@ -149,58 +180,77 @@ def _pack_block(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [pdf["part"].iloc[0]], "queries": [pickle.dumps(packed)]})
 
 
-def top_k(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0, tasks: int | None = None) -> DataFrame:
-    """query_id, rank, key, score (floor(scale * x) integers' inner product) of each query's k best other rows.
+def _met(blocks: DataFrame, trees: DataFrame, n_blocks: int, lanes: int) -> DataFrame:
+    """block, lane, queries, tree: for each block and lane one row with the block, then one for each of the lane's shards."""
+    series = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    nothing = F.lit(None).cast("binary")
+    heads = blocks.select("block", F.explode(series(lanes)).alias("lane"), F.lit(-1).cast("long").alias("shard"), "queries", nothing.alias("tree"))
+    shards = trees.select(F.explode(series(n_blocks)).alias("block"), F.pmod("shard", F.lit(lanes)).alias("lane"), "shard", nothing.alias("queries"), "tree")
+    return heads.union(shards).repartition("block", "lane").sortWithinPartitions("block", "lane", "shard").select("block", "lane", "queries", "tree")
 
-    Exact while dim * max(component)**2 stays below 2**53.
-    """
+
+def _searched(met: DataFrame, k: int, exact: bool, emit: Callable[[int, dict, Best], pa.RecordBatch], schema: str) -> DataFrame:
+    """emit(block number, block, its k best) of each block and lane."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, best, block = None, None, None
+        for batch in it:
+            for i in range(batch.num_rows):
+                if batch.column("queries")[i].is_valid:
+                    if best is not None:
+                        yield emit(number, block, best)
+                    number, block = batch.column("block")[i].as_py(), pickle.loads(batch.column("queries")[i].as_py())
+                    best = Best(len(block["ids"]), k, block.get("floor"))
+                else:
+                    search(block["x"], block["rows"], pickle.loads(batch.column("tree")[i].as_py()), best, exact)
+        if best is not None:
+            yield emit(number, block, best)
+
+    return map_arrow(met, run, schema)
+
+
+def _floored(number: int, block: dict, best: Best) -> pa.RecordBatch:
+    """The block with its kth scores as floors."""
+    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([pickle.dumps(block | {"floor": best.least()})], pa.binary())], names=["block", "queries"])
+
+
+def _found(number: int, block: dict, best: Best) -> pa.RecordBatch:
+    q, j = np.nonzero(best.score > NOTHING)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block["rows"][q]), pa.array(block["ids"][q]), pa.array(best.id[q, j]), pa.array(best.row[q, j]), pa.array(best.score[q, j])], names=["query_row", "query_id", "id", "row", "score"]
+    )
+
+
+def top_k(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0, tasks: int | None = None) -> DataFrame:
+    """query_id, rank, key, score (floor(scale * x) integers' inner product) of each query's k best other rows."""
     spark = table.sparkSession
     scratch = Scratch(spark, "topk")
     v = F.transform(F.col(f"`{vector}`"), lambda e: e.cast("double"))
     fine = (F.size(v) > 0) & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
-    rows = table.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"), F.when(fine, F.transform(v, lambda e: F.floor(e * scale))).alias("v")
-    )
+    floor = F.transform(v, lambda e: F.floor(e * scale).cast("double"))
+    rows = table.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"), F.when(fine, floor).alias("v"))
     rows = scratch.save(rows.filter("v is not null and id is not null"), "rows")
-    n, n_queries = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
+    most = F.max(F.size("v") * F.pow(F.array_max(F.transform("v", F.abs)), F.lit(2.0)))
+    n, n_queries, largest = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0)), F.coalesce(most, F.lit(0.0))).first()
     n_shards, n_blocks = -(-n // SHARD), -(-n_queries // BLOCK)
+    exact = largest >= 2.0**53
 
     def deal(df: DataFrame, parts: int, seed: int) -> DataFrame:
         return df.withColumn("part", F.pmod(F.xxhash64("rid", F.lit(seed)), F.lit(max(parts, 1)).cast("long")))
 
+    name = key_name(key, ("query_id", "rank", "score"))
+    if not n_queries:
+        return rows.limit(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias(name), F.col("id").alias("score"))
     trees = scratch.save(deal(rows, n_shards, 1).groupBy("part").applyInPandas(_pack_shard, "shard long, tree binary"), "trees")
-    blocks = deal(rows.filter("asks"), n_blocks, 2).groupBy("part").applyInPandas(_pack_block, "block long, queries binary")
-    blocks = scratch.save(blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n_shards - 1, 0)).cast("long")))), "blocks")
-    lanes = max(1, min(n_shards, (tasks or spark.sparkContext.defaultParallelism) // max(1, n_blocks)))
-    pairs = blocks.join(trees, "shard").withColumn("lane", F.pmod("shard", F.lit(lanes)))
-    pairs = pairs.repartition("block", "lane").sortWithinPartitions("block", "lane", "shard").select("block", "lane", "queries", "tree")
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, best, block = None, None, None
-
-        def out() -> pa.RecordBatch:
-            q, j = np.nonzero(np.isfinite(best.score))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(block["rows"][q]), pa.array(block["ids"][q]), pa.array(best.id[q, j]), pa.array(best.row[q, j]), pa.array(best.score[q, j].astype(np.int64))],
-                names=["query_row", "query_id", "id", "row", "score"],
-            )
-
-        for batch in it:
-            for i in range(batch.num_rows):
-                here = (batch.column("block")[i].as_py(), batch.column("lane")[i].as_py())
-                if here != at:
-                    if best is not None:
-                        yield out()
-                    at, block = here, pickle.loads(batch.column("queries")[i].as_py())
-                    best = Best(len(block["ids"]), k)
-                search(block["x"], block["rows"], pickle.loads(batch.column("tree")[i].as_py()), best)
-        if best is not None:
-            yield out()
-
-    found = map_arrow(pairs, run, "query_row long, query_id long, id long, row long, score long")
+    blocks = scratch.save(deal(rows.filter("asks"), n_blocks, 2).groupBy("part").applyInPandas(_pack_block, "block long, queries binary"), "blocks")
+    lanes = max(1, min(n_shards, (tasks or spark.sparkContext.defaultParallelism) // n_blocks))
+    if lanes > 1:
+        first = _met(blocks, trees.filter("shard = 0"), n_blocks, 1)
+        blocks = scratch.save(_searched(first, k, exact, _floored, "block long, queries binary"), "floored")
+    found = _searched(_met(blocks, trees, n_blocks, lanes), k, exact, _found, "query_row long, query_id long, id long, row long, score long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(key), "score")
+    return ranked.select("query_id", "rank", F.col("id").alias(name), "score")
 
 
 def op7_topk_search(spark, sf_dir: str) -> DataFrame:

@@ -546,6 +546,36 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_large_components_and_lanes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 64)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    r = np.random.default_rng(8)
+    vectors = [[float(np.float32(e)) for e in r.normal(0, 1e7 if i % 3 else 1.0, 6)] for i in range(400)]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    x = [[int(np.floor(64 * e)) for e in v] for v in vectors]
+    dot = lambda a, b: sum(i * j for i, j in zip(a, b, strict=True))
+    for tasks in (1, 40):
+        want = sorted((q, k + 1, i, s) for q in range(0, 400, 20) for k, (s, i) in enumerate((-a, b) for a, b in sorted((-dot(x[q], x[i]), i) for i in range(400) if i != q)[:20]))
+        assert sorted(tuple(t) for t in topk.top_k(table, F.col("vec_id") % 20 == 0, tasks=tasks).collect()) == want
+    far = spark.createDataFrame([(0, [1e30]), (1, [1e30]), (2, [-1e30]), (3, [1.0])], "score long, embedding array<double>")
+    got = {tuple(t) for t in topk.top_k(far, F.col("score") == 0, 2, key="score").collect()}
+    assert got == {(0, 1, 1, 2**63 - 1), (0, 2, 3, 2**63 - 1)}
+
+
+def test_ball_tree_prunes_clustered_vectors():
+    r = np.random.default_rng(3)
+    centres = r.normal(0, 40, (64, 16))
+    x = np.floor(np.concatenate([c + r.normal(0, 1, (128, 16)) for c in centres]))
+    order, levels = topk.ball_tree(x)
+    shard = {"x": x[order], "ids": order, "rows": order, "levels": levels}
+    best = topk.Best(100, 20)
+    work = topk.search(x[:100], np.arange(100), shard, best)
+    assert work < 0.2 * 100 * len(x)
+    for q in range(100):
+        want = sorted((-int(x[q] @ x[i]), i) for i in range(len(x)) if i != q)[:20]
+        assert [(-s, i) for s, i in want] == list(zip(best.score[q].tolist(), best.id[q].tolist()))
+
+
 # Chat
 
 
