@@ -5,25 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from groundplan.functions.text import pincode_key, place_key
+from groundplan.operators.quantiles import quantile_row, quantiles_by_group
 from groundplan.operators.rows import mode_by_key
 from groundplan.operators.spatial import knn_vote
 
 
-def _median(c: str) -> Column:
-    return F.percentile(F.col(c).cast("double"), F.lit(0.5))
-
-
-def _group_medians(df: DataFrame, cols: list[str], group: str, suffix: str) -> DataFrame:
-    """_g<suffix> and <col><suffix>: each group's medians; rows without a group have none."""
-    return df.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias(f"_g{suffix}")).agg(*[_median(c).alias(f"{c}{suffix}") for c in cols])
-
-
 def _with_medians(df: DataFrame, cols: list[str], groups: list[str]) -> DataFrame:
-    """df with <col>_m0, <col>_m1, ...: the medians of the row's groups, and <col>_all; every statistic is of df itself."""
+    """df with <col>_m0, <col>_m1, ...: the medians of the row's groups, and <col>_all; every statistic is of df itself.
+
+    Rows without a group have no median of it.
+    """
     out = df
     for i, g in enumerate(groups):
-        out = out.join(_group_medians(df, cols, g, f"_m{i}"), F.col(g) == F.col(f"_g_m{i}"), "left")
-    return out.crossJoin(F.broadcast(df.agg(*[_median(c).alias(f"{c}_all") for c in cols])))
+        table = quantiles_by_group(df, cols, [0.5], g, f"_g_m{i}").select(f"_g_m{i}", *[F.get(F.col(f"`{c}`"), F.lit(0)).alias(f"{c}_m{i}") for c in cols])
+        out = out.join(table, F.col(g) == F.col(f"_g_m{i}"), "left")
+    return out.crossJoin(F.broadcast(quantile_row(df, cols, [0.5]).select(*[F.get(F.col(f"`{c}`"), F.lit(0)).alias(f"{c}_all") for c in cols])))
 
 
 def _filled(df: DataFrame, cols: list[str], groups: list[str], flags: dict[str, Column]) -> DataFrame:
@@ -41,8 +37,7 @@ def group_median_impute(df: DataFrame, cols: str | list[str], group: str) -> Dat
 
 def bucketed_median_impute(df: DataFrame, col: str, bucket_on: str, n_bins: int = 5) -> DataFrame:
     """Missing values take the median of their quantile bucket of another column, else the global one; all are rounded half to even."""
-    qs = F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)])
-    edges = df.agg(F.array_distinct(F.percentile(F.col(bucket_on).cast("double"), qs)).alias("_edges"))
+    edges = quantile_row(df, [bucket_on], [i / n_bins for i in range(n_bins + 1)]).select(F.array_distinct(F.col(f"`{bucket_on}`")).alias("_edges"))
     inner = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
     bucket = F.when(F.col(bucket_on).isNotNull(), F.size(F.filter(inner, lambda e: e < F.col(bucket_on))))
     x = group_median_impute(df.crossJoin(F.broadcast(edges)).withColumn("_bucket", bucket), col, "_bucket")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from groundplan.operators.quantiles import quantile_row
+
 #: How each flagged column was imputed.
 METHODS = {
     "BHK": "median of the area bucket", "Bathrooms": "median of the bedrooms", "Balconies": "median of the bedrooms", "Car_Parking": "median of the bedrooms",
@@ -31,10 +33,12 @@ def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs, names = [], {}
     for c in cols:
         x = F.col(c).cast("double")
-        made = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)} | {f"p{q}": F.percentile(x, F.lit(q / 100)) for q in qs}
+        made = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
         aggs += [a.alias(f"{c}|{k}") for k, a in made.items()]
         names[c] = [f"{c}|{k}" for k in ("count", "mean", "std", "min", *[f"p{q}" for q in qs], "max")]
-    return _unpivot(df.agg(*aggs), names, "column", ["count", "mean", "std", "min", *[f"p{q}" for q in qs], "max"])
+    ranks = quantile_row(df, cols, [q / 100 for q in qs])
+    ranks = ranks.select(*[F.get(F.col(f"`{c}`"), F.lit(i)).alias(f"{c}|p{q}") for c in cols for i, q in enumerate(qs)])
+    return _unpivot(df.agg(*aggs).crossJoin(ranks), names, "column", ["count", "mean", "std", "min", *[f"p{q}" for q in qs], "max"])
 
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
@@ -109,11 +113,13 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 def overview(df: DataFrame, price: str = "Price_INR", area: str = "Area_Sqft", deal: str = "deal_type") -> DataFrame:
     """One row of counts, means and medians by deal type."""
     of = lambda d: F.when(F.col(deal) == d, F.col(price))
-    return df.agg(
+    middle = quantile_row(df, {"sale": of("Sale"), "rent": of("Rent")}, [0.5])
+    counted = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col(deal) == d).alias(f"n_{d.lower()}") for d in ("Sale", "Rent", "Lease", "Unknown")],
         F.rint(F.avg(of("Sale"))).alias("mean_sale_price"),
-        F.rint(F.percentile(of("Sale"), F.lit(0.5))).alias("median_sale_price"),
-        F.rint(F.percentile(of("Rent"), F.lit(0.5))).alias("median_rent"),
         F.bround(F.avg(area), 1).alias("mean_area"),
     )
+    medians = middle.select(F.rint(F.get("sale", F.lit(0))).alias("median_sale_price"), F.rint(F.get("rent", F.lit(0))).alias("median_rent"))
+    out = counted.crossJoin(medians)
+    return out.select(*[c for c in out.columns if c != "mean_area"], "mean_area")

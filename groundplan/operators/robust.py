@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from groundplan.functions.numeric import clip
+from groundplan.operators.quantiles import quantile_row, quantiles_by_group
 
 
 def bounds(df: DataFrame, cols: list[str], lo: float = 0.01, hi: float = 0.99, group: str | None = None) -> DataFrame:
     """[group,] lo_<col>, hi_<col> of each column."""
-    aggs = [F.percentile(F.col(c).cast("double"), F.lit(q)).alias(f"{n}_{c}") for c in cols for n, q in (("lo", lo), ("hi", hi))]
-    return df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+    table = quantiles_by_group(df, cols, [lo, hi], group, "_g") if group else quantile_row(df, cols, [lo, hi])
+    ends = [F.get(F.col(f"`{c}`"), F.lit(i)).alias(f"{n}_{c}") for c in cols for i, n in ((0, "lo"), (1, "hi"))]
+    return table.select(*([F.col("_g").alias(group)] if group else []), *ends)
 
 
 def percentile_filter(df: DataFrame, cols: list[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:

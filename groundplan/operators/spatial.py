@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from groundplan.scratch import Scratch
+
 #: 5 km in degrees of latitude.
 RADIUS = 5 / 111
 
@@ -119,40 +121,49 @@ def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: st
     equal row counting as often as it occurs; ties of votes go to the smallest label. Nothing is returned unless more than
     k training rows exist.
 
-    Equal training rows are one row with a count. Queries look into rings of grid cells that double until the kth row is
-    surely nearer than anything outside; only unfinished queries go on.
+    Equal training rows are one row with a count. Queries look into rings of grid cells around their own, or around the
+    nearest cell of the points' box, that double until the kth row is surely nearer than anything outside; only unfinished
+    queries go on, as a written table a ring.
     """
+    scratch = Scratch(train.sparkSession, "knn")
     pts = train.select(F.col(lat).cast("double").alias("ty"), F.col(lon).cast("double").alias("tx"), F.col(label).alias("t")).groupBy("ty", "tx", "t").agg(F.count(F.lit(1)).alias("n"))
+    pts = scratch.save(pts.filter("ty is not null and tx is not null and not isnan(ty) and not isnan(tx)"), "points")
     n, x0, x1, y0, y1, spots = pts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty"), F.count(F.lit(1))).first()
-    asks = queries.select(F.col(lat).cast("double").alias("qy"), F.col(lon).cast("double").alias("qx")).distinct()
+    asks = queries.select(F.col(lat).cast("double").alias("qy"), F.col(lon).cast("double").alias("qx")).distinct().filter("qy is not null and qx is not null and not isnan(qy) and not isnan(qx)")
     empty = asks.limit(0).select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.lit(None).cast(train.schema[label].dataType).alias(label))
     if n <= k:
         return empty
     if cell is None:
         cell = max(math.sqrt(max((x1 - x0) * (y1 - y0), 1e-12) * k / max(spots, 1)), max(x1 - x0, y1 - y0, 1e-6) / 4096)
-    cells = pts.withColumns({"cx": F.floor(F.col("tx") / cell), "cy": F.floor(F.col("ty") / cell)})
-    widest = int(max(x1 - x0, y1 - y0) / cell) + 2
-    todo, out, ring = asks.withColumns({"qcx": F.floor(F.col("qx") / cell), "qcy": F.floor(F.col("qy") / cell)}), None, 1
+    at = lambda c, lo, hi: F.floor((F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)) - F.lit(lo)) / cell)
+    cells = pts.withColumns({"cx": at("tx", x0, x1), "cy": at("ty", y0, y1)})
+    widest = max(math.floor((x1 - x0) / cell), math.floor((y1 - y0) / cell)) + 1
+    todo = asks.withColumns({"qcx": at("qx", x0, x1), "qcy": at("qy", y0, y1)})
+    gap = F.sqrt(F.pow(F.col("qx") - F.least(F.greatest("qx", F.lit(x0)), F.lit(x1)), F.lit(2.0)) + F.pow(F.col("qy") - F.least(F.greatest("qy", F.lit(y0)), F.lit(y1)), F.lit(2.0)))
+    out, ring = None, 1
     w = Window.partitionBy("qy", "qx").orderBy("d", "t", "ty", "tx")
     while True:
-        last = ring >= widest
-        if last:  # queries outside the box of the points as well
-            found = todo.join(cells, F.lit(True))
-        else:
-            steps = F.sequence(F.lit(-ring), F.lit(ring))
-            spread = todo.withColumn("ox", F.explode(steps)).withColumn("oy", F.explode(steps))
-            found = spread.withColumns({"cx": F.col("qcx") + F.col("ox"), "cy": F.col("qcy") + F.col("oy")}).join(cells, ["cx", "cy"])
+        todo = scratch.save(todo, f"todo-{ring}")
+        last = ring >= widest  # the ring holds all cells
+        steps = F.sequence(F.lit(-ring), F.lit(ring))
+        inside_box = lambda c, lo, hi: (F.col(c) >= 0) & (F.col(c) <= math.floor((hi - lo) / cell))
+        spread = todo.select("qy", "qx", "qcy", F.explode(F.transform(steps, lambda s: F.col("qcx") + s)).alias("cx")).filter(inside_box("cx", x0, x1))
+        spread = spread.select("qy", "qx", "cx", F.explode(F.transform(steps, lambda s: F.col("qcy") + s)).alias("cy")).filter(inside_box("cy", y0, y1))
+        found = spread.join(cells, ["cx", "cy"])
         found = found.withColumn("d", F.sqrt(F.pow(F.col("tx") - F.col("qx"), 2) + F.pow(F.col("ty") - F.col("qy"), 2)))
         before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         near = found.withColumn("before", before).filter(F.col("before") < k).withColumn("take", F.least("n", F.lit(k) - F.col("before")))
+        near = scratch.save(near.select("qy", "qx", "ty", "tx", "t", "d", "take"), f"near-{ring}")
         state = near.groupBy("qy", "qx").agg(F.sum("take").alias("got"), F.max("d").alias("far"))
-        done = state if last else state.filter((F.col("got") >= k) & (F.col("far") <= ring * cell))
+        # The way to a point outside the ring bends by a right angle or less at the query's nearest place in the box.
+        sure = F.sqrt(F.pow(gap, F.lit(2.0)) + F.lit((ring * cell) ** 2)) * (1 - 1e-12)
+        done = state if last else state.filter((F.col("got") >= k) & (F.col("far") <= sure))
         used = near.join(done.select("qy", "qx"), ["qy", "qx"])
-        out = used if out is None else out.unionByName(used, allowMissingColumns=True)
+        out = used if out is None else out.unionByName(used)
         if last:
             break
         todo = todo.join(done.select("qy", "qx"), ["qy", "qx"], "left_anti")
-        if not todo.limit(1).count():
+        if todo.isEmpty():
             break
         ring *= 2
     zero = out.groupBy("qy", "qx").agg(F.min("d").alias("least"))

@@ -10,6 +10,7 @@ from groundplan.functions.numeric import safe_ratio
 from groundplan.functions.text import deal_type, deal_type_two_way
 from groundplan.operators import fuzzy, impute, reports, rows
 from groundplan.operators.features import collapse_to_top_n, one_hot
+from groundplan.operators.quantiles import quantile_row
 from groundplan.operators.robust import percentile_filter_in_turn, winsorize_by_group
 from groundplan.operators.spatial import attach_geo, enrich_from_polygons
 from groundplan.schema import COLUMNS, LISTING, REGISTRY
@@ -109,7 +110,8 @@ def modelling_table(listings: DataFrame, order: str = "_row_id") -> DataFrame:
     x = x.fillna(0, counts)
     medians = [c for c in ("BHK", "Bathrooms", "Total_Floors", "Property_Age_Years") if c in x.columns]
     if medians:
-        table = x.agg(*[F.percentile(F.col(c).try_cast("double"), F.lit(0.5)).alias(f"_{c}") for c in medians])
+        found = quantile_row(x, {c: F.col(c).try_cast("double") for c in medians}, [0.5])
+        table = found.select(*[F.get(F.col(c), F.lit(0)).alias(f"_{c}") for c in medians])
         x = x.crossJoin(F.broadcast(table)).withColumns({c: F.coalesce(F.col(c).try_cast("double"), f"_{c}") for c in medians}).drop(*[f"_{c}" for c in medians])
     x = x.fillna("Unknown", [f.name for f in x.schema.fields if f.dataType.typeName() == "string" and f.name != "URL"])
     return x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors")})
