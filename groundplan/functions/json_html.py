@@ -63,6 +63,14 @@ def first_wins(entries: Column) -> Column:
     return F.map_from_arrays(F.transform(kept, lambda e: e.getItem("key")), F.transform(kept, lambda e: e.getItem("value")))
 
 
+def ordered_sections(sections: Column, known: list[str]) -> Column:
+    """The map with the known keys first, in their order, and the others behind them as they come."""
+    entries = F.map_entries(sections)
+    order = F.array(*[F.lit(k) for k in known])
+    first = F.filter(F.transform(order, lambda k: F.struct(k.alias("key"), F.try_element_at(sections, k).alias("value"))), lambda e: F.map_contains_key(sections, e["key"]))
+    return F.map_from_entries(F.concat(first, F.filter(entries, lambda e: ~F.array_contains(order, e["key"]))))
+
+
 def flatten_sections(sections: Column, summary: Column | None = None, sep: str = " :: ") -> Column:
     """map of "section :: key" (and "summary.key") from a map of maps."""
     entries = F.flatten(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import html
+
+from pyspark.sql import Column, functions as F, types as T
 
 SPACES = r"(?U)\s+"
 
@@ -62,7 +64,7 @@ MONEY_UNITS = {"crores": 1e7, "crore": 1e7, "cr": 1e7, "lakhs": 1e5, "lakh": 1e5
 
 
 def money(x: str | Column) -> Column:
-    """Rupees of "1.5 Cr", "68 Lac", "₹ 5,000"; null without a number."""
+    """Rupees of "1.5 Cr", "68 Lac", "₹ 5,000"; null without a number. The pattern is a fixed value."""
     pattern = r"(?i)([\d,]+(?:\.\d+)?)\s*(Crores?|Cr|Lacs?|Lakhs?|L|K)?\b"
     s = F.replace(col(x), F.lit("₹"), F.lit(" "))
     amount = F.replace(F.regexp_extract(s, pattern, 1), F.lit(","), F.lit("")).try_cast("double")
@@ -77,16 +79,23 @@ def first_group(x: str | Column, pattern: str, group: int = 1) -> Column:
     return F.coalesce(F.trim(F.regexp_extract(col(x), pattern, group)), F.lit(""))
 
 
-#: Entities resolved before tags are stripped (fixed values); the ampersand comes last.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&#8377;": "₹", "&rsquo;": "’", "&ndash;": "–", "&amp;": "&"}
+@F.udf(T.StringType(), useArrow=True)
+def _unescaped(s):
+    return None if s is None else html.unescape(s)
+
+
+def unescape(x: str | Column) -> Column:
+    """Named and numeric character references resolved once, as browsers do; what is none stays.
+
+    The one step here that leaves the JVM (in Arrow batches): the table has over two thousand names, some of which count
+    without a semicolon, and as an expression it would be copied into every plan that reads a page.
+    """
+    return _unescaped(col(x))
 
 
 def html_to_text(x: str | Column) -> Column:
-    """Visible text: entities resolved first, then scripts, styles and tags become spaces, white space collapses."""
-    s = col(x)
-    for name, value in ENTITIES.items():
-        s = F.replace(s, F.lit(name), F.lit(value))
-    s = F.regexp_replace(s, r"(?s)<script.*?</script>|<style.*?</style>|<[^>]+>", " ")
+    """Visible text: character references resolved first, then scripts, styles and tags become spaces, white space collapses."""
+    s = F.regexp_replace(unescape(x), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]+>", " ")
     return F.regexp_replace(s, SPACES, " ")
 
 

@@ -70,8 +70,8 @@ def site_limit(df: DataFrame, site: str, order: list[str], limit: int) -> DataFr
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows, the same for a seed whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows, the same for a seed whatever the partitioning: those with the least MD5 of key and seed."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def checked_loss(n_before: int, n_after: int, budget_pct: float = 5.0) -> float:

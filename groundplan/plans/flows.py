@@ -34,7 +34,8 @@ def build_final(archive: DataFrame, crawled: DataFrame | None, zones: DataFrame
     """The collected table (union, equal rows once, missing codes from polygons) and its rows by source."""
     both = rows.union_dedup(archive, crawled, LISTING) if crawled is not None else rows.full_row_dedup(rows.reindex(archive, LISTING))
     if zones is not None:
-        both = enrich_from_polygons(both.withColumn("_row", F.xxhash64(*COLUMNS)), zones, "_row").drop("_row").select(COLUMNS)
+        numbered = Scratch(both.sparkSession, "final").save(both.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        both = enrich_from_polygons(numbered, zones, "_row").drop("_row").select(COLUMNS)
     return both, rows_per_source(both)
 
 
@@ -63,6 +64,20 @@ def feature_matrix(cleaned: DataFrame) -> DataFrame:
     return one_hot(cleaned.drop(*LEAKAGE_COLS, "URL", "Possible_Pincodes"), cats)
 
 
+METHODOLOGY = [
+    ("Validity", "Rows without a positive price and area are dropped; the share that is lost is checked against a budget."),
+    ("Registry match", "Names are compared by sorted words within the same code from 85, and among all names from 90."),
+    ("Caps", "Price, area and price by area are clipped to the 1st and 99th percentile of their deal type."),
+    ("Bedrooms", "Missing values take the median of their bucket of area, rounded half to even."),
+    ("Dependants", "Bathrooms, balconies, parking, floors and age take the median of the rows with as many bedrooms."),
+    ("Codes", "Missing codes come from the society's most frequent one, a vote of 15 neighbours, or the locality's; each row says which."),
+    ("Coordinates", "Missing coordinates take the median of locality or code; a flag marks them."),
+    ("Materials", "Missing prices of materials take the median of the month, else of the year."),
+    ("Never filled", "Fields of the registry stay empty where no project matches."),
+    ("Features", "Logarithm of the price, floor by floors, categories beyond the ten most frequent as Other, one-hot without columns that give the price away."),
+]
+
+
 @dataclass
 class Analysis:
     cleaned: DataFrame
@@ -82,7 +97,9 @@ def run_etl(listings: DataFrame, registry: DataFrame, zones: DataFrame | None =
     cleaned = scratch.save(clean_and_engineer(merged, zones, scratch), "cleaned")
     loss = rows.checked_loss(numbered.count(), cleaned.count(), max_loss_pct)
     features = feature_matrix(cleaned)
-    sheets = {
+    spark = listings.sparkSession
+    sheets = {  # fixed values: the names of the sheets
+        "Methodology": spark.createDataFrame(METHODOLOGY, "Step string, Description string"),
         "Cleaned_Listings": cleaned,
         "Rental_Listings": cleaned.filter(F.col("deal_type").isin("Rent", "Lease")),
         "Imputation_Summary": reports.imputation_summary(cleaned),
@@ -94,7 +111,15 @@ def run_etl(listings: DataFrame, registry: DataFrame, zones: DataFrame | None =
         "Top_Promoters": reports.top_categories(cleaned, "rera_promoter_name"),
         "RERA_District_Coverage": reports.top_categories(cleaned, "rera_district"),
     }
-    return Analysis(cleaned, features, fuzzy.report(merged), loss, sheets, reports.overview(cleaned))
+    overview = reports.overview(cleaned).crossJoin(
+        cleaned.agg(
+            F.round(F.avg("BHK"), 2).alias("mean_bedrooms"),
+            F.round(F.avg("has_rera_match"), 4).alias("match_rate"),
+            F.round(1 - F.avg(F.col("Pincode_was_missing").cast("int")), 4).alias("observed_code_share"),
+        )
+    )
+    overview = overview.select(F.lit(numbered.count()).cast("long").alias("n_raw_rows"), F.lit(round(loss / 100, 4)).alias("loss_share"), "*")
+    return Analysis(cleaned, features, fuzzy.report(merged), loss, sheets, overview)
 
 
 def sale_only(listings: DataFrame, order: str = "_row_id") -> DataFrame:

@@ -7,8 +7,14 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from groundplan.functions.json_html import ordered_sections
 from groundplan.functions.text import col
 
+#: Sections of a detail page in the order in which they are shown (fixed values); others come behind them.
+KNOWN_ORDER = [
+    "General Information", "Address For Official Communication", "Contact Details", "Project Information", "Bank Details", "Land Details",
+    "Address Details", "Development Work", "Building Details", "Project Professional Information", "Uploaded Orders",
+]
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -100,7 +106,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
 
-@F.udf(_struct(columns=T.ArrayType(_TEXT), rows=T.ArrayType(_struct(cells=_MAP, links=T.ArrayType(_TEXT)))))
+@F.udf(_struct(columns=T.ArrayType(_TEXT), rows=T.ArrayType(_struct(cells=_MAP, links=T.ArrayType(_TEXT)))), useArrow=True)
 def parse_grid(html):
     """The largest table of a results page: header names and rows with their links."""
     tables = [t for t in _parsed(html).tables if t["rows"]]
@@ -113,7 +119,7 @@ def parse_grid(html):
     return columns, [(named(columns, [_clean(c["text"]) for c in r]), [x for c in r for x in c["links"]]) for r in body]
 
 
-@F.udf(_struct(sections=T.MapType(_TEXT, _MAP), tables=T.MapType(_TEXT, T.ArrayType(_MAP)), raw_labels=_MAP))
+@F.udf(_struct(sections=T.MapType(_TEXT, _MAP), tables=T.MapType(_TEXT, T.ArrayType(_MAP)), raw_labels=_MAP), useArrow=True)
 def parse_detail(html):
     """A detail page: values of labels by section (the first of equal labels counts), tables by section, all labels flat."""
     p = _parsed(html)
@@ -169,5 +175,6 @@ def response_status(text: str | Column) -> Column:
 def enriched(pages: DataFrame, html: str = "html", token: str = "token") -> tuple[DataFrame, DataFrame]:
     """Records parsed from detail pages, and the rows to try again (expired, rejected or empty)."""
     x = pages.withColumn("status", response_status(html)).withColumn("detail", parse_detail(html))
+    x = x.withColumn("detail", F.col("detail").withField("sections", ordered_sections(F.col("detail.sections"), KNOWN_ORDER)))
     good = (F.col("status") == "ok") & (F.size(F.map_keys("detail.sections")) > 0)
     return x.filter(good).select(token, "detail"), x.filter(~good).select(token, F.when(F.col("status") == "ok", "empty").otherwise(F.col("status")).alias("error"))

@@ -48,6 +48,12 @@ def _or(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(a, F.lit("")), b)
 
 
+def _behind(x: Column, head: str, name: Column, tail: str) -> Column:
+    """The trimmed first group of a pattern that holds a column's text as it stands, '' without a match."""
+    pattern = F.concat(F.lit(head + r"\Q"), F.replace(F.coalesce(name, F.lit("")), F.lit(r"\E"), F.lit("")), F.lit(r"\E" + tail))
+    return F.coalesce(F.trim(F.call_function("regexp_extract", x, pattern, F.lit(1))), F.lit(""))
+
+
 def _owner(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Column]:
     """Owner listings: facts in running text, locality and coordinates in embedded data."""
     x = put("x", t.html_to_text(html))
@@ -104,9 +110,8 @@ def _project_ld(put: Put, url: Column, html: Column) -> tuple[dict[str, Column],
     get = lambda path: F.coalesce(j.field(node, path), F.lit(""))
     low, high = t.number(j.first_offer(node, "lowPrice")), t.number(j.first_offer(node, "highPrice"))
     name, place = get("$.name"), get("$.address.addressLocality")
-    after = F.substr(x, F.locate("Status", x), F.lit(80))
-    said = put("said", F.lower(t.first_group(after, r"^Status\s*([A-Za-z ]+?)(?:\s+is\s|\.|$)")))
-    status = F.coalesce(*[F.when(said.contains(s.lower()), F.lit(s)) for s in ("Ready To Move", "Under Construction", "New Launch")], said)
+    said = put("said", _behind(x, "", name, r"\s+Status\s*([A-Za-z ]+?)(?:\s[A-Z][a-z]+ [a-z]+ |\s+is\s|\.|$)"))
+    status = F.coalesce(*[F.when(F.lower(said).contains(s.lower()), F.lit(s)) for s in ("Ready To Move", "Under Construction", "New Launch")], said)
     return _priced(
         low,
         F.lit(None).cast("double"),
@@ -246,7 +251,7 @@ def _ranges(put: Put, url: Column, html: Column) -> tuple[dict[str, Column], Col
     configuration = put("configuration", t.first_group(head, r"Configuration\s+([\d.,\s/]+(?:BHK|RK)?[^A-Za-z]*(?:BHK|RK)?)"))
     full = put("full", get("$.address.addressLocality"))
     place = put("place", F.replace(full, F.lit(", Hyderabad"), F.lit("")))
-    maker = t.first_group(before, r"\bby\s+(.+?)\s+[A-Z][\w ]*,")
+    maker = _behind(before, r"\bby\s+(.+?)\s+", F.split(full, ",")[0], ",")
     made = _priced(
         p0,
         a0,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -28,25 +29,32 @@ def watch_images(spark: SparkSession, path: str, glob: str = "*.{png,jpg,jpeg,ti
 def ingest(
     stream: DataFrame, key: str, parse: Callable[[DataFrame], DataFrame], out: str, dead: str, checkpoint: str, every: str | None = None, seen: str | None = None
 ) -> StreamingQuery:
-    """Write each key's parsed rows once to `out` and failed rows to `dead`.
+    """Write each key's parsed rows once to `out` and failed rows to `dead`, each with the `batch` that brought them.
 
-    parse gives a batch a boolean `parsed`. Keys that are in `out` or `dead` already are skipped, also within a batch; so a
-    batch repeated after a loss adds nothing twice. every: a processing-time trigger, None: what is there now, then stop.
+    parse gives a batch a boolean `parsed`. Keys (null as any other) that earlier batches brought to `out` or `dead` are
+    skipped, also within a batch. A batch is a folder of its own in both, named by checkpoint and number: a batch repeated
+    after a loss between the two writes overwrites its own folders, so it adds nothing twice and loses nothing.
+    every: a processing-time trigger, None: what is there now, then stop.
     """
     spark = stream.sparkSession
+    run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]
 
-    def keys(path: str) -> DataFrame | None:
+    def keys(path: str, name: str) -> DataFrame | None:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return spark.read.parquet(path).select(key) if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else None
+        if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            return None
+        there = spark.read.parquet(path)
+        return (there.filter(F.col("batch") != name) if "batch" in there.columns else there).select(F.col(key).alias("_known"))
 
     def one(batch: DataFrame, number: int) -> None:
+        name = f"{run}-{number}"
         fresh = batch.dropDuplicates([key])
-        for known in filter(None, map(keys, (out, dead, *([seen] if seen else [])))):
-            fresh = fresh.join(known, key, "left_anti")
+        for known in filter(None, (keys(p, name) for p in (out, dead, *([seen] if seen else [])))):
+            fresh = fresh.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
         done = parse(fresh).persist()
         try:
-            done.filter("parsed").drop("parsed").write.mode("append").parquet(out)
-            done.filter("not parsed").drop("parsed").withColumn("batch", F.lit(number)).write.mode("append").parquet(dead)
+            done.filter("parsed").drop("parsed").write.mode("overwrite").parquet(f"{out}/batch={name}")
+            done.filter("not parsed").drop("parsed").write.mode("overwrite").parquet(f"{dead}/batch={name}")
         finally:
             done.unpersist()
 

@@ -93,3 +93,20 @@ def test_lcs_expression_is_the_bit_parallel_one(spark):
 @pytest.mark.parametrize("text, want", [("a  \n\n\n\nb\n\n", "a\n\nb"), ("", "")])
 def test_tidy(spark, text, want):
     assert one(spark, [text], t.tidy) == [want]
+
+
+def test_unescape_as_the_standard_library(spark):
+    import html
+    import random
+
+    r = random.Random(3)
+    parts = ["&", "&amp;", "&ampx", "&lt", "&eacute;", "&eacute", "&notit;", "&#39;", "&#39", "&#x27;", "&#x1F600;", "&#128;", "&#0;", "&#xD800;", "&#99999999999;", "&#1;", "&unknown;", "&nbsp;", "&CounterClockwiseContourIntegral;", "#", ";", "a", " ", "&#", "&#x", "&;"]
+    texts = ["", "plain", *parts, *["".join(r.choices(parts, k=6)) for _ in range(400)]]
+    got = [x.o for x in spark.createDataFrame([(x,) for x in texts], "s string").select(t.unescape("s").alias("o")).collect()]
+    assert got == [html.unescape(x) for x in texts]
+
+
+def test_ordered_sections(spark):
+    df = spark.createDataFrame([({"x": {"1": "2"}, "B": {"k": "v"}, "A": {}},), (None,)], "m map<string, map<string, string>>")
+    got = [r.o for r in df.select(F.map_keys(j.ordered_sections(F.col("m"), ["A", "B", "C"])).alias("o")).collect()]
+    assert got == [["A", "B", "x"], None]
