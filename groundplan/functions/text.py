@@ -133,24 +133,24 @@ def slugify(x: str | Column) -> Column:
     return F.regexp_replace(col(x), r"[^\p{L}\p{N}]", "_")
 
 
+def bound(value: Column, make) -> Column:
+    """make(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def key_values(x: str | Column, keys: list[str]) -> Column:
     """map<string,string> of flat text: a key's value reaches to the next key; keys stand as whole words, first place counts."""
-    s = col(x)
-    at = F.filter(
-        F.array(*[F.struct(F.regexp_instr(s, F.lit(rf"(?<![A-Za-z])\Q{k}\E(?![A-Za-z])")).alias("p"), F.lit(k).alias("k")) for k in keys]),
-        lambda h: h["p"] > 0,
-    )
-    hits = F.array_sort(at)
-    entries = F.transform(
-        hits,
-        lambda h, i: F.struct(
-            h["k"].alias("key"),
-            F.trim(
-                F.substr(s, h["p"] + F.length(h["k"]), F.greatest(F.coalesce(F.get(hits, i + 1)["p"], F.length(s) + 1) - h["p"] - F.length(h["k"]), F.lit(0)))
-            ).alias("value"),
-        ),
-    )
-    return F.map_from_entries(entries)
+
+    def hits(s: Column) -> Column:
+        at = [F.struct(F.regexp_instr(s, F.lit(rf"(?<![A-Za-z])\Q{k}\E(?![A-Za-z])")).alias("p"), F.lit(k).alias("k")) for k in keys]
+        return F.array_sort(F.filter(F.array(*at), lambda h: h["p"] > 0))
+
+    def entry(s: Column, found: Column, h: Column, i: Column) -> Column:
+        begin = h["p"] + F.length(h["k"])
+        end = F.coalesce(F.get(found, i + 1)["p"], F.length(s) + 1)
+        return F.struct(h["k"].alias("key"), F.trim(F.substr(s, begin, F.greatest(end - begin, F.lit(0)))).alias("value"))
+
+    return bound(col(x), lambda s: bound(hits(s), lambda found: F.map_from_entries(F.transform(found, lambda h, i: entry(s, found, h, i)))))
 
 
 def tidy(x: str | Column) -> Column:

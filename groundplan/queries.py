@@ -642,3 +642,6 @@ def stream_ingest(spark, sf):
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(f"{scratch.root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+from groundplan import queries_io  # noqa: E402, F401  registers its queries

@@ -149,7 +149,7 @@ def pager(html: str | Column) -> dict[str, Column]:
     """Numbers of records and pages, the page numbers linked, and the row tokens in order without repeats."""
     c = col(html)
     return {
-        "records": F.regexp_extract(c, r"(?i)of\s+([\d,]+)\s+records", 1).try_cast("int"),
+        "records": F.replace(F.regexp_extract(c, r"(?i)of\s+([\d,]+)\s+records", 1), F.lit(","), F.lit("")).try_cast("int"),
         "pages": F.regexp_extract(c, r"(?i)page\s+\d+\s+of\s+(\d+)", 1).try_cast("int"),
         "page_numbers": F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"[?&]page=(\d+)"), F.lit(1)), lambda x: x.cast("int")))),
         "tokens": F.array_distinct(F.regexp_extract_all(c, F.lit(r"[?&](?:token|q)=([^\"'&]+)"), F.lit(1))),
