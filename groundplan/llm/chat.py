@@ -206,7 +206,7 @@ def _borders(model: Model, cut: DataFrame) -> dict[int, dict[str, tuple]]:
         for r in _runs(it):
             n += 1
             ends = [r] if not ends else [ends[0], r]
-        for which, (k, lines) in zip(("first", "last") if len(ends) == 2 else ("only",), ends, strict=True):
+        for which, (k, lines) in zip({0: (), 1: ("only",), 2: ("first", "last")}[len(ends)], ends, strict=True):
             # A line's blank_before at the run's start depends on the run before, so both cases are given.
             for blank in (False, True):
                 seen, at, last = _emissions(model, lines, blank)

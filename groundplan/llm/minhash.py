@@ -10,7 +10,8 @@ is 0.8 or more; without repeated shingles this is the plain Jaccard similarity.
 Signatures: each shingle is a Poisson process of rate `weight`, seeded by its hash, whose arrivals fall on random
 registers; a register keeps the shingle that arrives first. A shingle's process ends once its next arrival is later than
 the latest register of its document, so that few processes have more than one or two arrivals. Bands of registers are the
-buckets (ROWS = 5 in each of BANDS = 24: a pair at 0.8 shares none with a probability below 0.0001).
+buckets: as many of so many registers (`shape`) that a pair at the threshold shares none with a probability below MISS; for
+0.8 these are 24 bands of 5.
 
 A bucket never yields all its pairs. Equal texts are one node. Every node is first verified against two pivots of its
 bucket; the components of those links are labelled; then pairs of a bucket whose nodes are still in different
@@ -28,6 +29,7 @@ All joins are sort-merge joins of written tables, whose hot keys Spark can split
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -43,8 +45,8 @@ from groundplan.scratch import Scratch
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS = 24
-ROWS = 5
+MISS = 1e-4
+REGISTERS = 256
 BITS = 4096
 BLOCK = 256
 #: Texts that have signatures or bitmaps, and bytes of text that are verified, in a worker's memory at a time.
@@ -52,6 +54,18 @@ AT_ONCE = 4096
 CHUNK = 1 << 23
 
 
+def shape(least: float) -> tuple[int, int]:
+    """Bands and registers in each for a threshold: the longest bands, up to 5, that need at most REGISTERS registers."""
+    if not 0 < least <= 1:
+        raise ValueError("the threshold is a similarity above 0")
+    for rows in (5, 4, 3, 2, 1):
+        share = min(least, 0.999) ** rows
+        n = math.ceil(math.log(MISS) / math.log(1 - share))
+        if n * rows <= REGISTERS or rows == 1:
+            return n, rows
+    raise AssertionError
+
+
 def shingles(s: textscan.Slice, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes in ascending order within each document, their weights, and the documents' offsets."""
     n = s.hi - s.lo
@@ -142,7 +156,7 @@ def _numbered(docs: DataFrame, text: str, key: str, scratch: Scratch) -> DataFra
     return scratch.save(flat.select(*chosen, *[f.name for f in fields]), "numbered")
 
 
-def _signed(numbered: DataFrame, words: Column) -> DataFrame:
+def _signed(numbered: DataFrame, words: Column, n_bands: int, rows: int) -> DataFrame:
     """rid, id, row, h1, h2 and the band keys of each row."""
     base = numbered.select("rid", "id", "row", "h1", "h2", words.alias("text"))
     fields = [f for f in base.schema.fields if f.name != "text"]
@@ -151,9 +165,9 @@ def _signed(numbered: DataFrame, words: Column) -> DataFrame:
         for batch in it:
             for s in textscan.slices(batch.column("text"), rows=AT_ONCE):
                 grams, weights, offs = shingles(s)
-                keys = bands(signatures(grams, weights, offs, BANDS * ROWS), BANDS, ROWS)
+                keys = bands(signatures(grams, weights, offs, n_bands * rows), n_bands, rows)
                 full = np.diff(offs) > 0
-                ends = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
+                ends = np.concatenate([[0], np.cumsum(full * n_bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].reshape(-1).view(np.int64)))
                 rest = [batch.column(f.name).slice(s.lo, s.hi - s.lo) for f in fields]
                 yield pa.RecordBatch.from_arrays([*rest, lists], names=[*[f.name for f in fields], "bands"])
@@ -316,7 +330,7 @@ def _linked(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch
     """The rows of docs (numbered, signed), nodes (a row for each text: its first row, n), and label and n_links of nodes with links."""
     numbered = _numbered(docs, text, key, scratch)
     words = as_text(f"c{position(docs, text)}")
-    signed = scratch.save(_signed(numbered, words), "signed")
+    signed = scratch.save(_signed(numbered, words, *shape(least)), "signed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "rid")).alias("first")
     nodes = signed.groupBy("h1", "h2").agg(first, F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
     nodes = scratch.save(nodes.select(F.col("first.rid").alias("node"), "first", "h1", "h2", "n", "bands"), "nodes")

@@ -165,7 +165,8 @@ class Pseudonyms:
         if 1 <= parts[0] <= 223:
             a, *rest = self.mixed("ip", [parts[0] - 1, *parts[1:]], [223, 256, 256, 256])
             return ".".join(map(str, [a + 1, *rest]))
-        return ".".join(map(str, self.mixed("ip-other", parts, [256] * 4)))
+        a, *rest = self.mixed("ip-other", [max(0, parts[0] - 223), *parts[1:]], [33, 256, 256, 256])  # 0 and 224 to 255
+        return ".".join(map(str, [a + 223 if a else 0, *rest]))
 
     def date(self, m: re.Match) -> str | None:
         s = m["date"]

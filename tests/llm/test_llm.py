@@ -82,6 +82,28 @@ def test_quality_without_labels(spark):
     assert quality.fit(odd_docs(spark), both).rules == ()
 
 
+def test_quality_scores_against_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    assert model.rules
+    rows = quality.score(docs.select("doc_id", "text").withColumn("score", F.lit("clash")), model).collect()
+    for r in rows:
+        t = r.text or ""
+        w = re.findall("[^\x20\x09-\x0d]+", t)
+        n_words, chars, symbols, dup, again = counted(t)
+        lines = [x for x in t.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+        have = {
+            "words": n_words, "word_length": chars / max(1, n_words), "symbols": symbols / max(1, n_words), "dup_lines": dup / max(1, len(lines)), "repeats": again / max(1, n_words), "line_words": n_words / max(1, len(lines)),
+            "upper": len(re.findall("[A-Z]", t)) / max(1, chars), "digits": len(re.findall("[0-9]", t)) / max(1, chars), "punct": len(re.findall(r"[.,;:?\"'()-]", t)) / max(1, n_words), "marks": len(re.findall(r"[!|{}\[\]=_~^\\/@]", t)) / max(1, n_words),
+            "running": sum(a == b for a, b in zip(w, w[1:], strict=False)) / max(1, n_words), "non_ascii": sum(ord(c) > 127 for c in t) / max(1, chars),
+        }
+        z = model.intercept + sum(x.weight for x in model.rules if all(have[n] <= c if op == "<=" else have[n] > c for n, op, c in x.terms))
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
+    x = quality.held_out()
+    held = spark.range(200).select(F.col("id").alias("doc_id")).select("doc_id", x.alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in held)
+
+
 # Near-duplicates
 
 
@@ -174,6 +196,43 @@ def test_keep_one_whatever_the_partitions(spark):
     assert len(kept) == 7 and sum(k[1] in ("None", "") for k in kept) == 1 and ("4", "None", "w") in kept
 
 
+def test_shape_of_bands():
+    assert minhash.shape(0.8) == (24, 5)
+    for least in (0.3, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0):
+        n, rows = minhash.shape(least)
+        assert (1 - min(least, 0.999) ** rows) ** n <= minhash.MISS and n * rows <= minhash.REGISTERS
+    with pytest.raises(ValueError):
+        minhash.shape(0)
+
+
+@pytest.mark.parametrize("least", [0.6, 0.8])
+def test_recall_on_documents(spark, least):
+    """All pairs of different texts of the test documents that share a shingle, by similarity: none at the threshold is lost or joined without a chain."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    sets = {i: shingled(t) for i, t in texts.items()}
+    at = collections.defaultdict(list)
+    for i, x in sets.items():
+        for g in x:
+            at[g].append(i)
+    both = collections.Counter((a, b) for ids in at.values() for n, a in enumerate(ids) for b in ids[n + 1 :])
+    links = [(a, b) for (a, b), n in both.items() if 2 * n >= least * min(len(sets[a]), len(sets[b])) and jp(sets[a], sets[b]) >= least]
+    first = {}
+    links += [(first.setdefault(t, i), i) for i, t in texts.items()]
+    parent = {i: i for i in texts}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs, least=least).collect()}
+    assert got == {i: find(i) for i in texts} and len(set(got.values())) < len(got)
+
+
 def test_components_of_paths_and_stars(spark):
     from groundplan.scratch import Scratch
 
@@ -353,6 +412,25 @@ def test_pseudonyms(spark):
     assert [tuple(r) for r in same] == [tuple(r) for r in docs.collect()] and pii.pseudonymise(empty(spark), pii.DEMO_KEY).count() == 0
 
 
+def test_pseudonyms_over_documents(spark):
+    """Every document: the key undoes it, equal values stay equal, different ones different, and the form of each value stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    new = pii.pseudonymise(docs, pii.DEMO_KEY, counts="found")
+    back = {r.doc_id: r.text for r in pii.pseudonymise(new, pii.DEMO_KEY, step=-1).collect()}
+    old = {r.doc_id: r.text for r in docs.collect()}
+    assert back == old
+    pairs, n = {}, 0
+    plain = re.compile(r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b|\b[\w.]+@[\w.]+\.[a-z]{2,}\b|\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b")
+    for r in new.collect():
+        assert len(r.text) == len(old[r.doc_id]) or r.found.get("ip") or r.found.get("date")
+        a, b = plain.findall(old[r.doc_id]), plain.findall(r.text)
+        assert len(a) == len(b)
+        for x, y in zip(a, b, strict=True):
+            n += x != y
+            assert pairs.setdefault(x, y) == y and ("@" not in x or x.partition("@")[2] == y.partition("@")[2])
+    assert n > 20 and len(set(pairs.values())) == len(pairs)
+
+
 def test_pseudonyms_of_long_secrets_and_phones():
     p, back = pii.Pseudonyms(pii.DEMO_KEY), pii.Pseudonyms(pii.DEMO_KEY, -1)
     r = random.Random(2)
@@ -489,6 +567,37 @@ def test_warc_round_trip(spark, tmp_path):
     assert [(r.refers_to, r.record_type, r.block) for r in warc.derive(warc.read(spark, str(tmp_path / "in"))).collect()][1] == ("<urn:x>", "conversion", "hi")
 
 
+def test_warc_text_of_pages(spark):
+    """The conversions of all test pages against the standard library's parser, word for word."""
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.skip = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.skip += tag in ("script", "style", "noscript", "template")
+            self.out += [" "] * (tag in warc.BLOCKS)
+
+        def handle_endtag(self, tag):
+            self.skip -= tag in ("script", "style", "noscript", "template")
+            self.out += [" "] * (tag in warc.BLOCKS)
+
+        def handle_data(self, data):
+            self.out += [data] * (not self.skip)
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    got = {r.page_id: r.block for r in warc.derive(warc.responses(pages), "page_id").filter("record_type = 'conversion'").collect()}
+    assert got.keys() == html.keys()
+    for k, text in got.items():
+        w = Words()
+        w.feed(html[k])
+        w.close()
+        assert text.split() == "".join(w.out).split()
+
+
 def test_warc_ids_types_and_encodings(spark):
     import gzip
     import zlib as z
@@ -579,6 +688,34 @@ def test_ball_tree_prunes_clustered_vectors():
 # Chat
 
 
+def test_viterbi_against_all_paths():
+    import itertools
+
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        step = r.normal(size=(chat.N, chat.N))
+        model = chat.Model(r.normal(size=chat.N), step, {}, [])
+        seen = r.normal(size=(4, chat.N))
+        score = {p: model.start[p[0]] + seen[0][p[0]] + sum(step[a, b] + seen[i + 1][b] for i, (a, b) in enumerate(zip(p, p[1:], strict=False))) for p in itertools.product(range(chat.N), repeat=4)}
+        assert tuple(chat.viterbi(model, seen, None, None).tolist()) == max(score, key=score.get)
+        entry = r.normal(size=chat.N)
+        best = max(itertools.product(range(chat.N), repeat=5), key=lambda p: entry[p[0]] + sum(step[a, b] + seen[i][b] for i, (a, b) in enumerate(zip(p, p[1:], strict=False))))
+        assert tuple(chat.viterbi(model, seen, entry, None).tolist()) == best[1:]
+        total = (entry[:, None] + chat.transfer(model, seen)).max(0)
+        assert total.argmax() == best[-1]
+
+
+def test_chat_edges(spark):
+    raw = chat.transcripts(spark.read.parquet(f"{SF}/conversations.parquet"))
+    model = chat.fit(raw, "conv_id", "position", "role", "text")
+    long = "User: " + "word " * 20000
+    df = spark.createDataFrame([(1, 0, long), (1, 1, "Assistant: yes"), (1, 1, "Assistant: yes"), (2, 0, "User: a"), (2, 0, "User: a")], "`at` long, `role` int, text string")
+    got = chat.turns(df, model, key="at", order="role").collect()
+    assert got[0].asDict().keys() == {"_at", "at", "line", "continues", "role", "content", "rendered"}
+    assert max(len(r.content) for r in got) > 90000  # no line is lost, repeated ones included
+    assert {k: sum(len(r.content.split("\n")) for r in got if r["_at"] == k) for k in (1, 2)} == {1: 3, 2: 2}
+
+
 def test_chat_query_counts_all_conversations(spark, monkeypatch):
     seen, fit = [], chat.fit
     monkeypatch.setattr(chat, "fit", lambda rows, *a: seen.append(rows.count()) or fit(rows, *a))

@@ -2,6 +2,11 @@
 
 import collections
 import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from groundplan.llm import pii, quality
@@ -36,6 +41,19 @@ def first_of_classes(texts):
     return {find(i) for i in ids}
 
 
+def kept_by_rules(t):
+    w = re.findall("[^\x20\x09-\x0d]+", t)
+    grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    again = {j for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in t.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    n, chars = len(w), sum(map(len, w))
+    fails = [
+        n < 10, 100 * len(again) > 20 * n, 10 * sum(c in "#*$%&|<>" for c in t) > n, chars < 2 * n, chars > 15 * n, 10 * (len(lines) - len(set(lines))) > 5 * len(lines),
+        10 * len(re.findall("[A-Z]", t)) > 4 * chars and n >= 10, 2 * len(re.findall(r"[!|{}\[\]=_~^\\/@]", t)) > n, 10 * sum(a == b for a, b in zip(w, w[1:], strict=False)) > 3 * n,
+    ]
+    return not any(fails)
+
+
 def test_stages(spark):
     scratch = Scratch(spark, "pipeline-test")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -46,13 +64,21 @@ def test_stages(spark):
     rows = [{r.doc_id: r for r in x.collect()} for x in at[:-1]]
     model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     assert rows[1].keys() == {r.doc_id for r in quality.score(docs, model).filter("score >= 0.5").collect()}
-    base = {i for i, r in rows[1].items() if len(w := r.text.split()) >= 10 and w}
-    assert rows[2].keys() <= base
+    assert rows[2].keys() == {i for i, r in rows[1].items() if kept_by_rules(r.text)}
     assert rows[3].keys() == first_of_classes({i: r.text for i, r in rows[2].items()})
     p = pii.Pseudonyms(pii.DEMO_KEY)
     assert {i: r.text for i, r in rows[4].items()} == {i: p.replace(r.text) for i, r in rows[3].items()}
-    placed = collections.Counter()
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    placed, sequences = collections.defaultdict(list), collections.Counter()
     for r in at[5].collect():
-        placed[r.doc_id, r.doc_tokens] += r.length
-    assert {k[0] for k in placed} == rows[4].keys() and all(n == total for (_, total), n in placed.items())
+        placed[r.doc_id].append(r)
+        sequences[r.sequence_id] += r.length
+    assert placed.keys() == rows[4].keys() and max(sequences.values()) <= 4096
+    for i, pieces in placed.items():
+        ids = np.array([*tok.encode(rows[4][i].text, add_special_tokens=False).ids, 2], "<u4")
+        start = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == start and r.ids_crc32 == zlib.crc32(ids[start : start + r.length].tobytes())
+            start += r.length
+        assert start == len(ids)
     assert corpus_pipeline.run(spark, SF).count() == at[5].count()
