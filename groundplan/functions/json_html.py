@@ -102,3 +102,8 @@ def mean_confidence(words: Column) -> Column:
     """Mean confidence of words with one of 0 or more, to one digit; 0 without any."""
     sure = F.transform(F.filter(words, lambda w: w["conf"] >= 0), lambda w: w["conf"])
     return F.coalesce(F.bround(F.try_divide(F.aggregate(sure, F.lit(0.0), lambda a, x: a + x), F.size(sure)), 1), F.lit(0.0))
+
+
+def sure_words(words: Column, least: float) -> Column:
+    """The words that were recognised with at least so much confidence."""
+    return F.filter(words, lambda w: w["conf"] >= least)

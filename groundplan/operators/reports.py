@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from groundplan.operators.quantiles import quantile_row
+from groundplan.operators.quantiles import quantile_row, quantiles_by_group
+from groundplan.operators.rows import seeded_sample
 
 #: How each flagged column was imputed.
 METHODS = {
@@ -51,6 +55,62 @@ def top_categories(df: DataFrame, col: str, n: int = 15) -> DataFrame:
     return value_counts(df, col, n)
 
 
+def sorted_counts(df: DataFrame, col: str) -> DataFrame:
+    """value, count of non-null values in the order of the values."""
+    return value_counts(df, col).orderBy("value")
+
+
+def top_groups(df: DataFrame, key: str, value: str, least: int = 20, n: int = 15) -> DataFrame:
+    """key, n, median of the n groups with the highest median of a value among those with at least `least` rows."""
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    middle = quantiles_by_group(df, [value], [0.5], key, "_g").select(F.col("_g"), F.get(F.col(f"`{value}`"), F.lit(0)).alias("median"))
+    return counts.join(middle, F.col("key") == F.col("_g"), "left").drop("_g").orderBy(F.desc("median"), "key").limit(n)
+
+
+def shapiro_wilk(df: DataFrame, col: str, key: str, most: int = 5000) -> tuple[float, float] | None:
+    """Statistic and p-value of the Shapiro-Wilk test (Royston's approximation, 1995) over at most `most` rows chosen by `key`.
+
+    The sample's size is what the test is made for: beyond 5,000 values its p-value isn't known well. None below three
+    values or for constants.
+    """
+    most = min(most, 5000)
+    sample = seeded_sample(df.filter(F.col(col).isNotNull()).select(key, F.col(col).cast("double").alias("_v")), key, most)
+    return normality(np.array([r["_v"] for r in sample.collect()]))
+
+
+def normality(values: np.ndarray) -> tuple[float, float] | None:
+    """W and p of a sample."""
+    x = np.sort(values)
+    n = len(x)
+    if n < 3 or x[0] == x[-1]:
+        return None
+    normal = NormalDist()
+    m = np.array([normal.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    square, u = float(m @ m), n**-0.5
+    a = np.empty(n)
+    if n == 3:
+        a[:] = (-(0.5**0.5), 0.0, 0.5**0.5)
+    else:
+        last = m[-1] / square**0.5 + np.polyval((-2.706056, 4.434685, -2.07119, -0.147981, 0.221157, 0.0), u)
+        if n > 5:
+            before = m[-2] / square**0.5 + np.polyval((-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0), u)
+            scale = (square - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * before**2)
+            a = m / scale**0.5
+            a[-2], a[1] = before, -before
+        else:
+            a = m / ((square - 2 * m[-1] ** 2) / (1 - 2 * last**2)) ** 0.5
+        a[-1], a[0] = last, -last
+    w = min(1.0, float(a @ x) ** 2 / float(((x - x.mean()) ** 2).sum()))
+    if n == 3:
+        return w, max(0.0, 6 / np.pi * (np.arcsin(w**0.5) - np.arcsin(0.75**0.5)))
+    log = np.log(n)
+    if n <= 11:
+        y, mean, spread = -np.log(0.459 * n - 2.273 - np.log1p(-w)), np.polyval((-0.0006714, 0.025054, -0.39978, 0.544), n), np.exp(np.polyval((-0.0020322, 0.062767, -0.77857, 1.3822), n))
+    else:
+        y, mean, spread = np.log1p(-w), np.polyval((0.0038915, -0.083751, -0.31082, -1.5861), log), np.exp(np.polyval((0.0030302, -0.082676, -0.4803), log))
+    return w, 1 - normal.cdf((y - mean) / spread)
+
+
 def correlation(x: str, y: str) -> Column:
     """Pearson correlation over rows that have both; null for constants."""
     a, b = F.col(x).cast("double"), F.col(y).cast("double")

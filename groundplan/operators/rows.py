@@ -16,6 +16,19 @@ def valid_rows(df: DataFrame, price: str = "Price_INR", area: str = "Area_Sqft")
     return df.filter((F.col(price) > 0) & (F.col(area) > 0))
 
 
+def in_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
+    """Rows whose value is within the bounds, which count; a bound that is None doesn't bound, nulls fall out."""
+    test = F.col(col).isNotNull()
+    for bound, side in ((lo, F.col(col) >= F.lit(lo)), (hi, F.col(col) <= F.lit(hi))):
+        test = test & side if bound is not None else test
+    return df.filter(test)
+
+
+def members(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in a table."""
+    return df.join(table.select(key), key, "left_semi")
+
+
 def first_per_key(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
     """The first row of each key in the given order; null is a key as any other."""
     keys, orders = ([key] if isinstance(key, str) else key), ([order] if isinstance(order, str) else order)

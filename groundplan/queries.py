@@ -78,13 +78,13 @@ def site_classifier(spark, sf):
 def range_and_membership_filter(spark, sf):
     x = table(spark, sf, "part")
     two = x.select("p_type").distinct().orderBy("p_type").limit(2)
-    return x.filter(F.col("p_size").between(5, 20)).join(F.broadcast(two), "p_type", "left_semi").select("p_partkey", "p_size")
+    return rows.members(rows.in_range(x, "p_size", 5, 20), two, "p_type").select("p_partkey", "p_size")
 
 
 @query("SELECT p_brand AS brand, count(*) AS n, round(median(p_retailprice), 6) AS median_price FROM part GROUP BY 1 HAVING count(*) >= 20 ORDER BY 3 DESC, 1 LIMIT 15")
 def having_top_groups(spark, sf):
-    x = table(spark, sf, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.count(F.lit(1)).alias("n"), r6(F.percentile("p_retailprice", F.lit(0.5))).alias("median_price"))
-    return x.filter("n >= 20").orderBy(F.desc("median_price"), "brand").limit(15)
+    x = reports.top_groups(table(spark, sf, "part"), "p_brand", "p_retailprice")
+    return x.select(F.col("key").alias("brand"), "n", r6("median").alias("median_price"))
 
 
 @query("SELECT count(*) AS n_before, count_if(o_totalprice > 1000) AS n_after, round(100.0 * (count(*) - count_if(o_totalprice > 1000)) / count(*), 2)::DOUBLE AS loss_pct FROM orders")
@@ -256,9 +256,12 @@ def duplicate_counts(spark, sf):
     return reports.duplicate_counts(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_orderkey")
 
 
-@query("SELECT page, url FROM (SELECT 1 AS page, 'a' AS url UNION ALL SELECT 1, 'b' UNION ALL SELECT 2, 'c')")
+@query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 190 = 189 THEN [] ELSE regexp_extract_all(html, 'href="(/[^"#?]+)"', 1) END AS l FROM pages)
+SELECT page_id AS page, unnest(list_distinct(l)) AS url FROM p WHERE page_id < coalesce((SELECT min(page_id) FROM p WHERE len(l) = 0), 1 << 60)""")
 def paged_index_walk(spark, sf):
-    pages = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, []), (4, ["z"])], "page int, links array<string>")
+    """Links of the pages in the order of their numbers, up to the first that has none."""
+    found = json_html.links("html", r'href="(/[^"#?]+)"')
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("page"), F.when(F.col("page_id") % 190 == 189, F.array().cast("array<string>")).otherwise(found).alias("links"))
     return rows.paged_until_empty(pages, "page", "links")
 
 
@@ -278,13 +281,8 @@ def normalize_place(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.place_key(F.concat("p_name", F.lit(", Hyderabad, Telangana"))).alias("place"))
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS name FROM documents WHERE lang = 'en'")
-def normalize_name(spark, sf):
-    return table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", text.name_key("text").alias("name"))
-
-
 @query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS name FROM documents")
-def normalize_name_all(spark, sf):
+def normalize_name(spark, sf):
     """The names of all documents, in all languages."""
     return table(spark, sf, "documents").select("doc_id", text.name_key("text").alias("name"))
 

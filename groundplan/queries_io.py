@@ -577,3 +577,52 @@ def value_order(spark, sf):
     """Value counts with their places, so that the order is compared too."""
     x = reports.value_counts(table(spark, sf, "documents"), "lang")
     return x.withColumn("place", F.row_number().over(Window.orderBy(F.desc("count"), "value")).cast("long")).select("place", "value", "count")
+
+
+@query("SELECT lang AS value, count(*) AS count FROM documents GROUP BY 1")
+def sorted_counts(spark, sf):
+    return reports.sorted_counts(table(spark, sf, "documents"), "lang")
+
+
+@query("SELECT p_partkey, p_name, p_retailprice, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS p_type FROM part")
+def checkpoint_csv(spark, sf):
+    x = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice", F.when(F.col("p_partkey") % 3 != 0, F.col("p_type")).alias("p_type"))
+    return tables.checkpointed(x, f"{Scratch(spark, 'checkpoint').root}/part")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size >= 30 THEN 2 ELSE 1 END AS n_sure FROM part")
+def sure_words(spark, sf):
+    row = lambda conf: F.concat(F.lit("5\t1\t1\t1\t1\t1\t0\t0\t9\t9\t"), conf, F.lit("\tw"))
+    words = json_html.ocr_words(F.concat_ws("\n", F.lit("level"), row(F.col("p_size").cast("string")), row(F.lit("90.5"))))
+    return table(spark, sf, "part").select("p_partkey", F.size(json_html.sure_words(words, 30.0)).alias("n_sure"))
+
+
+@query()
+def shapiro_wilk(spark, sf):
+    """W and p of the logarithm of prices of at most 5,000 orders."""
+    found = reports.shapiro_wilk(table(spark, sf, "orders").withColumn("v", F.log1p("o_totalprice")), "v", "o_orderkey")
+    return spark.createDataFrame([found or (None, None)], "w double, p double")
+
+
+def offline(url: str) -> tuple[int, dict[str, str], bytes]:
+    """A transport without a network: host h1 forbids /private, every seventh page is gone, every fifth fails to connect."""
+    if url.endswith("/robots.txt"):
+        return (200, {}, b"User-agent: *\nDisallow: /private") if "//h1/" in url else (404, {}, b"")
+    number = int(url.rsplit("/", 1)[1])
+    if number % 7 == 0:
+        return 404, {}, b"gone"
+    if number % 5 == 0:
+        raise OSError("no connection")
+    return 200, {"Content-Type": "text/html; charset=latin-1"}, f"page {number} \xe9".encode("latin-1")
+
+
+@query("""WITH u AS (SELECT DISTINCT page_id % 3 AS h, page_id % 2 AS p, page_id AS k FROM pages)
+SELECT 'http://h' || h::VARCHAR || CASE p WHEN 0 THEN '/private/' ELSE '/open/' END || k::VARCHAR AS url, CASE WHEN (h = 1 AND p = 0) OR k % 7 = 0 OR k % 5 = 0 THEN NULL ELSE 'page ' || k::VARCHAR || ' é' END AS html,
+ CASE WHEN h = 1 AND p = 0 THEN NULL WHEN k % 7 = 0 THEN 404 WHEN k % 5 = 0 THEN NULL ELSE 200 END AS status, CASE WHEN h = 1 AND p = 0 THEN 0 WHEN k % 7 <> 0 AND k % 5 = 0 THEN 3 ELSE 1 END AS requests FROM u""")
+def fetched_pages(spark, sf):
+    """Pages by a transport without a network: robots rules, retries, charsets."""
+    from groundplan.sources import fetch
+
+    k = F.col("page_id")
+    urls = table(spark, sf, "pages").select(F.concat(F.lit("http://h"), k % 3, F.when(k % 2 == 0, "/private/").otherwise("/open/"), k).alias("url"))
+    return fetch.fetch(urls, offline, delay=0.0, pause=lambda s: None)

@@ -135,6 +135,13 @@ def save_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "ov
     (out.coalesce(files) if files else out).write.mode(mode).option("header", True).csv(path)
 
 
+def checkpointed(df: DataFrame, path: str) -> DataFrame:
+    """df written as a CSV table and read back with its own types: a step that can be started from again."""
+    save_csv(df, path)
+    back = read_csv(df.sparkSession, path)
+    return back.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append rows in the listing schema; unknown columns are ignored."""
     save_csv(reindex(df, LISTING), path, mode="append")
