@@ -58,11 +58,17 @@ def _best(scored: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
 
 
 def blocked_match(probes: DataFrame, names: DataFrame, cutoff: float = BLOCKED) -> DataFrame:
-    """name, block, score, idx of probes (name, block) among names (idx, ref, block) of the same block; null is no block."""
+    """name, block, score, idx of probes (name, block) among names (idx, ref, block) of the same block; null is no block.
+
+    Equal names of a block are one, and each pair of different names is scored once, in however many blocks it meets.
+    """
     p = probes.filter(F.col("block").isNotNull()).withColumn("s", token_sort("name"))
-    r = names.filter(F.col("block").isNotNull()).select("idx", "block", token_sort("ref").alias("t"))
-    pairs = p.join(r, "block").filter(length_bound(F.col("s"), F.col("t"), cutoff))
-    return _best(pairs.withColumn("score", ratio_udf("s", "t")), ["name", "block"], cutoff)
+    r = names.filter(F.col("block").isNotNull()).withColumn("t", token_sort("ref")).groupBy("block", "t").agg(F.min("idx").alias("idx"))
+    fits = length_bound(F.col("s"), F.col("t"), cutoff)
+    met = p.select("s", "block").distinct().join(r.select("t", "block"), "block").filter(fits).select("s", "t").distinct()
+    scored = met.withColumn("score", ratio_udf("s", "t")).filter(F.col("score") >= cutoff)
+    pairs = p.join(r, "block").filter(fits).join(scored, ["s", "t"])
+    return _best(pairs, ["name", "block"], cutoff)
 
 
 def _grams(s: Column) -> Column:

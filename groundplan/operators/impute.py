@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from groundplan.functions.text import pincode_key, place_key
-from groundplan.operators.quantiles import quantile_row, quantiles_by_group
+from groundplan.operators.quantiles import quantile_row, quantiles
 from groundplan.operators.rows import mode_by_key
 from groundplan.operators.spatial import knn_vote
+from groundplan.scratch import Scratch
 
 
 def _with_medians(df: DataFrame, cols: list[str], groups: list[str]) -> DataFrame:
     """df with <col>_m0, <col>_m1, ...: the medians of the row's groups, and <col>_all; every statistic is of df itself.
 
-    Rows without a group have no median of it.
+    All of them come from one pass, in which a row stands once for each of its groups and once for the whole. Rows without
+    a group have no median of it.
     """
+    key = lambda c: F.col(c).cast("string")
+    sets = [F.when(F.col(g).isNotNull(), F.struct(F.lit(i).alias("i"), key(g).alias("k"))) for i, g in enumerate(groups)] + [F.struct(F.lit(len(groups)).alias("i"), F.lit("").alias("k"))]
+    found = quantiles(df.select(*cols, F.explode(F.array(*sets)).alias("_g")), cols, [0.5], "_g")
+    found = found.groupBy("g").agg(*[F.max(F.when(F.col("name") == c, F.get("values", F.lit(0)))).alias(c) for c in cols])
+    found = Scratch(df.sparkSession, "medians").save(found.select("g.i", "g.k", *cols), "medians")
     out = df
     for i, g in enumerate(groups):
-        table = quantiles_by_group(df, cols, [0.5], g, f"_g_m{i}").select(f"_g_m{i}", *[F.get(F.col(f"`{c}`"), F.lit(0)).alias(f"{c}_m{i}") for c in cols])
-        out = out.join(table, F.col(g) == F.col(f"_g_m{i}"), "left")
-    return out.crossJoin(F.broadcast(quantile_row(df, cols, [0.5]).select(*[F.get(F.col(f"`{c}`"), F.lit(0)).alias(f"{c}_all") for c in cols])))
+        table = found.filter(F.col("i") == i).select(F.col("k").alias(f"_g_m{i}"), *[F.col(c).alias(f"{c}_m{i}") for c in cols])
+        out = out.join(table, key(g) == F.col(f"_g_m{i}"), "left")
+    whole = found.filter(F.col("i") == len(groups)).agg(*[F.max(c).alias(f"{c}_all") for c in cols])  # one row, also without values
+    return out.crossJoin(F.broadcast(whole))
 
 
 def _filled(df: DataFrame, cols: list[str], groups: list[str], flags: dict[str, Column]) -> DataFrame:
