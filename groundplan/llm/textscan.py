@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
-BLOCK = 1 << 20
+SLICE = 1 << 20
+BLOCK = 1 << 18
 
 U = np.uint64
 SPACE = np.zeros(256, bool)
