@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from groundplan.llm import textscan
-from groundplan.llm.frames import as_text, map_arrow, position
+from groundplan.llm.frames import as_text, key_name, map_arrow, position
 from groundplan.llm.textscan import MULT, U, mix
 from groundplan.scratch import Scratch
 
@@ -360,7 +360,7 @@ def _linked(docs: DataFrame, text: str, key: str, least: float, scratch: Scratch
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
-    """One row for each row of docs: key, class_id, class_size, n_links.
+    """One row for each row of docs: key (as key_name says), class_id, class_size, n_links.
 
     n_links counts the links of its text to other texts that have been verified: at least those that hold its class
     together. Pairs of one component aren't verified any further.
@@ -372,7 +372,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
     sizes = scratch.save(told.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size")).filter("class_size > 1"), "class-sizes")
     placed = told.join(_merge(sizes), "label", "left").select("h1", "h2", "class_id", "class_size", "n_links")
     return signed.select("id", "h1", "h2").join(_merge(placed), ["h1", "h2"]).select(
-        F.col("id").alias(docs.columns[position(docs, key)]),
+        F.col("id").alias(key_name(docs.columns[position(docs, key)], ("class_id", "class_size", "n_links"))),
         F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
         "n_links",

@@ -9,7 +9,7 @@ their ids. Labels, language, source and id are never inputs of a score.
 
 Defined results: null and empty texts are scored from zero measures; labels that are null or contradict each other for a
 document are left out; without labels of both kinds the model is the constant share of label 1 (1.0 without any label);
-repeated rows get equal scores; extra columns pass through.
+repeated rows get equal scores, an empty table none; extra columns pass through, one named like the score is replaced by it.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ failed. A policy is a version name and the mask of the rules that it enforces, s
 `failures & mask = 0`, and every ablation (what would stay without rule k) is arithmetic over the counts of the distinct
 masks: the texts aren't read again.
 
-Null and empty texts have no words and fail `few_words`. Repeated rows get equal results; extra columns, also such that
-are named like a measure, pass through untouched.
+Null and empty texts have no words and fail `few_words`. Repeated rows get equal results, an empty table none; extra columns,
+also such that are named like a measure, pass through untouched, but a column named like one of the two results of `ledger`
+is replaced by it.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def failure_bits(struct: str) -> Column:
 
 def ledger(docs: DataFrame, text: str = "text", measured: str = "measures", failures: str = "failures") -> DataFrame:
     """docs with the measures and the failure bits of every rule."""
-    return measures(docs, text, measured).withColumn(failures, failure_bits(measured))
+    return measures(docs, text, measured).drop(failures).withColumn(failures, failure_bits(measured))
 
 
 def verdict(failures: str | Column, policy: Policy | str = PRODUCTION) -> Column:

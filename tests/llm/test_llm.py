@@ -52,6 +52,8 @@ def test_ledger(spark):
     docs = odd_docs(spark)
     x = rules.ledger(docs).collect()
     assert len(x) == len(ODD) and all(r.failures & 1 == (r.measures.n_words < 10) for r in x)
+    clash = rules.ledger(docs.withColumn("Measures", F.lit(1)).withColumn("failures", F.lit("x")))
+    assert clash.columns == ["doc_id", "text", "n_words", "measures", "failures"] and [r.failures for r in clash.collect()] == [r.failures for r in x]
     assert rules.keep(docs).columns == docs.columns and rules.keep(docs).count() == 0 and rules.keep(empty(spark)).count() == 0
     full = rules.ledger(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
     fails = [r.failures for r in full.select("failures").collect()]
@@ -161,6 +163,7 @@ def test_classes_against_brute_force(spark):
 
 def test_classes_edges(spark):
     assert minhash.classes(empty(spark)).count() == 0
+    assert minhash.classes(odd_docs(spark).withColumnRenamed("doc_id", "class_id"), key="class_id").columns == ["_class_id", "class_id", "class_size", "n_links"]
     got = minhash.keep_one(odd_docs(spark).union(odd_docs(spark))).collect()
     assert len(got) == len({r.text or "" for r in got}) == 7
 
