@@ -22,7 +22,7 @@ def test_money_and_numbers(spark):
 def test_names_of_all_documents(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
-    got = {r.doc_id: r.name for r in QUERIES["normalize_name_all"](spark, sf).collect()}
+    got = {r.doc_id: r.name for r in QUERIES["normalize_name"](spark, sf).collect()}
     assert {r.lang for r in docs} > {"en"} and len(got) == len(docs)
     assert got == {r.doc_id: " ".join(re.sub("[^A-Z0-9 ]", " ", (r.text or "").upper()).split()) for r in docs}
 
