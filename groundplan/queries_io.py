@@ -626,3 +626,34 @@ def fetched_pages(spark, sf):
     k = F.col("page_id")
     urls = table(spark, sf, "pages").select(F.concat(F.lit("http://h"), k % 3, F.when(k % 2 == 0, "/private/").otherwise("/open/"), k).alias("url"))
     return fetch.fetch(urls, offline, delay=0.0, pause=lambda s: None)
+
+
+@query("""SELECT 'listed' AS how, 'a.png' AS name, sum(length(p_name) + 1)::BIGINT AS bytes FROM part UNION ALL SELECT 'listed', 'b.jpeg', sum(length(s_name) + 1)::BIGINT FROM supplier
+UNION ALL SELECT 'watched', 'a.png', sum(length(p_name) + 1)::BIGINT FROM part UNION ALL SELECT 'watched', 'b.jpeg', sum(length(s_name) + 1)::BIGINT FROM supplier""")
+def image_files(spark, sf):
+    """Image files of a folder, listed at once and as a stream of files as they appear; others are left out."""
+    from groundplan.streaming.ingest import watch_images
+
+    scratch = Scratch(spark, "images")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(scratch.root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{scratch.root}/in"))
+    for name, source, column in (("a.png", "part", "p_name"), ("b.jpeg", "supplier", "s_name"), ("c.txt", "nation", "n_name")):
+        table(spark, sf, source).select(column).coalesce(1).write.text(f"{scratch.root}/{name}")
+        (written,) = [f.getPath() for f in fs.listStatus(path(f"{scratch.root}/{name}")) if f.getPath().getName().startswith("part-")]
+        fs.rename(written, path(f"{scratch.root}/in/{name}"))
+    stream = f"images_{scratch.root[-12:]}"
+    watch_images(spark, f"{scratch.root}/in").select("path", "length").writeStream.format("memory").queryName(stream).option("checkpointLocation", f"{scratch.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    seen = scratch.save(spark.table(stream), "seen")
+    spark.catalog.dropTempView(stream)
+    of = lambda df, how: df.select(F.lit(how).alias("how"), text.segment("path", -1).alias("name"), F.col("length").cast("long").alias("bytes"))
+    return of(tables.load_images(spark, f"{scratch.root}/in"), "listed").unionByName(of(seen, "watched"))
+
+
+@query("""WITH l AS (SELECT 'g' || (page_id % 4)::VARCHAR AS place, page_id FROM pages) SELECT place, count(*) AS n_rows, string_agg(page_id::VARCHAR, '/' ORDER BY page_id) AS ids FROM l GROUP BY 1""")
+def repeated_groups(spark, sf):
+    """All matches of a pattern with several groups, as rows."""
+    one = table(spark, sf, "pages").select(F.concat(F.lit("g"), F.col("page_id") % 4).alias("place"), "page_id")
+    flat = one.groupBy("place").agg(F.array_join(F.transform(F.array_sort(F.collect_list("page_id")), lambda i: F.concat(F.lit("Unit "), i, F.lit(" of "), i, F.lit("; "))), "").alias("s"))
+    found = text.groups_as_rows("s", r"Unit (\d+) of (\d+)", 2)
+    return flat.select("place", F.size(found).cast("long").alias("n_rows"), F.array_join(F.transform(found, lambda g: g["g2"]), "/").alias("ids"))
