@@ -657,3 +657,35 @@ def repeated_groups(spark, sf):
     flat = one.groupBy("place").agg(F.array_join(F.transform(F.array_sort(F.collect_list("page_id")), lambda i: F.concat(F.lit("Unit "), i, F.lit(" of "), i, F.lit("; "))), "").alias("s"))
     found = text.groups_as_rows("s", r"Unit (\d+) of (\d+)", 2)
     return flat.select("place", F.size(found).cast("long").alias("n_rows"), F.array_join(F.transform(found, lambda g: g["g2"]), "/").alias("ids"))
+
+
+DEPENDANTS = ("bathrooms", "floor", "floors", "years")
+
+
+@query(f"""WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'http://x/for-sale/' WHEN p_partkey % 3 = 1 THEN 'http://x/a-rent-b/' ELSE 'http://x/for-lease/' END || p_partkey::VARCHAR AS url,
+ CASE p_partkey % 3 WHEN 0 THEN 'Sale' WHEN 1 THEN 'Rent' ELSE 'Lease' END AS deal, p_retailprice * CASE WHEN p_partkey % 3 = 0 THEN 5000.0 ELSE 20.0 END::DOUBLE AS price, (p_size * 40 + 300)::DOUBLE AS area,
+ CASE WHEN p_partkey % 5 <> 0 THEN (p_partkey % 4 + 1)::DOUBLE END AS bhk, CASE WHEN p_partkey % 4 <> 0 THEN (p_partkey % 3 + 1)::DOUBLE END AS bathrooms, CASE WHEN p_partkey % 6 <> 0 THEN (p_partkey % 12)::DOUBLE END AS floor,
+ CASE WHEN p_partkey % 7 <> 0 THEN (p_partkey % 20)::DOUBLE END AS floors, CASE WHEN p_partkey % 3 <> 0 THEN (p_partkey % 15)::DOUBLE END AS years FROM part WHERE p_partkey % 97 <> 0),
+q AS (SELECT deal, quantile_cont(price, [0.01, 0.99]) AS p, quantile_cont(area, [0.01, 0.99]) AS a FROM l GROUP BY 1),
+c AS (SELECT l.* REPLACE (least(greatest(price, p[1]), p[2]) AS price, least(greatest(area, a[1]), a[2]) AS area) FROM l JOIN q USING (deal)),
+e AS (SELECT list_sort(list_distinct(quantile_cont(area, [0, 0.2, 0.4, 0.6, 0.8, 1]))) AS e FROM c),
+b AS (SELECT c.*, len(list_filter(e[2:len(e) - 1], lambda z: z < area)) AS bucket FROM c, e), bm AS (SELECT bucket, median(bhk) AS m FROM b GROUP BY 1), ba AS (SELECT median(bhk) AS m FROM b),
+f AS (SELECT b.* REPLACE (round_even(coalesce(bhk, bm.m, ba.m), 0) AS bhk), bhk IS NULL AS bhk_was_missing FROM b LEFT JOIN bm USING (bucket), ba),
+g AS (SELECT bhk, {", ".join(f"median({x}) AS m_{x}" for x in DEPENDANTS)} FROM f GROUP BY 1), w AS (SELECT {", ".join(f"median({x}) AS a_{x}" for x in DEPENDANTS)} FROM f),
+d AS (SELECT f.* REPLACE ({", ".join(f"coalesce({x}, m_{x}, a_{x}) AS {x}" for x in DEPENDANTS)}), price / area AS per FROM f JOIN g USING (bhk), w),
+r AS (SELECT deal, quantile_cont(per, [0.01, 0.99]) AS p FROM d GROUP BY 1)
+SELECT url, deal AS deal_type, round(price, 6) AS price, round(area, 6) AS area, bhk AS bedrooms, bhk_was_missing, bathrooms, floor, floors, years, round(least(greatest(per, p[1]), p[2]), 6) AS per_sqft, round(ln(1 + price), 6) AS log_price,
+ round(CASE WHEN floors = 0 THEN 0 ELSE least(greatest(floor / floors, 0), 1) END, 6) AS floor_ratio, false AS is_duplicate FROM d JOIN r USING (deal)""")
+def etl_numbers(spark, sf):
+    """The analysis flow's caps, medians and ratios, of the same listings as etl_flow."""
+    from groundplan.queries import _zones, synthetic_listings
+
+    listings, reg = synthetic_listings(spark, sf)
+    merged = rows.valid_rows(fuzzy.attach(listings.withColumn("_row_id", F.monotonically_increasing_id()), reg, "_row_id", list(REGISTRY.values())))
+    scratch = Scratch(spark, "etl")
+    x = flows.clean_and_engineer(scratch.save(merged, "merged"), _zones(spark), scratch)
+    return x.select(
+        F.col("URL").alias("url"), "deal_type", r6("Price_INR").alias("price"), r6("Area_Sqft").alias("area"), F.col("BHK").alias("bedrooms"), F.col("BHK_was_missing").alias("bhk_was_missing"), F.col("Bathrooms").alias("bathrooms"),
+        F.col("Floor_Number").alias("floor"), F.col("Total_Floors").alias("floors"), F.col("Property_Age_Years").alias("years"), r6("PricePerSqft").alias("per_sqft"), r6("log_price").alias("log_price"), r6("floor_ratio").alias("floor_ratio"),
+        F.col("is_duplicate_url").alias("is_duplicate"),
+    )
