@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from groundplan.llm.bpe import op3_byte_bpe
 from groundplan.llm.chat import op9_chat_turns
+from groundplan.llm.divergence import op13_source_divergence
 from groundplan.llm.license_scan import op5_license_scan
 from groundplan.llm.minhash import op2_near_duplicates
 from groundplan.llm.packing import op4_packing
+from groundplan.llm.periodic import op12_periodic_runs
 from groundplan.llm.pii import op1_pii_pseudonyms
 from groundplan.llm.quality import op8_quality_classifier
 from groundplan.llm.rules import op10_quality_rules
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_turns": op9_chat_turns,
     "op10_quality_rules": op10_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -56,5 +60,25 @@ f AS (
     + 256 * (10 * n_twice_running > 3 * n_words)::INT + 512 * (n_words > 1000000)::INT AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed,
        (failures & 511) = 0 AS kept, failures::BIGINT AS failures FROM f
+""",
+    "op13_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n, count(DISTINCT k) AS docs FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 10),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT g.lang, g.source, kept.term, kept.n AS all_n, coalesce(c.n, 0)::HUGEINT AS n
+          FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+tot AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM cells GROUP BY ALL),
+p AS (SELECT lang, source, term, cells.n, 1 + 1000000000::HUGEINT * (cells.n + 2) // (total + 2 * v) AS p, 1 + 1000000000::HUGEINT * (all_n + 2) // (v.n + 2 * v) AS q
+      FROM cells JOIN tot USING (lang, source) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10
 """,
 }
