@@ -1,9 +1,9 @@
 """Audit of how far the sources of a language differ in their vocabulary.
 
-Texts are scanned once: each task counts (lang, source, term) over its rows, Spark adds these up. The counts are dealt by
-ranges of (lang, term), so that the rows of a range are a stretch of the language's dictionary in UTF-8 order: the terms in
-enough documents are a sorted array, `searchsorted` turns the rows' terms into integers and `bincount` gives each source's
-counts. Such a chunk is one row of bounded size. Its integers keep the order of the terms, so equal values are ranked by
+Texts are scanned once: each task counts (lang, source, term) over its rows, by integers of its own dictionary, and writes a
+row for each language and term. These rows are dealt by ranges of (lang, term), so that a range is a stretch of the
+language's dictionary in UTF-8 order: the terms in enough documents are a sorted array, `searchsorted` turns the rows' terms
+into integers and `bincount` gives each source's counts. Such a chunk is one row of bounded size. Its integers keep the order of the terms, so equal values are ranked by
 them. Then each chunk, with the totals of its language's sources, gives a dense matrix of shares (sources by terms): the
 sums of all pairs of sources over the chunk, and each source's best terms in it.
 
@@ -33,8 +33,8 @@ from groundplan.scratch import Scratch
 
 LEAST_DOCS = 10
 TOP = 10
-#: Rows of partial counts that a task holds, terms and cells of a chunk, cells of a matrix in memory.
-HELD = 1 << 19
+#: Cells that a task adds up, terms of a chunk, cells that become chunks at a time, cells of a matrix in memory.
+HELD = 1 << 20
 TERMS = 1024
 CELLS = 1 << 18
 DENSE = 1 << 21
@@ -45,7 +45,7 @@ LETTER[:128] = False
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-COUNTS = "lang string, source string, term string, n long, n_docs long"
+COUNTS = "lang string, term string, n_docs long, sources array<string>, n array<long>"
 
 
 def _strings(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -53,81 +53,115 @@ def _strings(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(data)))
 
 
-def _slice_counts(s: textscan.Slice, lang: pa.DictionaryArray, source: pa.DictionaryArray) -> pa.Table:
-    """Counts of one slice of texts; a row with the empty term for each group that occurs."""
-    n = s.hi - s.lo
-    mask = LETTER[s.data]
-    starts, ends = textscan.spans(mask, s.offs)
-    doc = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, s.offs)))
-    words = _strings(LOWER[s.data[mask]], ends - starts).dictionary_encode()
-    codes, n_terms = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(words.dictionary)
-    wide = len(source.dictionary)
-    group = lang.indices.to_numpy(zero_copy_only=False)[s.lo : s.hi].astype(np.int64) * wide + source.indices.to_numpy(zero_copy_only=False)[s.lo : s.hi]
-    pairs, times = np.unique(doc * max(n_terms, 1) + codes, return_counts=True)
-    keys, which = np.unique(group[pairs // max(n_terms, 1)] * max(n_terms, 1) + pairs % max(n_terms, 1), return_inverse=True)
-    total, docs = np.bincount(which, times, len(keys)).astype(np.int64), np.bincount(which, minlength=len(keys)).astype(np.int64)
-    seen = np.unique(group)
-    of, zero = np.concatenate([keys // max(n_terms, 1), seen]), np.zeros(len(seen), np.int64)
-    terms = pa.concat_arrays([words.dictionary.take(pa.array(keys % max(n_terms, 1))), pa.array([""] * len(seen), pa.large_string())])
-    cols = [lang.dictionary.take(pa.array(of // wide)), source.dictionary.take(pa.array(of % wide)), terms]
-    return pa.table([*(c.cast(pa.large_string()) for c in cols), np.concatenate([total, zero]), np.concatenate([docs, zero])], names=["lang", "source", "term", "n", "n_docs"])
+def _ints(col: pa.Array) -> np.ndarray:
+    return col.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _summed(parts: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(parts).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("n_docs", "sum")])
-    return out.rename_columns([c.removesuffix("_sum") for c in out.column_names]).select(["lang", "source", "term", "n", "n_docs"])
+#: Counts of cells: the group and the term of each, its occurrences and documents.
+Cells = tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]
 
 
-def _small(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("n_docs", pa.int64())])
-    for lo in range(0, table.num_rows, 1 << 16):
-        yield from table.slice(lo, 1 << 16).cast(schema).combine_chunks().to_batches()
+def _slice_cells(s: textscan.Slice, group: np.ndarray) -> Cells:
+    """The cells of one slice of texts, whose groups are given; one with the empty term and 0, 0 for each group."""
+    mask = LETTER[s.data]
+    starts, ends = textscan.spans(mask, s.offs)
+    doc = np.repeat(np.arange(s.hi - s.lo), np.diff(np.searchsorted(starts, s.offs)))
+    words = _strings(LOWER[s.data[mask]], ends - starts).dictionary_encode()
+    terms = pa.concat_arrays([pa.array([""], pa.large_string()), words.dictionary])
+    wide = len(terms)
+    pairs, times = np.unique(doc * wide + _ints(words.indices) + 1, return_counts=True)
+    seen = np.unique(group) * wide
+    keys, which = np.unique(np.concatenate([group[pairs // wide] * wide + pairs % wide, seen]), return_inverse=True)
+    zero = np.zeros(len(seen), np.int64)
+    n, docs = (np.bincount(which, np.concatenate([x, zero]), len(keys)).astype(np.int64) for x in (times, np.ones_like(times)))
+    return keys // wide, pa.DictionaryArray.from_arrays(pa.array(keys % wide), terms), n, docs
+
+
+def _summed(parts: list[Cells]) -> Cells:
+    """One list of cells, in the order of their groups, with one dictionary."""
+    terms = pa.chunked_array([p[1] for p in parts]).unify_dictionaries()
+    words, wide = terms.chunk(0).dictionary, len(terms.chunk(0).dictionary)
+    codes = np.concatenate([_ints(c.indices) for c in terms.chunks])
+    keys, which = np.unique(np.concatenate([p[0] for p in parts]) * wide + codes, return_inverse=True)
+    n, docs = (np.bincount(which, np.concatenate([p[k] for p in parts]), len(keys)).astype(np.int64) for k in (2, 3))
+    return keys // wide, pa.DictionaryArray.from_arrays(pa.array(keys % wide), words), n, docs
+
+
+def _told(cells: Cells, groups: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    """COUNTS of cells: a row for each language and term, with its sources."""
+    group, terms, n, docs = cells
+    names = sorted({x for x, _ in groups})
+    lang = np.array([names.index(x) for x, _ in groups], np.int64)[group]
+    codes = _ints(terms.indices)
+    order = np.lexsort((codes, lang))
+    lang, codes, group, n, docs = lang[order], codes[order], group[order], n[order], docs[order]
+    first = np.flatnonzero(np.concatenate([[True], (lang[1:] != lang[:-1]) | (codes[1:] != codes[:-1])]))
+    ends, total = np.append(first[1:], len(codes)), np.add.reduceat(docs, first)
+    sources = pa.array([x for _, x in groups], pa.string())
+    step = 1 << 13
+    for k in range(0, len(first), step):
+        at, to = first[k : k + step], ends[k : k + step]
+        lists = [pa.ListArray.from_arrays(pa.array(np.append(at, to[-1]) - at[0], pa.int32()), x) for x in (sources.take(pa.array(group[at[0] : to[-1]])), pa.array(n[at[0] : to[-1]]))]
+        cols = [pa.array(names, pa.string()).take(pa.array(lang[at])), terms.dictionary.take(pa.array(codes[at])).cast(pa.string()), pa.array(total[k : k + step]), *lists]
+        yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in COUNTS.split(", ")])
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, n (occurrences), n_docs; a row with the empty term and 0, 0 for each (lang, source)."""
+    """COUNTS of stretches of rows, so several rows for a term; the empty term has all sources, each with 0."""
     base = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*[as_text(f"c{position(docs, c)}").alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        groups: dict[tuple[str, str], int] = {}
+        held: list[Cells] = []
         rows, last = 0, 0
         for batch in it:
-            codes = [pc.fill_null(batch.column(c), "").dictionary_encode() for c in ("lang", "source")]
+            group = np.array([groups.setdefault(g, len(groups)) for g in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)], np.int64)
             for s in textscan.slices(batch.column("text")):
-                held.append(_slice_counts(s, *codes))
-                rows += held[-1].num_rows
+                held.append(_slice_cells(s, group[s.lo : s.hi]))
+                rows += len(held[-1][0])
                 if rows > HELD + last:
                     held = [_summed(held)]
-                    rows = last = held[0].num_rows
-                    if rows > HELD:
-                        yield from _small(held[0])
+                    rows = last = len(held[0][0])
+                    if rows > 2 * HELD:
+                        yield from _told(held[0], list(groups))
                         held, rows, last = [], 0, 0
         if held:
-            yield from _small(_summed(held))
+            yield from _told(_summed(held), list(groups))
 
-    return map_arrow(base, run, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    return map_arrow(base, run, COUNTS)
 
 
 CHUNK = "lang string, chunk long, terms array<string>, sources array<string>, sums array<long>, src array<int>, ids array<int>, n array<long>"
 
 
-def _chunk(lang: str, number: int, rows: pa.Table, least: int) -> pa.RecordBatch | None:
-    """Whole terms of one language in order, as one row; None if none of them is in enough documents."""
-    terms = rows.column("term").combine_chunks().cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+def _language(rows: pa.Table, least: int) -> Iterator[list[pa.Array]]:
+    """CHUNK from `terms` on, for whole terms of one language in order: their rows of COUNTS."""
+    terms = rows.column("term").cast(pa.large_binary()).to_numpy()
     first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
     kept = terms[first][np.add.reduceat(rows.column("n_docs").to_numpy(), first) >= least]
-    if not len(kept):
-        return None
+    lists = rows.column("sources").combine_chunks()
+    names = lists.flatten().dictionary_encode()
+    offs = np.concatenate([[0], np.cumsum(_ints(pc.list_value_length(lists)))])
+    src, n = _ints(names.indices), rows.column("n").combine_chunks().flatten().to_numpy()
     ids = np.searchsorted(kept, terms)
-    fine = ids < len(kept)
-    fine[fine] = kept[ids[fine]] == terms[fine]
-    names = rows.column("source").combine_chunks().filter(pa.array(fine)).dictionary_encode()
-    src, ids, n = names.indices.to_numpy(zero_copy_only=False), ids[fine], rows.column("n").to_numpy()[fine]
-    cells = np.bincount(src.astype(np.int64) * len(kept) + ids, n, len(names.dictionary) * len(kept)).astype(np.int64).reshape(-1, len(kept))
-    src, ids = np.nonzero(cells)
-    lists = [pa.array([x.decode() for x in kept], pa.string()), names.dictionary.cast(pa.string()), pa.array(cells.sum(1)), pa.array(src, pa.int32()), pa.array(ids, pa.int32()), pa.array(cells[src, ids])]
-    arrays = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-    return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([number], pa.int64()), *arrays], names=[f.split()[0] for f in CHUNK.split(", ")])
+    width = max(1, min(TERMS, DENSE // max(1, len(names.dictionary))))
+    for lo in range(0, len(kept), width):
+        some = kept[lo : lo + width]
+        a, b = np.searchsorted(ids, [lo, lo + len(some)])
+        at = np.flatnonzero(terms[a:b] == kept[ids[a:b]]) + a  # without the terms that aren't kept
+        sizes = offs[at + 1] - offs[at]
+        cell = np.repeat(offs[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        found, who = np.unique(src[cell], return_inverse=True)
+        dense = np.bincount(who * len(some) + np.repeat(ids[at] - lo, sizes), n[cell], len(found) * len(some)).astype(np.int64).reshape(-1, len(some))
+        i, j = np.nonzero(dense)
+        yield [pa.array([x.decode() for x in some], pa.string()), names.dictionary.take(pa.array(found)).cast(pa.string()), pa.array(dense.sum(1)), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(dense[i, j])]
+
+
+def _one_row(rows: pa.Table) -> pa.Table:
+    """The rows of one term as one."""
+    sums = pa.table({"s": pc.list_flatten(rows.column("sources")), "n": pc.list_flatten(rows.column("n"))}).group_by("s", use_threads=False).aggregate([("n", "sum")])
+    lists = [pa.ListArray.from_arrays(pa.array([0, sums.num_rows], pa.int32()), sums.column(c).combine_chunks()) for c in ("s", "n_sum")]
+    return pa.table([rows.column("lang").slice(0, 1), rows.column("term").slice(0, 1), pa.array([pc.sum(rows.column("n_docs")).as_py()], pa.int64()), *lists], schema=rows.schema)
 
 
 def chunks(counts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
@@ -139,48 +173,34 @@ def chunks(counts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 32
-        rest: pa.Table | None = None
-
-        def cut(table: pa.Table, all_of_it: bool) -> tuple[list[pa.RecordBatch], pa.Table]:
-            """The chunks of the terms that are known to be whole, and the rows that stay."""
-            nonlocal number
-            out = []
-            while table.num_rows:
-                head = table.slice(0, CELLS + 1)
-                lang, term = (head.column(c).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("lang", "term"))
-                turn = np.flatnonzero((lang[1:] != lang[:-1]) | (term[1:] != term[:-1])) + 1  # where terms begin
-                other = np.flatnonzero(lang[1:] != lang[:-1])[:1] + 1
-                end = int(other[0]) if len(other) else head.num_rows
-                if len(turn) >= TERMS and turn[TERMS - 1] < end:
-                    end = int(turn[TERMS - 1])
-                elif not len(other) and (table.num_rows > head.num_rows or not all_of_it):
-                    if table.num_rows <= head.num_rows:
-                        break
-                    if not len(turn):  # one term of very many sources: all of its rows
-                        codes = table.column("term").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-                        langs = table.column("lang").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-                        after = np.flatnonzero((codes != codes[0]) | (langs != langs[0]))[:1]
-                        if not len(after) and not all_of_it:
-                            break
-                        end = int(after[0]) if len(after) else table.num_rows
-                    else:
-                        end = int(turn[-1])
-                made = _chunk(head.column("lang")[0].as_py(), number, table.slice(0, end), least)
-                number += 1
-                if made is not None:
-                    out.append(made)
-                table = table.slice(end)
-            return out, table
+        held: list[pa.Table] = []
 
+        def work(end: bool) -> Iterator[pa.RecordBatch]:
+            """The chunks of the whole terms that are held; the rows of the last term stay, as more may come."""
+            nonlocal number, held
+            table = pa.concat_tables(held).combine_chunks()
+            lang, term = (_ints(table.column(c).combine_chunks().dictionary_encode().indices) for c in ("lang", "term"))
+            turns = np.flatnonzero((lang[1:] != lang[:-1]) | (term[1:] != term[:-1])) + 1
+            whole = table.num_rows if end else int(turns[-1]) if len(turns) else 0
+            cuts = [0, *(np.flatnonzero(lang[1:] != lang[:-1]) + 1).tolist(), table.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a < whole:
+                    name = table.column("lang")[a].as_py()
+                    for lists in _language(table.slice(a, min(b, whole) - a), least):
+                        arrays = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([number], pa.int64()), *arrays], names=[f.split()[0] for f in CHUNK.split(", ")])
+                        number += 1
+            held = [] if end else [_one_row(table.slice(whole))]
+
+        cells, last = 0, 0
         for batch in it:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None or not rest.num_rows else pa.concat_tables([rest, table]).combine_chunks()
-            if rest.num_rows > CELLS:
-                out, rest = cut(rest, False)
-                yield from out
-        if rest is not None and rest.num_rows:
-            out, rest = cut(rest, True)
-            yield from out
+            held.append(pa.Table.from_batches([batch]))
+            cells += len(batch.column("sources").flatten())
+            if cells > CELLS + last:
+                yield from work(False)
+                cells = last = len(pc.list_flatten(held[0].column("sources")))
+        if held:
+            yield from work(True)
 
     dealt = counts.filter("term <> ''").repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
     return map_arrow(dealt, run, CHUNK)
@@ -271,7 +291,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     chunked = scratch.save(chunks(counts, least), "chunks")
     totals = chunked.select("lang", F.explode(F.arrays_zip("sources", "sums")).alias("x")).groupBy("lang", F.col("x.sources").alias("source")).agg(F.sum("x.sums").alias("n"))
     kept = chunked.groupBy("lang").agg(F.sum(F.size("terms")).cast("long").alias("n_kept"))
-    groups = counts.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left").fillna(0, ["n"])
+    groups = counts.filter("term = ''").select("lang", F.explode("sources").alias("source")).distinct().join(totals, ["lang", "source"], "left").fillna(0, ["n"])
     members = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("members")
     langs = scratch.save(groups.groupBy("lang").agg(members, F.sum("n").alias("all_n")).join(kept, "lang", "left").fillna(0, ["n_kept"]), "langs")
     none = [F.array().cast(t).alias(c) for c, t in (f.split() for f in CHUNK.split(", ")[2:])]

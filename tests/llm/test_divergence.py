@@ -62,7 +62,7 @@ def test_small_chunks_and_blocks(spark, monkeypatch):
     rows = corpus(500, 80, [f"s{i}" for i in range(14)], ("en", "fr"))
     table = __import__("pyarrow").table([list(c) for c in zip(*[(t, x, s) for t, x, s in rows], strict=True)], names=["text", "lang", "source"])
     want = brute(rows, 3)
-    counts = spark.createDataFrame(table.to_pandas(), "text string, lang string, source string")
+    counts = spark.createDataFrame(table.to_pandas(), "text string, lang string, source string").repartition(3)
     counts = divergence.term_counts(counts).filter("term <> ''").orderBy("lang", "term").toArrow().combine_chunks()
     for cells, terms, dense in ((1 << 18, 1024, 1 << 21), (50, 5, 1 << 21), (7, 1000, 64), (3, 2, 20), (1 << 18, 1024, 10)):
         for name, value in (("CELLS", cells), ("TERMS", terms), ("DENSE", dense)):
