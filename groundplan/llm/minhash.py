@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -211,13 +211,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_arrow(both.select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
-def _bitmaps(texts: DataFrame) -> DataFrame:
+def bitmaps(texts: DataFrame, sets: Callable[[textscan.Slice], tuple[np.ndarray, np.ndarray, np.ndarray]] = shingles) -> DataFrame:
     """node, total (weight of its shingles) and bits (which of BITS hash places they take) of each text."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for s in textscan.slices(batch.column("text"), rows=AT_ONCE):
-                grams, weights, offs = shingles(s)
+                grams, weights, offs = sets(s)
                 n = s.hi - s.lo
                 doc = np.repeat(np.arange(n), np.diff(offs))
                 places = np.zeros((n, BITS), np.uint8)
@@ -254,7 +254,7 @@ def _apart(shared: DataFrame, labels: DataFrame, texts: DataFrame, least: float,
         return None
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK).cast("long")).alias("part")
     rows = scratch.save(labelled.join(_merge(sizes), ["bucket", "label"]).select("bucket", "tag", part, "node", "label", "p1", "p2"), "rows")
-    maps = scratch.save(_bitmaps(texts.join(_merge(rows.select("node")), "node", "left_semi")), "bitmaps")
+    maps = scratch.save(bitmaps(texts.join(_merge(rows.select("node")), "node", "left_semi")), "bitmaps")
     packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
     blocks = scratch.save(rows.join(_merge(maps), "node").groupBy("bucket", "tag", "part").agg(F.min("p1").alias("p1"), F.min("p2").alias("p2"), packed), "blocks")
     other = blocks.select("bucket", F.col("tag").alias("tag_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))

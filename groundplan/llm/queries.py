@@ -7,6 +7,7 @@ from groundplan.llm.chat import op9_chat_turns
 from groundplan.llm.divergence import op13_source_divergence
 from groundplan.llm.license_scan import op5_license_scan
 from groundplan.llm.minhash import op2_near_duplicates
+from groundplan.llm.ngram_join import op11_ngram_jaccard
 from groundplan.llm.packing import op4_packing
 from groundplan.llm.periodic import op12_periodic_runs
 from groundplan.llm.pii import op1_pii_pseudonyms
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_turns": op9_chat_turns,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_source_divergence": op13_source_divergence,
 }
@@ -60,6 +62,18 @@ f AS (
     + 256 * (10 * n_twice_running > 3 * n_words)::INT + 512 * (n_words > 1000000)::INT AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed,
        (failures & 511) = 0 AS kept, failures::BIGINT AS failures FROM f
+""",
+    "op11_ngram_jaccard": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS gs FROM w),
+e AS (SELECT doc_id, len(gs) AS n, hash(unnest(gs)) AS s FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.s = b.s AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+t AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r(doc_id, other) AS (SELECT a, a FROM t UNION SELECT r.doc_id, t.b FROM r JOIN t ON r.other = t.a),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, len(gs)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM g LEFT JOIN c USING (doc_id)
 """,
     "op13_source_divergence": r"""
 WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
