@@ -27,6 +27,7 @@ All joins are sort-merge joins of written tables, whose hot keys Spark can split
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -150,6 +151,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "extra", "ta", "tb"), run, "a long, b long")
 
 
+def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may link by their bitmaps, see `_met`: these have a sixth of a text's bytes or less."""
+    sides = [_merge(maps.select(F.col("node").alias(n), F.col("total").alias(f"t{n}"), F.col("bits").alias(f"m{n}"))) for n in "ab"]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            a, b = (batch.column(f"m{n}").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for n in "ab")
+            of = lambda bits: np.bitwise_count(bits).sum(1, dtype=np.int64)
+            x, y, c = batch.column("ta").to_numpy(), batch.column("tb").to_numpy(), of(a & b)
+            with np.errstate(divide="ignore"):
+                keep = pa.array(x / (x - of(a) + c) + y / (y - of(b) + c) <= 1 + 100 / percent + 1e-6)
+            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b", "extra")], names=["a", "b", "extra"])
+
+    return map_arrow(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "extra", "ta", "tb", "ma", "mb"), run, "a long, b long, extra long")
+
+
 def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The lists (token, node, size, extra, probe, score), of shingles in several prefixes; and the texts of their nodes."""
     first = nodes.select("node", F.explode("prefix").alias("token"))
@@ -177,10 +194,12 @@ def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch:
     chosen = rows.filter("extra > 0").withColumn("k", F.row_number().over(mine.orderBy("n", "token"))).withColumn("m", F.count(F.lit(1)).over(mine))
     chosen = chosen.withColumn("probe", F.expr("k <= m - extra")).drop("k", "m")
     lists = plain.union(chosen).select("token", "node", "size", "extra", "probe", "score")
-    return scratch.save(lists, "lists"), texts
+    lists = scratch.save(lists, "lists")
+    scratch.drop("several", "listed", "wanted", "longer", "added", "lengthened")
+    return lists, texts
 
 
-def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b, extra) of rows (token, node, label, size, extra, probe) with different labels and a probe among them in one list.
 
     Short lists are paired row by row. Long ones are dealt to blocks of about BLOCK nodes, two of which are compared as
@@ -203,7 +222,6 @@ def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> D
     sizes = counts.join(_merge(long), "token").select("token", "label", F.when(big, F.col("label")).otherwise(F.lit(-1)).alias("tag"), F.when(big, F.col("n")).otherwise(F.col("few")).alias("of"))
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("of") / BLOCK).cast("long")).alias("part")
     dealt = scratch.save(rows.join(_merge(sizes), ["token", "label"]).select("token", "tag", "probe", part, "node", "label", "extra"), "dealt")
-    maps = scratch.save(minhash.bitmaps(texts.join(_merge(dealt.select("node")), "node", "left_semi"), sets), "bitmaps")
     packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
     blocks = scratch.save(dealt.join(_merge(maps), "node").groupBy("token", "tag", "probe", "part").agg(packed), "blocks")
     other = blocks.select("token", F.col("tag").alias("tag_"), F.col("probe").alias("probe_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))
@@ -244,9 +262,13 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -
     rows = scratch.save(lists.join(_merge(live), "token").filter("probe or extra >= lowest"), "rows")
     ends = rows.select("node", "size", "extra", F.explode(F.array(F.col("p1").dropFields("score"), F.col("p2"))).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
     star = ends.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), F.least("extra", "p.extra").alias("extra")).distinct()
-    labels = components(scratch.save(_verified(star, texts, percent), "links-1"), scratch, "cc1")
+    maps = scratch.save(minhash.bitmaps(texts, sets), "bitmaps")
+    check = lambda pairs: _verified(scratch.save(_possible(pairs, maps, percent), f"possible-{uuid.uuid4().hex}"), texts, percent)
+    labels = components(scratch.save(check(star), "links-1"), scratch, "cc1")
     labelled = scratch.save(_relabelled(rows.drop("p1", "p2", "score", "lowest"), labels), "labelled")
-    links = scratch.save(_verified(_met(labelled, texts, percent, scratch), texts, percent), "links-2")
+    scratch.drop("lists", "rows")
+    links = scratch.save(check(_met(labelled, maps, percent, scratch)), "links-2")
+    scratch.drop("labelled", "mixed", "dealt", "blocks", "texts", "bitmaps")
     if links.isEmpty():
         return labels
     for n in "ab":
@@ -265,16 +287,20 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: in
         raise ValueError("the threshold is a percentage above 0")
     scratch = scratch or Scratch(docs.sparkSession, "ngrams")
     signed = scratch.save(_signed(docs, text, key, percent), "signed")
+    ids = scratch.save(signed.select("id", "s1", "s2", "n"), "ids")
     one = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("rep"), F.min("id").alias("id"), F.first("prefix").alias("prefix"))
     nodes = scratch.save(one.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", F.col("n").alias("size"), "rep", "id", "prefix"), "nodes")
+    scratch.drop("signed")
+    every = scratch.save(nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id"), "every")
     lists, texts = _probes(nodes, docs, text, percent, scratch)
+    scratch.drop("nodes")
     labels = scratch.save(_links(lists, texts, percent, scratch), "labels")
-    known = nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id").join(_merge(labels), "node")
+    known = every.join(_merge(labels), "node")
     least = scratch.save(known.groupBy("label").agg(F.min("id").alias("least")), "least")
     placed = known.join(_merge(least), "label").select("s1", "s2", "n", "least")
-    alone = nodes.join(_merge(labels), "node", "left_anti").select("s1", "s2", F.col("size").alias("n"), F.col("id").alias("least"))
+    alone = every.join(_merge(labels), "node", "left_anti").select("s1", "s2", "n", F.col("id").alias("least"))
     name = key_name(docs.columns[position(docs, key)], ("n_shingles", "component_id"))
-    whole = signed.select("id", "s1", "s2", "n").join(_merge(placed.union(alone)), ["s1", "s2", "n"], "left")
+    whole = ids.join(_merge(placed.union(alone)), ["s1", "s2", "n"], "left")
     return whole.select(F.col("id").alias(name), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 
