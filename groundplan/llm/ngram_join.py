@@ -158,7 +158,7 @@ def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             a, b = (batch.column(f"m{n}").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for n in "ab")
-            of = lambda bits: np.bitwise_count(bits).sum(1, dtype=np.int64)
+            of = lambda bits: np.bitwise_count(bits.view(U)).sum(1, dtype=np.int64)
             x, y, c = batch.column("ta").to_numpy(), batch.column("tb").to_numpy(), of(a & b)
             with np.errstate(divide="ignore"):
                 keep = pa.array(x / (x - of(a) + c) + y / (y - of(b) + c) <= 1 + 100 / percent + 1e-6)

@@ -99,13 +99,14 @@ def test_production_settings_and_other_thresholds(spark):
     assert got(spark, rows, percent=60) == brute(rows, 60)
 
 
-def test_prefixes_are_lengthened(spark, tmp_path):
+def test_prefixes_are_lengthened(spark, monkeypatch):
     """Texts with a common passage look up rare shingles only; one that is nothing else has to look up common ones."""
     from groundplan.scratch import Scratch
 
     r = random.Random(4)
     passage = prose(r, 60)
     rows = [(i, " ".join(prose(r, 200, 10**6) + passage)) for i in range(80)] + [(100 + i, " ".join([*passage, f"x{i}"])) for i in range(5)]
+    monkeypatch.setattr(Scratch, "drop", lambda self, *names: None)
     scratch = Scratch(spark, "test")
     assert got(spark, rows, scratch=scratch) == brute(rows)
     lists = spark.read.parquet(f"{scratch.root}/lists")
