@@ -7,8 +7,6 @@ join is an equi-join on the cell.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from groundplan.scratch import Scratch
@@ -114,58 +112,104 @@ def enrich_from_polygons(df: DataFrame, zones: DataFrame, row: str, code: str =
     return out.withColumns({code: F.coalesce(F.nullif(F.col(code).cast("string"), F.lit("")), "nearest_pincode"), "Possible_Pincodes": F.col("codes")}).drop("nearest_pincode", "codes")
 
 
-def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: str, k: int = 15, cell: float | None = None) -> DataFrame:
+#: A quadtree's cells are cut in four by four, so often at most; the finest are a 2**24th of the longer side of all points.
+STEPS, BITS = 12, 2
+
+
+def _cell(c: Column, step: int) -> Column:
+    return F.shiftright(c, BITS * (STEPS - step))
+
+
+def _spots(df: DataFrame, lat: str, lon: str, *more: Column) -> DataFrame:
+    """y, x and more of the rows with coordinates."""
+    x = df.select(F.col(lat).cast("double").alias("y"), F.col(lon).cast("double").alias("x"), *more)
+    return x.filter("y is not null and x is not null and not isnan(y) and not isnan(x) and abs(y) < 1e300 and abs(x) < 1e300")
+
+
+def quadtree(points: DataFrame, leaf: int, scratch: Scratch) -> tuple[list[DataFrame], DataFrame]:
+    """An equi-depth quadtree over points (y, x, n, ...), a written table: its nodes by step, and points with step, cx, cy of their leaf.
+
+    A node has its cell, the sum of n, whether it is cut further (more than `leaf` points), and the box of its points, so
+    that distances to it are right whatever the cells' borders. Only points of nodes that are cut go to the next step. A
+    point far from all others costs a leaf of its own, and a dense place is cut until its leaves are small.
+    """
+    x0, y0, side = points.agg(F.min("x"), F.min("y"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()
+    top = (1 << (BITS * STEPS)) - 1
+    grid = lambda c, lo: F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(side or 1.0) * F.lit(float(top + 1))), F.lit(top)).cast("long")
+    rest = points.withColumns({"ix": grid("x", x0 or 0.0), "iy": grid("y", y0 or 0.0)})
+    nodes, leaves = [], None
+    for step in range(STEPS + 1):
+        at = rest.withColumns({"cx": _cell(F.col("ix"), step), "cy": _cell(F.col("iy"), step)})
+        boxes = [f(c).alias(f"{c}{n}") for f, n in ((F.min, 0), (F.max, 1)) for c in "xy"]
+        node = at.groupBy("cx", "cy").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("points"), *boxes).withColumn("cut", (F.col("points") > leaf) & F.lit(step < STEPS)).drop("points")
+        node = scratch.save(node, f"nodes-{step}")
+        nodes.append(node)
+        dealt = at.join(node.select("cx", "cy", "cut"), ["cx", "cy"])
+        here = scratch.save(dealt.filter("not cut").select(F.lit(step).alias("step"), "cx", "cy", *points.columns), f"leaves-{step}")
+        leaves = here if leaves is None else leaves.union(here)
+        if node.filter("cut").isEmpty():
+            return nodes, leaves
+        rest = scratch.save(dealt.filter("cut").drop("cx", "cy", "cut"), f"rest-{step}")
+    raise AssertionError
+
+
+def _ends(box: list[str]) -> tuple[Column, Column]:
+    """Least and greatest squared distance of qx, qy to a box x0, x1, y0, y1."""
+    x0, x1, y0, y1 = map(F.col, box)
+    zero = F.lit(0.0)
+    dx, dy = F.greatest(x0 - F.col("qx"), F.col("qx") - x1, zero), F.greatest(y0 - F.col("qy"), F.col("qy") - y1, zero)
+    fx, fy = F.greatest(F.abs(F.col("qx") - x0), F.abs(F.col("qx") - x1)), F.greatest(F.abs(F.col("qy") - y0), F.abs(F.col("qy") - y1))
+    return dx * dx + dy * dy, fx * fx + fy * fy
+
+
+def leaves_near(asks: DataFrame, nodes: list[DataFrame], k: int) -> DataFrame:
+    """qy, qx, step, cx, cy: the leaves that can hold one of the k points (by n) nearest to each of asks (qy, qx).
+
+    All queries go down the tree together. After each step a query knows a distance within which k points lie, from the far
+    corners of the boxes that it still looks at, and gives up the boxes beyond it.
+    """
+    held = None
+    for step, node in enumerate(nodes):
+        if held is None:
+            found = asks.crossJoin(F.broadcast(node))  # the root is one row
+        else:
+            under = node.withColumns({"px": F.shiftright("cx", BITS), "py": F.shiftright("cy", BITS)})
+            parents = held.filter("cut").select("qy", "qx", F.col("cx").alias("px"), F.col("cy").alias("py"))
+            found = parents.join(under, ["px", "py"]).drop("px", "py")
+        low, high = _ends(["x0", "x1", "y0", "y1"])
+        found = found.select("qy", "qx", F.lit(step).alias("step"), "cx", "cy", "cut", "n", low.alias("low"), high.alias("high"))
+        every = found if held is None else found.union(held.filter("not cut"))
+        mine = Window.partitionBy("qy", "qx")
+        enough = F.sum("n").over(mine.orderBy("high").rangeBetween(Window.unboundedPreceding, Window.currentRow)) >= k
+        bound = every.withColumn("within", F.when(enough, F.col("high"))).withColumn("within", F.min("within").over(mine))
+        held = bound.filter(F.col("within").isNull() | (F.col("low") <= F.col("within") * (1 + 1e-9))).drop("within")
+    return held.select("qy", "qx", "step", "cx", "cy")
+
+
+def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: str, k: int = 15, leaf: int = 64, scratch: Scratch | None = None) -> DataFrame:
     """lat, lon, label for each distinct query point: its k nearest training rows vote with weight 1 / distance.
 
     Rows at distance 0 alone vote if there are any. The k nearest are taken in order of (distance, label, coordinates), an
     equal row counting as often as it occurs; ties of votes go to the smallest label. Nothing is returned unless more than
-    k training rows exist.
+    k training rows exist. Rows and queries without finite coordinates take no part.
 
-    Equal training rows are one row with a count. Queries look into rings of grid cells around their own, or around the
-    nearest cell of the points' box, that double until the kth row is surely nearer than anything outside; only unfinished
-    queries go on, as a written table a ring.
+    Equal training rows are one row with a count. A query is compared with the rows of the few leaves of a quadtree that can
+    hold its neighbours, of `leaf` places each, however unevenly the points lie.
     """
-    scratch = Scratch(train.sparkSession, "knn")
-    pts = train.select(F.col(lat).cast("double").alias("ty"), F.col(lon).cast("double").alias("tx"), F.col(label).alias("t")).groupBy("ty", "tx", "t").agg(F.count(F.lit(1)).alias("n"))
-    pts = scratch.save(pts.filter("ty is not null and tx is not null and not isnan(ty) and not isnan(tx)"), "points")
-    n, x0, x1, y0, y1, spots = pts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty"), F.count(F.lit(1))).first()
-    asks = queries.select(F.col(lat).cast("double").alias("qy"), F.col(lon).cast("double").alias("qx")).distinct().filter("qy is not null and qx is not null and not isnan(qy) and not isnan(qx)")
-    empty = asks.limit(0).select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.lit(None).cast(train.schema[label].dataType).alias(label))
-    if n <= k:
-        return empty
-    if cell is None:
-        cell = max(math.sqrt(max((x1 - x0) * (y1 - y0), 1e-12) * k / max(spots, 1)), max(x1 - x0, y1 - y0, 1e-6) / 4096)
-    at = lambda c, lo, hi: F.floor((F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)) - F.lit(lo)) / cell)
-    cells = pts.withColumns({"cx": at("tx", x0, x1), "cy": at("ty", y0, y1)})
-    widest = max(math.floor((x1 - x0) / cell), math.floor((y1 - y0) / cell)) + 1
-    todo = asks.withColumns({"qcx": at("qx", x0, x1), "qcy": at("qy", y0, y1)})
-    gap = F.sqrt(F.pow(F.col("qx") - F.least(F.greatest("qx", F.lit(x0)), F.lit(x1)), F.lit(2.0)) + F.pow(F.col("qy") - F.least(F.greatest("qy", F.lit(y0)), F.lit(y1)), F.lit(2.0)))
-    out, ring = None, 1
+    scratch = scratch or Scratch(train.sparkSession, "knn")
+    pts = _spots(train, lat, lon, F.col(label).alias("t")).groupBy("y", "x", "t").agg(F.count(F.lit(1)).alias("n"))
+    pts = scratch.save(pts, "points")
+    asks = _spots(queries, lat, lon).select(F.col("y").alias("qy"), F.col("x").alias("qx")).distinct()
+    if (pts.agg(F.sum("n")).first()[0] or 0) <= k:
+        return asks.limit(0).select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.lit(None).cast(train.schema[label].dataType).alias(label))
+    nodes, leaves = quadtree(pts, leaf, scratch)
+    near = scratch.save(leaves_near(scratch.save(asks, "asks"), nodes, k), "near")
+    found = near.join(leaves.withColumnsRenamed({"y": "ty", "x": "tx"}), ["step", "cx", "cy"])
+    found = found.withColumn("d", F.sqrt(F.pow(F.col("tx") - F.col("qx"), 2) + F.pow(F.col("ty") - F.col("qy"), 2)))
     w = Window.partitionBy("qy", "qx").orderBy("d", "t", "ty", "tx")
-    while True:
-        todo = scratch.save(todo, f"todo-{ring}")
-        last = ring >= widest  # the ring holds all cells
-        steps = F.sequence(F.lit(-ring), F.lit(ring))
-        inside_box = lambda c, lo, hi: (F.col(c) >= 0) & (F.col(c) <= math.floor((hi - lo) / cell))
-        spread = todo.select("qy", "qx", "qcy", F.explode(F.transform(steps, lambda s: F.col("qcx") + s)).alias("cx")).filter(inside_box("cx", x0, x1))
-        spread = spread.select("qy", "qx", "cx", F.explode(F.transform(steps, lambda s: F.col("qcy") + s)).alias("cy")).filter(inside_box("cy", y0, y1))
-        found = spread.join(cells, ["cx", "cy"])
-        found = found.withColumn("d", F.sqrt(F.pow(F.col("tx") - F.col("qx"), 2) + F.pow(F.col("ty") - F.col("qy"), 2)))
-        before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        near = found.withColumn("before", before).filter(F.col("before") < k).withColumn("take", F.least("n", F.lit(k) - F.col("before")))
-        near = scratch.save(near.select("qy", "qx", "ty", "tx", "t", "d", "take"), f"near-{ring}")
-        state = near.groupBy("qy", "qx").agg(F.sum("take").alias("got"), F.max("d").alias("far"))
-        # The way to a point outside the ring bends by a right angle or less at the query's nearest place in the box.
-        sure = F.sqrt(F.pow(gap, F.lit(2.0)) + F.lit((ring * cell) ** 2)) * (1 - 1e-12)
-        done = state if last else state.filter((F.col("got") >= k) & (F.col("far") <= sure))
-        used = near.join(done.select("qy", "qx"), ["qy", "qx"])
-        out = used if out is None else out.unionByName(used)
-        if last:
-            break
-        todo = todo.join(done.select("qy", "qx"), ["qy", "qx"], "left_anti")
-        if todo.isEmpty():
-            break
-        ring *= 2
+    before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    used = found.withColumn("before", before).filter(F.col("before") < k).withColumn("take", F.least("n", F.lit(k) - F.col("before")))
+    out = scratch.save(used.select("qy", "qx", "t", "d", "take"), "used")
     zero = out.groupBy("qy", "qx").agg(F.min("d").alias("least"))
     voted = out.join(zero, ["qy", "qx"]).filter((F.col("least") > 0) | (F.col("d") == 0))
     votes = voted.groupBy("qy", "qx", "t").agg(F.sum(F.when(F.col("d") == 0, F.col("take").cast("double")).otherwise(F.col("take") / F.nullif(F.col("d"), F.lit(0.0)))).alias("v"))

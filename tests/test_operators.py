@@ -171,3 +171,52 @@ def test_feature_matrix_query(spark):
     assert x.count() == QUERIES["etl_flow"](spark, sf).count() > 0
     made = [c for c in x.columns if c.startswith("deal_type_")]
     assert len(made) == 3 and x.filter(" + ".join(f"int(`{c}`)" for c in made) + " <> 1").count() == 0
+
+def brute_knn(train, asks, k):
+    out = {}
+    for qy, qx in set(asks):
+        near = sorted((math.hypot(x - qx, y - qy), t, y, x) for y, x, t in train)[:k]
+        zero = [n for n in near if n[0] == 0]
+        votes = {}
+        for d, t, *_ in zero or near:
+            votes[t] = votes.get(t, 0.0) + (1.0 if zero else 1 / d)
+        out[qy, qx] = votes
+    return out
+
+
+def city(r, n):
+    """A dense city, a few villages, one place with very many rows and one point far out."""
+    spot = lambda y, x, w: (round(y + r.gauss(0, w), 5), round(x + r.gauss(0, w), 5))
+    train = [(*spot(17.4, 78.4, 0.05), f"c{r.randrange(9)}") for _ in range(n)]
+    train += [(*spot(17 + v, 77.0, 0.3), "v") for v in range(3) for _ in range(20)] + [(17.41, 78.41, f"s{i % 7}") for i in range(300)]
+    return [*train, (0.0, 0.0, "far")]
+
+
+def test_neighbours_in_a_dense_city_with_a_far_point(spark):
+    from groundplan.scratch import Scratch
+
+    r = random.Random(9)
+    train = city(r, 3000)
+    asks = [t[:2] for t in r.sample(train, 60)] + [(r.uniform(17, 18), r.uniform(77, 79)) for _ in range(60)] + [(0.0, 0.0), (0.1, 0.0), (-60.0, 170.0), (17.41, 78.41), (17.4100001, 78.41)]
+    scratch = Scratch(spark, "test")
+    t = spark.createDataFrame(train + [(None, 1.0, "x"), (float("nan"), 1.0, "x")], "lat double, lon double, label string")
+    q = spark.createDataFrame(asks + asks[:9] + [(None, 2.0)], "lat double, lon double")
+    got = {(x.lat, x.lon): x.label for x in spatial.knn_vote(t, q, "lat", "lon", "label", 15, 32, scratch).collect()}
+    want = brute_knn(train, asks, 15)
+    assert set(got) == set(want)
+    assert all(votes[got[a]] >= max(votes.values()) * (1 - 1e-9) for a, votes in want.items())
+    # rows that are compared: a few leaves a query, not the city
+    near = spark.read.parquet(f"{scratch.root}/near")
+    leaves = [spark.read.parquet(f"{scratch.root}/leaves-{i}") for i in range(13) if (__import__("pathlib").Path(scratch.root.removeprefix("file:")) / f"leaves-{i}").exists()]
+    pairs = sum(near.join(x, ["step", "cx", "cy"]).count() for x in leaves)
+    assert len(leaves) > 4 and pairs < 250 * len(set(asks)) < len(train) * len(set(asks)) / 10
+
+
+def test_neighbours_of_few_points_and_one_place(spark):
+    make = lambda rows: spark.createDataFrame(rows, "lat double, lon double, label string")
+    q = spark.createDataFrame([(1.0, 1.0), (5.0, 5.0)], "lat double, lon double")
+    assert spatial.knn_vote(make([(1.0, 1.0, "a")] * 15), q, "lat", "lon", "label").count() == 0
+    same = spatial.knn_vote(make([(1.0, 1.0, "b")] * 20 + [(1.0, 1.0, "a")] * 21), q, "lat", "lon", "label").collect()
+    assert sorted((x.lat, x.label) for x in same) == [(1.0, "a"), (5.0, "a")]
+    assert spatial.knn_vote(make([(0.0, float(i), str(i)) for i in range(40)]), q, "lat", "lon", "label", 3, 4).count() == 2
+    assert spatial.knn_vote(make([]), q, "lat", "lon", "label").count() == 0
