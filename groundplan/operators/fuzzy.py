@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from groundplan.functions.text import name_key, pincode_key, token_sort
+from groundplan.scratch import Scratch
 
 BLOCKED, GLOBAL = 85.0, 90.0
 
@@ -57,18 +58,74 @@ def _best(scored: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
     return scored.filter(F.col("score") >= cutoff).groupBy(*keys).agg(F.max(F.struct("score", (-F.col("idx")).alias("i"))).alias("m")).select(*keys, F.col("m.score").alias("score"), (-F.col("m.i")).alias("idx"))
 
 
-def blocked_match(probes: DataFrame, names: DataFrame, cutoff: float = BLOCKED) -> DataFrame:
+#: Distinct names of a block from which on it is searched by segments instead of compared with all.
+LARGE_BLOCK = 512
+#: Similarities at which large blocks are searched first: a name that finds one there has its best.
+STEPS = (95.0, 85.0, 75.0)
+
+
+def _segments(x: DataFrame, here: str, there: str, cutoff: float) -> DataFrame:
+    """x with a row for each segment of a name: start and size of the i-th of tau + 1 even parts of length lt.
+
+    tau is the number of single insertions and deletions that the lengths ls and lt allow at the cutoff. `here` names the
+    length that is known, `there` the other, which takes all values that the cutoff allows.
+    """
+    least, most = F.ceil(F.col(here) * cutoff / (200.0 - cutoff) - 1e-9), F.floor(F.col(here) * (200.0 - cutoff) / cutoff + 1e-9)
+    x = x.withColumn(there, F.explode(F.sequence(F.greatest(least, F.lit(1)), most))).withColumn("tau", F.floor((100.0 - cutoff) * (F.col("ls") + F.col("lt")) / 100.0 + 1e-9))
+    start = lambda i: F.floor(i * F.col("lt") / (F.col("tau") + 1))
+    x = x.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), "tau")))
+    return x.withColumn("start", start(F.col("i"))).withColumn("size", start(F.col("i") + 1) - F.col("start"))
+
+
+def segment_candidates(probes: DataFrame, refs: DataFrame, cutoff: float) -> DataFrame:
+    """block, s, t: the pairs of probes (block, s) and refs (block, t) that may reach the cutoff; none that does is left out.
+
+    A similarity of the cutoff leaves at most tau single insertions and deletions between two names. Each of them touches one
+    of t's tau + 1 segments at most, so that one stands in s unchanged. What is inserted and deleted before it and after it
+    is tau at most, too, which bounds its place: by from (ls - lt - tau) / 2 to (ls - lt + tau) / 2 further on. Segments
+    are joined on their text, lengths and number. Where tau reaches a name's length, some segments are empty and all names of
+    that length are candidates: below a cutoff of about 70, little is gained.
+    """
+    key = lambda text: F.xxhash64("block", "ls", "lt", "i", text).alias("key")
+    r = _segments(refs.select("block", "t", F.length("t").cast("long").alias("lt")).filter("lt > 0"), "lt", "ls", cutoff)
+    r = r.select("block", "t", key(F.substr("t", F.col("start").cast("int") + 1, F.col("size").cast("int"))))
+    p = _segments(probes.select("block", "s", F.length("s").cast("long").alias("ls")).filter("ls > 0"), "ls", "lt", cutoff)
+    apart = F.col("ls") - F.col("lt")
+    p = p.withColumn("at", F.explode(F.sequence(F.ceil((apart - F.col("tau")) / 2), F.floor((apart + F.col("tau")) / 2)))).withColumn("at", F.col("start") + F.col("at"))
+    p = p.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("ls")))
+    p = p.select("block", "s", key(F.substr("s", F.col("at").cast("int") + 1, F.col("size").cast("int")))).distinct()
+    return p.join(r, ["block", "key"]).select("block", "s", "t").distinct()
+
+
+def blocked_match(probes: DataFrame, names: DataFrame, cutoff: float = BLOCKED, large: int = LARGE_BLOCK, scratch: Scratch | None = None) -> DataFrame:
     """name, block, score, idx of probes (name, block) among names (idx, ref, block) of the same block; null is no block.
 
     Equal names of a block are one, and each pair of different names is scored once, in however many blocks it meets.
+    Blocks of few names are compared with all of their probes. In large ones candidates come from an index of segments, at
+    falling similarities: a probe that has a hit at one of STEPS has its best there and goes no further.
     """
-    p = probes.filter(F.col("block").isNotNull()).withColumn("s", token_sort("name"))
+    scratch = scratch or Scratch(probes.sparkSession, "blocked")
+    p = scratch.save(probes.filter(F.col("block").isNotNull()).withColumn("s", token_sort("name")), "probes")
     r = names.filter(F.col("block").isNotNull()).withColumn("t", token_sort("ref")).groupBy("block", "t").agg(F.min("idx").alias("idx"))
+    r = scratch.save(r, "names")
+    hot = r.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= large).select("block")
     fits = length_bound(F.col("s"), F.col("t"), cutoff)
-    met = p.select("s", "block").distinct().join(r.select("t", "block"), "block").filter(fits).select("s", "t").distinct()
-    scored = met.withColumn("score", ratio_udf("s", "t")).filter(F.col("score") >= cutoff)
-    pairs = p.join(r, "block").filter(fits).join(scored, ["s", "t"])
-    return _best(pairs, ["name", "block"], cutoff)
+    asks = p.select("s", "block").distinct()
+    met = asks.join(r.join(hot, "block", "left_anti").select("t", "block"), "block").filter(fits).select("s", "t").distinct()
+    scored = scratch.save(met.withColumn("score", ratio_udf("s", "t")).filter(F.col("score") >= cutoff), "few")
+    best = _best(p.join(r.join(hot, "block", "left_anti"), "block").filter(fits).join(scored, ["s", "t"]), ["name", "block"], cutoff)
+    hot = scratch.save(hot, "hot")
+    if hot.isEmpty():
+        return best
+    todo, refs = asks.join(hot, "block"), r.join(hot, "block")
+    for k, least in enumerate([*(x for x in STEPS if x > cutoff), cutoff]):
+        todo = scratch.save(todo, f"todo-{k}")
+        near = scratch.save(segment_candidates(todo, refs.select("block", "t"), least), f"near-{k}")
+        pairs = near.select("s", "t").distinct().withColumn("score", ratio_udf("s", "t")).filter(F.col("score") >= least)
+        pairs = scratch.save(near.join(pairs, ["s", "t"]), f"scored-{k}")
+        best = best.unionByName(_best(p.join(todo, ["s", "block"]).join(pairs, ["s", "block"]).join(refs, ["block", "t"]), ["name", "block"], least))
+        todo = todo.join(pairs.select("s", "block").distinct(), ["s", "block"], "left_anti")
+    return best
 
 
 def _grams(s: Column) -> Column:

@@ -220,3 +220,42 @@ def test_neighbours_of_few_points_and_one_place(spark):
     assert sorted((x.lat, x.label) for x in same) == [(1.0, "a"), (5.0, "a")]
     assert spatial.knn_vote(make([(0.0, float(i), str(i)) for i in range(40)]), q, "lat", "lon", "label", 3, 4).count() == 2
     assert spatial.knn_vote(make([]), q, "lat", "lon", "label").count() == 0
+
+
+def names_of(r, n):
+    words = [f"{a}{b}{c}" for a in ("SRI", "GREEN", "LAKE", "MY", "PEARL", "ROYAL") for b in ("", "VALLEY", "HOME", "NEST", "PARK") for c in ("", "S", "TOWER")]
+    return [" ".join(r.choice(words) for _ in range(r.randint(1, 4))) + f" {r.randrange(40)}" for _ in range(n)]
+
+
+def typo(r, s):
+    for _ in range(r.randint(0, 4)):
+        i = r.randrange(len(s) + 1)
+        s = s[:i] + r.choice(["", "A", "Z"]) + s[i + r.randint(0, 1) :]
+    return s
+
+
+@pytest.mark.parametrize("cutoff", [85.0, 60.0])
+def test_large_blocks_match_as_all_pairs(spark, cutoff):
+    """One hot code by the index of segments, against comparing all; pairs that are scored are few."""
+    from groundplan.scratch import Scratch
+
+    r = random.Random(11)
+    refs = names_of(r, 500)
+    asks = [typo(r, r.choice(refs)) for _ in range(120)] + names_of(r, 30) + ["A", "QQ", "", "X" * 60]
+    n = spark.createDataFrame([(i, t, "hot" if i % 10 else "small") for i, t in enumerate(refs)], "idx long, ref string, block string")
+    p = spark.createDataFrame([(a, b) for a in set(asks) for b in ("hot", "small", None)], "name string, block string")
+    scratch = Scratch(spark, "test")
+    got = sorted(map(tuple, fuzzy.blocked_match(p, n, cutoff, large=200, scratch=scratch).collect()))
+    assert got == sorted(map(tuple, fuzzy.blocked_match(p, n, cutoff, large=10**6).collect())) and len(got) > 100
+    if cutoff == 85.0:
+        all_pairs = len(set(asks)) * len(set(refs[i] for i in range(500) if i % 10))
+        assert sum(spark.read.parquet(f"{scratch.root}/near-{k}").count() for k in range(2)) < all_pairs / 8
+
+
+def test_segments_lose_no_pair(spark):
+    r = random.Random(12)
+    made = ["".join(r.choice("ab ") for _ in range(r.randint(1, 14))).strip() or "a" for _ in range(60)]
+    x = spark.createDataFrame([("b", s) for s in set(made)], "block string, s string")
+    for cutoff in (60.0, 72.5, 85.0, 95.0):
+        found = {(c.s, c.t) for c in fuzzy.segment_candidates(x, x.withColumnRenamed("s", "t"), cutoff).collect()}
+        assert {(a, b) for a in set(made) for b in set(made) if fuzzy.ratio(a, b) >= cutoff} <= found
