@@ -259,3 +259,33 @@ def test_segments_lose_no_pair(spark):
     for cutoff in (60.0, 72.5, 85.0, 95.0):
         found = {(c.s, c.t) for c in fuzzy.segment_candidates(x, x.withColumnRenamed("s", "t"), cutoff).collect()}
         assert {(a, b) for a in set(made) for b in set(made) if fuzzy.ratio(a, b) >= cutoff} <= found
+
+
+def test_order_keys_are_the_bits_of_doubles(spark):
+    import struct
+
+    from groundplan.operators import quantiles as q
+
+    r = random.Random(13)
+    odd = [0.0, -0.0, 1.0, 2.0, 0.5, 1 - 2**-53, 1 + 2**-52, math.inf, -math.inf, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 2.0**-1000, 2.0**-1021, 1.7976931348623157e308, -1e-310, 1e-305, 3.3e-301, 0.1]
+    values = odd + [2.0**e for e in range(-1074, 1024, 7)] + [math.nextafter(2.0**e, 0) for e in range(-1000, 1023, 11)] + [struct.unpack("d", struct.pack("Q", r.getrandbits(64)))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    x = spark.createDataFrame([(v,) for v in values], "v double").select("v", q.order_key(F.col("v")).alias("k")).withColumn("back", q.key_value(F.col("k"))).collect()
+    for row in x:
+        bits = struct.unpack("q", struct.pack("d", abs(row.v)))[0]
+        assert row.k == (-bits if row.v < 0 else bits) and row.back == row.v
+
+
+def test_quantiles_against_numpy_without_shuffling_values(spark):
+    from groundplan.operators import quantiles as q
+
+    r = random.Random(14)
+    data = [(r.choice(["a", "b", None]), r.choice([r.gauss(0, 1), r.lognormvariate(3, 4), -1e9, 7.0, 1e-320, None, math.nan, 5e8 + r.random() * 1e-6])) for _ in range(4000)]
+    df = spark.createDataFrame([*data, ("one", 2.5), ("none", None)], "g string, v double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.777, 0.99, 1.0]
+    got = {x.g: x["values"] for x in q.quantiles(df, ["v"], qs, "g").collect()}
+    real = lambda g: [v for k, v in data if k == g and v is not None and v == v]
+    assert set(got) == {"a", "b", "one"} and got["one"] == [2.5] * 7
+    for g in "ab":
+        assert np.allclose(got[g], np.quantile(real(g), qs), rtol=1e-12, atol=0)
+    assert q.quantiles(df.limit(0), ["v"], qs).count() == 0
