@@ -8,7 +8,9 @@ is used as E^-1(E(x) + 1), which has no fixed points.
 
 Kept: a card's first digit, length and valid check digit; a phone's country code and punctuation; an IBAN's country,
 letters and digits at their places, check digits valid; an e-mail's domain; the case and kind of each character of an
-identifier or secret; a date's notation. Numbers and dates that fail validation are left alone. A phone number is one value
+identifier or secret, punctuation included (letters beyond Latin, Greek and Cyrillic stay, too); a date's notation. A secret reaches
+to the next white space or quote. Numbers and dates that fail validation are left alone, and so are ten bare digits, which are as
+often no phone. A phone number is one value
 however it is written: country code and national digits count, +1 where none is written. Secrets have no greatest length;
 their characters are permuted in stretches of STRETCH, each by its number.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,6 +46,12 @@ CODES_2 = frozenset(
     "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 )
 _LOW, _UP, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Other letters that are permuted among their like: Latin-1 and Latin Extended-A, Greek, Cyrillic, small and capital.
+_LETTERS = [
+    "".join(c for c in map(chr, range(lo, hi)) if c.isalpha() and c.islower() == small and c.isupper() != small and len(c.lower()) == len(c.upper()) == 1 and c.lower().upper().lower() == c.lower())
+    for lo, hi in ((0xC0, 0x180), (0x370, 0x400), (0x400, 0x460))
+    for small in (True, False)
+]
 
 
 class Feistel:
@@ -138,6 +147,8 @@ class Pseudonyms:
         digits = [int(c) for c in every[len(code) :]]
         if not 7 <= len(digits) <= 12:
             return None
+        if s[0] == "0":  # a national prefix stays
+            return refill(s, [0, *self.mixed("phone0", digits[1:], [10] * (len(digits) - 1))])
         first, lowest = (8, 2) if digits[0] >= 2 else (2, 0)
         new = self.mixed(f"phone+{code or '1'}", [digits[0] - lowest, *digits[1:]], [first, *[10] * (len(digits) - 1)])
         return refill(s, [*map(int, code), new[0] + lowest, *new[1:]])
@@ -151,6 +162,12 @@ class Pseudonyms:
 
     def iban(self, m: re.Match) -> str | None:
         s = m["iban"]
+        if s.islower():
+            new = self._iban(s.upper())
+            return new and new.lower()
+        return self._iban(s)
+
+    def _iban(self, s: str) -> str | None:
         flat = s.replace(" ", "")
         if not 15 <= len(flat) <= 34 or mod97(flat[4:] + flat[:4]) != 1:
             return None
@@ -187,7 +204,8 @@ class Pseudonyms:
 
     def email(self, m: re.Match) -> str | None:
         local, _, domain = m["email"].partition("@")
-        new = self.characters(f"email@{domain.lower()}", local.lower(), [_LOW, _DIGIT])
+        small = "".join(c.lower() if len(c.lower()) == 1 else c for c in local)
+        new = self.characters(f"email@{domain.lower()}", small, [_LOW, _DIGIT, *_LETTERS])
         return f"{new}@{domain}" if new != local else None
 
     def access_key(self, m: re.Match) -> str | None:
@@ -198,7 +216,7 @@ class Pseudonyms:
         s = m["secret"]
         if re.fullmatch("[0-9a-f]+", s):
             return self.characters("secret", s, ["0123456789abcdef"])
-        new = self.characters("secret", s, [_LOW, _UP, _DIGIT])
+        new = self.characters("secret", s, [_LOW, _UP, _DIGIT, *_LETTERS])
         return new if new != s else None
 
     def replace(self, text: str, found: Counter | None = None) -> str:
@@ -217,15 +235,15 @@ class Pseudonyms:
 
 PATTERN = re.compile(
     r"""
-      (?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})(?![\w-])
+      (?<![\w.%+À-ɏͰ-ӿ-])(?P<email>[A-Za-z0-9À-ɏͰ-ӿ][A-Za-z0-9._%+À-ɏͰ-ӿ-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})(?![\w-])
     | (?<![\w])(?P<access_key>(?:AKIA|ASIA)[A-Z0-9]{16})(?![\w])
-    | (?i:\b(?:pass(?:word|wd)|token|secret|api[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?)(?P<secret>[A-Za-z0-9_+/.-]{6,}[A-Za-z0-9_+/-])
-    | (?<![\w])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![\w])
+    | (?i:\b(?:pass(?:word|wd)|token|secret|api[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?)(?P<secret>[^\s"'<>]{6,}[^\s"'<>.,;:!?)\]}])
+    | (?<![\w])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?|[a-z]{2}[0-9]{2}[a-z0-9]{11,30})(?![\w])
     | (?<![\w.-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
     | (?<![\w./-])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{4}/[0-9]{2}/[0-9]{2})(?![\w/-]|\.[0-9])
     | (?<![\w.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])
     | (?<![\w+])(?P<card>[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w]|-[0-9])
-    | (?<![\w])(?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[2-9][0-9]{2}[.-][0-9]{3}[.-][0-9]{4})(?![\w]|-[0-9])
+    | (?<![\w])(?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|0[0-9]{1,4}[ .-][0-9]{3,4}[ .-][0-9]{3,4}|[2-9][0-9]{2}[.-][0-9]{3}[.-][0-9]{4})(?![\w]|-[0-9])
     """,
     re.VERBOSE | re.ASCII,
 )
@@ -254,8 +272,11 @@ def refill(form: str, digits: list[int]) -> str:
 
 
 def session_key(spark: SparkSession) -> bytes:
-    """The key that the session's KEY_SETTING holds; the demonstration key where it is unset."""
-    return spark.conf.get(KEY_SETTING, "").encode() or DEMO_KEY
+    """The key that the session's KEY_SETTING holds; the demonstration key where it is unset, with a warning."""
+    key = spark.conf.get(KEY_SETTING, "").encode()
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is unset: pseudonyms are made with a key that everybody has, and can be undone", stacklevel=2)
+    return key or DEMO_KEY
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", counts: str | None = None, step: int = 1) -> DataFrame:

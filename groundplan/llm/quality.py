@@ -205,7 +205,10 @@ def train(x: np.ndarray, y: np.ndarray, n_trees: int = 24, depth: int = 3, penal
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", max_rows: int = 12_000, target: str = "quality") -> DataFrame:
-    """y and the struct of measures of at most max_rows labelled documents that aren't held out, by the hashes of their ids."""
+    """y and the struct of measures of at most max_rows labelled documents that aren't held out, by the hashes of their ids.
+
+    Of rows with one id, the one whose text has the smallest hash.
+    """
     chosen = (
         labels.select(F.col("doc_id"), F.col(target).cast("int").alias("y"))
         .filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
@@ -217,7 +220,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", max_ro
         .limit(max_rows)
     )
     texts = docs.select("doc_id", F.col(text).cast("string").alias("text"))
-    return measures(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), "text").select("doc_id", "y", "measures")
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return measures(one, "text").select("doc_id", "y", "measures")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_rows: int = 12_000, **how) -> Model:

@@ -43,11 +43,14 @@ DERIVED = (
     "source string, record_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, "
     "content_type string, content_length long, block_digest string, source_block_digest string, source_payload_digest string, block string"
 )
-_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>|</head\s*>", re.I | re.S)
+_HIDDEN = re.compile(r"<!--|<(/?)(script|style|noscript|template|head)\b", re.I)
+_CLOSED = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*'|["'])*+)>|<![^<>]*>|<\?[^<>]*>""")
 _HREF = re.compile(r"""\b(?:href|src)\s*=\s*(?:"([^"<]*)"|'([^'<]*)'|([^\s"'<>]+))""", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
+_REST = re.compile(r"\s*>")
+_TITLE = re.compile(r"<title\b", re.I)
 _CHARSET = re.compile(r"""charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
+_HEX = re.compile(rb"[0-9A-Fa-f]{1,16}")
 BLOCKS = frozenset(
     "address article aside blockquote br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
@@ -89,7 +92,10 @@ def unchunked(body: bytes) -> bytes:
         end = body.find(b"\r\n", at)
         if end < 0:
             raise ValueError("a chunk has no size")
-        size = int(body[at:end].split(b";")[0], 16)
+        written = body[at:end].split(b";")[0].strip()
+        if not _HEX.fullmatch(written):
+            raise ValueError("a chunk's size is no hexadecimal number")
+        size = int(written, 16)
         if not size:
             return b"".join(out)
         out.append(body[end + 2 : end + 2 + size])
@@ -134,17 +140,55 @@ def decode(body: bytes, headers: list[tuple[str, str]]) -> str:
     found = _CHARSET.search(kind) or _CHARSET.search(body[:1024].decode("latin-1"))
     try:
         return body.decode(found[1] if found else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, UnicodeError):  # no such encoding, or one that isn't for texts
         return body.decode("utf-8", "replace")
 
 
+def shown(source: str) -> str:
+    """A page without comments, scripts and the like, and the tags of its head, in one scan forward.
+
+    What isn't closed reaches to the end. A tag that never ends is text.
+    """
+    out, at, pos, ends = [], 0, 0, True
+    while m := _HIDDEN.search(source, pos):
+        name = (m[2] or "").lower()
+        if not name:
+            end = source.find("-->", m.end())
+            to = end + 3 if end >= 0 else len(source)
+        else:
+            if m[1]:  # of closing tags, only the head's own
+                rest = _REST.match(source, m.end()) if name == "head" else None
+                end = rest.end() - 1 if rest else -1
+            else:
+                end = source.find(">", m.end()) if ends else -1
+                ends = end >= 0  # none further on, either
+            if end < 0:
+                pos = m.end()
+                continue
+            to = end + 1
+            if name != "head":
+                closed = _CLOSED[name].search(source, to)
+                to = closed.end() if closed else len(source)
+        out.append(source[at : m.start()])
+        at = pos = to
+    return "".join([*out, source[at:]])
+
+
+def title(source: str) -> str | None:
+    """What stands between the first title tag and the next closing one."""
+    m = _TITLE.search(source)
+    end = source.find(">", m.end()) if m else -1
+    closed = _CLOSED["title"].search(source, end + 1) if end >= 0 else None
+    return source[end + 1 : closed.start()] if closed else None
+
+
 def plain_text(source: str) -> str:
     """Visible text: a line for each block, white space collapsed, entities resolved after the tags are gone."""
 
     def tag(m: re.Match) -> str:
         return "\n" if m[2] and m[2].lower() in BLOCKS else ""
 
-    text = html.unescape(_TAG.sub(tag, _DROP.sub("", re.sub(r"[\t\r\n\f ]+", " ", source))))
+    text = html.unescape(_TAG.sub(tag, shown(re.sub(r"[\t\r\n\f ]+", " ", source))))
     lines = (" ".join(line.split()) for line in text.split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -152,7 +196,7 @@ def plain_text(source: str) -> str:
 def links(source: str) -> list[tuple[str, str]]:
     """(tag, URL) of all tags with href or src, in order."""
     out = []
-    for m in _TAG.finditer(_DROP.sub("", source)):
+    for m in _TAG.finditer(shown(source)):
         if m[3] and not m[1] and (h := _HREF.search(m[3])):
             out.append((m[2].lower(), html.unescape(h[1] or h[2] or h[3] or "")))
     return out
@@ -166,13 +210,13 @@ def derive_one(source: str | None, uri: str | None, date: str | None, block: byt
     plain = unpacked(body, headers)
     kind = text_kind(headers, plain) if plain is not None else ""
     page = decode(plain, headers) if kind else ""
-    title = _TITLE.search(page) if kind == "html" else None
+    named = title(page) if kind == "html" else None
     found = links(page) if kind == "html" else []
     text = plain_text(page) if kind == "html" else page
     meta = {
         "source": {"WARC-Record-ID": source, "WARC-Target-URI": uri, "WARC-Date": date, "WARC-Block-Digest": of_block, "WARC-Payload-Digest": of_body, "Content-Length": len(block)},
         "http": {"status": status, "headers": [list(h) for h in headers]},
-        "html": {"title": " ".join(html.unescape(title[1]).split()) if title else None, "links": [{"tag": t, "url": u} for t, u in found], "text_characters": len(text)},
+        "html": {"title": None if named is None else " ".join(html.unescape(named).split()), "links": [{"tag": t, "url": u} for t, u in found], "text_characters": len(text)},
     }
     out = []
     for i, (what, mime, content) in enumerate((("metadata", "application/json", json.dumps(meta, ensure_ascii=False)), ("conversion", "text/plain; charset=utf-8", text))):
@@ -244,6 +288,12 @@ def parse_headers(lines: list[bytes]) -> dict[str, str]:
     return out
 
 
+def content_length(headers: dict[str, str]) -> int | None:
+    """The length of a record's block, none written being 0; None if it isn't a number."""
+    written = headers.get("content-length") or "0"
+    return int(written) if written.isascii() and written.isdigit() and len(written) < 19 else None
+
+
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (lower-case names) and block of each record of an uncompressed stream; a cut last record ends it."""
     while True:
@@ -256,7 +306,9 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             lines.append(line)
         headers = parse_headers(lines)
-        size = int(headers.get("content-length", "0") or 0)
+        size = content_length(headers)
+        if size is None:  # a broken record: go on at the next line that opens one
+            continue
         block = stream.read(size)
         if len(block) < size:
             return
@@ -285,7 +337,11 @@ class _Joiner:
                 self.headers, self.parts = parse_headers(head.split(b"\r\n")[1:]), [block]
             else:
                 self.parts.append(value)
-            size = int(self.headers.get("content-length") or 0)
+            size = content_length(self.headers)
+            if size is None:  # a broken record: what follows it is read anew
+                rest, self.headers = self.parts[1:], None
+                waiting += rest[::-1]
+                continue
             if sum(map(len, self.parts)) + len(_OPENS) * (len(self.parts) - 1) < size:
                 continue
             block, headers, rest = _OPENS.join(self.parts), self.headers, self.parts[1:]
