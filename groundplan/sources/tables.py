@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from groundplan.functions.json_html import flatten_sections
 from groundplan.functions.text import blank_to_null, col, pincode_key, repair_url, url_domain
 from groundplan.operators.rows import reindex
 from groundplan.operators.spatial import valid_zone
+from groundplan.sources import csv_split
 from groundplan.schema import COLUMNS, LISTING, NUMERIC_COLS, REGISTRY
 
 RECORD = (
@@ -23,9 +25,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, blanks null, header names trimmed and without a byte-order mark."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
+    """All columns as text, blanks null, header names trimmed and without a byte-order mark.
+
+    Spark reads a file with quoted line breaks in one task. split: cut files between tasks, with equal rows (csv_split); by
+    default if they are larger than one of Spark's partitions.
+    """
+    if split is None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        largest = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        split = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() > largest
+    df = csv_split.read(spark, path) if split else spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     df = df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])
     return df.select([blank_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
@@ -94,7 +104,7 @@ def flatten_records(records: DataFrame, district: str | None = None, most: int =
 def load_zones(spark: SparkSession, paths: list[str], missing_ok: bool = False) -> DataFrame | None:
     """zone_id, pincode, district, rings of GeoJSON features that have a code and a valid geometry.
 
-    A missing file is an error, or is skipped with missing_ok; None if nothing is left.
+    zone_id follows the order of the paths, of the files of a folder by name, and of the features of a file. A missing file is an error, or is skipped with missing_ok; None if nothing is left.
     """
     there = [p for p in paths if exists(spark, p)]
     if not there:
@@ -107,7 +117,10 @@ def load_zones(spark: SparkSession, paths: list[str], missing_ok: bool = False)
     props = T.MapType(T.StringType(), T.StringType())
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("properties", props), T.StructField("geometry", geometry)])))])
-    f = spark.read.schema(schema).option("multiLine", True).json(there).select(F.posexplode("features").alias("zone_id", "f"))
+    read = spark.read.schema(schema).option("multiLine", True)
+    features = reduce(DataFrame.union, [read.json(p).select(F.lit(i).alias("nth"), F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("place", "f")) for i, p in enumerate(there)])
+    files = features.select("nth", "file").distinct().withColumn("number", F.row_number().over(Window.orderBy("nth", "file")) - 1)
+    f = features.join(files, ["nth", "file"]).select((F.col("number").cast("long") * (1 << 32) + F.col("place")).alias("zone_id"), "f")
     one = F.from_json("f.geometry.coordinates", T.ArrayType(T.ArrayType(point)))
     many = F.flatten(F.from_json("f.geometry.coordinates", T.ArrayType(T.ArrayType(T.ArrayType(point)))))
     lists = F.when(F.col("f.geometry.type") == "MultiPolygon", many).otherwise(one)
