@@ -199,6 +199,45 @@ def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch:
     return lists, texts
 
 
+def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, maps: DataFrame, scratch: Scratch) -> DataFrame:
+    """nodes, others: the blocks of long lists that are compared.
+
+    Texts that are much alike meet in many lists. So each node has a home, the most common of its lists' pivots, and the nodes
+    of a home are dealt to blocks once; two blocks that meet in several lists are compared once, as a whole. A list whose
+    members are thinly spread over such blocks has blocks of its own.
+    """
+    at = ("home", "tag", "probe", "part")
+    dealt = lambda of: F.pmod(F.xxhash64("node"), F.ceil(F.col(of) / BLOCK).cast("long")).alias("part")
+    tag = lambda n: F.when(F.col(n) >= 32, F.col("label")).otherwise(F.lit(-1)).alias("tag")
+    packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
+    order = lambda end: F.struct(*[F.col(c + end) for c in at])
+    once = (F.col("probe") | F.col("probe_")) & (order("") <= order("_")) & ((F.col("tag") != F.col("tag_")) | (F.col("tag") == -1))
+
+    homes = wide.groupBy("node", "label").agg(F.max(F.struct("score", "home")).alias("h"), F.max("probe").alias("probe")).select("node", "label", "h.home", "probe")
+    homes = scratch.save(homes, "homes")
+    sized = homes.groupBy("home", "label", "probe").agg(F.count(F.lit(1)).alias("n")).withColumn("tag", tag("n"))
+    room = sized.groupBy("home", "tag", "probe").agg(F.sum("n").alias("of"))
+    placed = homes.join(_merge(sized.select("home", "label", "probe", "tag")), ["home", "label", "probe"]).join(_merge(room), ["home", "tag", "probe"])
+    placed = scratch.save(placed.select("node", "label", "home", "tag", "probe", dealt("of")), "placed")
+    seen = scratch.save(wide.select("token", "node").join(_merge(placed.select("node", *at)), "node").groupBy("token", *at).agg(F.count(F.lit(1)).alias("m")), "seen")
+    full = scratch.save(seen.groupBy("token").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("h")).filter(F.col("h") * BLOCK <= 4 * F.col("m") + BLOCK).select("token"), "full")
+    here = seen.join(_merge(full), "token").select("token", *at)
+    there = here.select("token", *[F.col(c).alias(c + "_") for c in at])
+    met = scratch.save(here.join(_merge(there), "token").filter(once).select(*at, *[c + "_" for c in at]).distinct(), "met")
+    used = met.select(*at).union(met.select(*[F.col(c + "_").alias(c) for c in at])).distinct()
+    whole = placed.join(_merge(used), list(at), "left_semi").join(_merge(maps), "node").groupBy(*at).agg(packed)
+    whole = scratch.save(whole, "whole")
+    other = whole.select(*[F.col(c).alias(c + "_") for c in at], F.col("nodes").alias("others"))
+    shared = met.join(_merge(whole), list(at)).join(_merge(other), [c + "_" for c in at]).select("nodes", "others")
+
+    thin = long.join(_merge(full), "token", "left_anti")
+    sizes = counts.join(_merge(thin), "token").select("token", "label", tag("n"), F.when(F.col("n") >= 32, F.col("n")).otherwise(F.col("few")).alias("of"))
+    alone = wide.join(_merge(sizes), ["token", "label"]).select(F.col("token").alias("home"), "tag", "probe", dealt("of"), "node", "label")
+    alone = scratch.save(alone.join(_merge(maps), "node").groupBy(*at).agg(packed), "alone")
+    other = alone.select("home", F.col("home").alias("home_"), *[F.col(c).alias(c + "_") for c in at[1:]], F.col("nodes").alias("others"))
+    return shared.union(alone.join(_merge(other), "home").filter(once).select("nodes", "others"))
+
+
 def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b, extra) of rows (token, node, label, size, extra, probe) with different labels and a probe among them in one list.
 
@@ -218,16 +257,8 @@ def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> Da
     long = mixed.filter(F.col("members") > SHORT)
     if long.isEmpty():
         return pairs
-    big = F.col("n") >= 32
-    sizes = counts.join(_merge(long), "token").select("token", "label", F.when(big, F.col("label")).otherwise(F.lit(-1)).alias("tag"), F.when(big, F.col("n")).otherwise(F.col("few")).alias("of"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("of") / BLOCK).cast("long")).alias("part")
-    dealt = scratch.save(rows.join(_merge(sizes), ["token", "label"]).select("token", "tag", "probe", part, "node", "label", "extra"), "dealt")
-    packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
-    blocks = scratch.save(dealt.join(_merge(maps), "node").groupBy("token", "tag", "probe", "part").agg(packed), "blocks")
-    other = blocks.select("token", F.col("tag").alias("tag_"), F.col("probe").alias("probe_"), F.col("part").alias("part_"), F.col("nodes").alias("others"))
-    order = lambda end: F.struct(*[F.col(c + end) for c in ("tag", "probe", "part")])
-    once = (F.col("probe") | F.col("probe_")) & (order("") <= order("_")) & ((F.col("tag") != F.col("tag_")) | (F.col("tag") == -1))
-    met = blocks.join(_merge(other), "token").filter(once).select("nodes", "others")
+    wide = rows.join(_merge(long.select("token")), "token")
+    met = _blocks_of_lists(counts, long, wide, maps, scratch)
     least = percent / 100
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +296,10 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -
     maps = scratch.save(minhash.bitmaps(texts, sets), "bitmaps")
     check = lambda pairs: _verified(scratch.save(_possible(pairs, maps, percent), f"possible-{uuid.uuid4().hex}"), texts, percent)
     labels = components(scratch.save(check(star), "links-1"), scratch, "cc1")
-    labelled = scratch.save(_relabelled(rows.drop("p1", "p2", "score", "lowest"), labels), "labelled")
+    labelled = scratch.save(_relabelled(rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score")), labels), "labelled")
     scratch.drop("lists", "rows")
     links = scratch.save(check(_met(labelled, maps, percent, scratch)), "links-2")
-    scratch.drop("labelled", "mixed", "dealt", "blocks", "texts", "bitmaps")
+    scratch.drop("labelled", "mixed", "homes", "placed", "seen", "full", "met", "whole", "alone", "texts", "bitmaps")
     if links.isEmpty():
         return labels
     for n in "ab":

@@ -86,7 +86,7 @@ def got(spark, rows, **more):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_pairs(spark, monkeypatch, seed):
-    for name, value in (("COMMON", 6), ("SHORT", 4)):
+    for name, value in (("COMMON", 6), ("SHORT", 4), ("BLOCK", 8)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(seed)
     rows += [(None, rows[0][1]), (None, "no id here at all"), rows[1], rows[1], (rows[2][0], "same id, other text " * 5)]
