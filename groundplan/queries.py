@@ -601,4 +601,4 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(f"{scratch.root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-from groundplan import queries_io  # noqa: E402, F401  registers its queries
+from groundplan import queries_io, queries_stream  # noqa: E402, F401  register their queries

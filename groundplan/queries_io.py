@@ -446,16 +446,29 @@ def ratio_sql(a: str, b: str) -> str:
     return f"200.0 * (length({a}) - bit_count({left})) / (length({a}) + length({b}))"
 
 
-@query(f"""WITH p AS (SELECT DISTINCT string_split(p_name, ' ')[-1] || ' ' || p_name AS name, p_brand AS block FROM part), r AS (SELECT p_name AS ref, p_brand AS block, min(p_partkey) AS idx FROM part GROUP BY 1, 2),
+BLOCKED_SQL = f"""WITH p AS (SELECT DISTINCT string_split(p_name, ' ')[-1] || ' ' || p_name AS name, p_brand AS block FROM part), r AS (SELECT p_name AS ref, p_brand AS block, min(p_partkey) AS idx FROM part GROUP BY 1, 2),
 k AS (SELECT name, block, {SORTED.format("name")} AS s FROM p), t AS (SELECT idx, block, {SORTED.format("ref")} AS t FROM r),
 d AS (SELECT s, t, {ratio_sql("s", "t")} AS score FROM (SELECT DISTINCT s, t FROM k JOIN t USING (block)) WHERE 200.0 * least(length(s), length(t)) >= 60 * (length(s) + length(t))),
 m AS (SELECT name, k.block, score, idx, row_number() OVER (PARTITION BY name, k.block ORDER BY score DESC, idx) AS n FROM k JOIN t USING (block) JOIN d USING (s, t) WHERE score >= 60)
-SELECT name, block, round(score, 6)::DOUBLE AS score, idx FROM m WHERE n = 1""")
+SELECT name, block, round(score, 6)::DOUBLE AS score, idx FROM m WHERE n = 1"""
+
+
+@query(BLOCKED_SQL)
+def token_sort_match_segments(spark, sf):
+    """The same, with every block searched by the index of segments."""
+    return _blocked(spark, sf, 1)
+
+
+@query(BLOCKED_SQL)
 def token_sort_match_blocked(spark, sf):
     """Names with a word repeated, against the registry of the same block, from 60."""
+    return _blocked(spark, sf, fuzzy.LARGE_BLOCK)
+
+
+def _blocked(spark, sf, large):
     reg = table(spark, sf, "part").groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("idx")).select("idx", F.col("p_name").alias("ref"), F.col("p_brand").alias("block"))
     p = table(spark, sf, "part").select(F.concat(F.element_at(F.split("p_name", " "), -1), F.lit(" "), F.col("p_name")).alias("name"), F.col("p_brand").alias("block")).distinct()
-    return fuzzy.blocked_match(p, reg, 60.0).select("name", "block", r6("score").alias("score"), "idx")
+    return fuzzy.blocked_match(p, reg, 60.0, large).select("name", "block", r6("score").alias("score"), "idx")
 
 
 EDITED = "CASE p_partkey % 3 WHEN 0 THEN p_name || 's' WHEN 1 THEN replace(p_name, 'a', '') ELSE substr(p_name, 2) || ' tower' END"
@@ -558,17 +571,14 @@ def modelling_table(spark, sf):
 @query("""SELECT event_type, window_start, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS window_start FROM events) GROUP BY 1, 2""")
 def windowed_stream(spark, sf):
     """Event-time windows with a watermark over a stream of files; the last windows close as the stream ends in complete mode."""
-    from groundplan.streaming.ingest import file_stream, windowed_counts
+    from groundplan.streaming.ingest import file_stream, latest_to, windowed_counts
 
     scratch = Scratch(spark, "windows")
     events = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     scratch.save(events, "arrived")
     counted = windowed_counts(file_stream(spark, f"{scratch.root}/arrived", "parquet", events.schema), "ts", "event_type", "value", "1 day", "1 day")
-    name = f"windows_{scratch.root[-12:]}"
-    q = counted.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{scratch.root}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    x = scratch.save(spark.table(name), "result")
-    spark.catalog.dropTempView(name)
+    latest_to(counted, f"{scratch.root}/result", f"{scratch.root}/checkpoint").awaitTermination()
+    x = spark.read.parquet(f"{scratch.root}/result")
     return x.select("event_type", F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
 
 
@@ -632,7 +642,7 @@ def fetched_pages(spark, sf):
 UNION ALL SELECT 'watched', 'a.png', sum(length(p_name) + 1)::BIGINT FROM part UNION ALL SELECT 'watched', 'b.jpeg', sum(length(s_name) + 1)::BIGINT FROM supplier""")
 def image_files(spark, sf):
     """Image files of a folder, listed at once and as a stream of files as they appear; others are left out."""
-    from groundplan.streaming.ingest import watch_images
+    from groundplan.streaming import settle
 
     scratch = Scratch(spark, "images")
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -642,10 +652,10 @@ def image_files(spark, sf):
         table(spark, sf, source).select(column).coalesce(1).write.text(f"{scratch.root}/{name}")
         (written,) = [f.getPath() for f in fs.listStatus(path(f"{scratch.root}/{name}")) if f.getPath().getName().startswith("part-")]
         fs.rename(written, path(f"{scratch.root}/in/{name}"))
-    stream = f"images_{scratch.root[-12:]}"
-    watch_images(spark, f"{scratch.root}/in").select("path", "length").writeStream.format("memory").queryName(stream).option("checkpointLocation", f"{scratch.root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    seen = scratch.save(spark.table(stream), "seen")
-    spark.catalog.dropTempView(stream)
+    for number in range(2):  # a file is passed on when a second look finds its length unchanged
+        settle.look(spark, f"{scratch.root}/in", f"{scratch.root}/looks", number)
+    settle.watch(settle.settled(spark, f"{scratch.root}/looks"), lambda batch, number: batch.write.mode("overwrite").parquet(f"{scratch.root}/seen/batch={number}"), f"{scratch.root}/checkpoint").awaitTermination()
+    seen = spark.read.parquet(f"{scratch.root}/seen").filter("settled")
     of = lambda df, how: df.select(F.lit(how).alias("how"), text.segment("path", -1).alias("name"), F.col("length").cast("long").alias("bytes"))
     return of(tables.load_images(spark, f"{scratch.root}/in"), "listed").unionByName(of(seen, "watched"))
 

@@ -59,13 +59,14 @@ class Fetcher:
             self._wait(urlsplit(url).netloc)
             try:
                 status, headers, body = self.get(url)
-            except Exception:  # the transport's own kinds of failure
+                text = text_of(headers, body) if status < 400 else None
+            except Exception:  # the transport's own kinds of failure, and bodies that are cut short
                 status = None
                 if turn < self.tries:
                     self.pause(2.0**turn)
                 continue
             if status < 400:
-                return text_of(headers, body), status, turn
+                return text, status, turn
             if status not in BUSY:
                 break
             if turn < self.tries:
@@ -81,7 +82,7 @@ def text_of(headers: dict[str, str], body: bytes) -> str:
     found = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I)
     try:
         return body.decode(found[1] if found else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, UnicodeError):
         return body.decode("utf-8", "replace")
 
 

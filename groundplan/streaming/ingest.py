@@ -88,7 +88,7 @@ def ingest(
         p = spark._jvm.org.apache.hadoop.fs.Path(retry)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
         rows = rows.unionByName(file_stream(spark, retry, "parquet", T.StructType([*stream.schema.fields, T.StructField(turn, T.IntegerType())]), recursiveFileLookup="true"))
-    rows = first_seen(rows, key, turn, within=within)
+    rows = first_seen(rows.withColumn(turn, F.coalesce(turn, F.lit(0))), key, turn, within=within)  # never null, whichever side has rows: the state's type stays
 
     def one(batch: DataFrame, number: int) -> None:
         folder = f"batch={run}-{number}"

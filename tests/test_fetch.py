@@ -26,6 +26,15 @@ def test_fetcher_waits_and_tries_again():
     assert f.fetch("http://a/3") == (None, 404, 1) and f.fetch("http://a/4") == ("ok", 200, 1) and slept[5:] == [1.0, 1.0]
 
 
+def test_broken_bodies_are_failures():
+    import gzip
+
+    bodies = {"http://a/1": ({}, gzip.compress(b"page " * 99)[:20]), "http://a/2": ({"Content-Type": "text/html; charset=undefined"}, b"caf\xe9"), "http://a/3": ({"Content-Type": "x; charset=idna"}, b"x")}
+    get = lambda url: (404, {}, b"") if url.endswith("robots.txt") else (200, *bodies[url])
+    f = Fetcher(get, delay=0.0, pause=lambda s: None)
+    assert f.fetch("http://a/1") == (None, None, 3) and f.fetch("http://a/2") == ("caf\ufffd", 200, 1) and f.fetch("http://a/3") == ("x", 200, 1)
+
+
 def test_text_of_a_body():
     import gzip
 
