@@ -25,7 +25,7 @@ def take(spark, tmp_path, parse=None, **more):
 
 
 def rows(spark, tmp_path, name="out"):
-    return sorted(((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/{name}").collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    return sorted(((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/{name}").collect()), key=lambda r: (r[0] is None, r[0] or 0, str(r[1])))
 
 
 def test_bytes_read_stay_the_same_over_fifty_batches(spark, tmp_path):
