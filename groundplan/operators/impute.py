@@ -8,7 +8,6 @@ from groundplan.functions.text import pincode_key, place_key
 from groundplan.operators.quantiles import quantile_row, quantiles
 from groundplan.operators.rows import mode_by_key
 from groundplan.operators.spatial import knn_vote
-from groundplan.scratch import Scratch
 
 
 def _with_medians(df: DataFrame, cols: list[str], groups: list[str]) -> DataFrame:
@@ -21,7 +20,7 @@ def _with_medians(df: DataFrame, cols: list[str], groups: list[str]) -> DataFram
     sets = [F.when(F.col(g).isNotNull(), F.struct(F.lit(i).alias("i"), key(g).alias("k"))) for i, g in enumerate(groups)] + [F.struct(F.lit(len(groups)).alias("i"), F.lit("").alias("k"))]
     found = quantiles(df.select(*cols, F.explode(F.array(*sets)).alias("_g")), cols, [0.5], "_g")
     found = found.groupBy("g").agg(*[F.max(F.when(F.col("name") == c, F.get("values", F.lit(0)))).alias(c) for c in cols])
-    found = Scratch(df.sparkSession, "medians").save(found.select("g.i", "g.k", *cols), "medians")
+    found = found.select("g.i", "g.k", *cols)
     out = df
     for i, g in enumerate(groups):
         table = found.filter(F.col("i") == i).select(F.col("k").alias(f"_g_m{i}"), *[F.col(c).alias(f"{c}_m{i}") for c in cols])
@@ -52,9 +51,10 @@ def bucketed_median_impute(df: DataFrame, col: str, bucket_on: str, n_bins: int
     return x.withColumn(col, F.rint(col)).drop("_edges", "_bucket")
 
 
-def time_group_impute(df: DataFrame, col: str, time_cols: list[str]) -> DataFrame:
+def time_group_impute(df: DataFrame, cols: str | list[str], time_cols: list[str]) -> DataFrame:
     """Missing values take the median of the first time column's group that has one, else the global; medians are of observed values."""
-    return _filled(df, [col], time_cols, {f"{col}_was_missing": F.col(col).isNull()})
+    cols = [cols] if isinstance(cols, str) else cols
+    return _filled(df, cols, time_cols, {f"{c}_was_missing": F.col(c).isNull() for c in cols})
 
 
 def centroid_impute(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude", keys: tuple[str, ...] = ("Locality", "Pincode")) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from groundplan.scratch import Scratch
+
 
 #: How far the key is shifted in each pass: 21 bits, 21 bits, 22 bits.
 SHIFTS = (43, 22, 0)
@@ -86,6 +88,7 @@ def quantiles(df: DataFrame, cols: dict[str, Column] | list[str], qs: list[float
         wanted = hit.select("g", "name", "i", "share", (F.col("rank") - F.col("before")).alias("rank"), F.col("bits").alias("upper"))
     each = wanted.groupBy("g", "name", "i").agg(F.sum(key_value(F.col("upper")) * F.col("share")).alias("value"))
     out = each.groupBy("g", "name").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda s: s["value"]).alias("values"))
+    out = Scratch(df.sparkSession, "quantiles").save(out, "quantiles")
     return out if group is not None else out.drop("g")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 
 def reindex(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -95,6 +97,34 @@ def checked_loss(n_before: int, n_after: int, budget_pct: float = 5.0) -> float:
     return loss
 
 
+class Counted:
+    """Counts the rows of a table while it is written, without a job of its own."""
+
+    def __init__(self):
+        self._seen = Observation()
+
+    def watch(self, df: DataFrame, **also: Column) -> DataFrame:
+        """df, which counts its rows, and those for which a condition in `also` holds, when it runs."""
+        return df.observe(self._seen, F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in also.items()])
+
+    def __getitem__(self, name: str) -> int:
+        return self._seen.get[name]
+
+    @property
+    def n(self) -> int:
+        return self["n"]
+
+
+def keep_within_budget(df: DataFrame, keep: Column, write: Callable[[DataFrame], None], budget_pct: float = 5.0) -> tuple[int, int, float]:
+    """Write the rows that `keep` holds for; how many there were, how many were kept, per cent lost. One pass over df.
+
+    ValueError beyond the budget: `write` should not publish what it writes before this returns.
+    """
+    counted = Counted()
+    write(counted.watch(df, kept=keep).filter(keep))
+    return counted.n, counted["kept"], checked_loss(counted.n, counted["kept"], budget_pct)
+
+
 def paged_until_empty(pages: DataFrame, page: str, links: str) -> DataFrame:
     """Links of numbered pages up to the first page that has none."""
     stop = pages.filter(F.size(links) <= 0).agg(F.min(page).alias("_stop"))

@@ -40,22 +40,24 @@ def build_final(archive: DataFrame, crawled: DataFrame | None, zones: DataFrame
 
 
 def clean_and_engineer(merged: DataFrame, zones: DataFrame | None, scratch: Scratch, row: str = "_row_id") -> DataFrame:
-    """Caps, imputations in their order, geography and features of matched listings; each step is a written table, as it takes statistics of the one before."""
-    x = scratch.save(rows.duplicate_flag(merged.withColumn("deal_type", deal_type("URL")), "URL"), "flagged")
+    """Caps, imputations in their order, geography and features of matched listings.
+
+    The wide rows are written after the caps, the codes, the prices by area and the districts, whose work should not be done
+    again; what lies between takes its statistics from the few columns of these tables that it needs.
+    """
+    x = rows.duplicate_flag(merged.withColumn("deal_type", deal_type("URL")), "URL")
     x = scratch.save(winsorize_by_group(x, ["Price_INR", "Area_Sqft"], "deal_type"), "capped")
-    x = scratch.save(impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5), "bedrooms")
-    x = scratch.save(impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK"), "dependants")
-    x = scratch.save(impute.layered_impute(x), "codes")
-    x = scratch.save(impute.centroid_impute(x), "centroids")
-    for c in MATERIAL_COLS:
-        x = scratch.save(impute.time_group_impute(x, c, ["YearMonth", "Year"]), f"material-{c}")
+    x = scratch.save(impute.layered_impute(x), "codes")  # before the bedrooms, which it doesn't look at
+    x = impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5)
+    x = impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK")
+    x = impute.centroid_impute(x)
+    x = impute.time_group_impute(x, MATERIAL_COLS, ["YearMonth", "Year"])
     x = x.fillna("Unknown", ["Society", "Locality"]).fillna("Not Matched", ["rera_project_status", "rera_project_type", "rera_district"])
     x = winsorize_by_group(x.withColumn("PricePerSqft", F.try_divide("Price_INR", "Area_Sqft")), ["PricePerSqft"], "deal_type")
+    x = x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors"), "has_rera_match": F.col("rera_project_name").isNotNull().cast("int")})
     x = scratch.save(x, "priced")
     x = scratch.save(attach_geo(x, zones, row), "placed")
-    x = x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors"), "has_rera_match": F.col("rera_project_name").isNotNull().cast("int")})
-    x = collapse_to_top_n(x.fillna("Unknown", LOW_CARD_CATS), LOW_CARD_CATS)
-    return x.drop(*DROP_COLS)
+    return collapse_to_top_n(x.fillna("Unknown", LOW_CARD_CATS), LOW_CARD_CATS).drop(*DROP_COLS)
 
 
 def feature_matrix(cleaned: DataFrame) -> DataFrame:
@@ -91,11 +93,12 @@ class Analysis:
 def run_etl(listings: DataFrame, registry: DataFrame, zones: DataFrame | None = None, max_loss_pct: float = 5.0) -> Analysis:
     """Validity filter, registry match, cleaning, features and report tables; ValueError if too many rows are lost."""
     scratch = Scratch(listings.sparkSession, "etl")
-    numbered = scratch.save(listings.withColumn("_row_id", F.monotonically_increasing_id()), "listings")
+    before, after = rows.Counted(), rows.Counted()
+    numbered = scratch.save(before.watch(listings.withColumn("_row_id", F.monotonically_increasing_id())), "listings")
     valid = rows.valid_rows(numbered)
     merged = scratch.save(fuzzy.attach(valid, registry, "_row_id", list(REGISTRY.values())), "merged")
-    cleaned = scratch.save(clean_and_engineer(merged, zones, scratch), "cleaned")
-    loss = rows.checked_loss(numbered.count(), cleaned.count(), max_loss_pct)
+    cleaned = scratch.save(after.watch(clean_and_engineer(merged, zones, scratch)), "cleaned")
+    loss = rows.checked_loss(before.n, after.n, max_loss_pct)
     features = feature_matrix(cleaned)
     spark = listings.sparkSession
     sheets = {  # fixed values: the names of the sheets
@@ -118,7 +121,7 @@ def run_etl(listings: DataFrame, registry: DataFrame, zones: DataFrame | None =
             F.round(1 - F.avg(F.col("Pincode_was_missing").cast("int")), 4).alias("observed_code_share"),
         )
     )
-    overview = overview.select(F.lit(numbered.count()).cast("long").alias("n_raw_rows"), F.lit(round(loss / 100, 4)).alias("loss_share"), "*")
+    overview = overview.select(F.lit(before.n).cast("long").alias("n_raw_rows"), F.lit(round(loss / 100, 4)).alias("loss_share"), "*")
     return Analysis(cleaned, features, fuzzy.report(merged), loss, sheets, overview)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from groundplan.functions import json_html, numeric, text
 from groundplan.operators import features, fuzzy, impute, reports, robust, rows, spatial
+from groundplan.scratch import Scratch
 from groundplan.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +90,10 @@ def having_top_groups(spark, sf):
 
 @query("SELECT count(*) AS n_before, count_if(o_totalprice > 1000) AS n_after, round(100.0 * (count(*) - count_if(o_totalprice > 1000)) / count(*), 2)::DOUBLE AS loss_pct FROM orders")
 def loss_budget(spark, sf):
+    """Rows before and after, counted while those that stay are written."""
     x = table(spark, sf, "orders")
-    before, after = x.count(), x.filter("o_totalprice > 1000").count()
-    return spark.createDataFrame([(before, after, rows.checked_loss(before, after, 100.0))], "n_before long, n_after long, loss_pct double")
+    found = rows.keep_within_budget(x, F.col("o_totalprice") > 1000, lambda kept: Scratch(spark, "budget").save(kept, "kept"), 100.0)
+    return spark.createDataFrame([found], "n_before long, n_after long, loss_pct double")
 
 
 # Robust statistics -----------------------------------------------------------------------------------------------
@@ -586,7 +588,6 @@ def synthetic_listings(spark, sf):
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def stream_ingest(spark, sf):
     """Events through the resumable ingestion, counted from what it wrote."""
-    from groundplan.scratch import Scratch
     from groundplan.streaming.ingest import file_stream, ingest
 
     scratch = Scratch(spark, "ingest")

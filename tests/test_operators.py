@@ -289,3 +289,19 @@ def test_quantiles_against_numpy_without_shuffling_values(spark):
     for g in "ab":
         assert np.allclose(got[g], np.quantile(real(g), qs), rtol=1e-12, atol=0)
     assert q.quantiles(df.limit(0), ["v"], qs).count() == 0
+
+
+def test_loss_is_counted_on_the_way(spark, tmp_path):
+    df = spark.range(100).repartition(3)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup("budget")
+    spark.sparkContext.setJobGroup("budget", "one write")
+    write = lambda kept: kept.write.mode("overwrite").parquet(f"{tmp_path}/kept")
+    try:
+        assert rows.keep_within_budget(df, F.col("id") >= 4, write) == (100, 96, 4.0)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("budget")) - len(before)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 2 and spark.read.parquet(f"{tmp_path}/kept").count() == 96  # the repartition and the write
+    with pytest.raises(ValueError, match="exceeds"):
+        rows.keep_within_budget(df, F.col("id") >= 6, write)
+    assert rows.keep_within_budget(df.limit(0), F.col("id") >= 6, write) == (0, 0, 0.0)
