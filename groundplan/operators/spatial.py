@@ -162,11 +162,11 @@ def _ends(box: list[str]) -> tuple[Column, Column]:
     return dx * dx + dy * dy, fx * fx + fy * fy
 
 
-def leaves_near(asks: DataFrame, nodes: list[DataFrame], k: int) -> DataFrame:
+def leaves_near(asks: DataFrame, nodes: list[DataFrame], k: int, scratch: Scratch) -> DataFrame:
     """qy, qx, step, cx, cy: the leaves that can hold one of the k points (by n) nearest to each of asks (qy, qx).
 
     All queries go down the tree together. After each step a query knows a distance within which k points lie, from the far
-    corners of the boxes that it still looks at, and gives up the boxes beyond it.
+    corners of the boxes that it still looks at, and gives up the boxes beyond it; what is left is a written table a step.
     """
     held = None
     for step, node in enumerate(nodes):
@@ -182,7 +182,7 @@ def leaves_near(asks: DataFrame, nodes: list[DataFrame], k: int) -> DataFrame:
         mine = Window.partitionBy("qy", "qx")
         enough = F.sum("n").over(mine.orderBy("high").rangeBetween(Window.unboundedPreceding, Window.currentRow)) >= k
         bound = every.withColumn("within", F.when(enough, F.col("high"))).withColumn("within", F.min("within").over(mine))
-        held = bound.filter(F.col("within").isNull() | (F.col("low") <= F.col("within") * (1 + 1e-9))).drop("within")
+        held = scratch.save(bound.filter(F.col("within").isNull() | (F.col("low") <= F.col("within") * (1 + 1e-9))).drop("within"), f"held-{step}")
     return held.select("qy", "qx", "step", "cx", "cy")
 
 
@@ -203,7 +203,7 @@ def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: st
     if (pts.agg(F.sum("n")).first()[0] or 0) <= k:
         return asks.limit(0).select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.lit(None).cast(train.schema[label].dataType).alias(label))
     nodes, leaves = quadtree(pts, leaf, scratch)
-    near = scratch.save(leaves_near(scratch.save(asks, "asks"), nodes, k), "near")
+    near = scratch.save(leaves_near(scratch.save(asks, "asks"), nodes, k, scratch), "near")
     found = near.join(leaves.withColumnsRenamed({"y": "ty", "x": "tx"}), ["step", "cx", "cy"])
     found = found.withColumn("d", F.sqrt(F.pow(F.col("tx") - F.col("qx"), 2) + F.pow(F.col("ty") - F.col("qy"), 2)))
     w = Window.partitionBy("qy", "qx").orderBy("d", "t", "ty", "tx")
