@@ -16,7 +16,8 @@ Shingles that occur in one prefix only find nobody. Of the others, a list never
 sets are one node. In each list, the node whose shingles are commonest (the likely original of near copies) and the smallest one are
 compared with all, the links are contracted to components, and only pairs of different components with a probe among them
 are compared further: in short lists pair by pair, in long ones as blocks, by a bound on the similarity from bitmaps that
-is never below it. A pair left out is in one component already, so no component is lost.
+is never below it: first the likeliest partner of each node, then, between the components that are left, all. A pair left out
+is in one component already, so no component is lost.
 
 Defined results: null text, and text without words, is an empty set, linked with nothing (component: its own id); repeated
 rows and equal sets are one component; the component is the smallest id in it (null where it has none); an empty table gives no
@@ -27,7 +28,6 @@ All joins are sort-merge joins of written tables, whose hot keys Spark can split
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -47,7 +47,7 @@ PERCENT = 85
 COMMON = 32
 MOSTLY = 0.75
 #: Members of a list that are paired one by one.
-SHORT = 16
+SHORT = 48
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -238,9 +238,12 @@ def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, maps:
     return shared.union(alone.join(_merge(other), "home").filter(once).select("nodes", "others"))
 
 
-def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch, likeliest: bool) -> tuple[DataFrame, DataFrame | None]:
     """The pairs (a, b, extra) of rows (token, node, label, size, extra, probe) with different labels and a probe among them in one list.
 
+    Those of short lists, and those of long ones (None: there are none), which have been sifted. likeliest: of long lists, only the
+    likeliest partner of each node in each two blocks.
+
     Short lists are paired row by row. Long ones are dealt to blocks of about BLOCK nodes, two of which are compared as
     matrices: if c bitmap places are common and sets of X and Y take p and q places, the similarity is at most
     1 / (X / (X - p + c) + Y / (Y - q + c) - 1). Nodes of one label are compared only where few of them (under 32) share a list.
@@ -256,7 +259,7 @@ def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> Da
     pairs = left.join(_merge(right), "token").filter(fits).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.least("extraa", "extrab").alias("extra")).distinct()
     long = mixed.filter(F.col("members") > SHORT)
     if long.isEmpty():
-        return pairs
+        return pairs, None
     wide = rows.join(_merge(long.select("token")), "token")
     met = _blocks_of_lists(counts, long, wide, maps, scratch)
     least = percent / 100
@@ -268,7 +271,15 @@ def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> Da
                 c = ab @ bb.T
                 x, y = (aw - ab.sum(1))[:, None] + c, (bw - bb.sum(1))[None] + c
                 with np.errstate(divide="ignore"):
-                    i, j = np.nonzero((aw[:, None] / x + bw[None] / y <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None]))
+                    bound = aw[:, None] / x + bw[None] / y
+                fine = (bound <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None])
+                if likeliest:
+                    bound = np.where(fine, bound, np.inf)
+                    best = np.zeros_like(fine)
+                    best[np.arange(len(an)), bound.argmin(1)] = True
+                    best[bound.argmin(0), np.arange(len(bn))] = True
+                    fine &= best
+                i, j = np.nonzero(fine)
                 found.append(np.stack([np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])]))
                 waiting += len(i)
                 if waiting > 1_000_000:
@@ -280,7 +291,7 @@ def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch) -> Da
     far = map_arrow(met, run, "a long, b long").distinct()
     for n in "ab":
         far = far.join(_merge(lengths.select(F.col("node").alias(n), F.col("extra").alias(f"e{n}"))), n, "left")
-    return pairs.union(far.select("a", "b", F.least(F.coalesce("ea", F.lit(0)), F.coalesce("eb", F.lit(0))).alias("extra"))).distinct()
+    return pairs, far.select("a", "b", F.least(F.coalesce("ea", F.lit(0)), F.coalesce("eb", F.lit(0))).cast("long").alias("extra"))
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -294,22 +305,40 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -
     ends = rows.select("node", "size", "extra", F.explode(F.array(F.col("p1").dropFields("score"), F.col("p2"))).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
     star = ends.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), F.least("extra", "p.extra").alias("extra")).distinct()
     maps = scratch.save(minhash.bitmaps(texts, sets), "bitmaps")
-    check = lambda pairs: _verified(scratch.save(_possible(pairs, maps, percent), f"possible-{uuid.uuid4().hex}"), texts, percent)
-    labels = components(scratch.save(check(star), "links-1"), scratch, "cc1")
-    labelled = scratch.save(_relabelled(rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score")), labels), "labelled")
-    scratch.drop("lists", "rows")
-    links = scratch.save(check(_met(labelled, maps, percent, scratch)), "links-2")
-    scratch.drop("labelled", "mixed", "homes", "placed", "seen", "full", "met", "whole", "alone", "texts", "bitmaps")
+    sifted = lambda pairs, name: scratch.save(_possible(pairs, maps, percent), name)
+    labels = components(scratch.save(_verified(sifted(star, "possible-1"), texts, percent), "links-1"), scratch, "cc1")
+    rows = rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score"))
+    scratch.drop("lists")
+    for turn in (2, 3):  # first each node's likeliest partner, which joins most of a group, then all pairs between what is left
+        labelled = scratch.save(_relabelled(rows, labels), f"labelled-{turn}")
+        own = Scratch(scratch.spark, f"ngrams-{turn}")
+        short, long = _met(labelled, maps, percent, own, turn == 2)
+        if turn == 2:
+            if long is None:
+                continue
+            near = scratch.save(long, "near-2")
+        else:
+            near = sifted(short, "possible-3") if long is None else sifted(short, "possible-3").union(long)
+        labels = _joined(labels, scratch.save(_verified(near, texts, percent), f"links-{turn}"), scratch, turn)
+        scratch.drop(f"labelled-{turn}", "near-2")
+        own.drop("mixed", "homes", "placed", "seen", "full", "met", "whole", "alone")
+    scratch.drop("rows", "texts", "bitmaps")
+    return labels
+
+
+def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
+    """The labels after further links between components."""
     if links.isEmpty():
         return labels
     for n in "ab":
         links = links.join(_merge(labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))), n, "left")
     between = links.select("a", "b", F.coalesce("la", "a").alias("x"), F.coalesce("lb", "b").alias("y"))
-    between = scratch.save(between.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), "between")
-    upper = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), scratch, "cc2")
+    between = scratch.save(between.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), f"between-{turn}")
+    upper = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), scratch, f"cc{turn}")
     every = between.select(F.explode(F.array("a", "b")).alias("node")).union(labels.select("node")).distinct()
     upper = upper.select(F.col("node").alias("label"), F.col("label").alias("upper"))
-    return _relabelled(every, labels).join(_merge(upper), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
+    found = _relabelled(every, labels).join(_merge(upper), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
+    return scratch.save(found, f"joined-{turn}")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
