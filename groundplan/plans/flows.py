@@ -40,24 +40,21 @@ def build_final(archive: DataFrame, crawled: DataFrame | None, zones: DataFrame
 
 
 def clean_and_engineer(merged: DataFrame, zones: DataFrame | None, scratch: Scratch, row: str = "_row_id") -> DataFrame:
-    """Caps, imputations in their order, geography and features of matched listings.
-
-    The wide rows are written after the caps, the codes, the prices by area and the districts, whose work should not be done
-    again; what lies between takes its statistics from the few columns of these tables that it needs.
-    """
-    x = rows.duplicate_flag(merged.withColumn("deal_type", deal_type("URL")), "URL")
+    """Caps, imputations in their order, geography and features of matched listings; each step is a written table, as it takes statistics of the one before."""
+    x = scratch.save(rows.duplicate_flag(merged.withColumn("deal_type", deal_type("URL")), "URL"), "flagged")
     x = scratch.save(winsorize_by_group(x, ["Price_INR", "Area_Sqft"], "deal_type"), "capped")
-    x = scratch.save(impute.layered_impute(x), "codes")  # before the bedrooms, which it doesn't look at
-    x = impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5)
-    x = impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK")
-    x = impute.centroid_impute(x)
-    x = impute.time_group_impute(x, MATERIAL_COLS, ["YearMonth", "Year"])
+    x = scratch.save(impute.bucketed_median_impute(x, "BHK", "Area_Sqft", 5), "bedrooms")
+    x = scratch.save(impute.group_median_impute(x, GROUP_MEDIAN_COLS, "BHK"), "dependants")
+    x = scratch.save(impute.layered_impute(x), "codes")
+    x = scratch.save(impute.centroid_impute(x), "centroids")
+    x = scratch.save(impute.time_group_impute(x, MATERIAL_COLS, ["YearMonth", "Year"]), "materials")
     x = x.fillna("Unknown", ["Society", "Locality"]).fillna("Not Matched", ["rera_project_status", "rera_project_type", "rera_district"])
     x = winsorize_by_group(x.withColumn("PricePerSqft", F.try_divide("Price_INR", "Area_Sqft")), ["PricePerSqft"], "deal_type")
-    x = x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors"), "has_rera_match": F.col("rera_project_name").isNotNull().cast("int")})
     x = scratch.save(x, "priced")
     x = scratch.save(attach_geo(x, zones, row), "placed")
-    return collapse_to_top_n(x.fillna("Unknown", LOW_CARD_CATS), LOW_CARD_CATS).drop(*DROP_COLS)
+    x = x.withColumns({"log_price": F.log1p("Price_INR"), "floor_ratio": safe_ratio("Floor_Number", "Total_Floors"), "has_rera_match": F.col("rera_project_name").isNotNull().cast("int")})
+    x = collapse_to_top_n(x.fillna("Unknown", LOW_CARD_CATS), LOW_CARD_CATS)
+    return x.drop(*DROP_COLS)
 
 
 def feature_matrix(cleaned: DataFrame) -> DataFrame:
