@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -84,18 +85,30 @@ def _unescaped(s):
     return None if s is None else html.unescape(s)
 
 
-def unescape(x: str | Column) -> Column:
+def _unescape_only(names: tuple[str, ...]):
+    """A function of a column that resolves references by these names, with their semicolon, and no others."""
+    found = re.compile(f"&(?:{'|'.join(map(re.escape, names))});")
+
+    @F.udf(T.StringType(), useArrow=True)
+    def run(s):
+        return None if s is None else found.sub(lambda m: html.unescape(m.group()), s)
+
+    return run
+
+
+def unescape(x: str | Column, names: tuple[str, ...] | None = None) -> Column:
     """Named and numeric character references resolved once, as browsers do; what is none stays.
 
-    The one step here that leaves the JVM (in Arrow batches): the table has over two thousand names, some of which count
+    Browsers also take some references without a semicolon ("&amp" where a text was cut off). With `names` only
+    these are resolved, and only where they end in a semicolon. The one step here that leaves the JVM (in Arrow batches): the table has over two thousand names, some of which count
     without a semicolon, and as an expression it would be copied into every plan that reads a page.
     """
-    return _unescaped(col(x))
+    return (_unescape_only(names) if names else _unescaped)(col(x))
 
 
-def html_to_text(x: str | Column) -> Column:
+def html_to_text(x: str | Column, names: tuple[str, ...] | None = None) -> Column:
     """Visible text: character references resolved first, then scripts, styles and tags become spaces, white space collapses."""
-    s = F.regexp_replace(unescape(x), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]+>", " ")
+    s = F.regexp_replace(unescape(x, names), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]+>", " ")
     return F.regexp_replace(s, SPACES, " ")
 
 

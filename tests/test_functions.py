@@ -49,6 +49,20 @@ def test_html_and_urls(spark):
     assert one(spark, ["a%20b+c"], t.url_decode) == ["a b+c"]
 
 
+def test_html_query_on_cut_references(spark, tmp_path):
+    import duckdb
+
+    from groundplan import queries
+
+    pages = ["<p>a &amp", "x &ampy; &am &copy z", "&amp;lt;b&gt; &nbsp;&#65;", "&copy; &middot; &lt;i&gt;x&lt;/i&gt; &quot;q&quot;", None, ""]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = {tuple(r) for r in queries.QUERIES["html_to_text"](spark, str(tmp_path)).collect()}
+    assert got == set(db.execute(queries.ORACLE_SQL["html_to_text"]).fetchall())
+    assert one(spark, ["a &amp", "&copy z"], t.html_to_text) == ["a &", "© z"]  # the function itself resolves as browsers do
+
+
 def test_key_values(spark):
     got = one(spark, ["x Price 5 Lac City Pune Pricey", "nothing"], lambda c: t.key_values(c, ["City", "Price", "Facing"]))
     assert got == [{"Price": "5 Lac", "City": "Pune Pricey"}, {}]
