@@ -186,12 +186,13 @@ def leaves_near(asks: DataFrame, nodes: list[DataFrame], k: int, scratch: Scratc
     return held.select("qy", "qx", "step", "cx", "cy")
 
 
-def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: str, k: int = 15, leaf: int = 64, scratch: Scratch | None = None) -> DataFrame:
+def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: str, k: int = 15, leaf: int = 64, scratch: Scratch | None = None, decimals: int | None = None) -> DataFrame:
     """lat, lon, label for each distinct query point: its k nearest training rows vote with weight 1 / distance.
 
     Rows at distance 0 alone vote if there are any. The k nearest are taken in order of (distance, label, coordinates), an
     equal row counting as often as it occurs; ties of votes go to the smallest label. Nothing is returned unless more than
-    k training rows exist. Rows and queries without finite coordinates take no part.
+    k training rows exist. Votes are sums of fractions, whose last bits depend on the order of adding: those within a
+    billionth of the most count as ties, or with `decimals` those that are equal once rounded to so many. Rows and queries without finite coordinates take no part.
 
     Equal training rows are one row with a count. A query is compared with the rows of the few leaves of a quadtree that can
     hold its neighbours, of `leaf` places each, however unevenly the points lie.
@@ -213,5 +214,7 @@ def knn_vote(train: DataFrame, queries: DataFrame, lat: str, lon: str, label: st
     zero = out.groupBy("qy", "qx").agg(F.min("d").alias("least"))
     voted = out.join(zero, ["qy", "qx"]).filter((F.col("least") > 0) | (F.col("d") == 0))
     votes = voted.groupBy("qy", "qx", "t").agg(F.sum(F.when(F.col("d") == 0, F.col("take").cast("double")).otherwise(F.col("take") / F.nullif(F.col("d"), F.lit(0.0)))).alias("v"))
-    best = votes.groupBy("qy", "qx").agg(F.min_by("t", F.struct(-F.col("v"), F.col("t"))).alias("t"))
-    return best.select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.col("t").alias(label))
+    vote, slack = (F.col("v"), 1e-9) if decimals is None else (F.round(F.col("v") * 10.0**decimals), 0.0)
+    tally = votes.groupBy("qy", "qx").agg(F.collect_list(F.struct(vote.alias("v"), "t")).alias("tally"), F.max(vote).alias("most"))  # k labels at most
+    most = F.transform(F.filter("tally", lambda s: s["v"] >= F.col("most") * (1 - slack)), lambda s: F.struct(s["t"].alias("t")))
+    return tally.select(F.col("qy").alias(lat), F.col("qx").alias(lon), F.array_min(most)["t"].alias(label))

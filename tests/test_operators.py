@@ -126,6 +126,35 @@ def test_knn_against_brute_force(spark):
     assert spatial.knn_vote(few, spark.createDataFrame(asks, "lat double, lon double"), "lat", "lon", "t").count() == 0
 
 
+def test_knn_ties_of_votes_despite_rounding(spark):
+    # a: 1/3 + 1/6, b: 1/2; c and d differ in the seventh decimal
+    at = lambda d, t: (0.0, d, t)
+    make = lambda rows: spark.createDataFrame(rows, "lat double, lon double, label string")
+    q = spark.createDataFrame([(0.0, 0.0)], "lat double, lon double")
+    ten = [at(0.1 * k, "a") for k in (3, -3, 6, -6, 6, -6)] + [at(0.1 * k, "b") for k in (1, -1)] + [at(9.0, "z")]  # 40 / 3, 20
+    assert spatial.knn_vote(make(ten), q, "lat", "lon", "label", 8).collect()[0].label == "b"
+    for x, y in ([3.0, -6.0], [2.0]), ([0.7, -0.7, 0.7], [0.7 / 3]), ([0.3] * 10, [0.03]):
+        for first, second in (x, y), (y, x):
+            rows = make([at(d, "a") for d in first] + [at(d, "b") for d in second] + [at(9.0, "z")])
+            assert [r.label for r in spatial.knn_vote(rows, q, "lat", "lon", "label", len(x) + len(y)).collect()] == ["a"]
+    near = make([at(1.0, "c"), at(0.9999999, "d"), at(9.0, "z")])
+    assert [spatial.knn_vote(near, q, "lat", "lon", "label", 2, decimals=n).first().label for n in (None, 6, 7)] == ["d", "c", "d"]
+
+
+def test_knn_query_against_its_sql(spark, tmp_path):
+    import duckdb
+
+    from groundplan import queries
+
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) / 16 for x in r.integers(-6, 7, 2)], int(r.integers(0, 4))) for i in range(600)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = {(x.lat + 0.0, x.lon + 0.0, x.label) for x in queries.QUERIES["knn_vote"](spark, str(tmp_path)).collect()}
+    assert got == {(y + 0.0, x + 0.0, t) for y, x, t in db.execute(queries.ORACLE_SQL["knn_vote"]).fetchall()}
+
+
 def test_one_hot_and_scaling(spark):
     df = spark.createDataFrame([(1, "a b", 1.0), (2, None, None), (3, "c", 3.0)], "k int, s string, v double")
     assert features.one_hot(df, ["s"]).columns == ["k", "v", "s_a b", "s_c"]
