@@ -48,6 +48,8 @@ COMMON = 32
 MOSTLY = 0.75
 #: Members of a list that are paired one by one.
 SHORT = 48
+#: Nodes of a small block, and small blocks that are compared with another at a time.
+FEW, GATHERED = BLOCK // 8, 32
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -227,15 +229,43 @@ def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, maps:
     used = met.select(*at).union(met.select(*[F.col(c + "_").alias(c) for c in at])).distinct()
     whole = placed.join(_merge(used), list(at), "left_semi").join(_merge(maps), "node").groupBy(*at).agg(packed)
     whole = scratch.save(whole, "whole")
-    other = whole.select(*[F.col(c).alias(c + "_") for c in at], F.col("nodes").alias("others"))
-    shared = met.join(_merge(whole), list(at)).join(_merge(other), [c + "_" for c in at]).select("nodes", "others")
+    shared = _side_by_side(met, whole, at)
 
     thin = long.join(_merge(full), "token", "left_anti")
     sizes = counts.join(_merge(thin), "token").select("token", "label", tag("n"), F.when(F.col("n") >= 32, F.col("n")).otherwise(F.col("few")).alias("of"))
     alone = wide.join(_merge(sizes), ["token", "label"]).select(F.col("token").alias("home"), "tag", "probe", dealt("of"), "node", "label")
     alone = scratch.save(alone.join(_merge(maps), "node").groupBy(*at).agg(packed), "alone")
-    other = alone.select("home", F.col("home").alias("home_"), *[F.col(c).alias(c + "_") for c in at[1:]], F.col("nodes").alias("others"))
-    return shared.union(alone.join(_merge(other), "home").filter(once).select("nodes", "others"))
+    lengths = scratch.save(alone.select(*at, F.size("nodes").alias("n")), "lengths")
+    other = lengths.select("home", F.col("home").alias("home_"), *[F.col(c).alias(c + "_") for c in (*at[1:], "n")])
+    pairs = scratch.save(lengths.join(_merge(other), "home").filter(once).select(*at, *[c + "_" for c in at], "n", "n_"), "pairs")
+    few = F.least("n", "n_") <= FEW
+    large = pairs.filter(~few)
+    if large.isEmpty():
+        return shared.union(_gathered(pairs, alone, at))
+    used = large.select(*at).union(large.select(*[F.col(c + "_").alias(c) for c in at])).distinct()
+    beside = _side_by_side(large, scratch.save(alone.join(_merge(used), list(at), "left_semi"), "large"), at)
+    return shared.union(beside).union(_gathered(pairs.filter(few), alone, at))
+
+
+def _side_by_side(pairs: DataFrame, blocks: DataFrame, at: tuple[str, ...]) -> DataFrame:
+    """nodes, others of each pair of blocks: for pairs of large ones, which would take much room if they were sent pair by pair."""
+    other = blocks.select(*[F.col(c).alias(c + "_") for c in at], F.col("nodes").alias("others"))
+    return pairs.join(_merge(blocks), list(at)).join(_merge(other), [c + "_" for c in at]).select("nodes", "others")
+
+
+def _gathered(pairs: DataFrame, blocks: DataFrame, at: tuple[str, ...]) -> DataFrame:
+    """nodes, others of each block and all the small ones that it meets, GATHERED at a time: small ones are sent to large ones.
+
+    A block is read and unpacked once for many small ones, and what a task gets is known by number, so that no key is hot.
+    """
+    names = lambda end: F.struct(*[F.col(c + end).alias(c) for c in at])
+    first = F.col("n") >= F.col("n_")
+    met = pairs.select(F.when(first, names("")).otherwise(names("_")).alias("to"), F.when(first, names("_")).otherwise(names("")).alias("of"))
+    turn = F.floor((F.row_number().over(Window.partitionBy("to").orderBy("of")) - 1) / GATHERED).alias("turn")
+    met = met.select("to", turn, "of")
+    sent = met.select("to", "turn", F.lit(False).alias("own"), "of.*").union(met.select("to", "turn").distinct().select("to", "turn", F.lit(True), "to.*"))
+    both = sent.join(_merge(blocks), list(at)).groupBy("to", "turn").agg(F.collect_list(F.when(F.col("own"), F.col("nodes"))).alias("nodes"), F.collect_list(F.when(~F.col("own"), F.col("nodes"))).alias("others"))
+    return both.select(F.flatten("nodes").alias("nodes"), F.flatten("others").alias("others"))
 
 
 def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch, likeliest: bool) -> tuple[DataFrame, DataFrame | None]:
@@ -321,7 +351,7 @@ def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -
             near = sifted(short, "possible-3") if long is None else sifted(short, "possible-3").union(long)
         labels = _joined(labels, scratch.save(_verified(near, texts, percent), f"links-{turn}"), scratch, turn)
         scratch.drop(f"labelled-{turn}", "near-2")
-        own.drop("mixed", "homes", "placed", "seen", "full", "met", "whole", "alone")
+        own.drop("mixed", "homes", "placed", "seen", "full", "met", "whole", "alone", "lengths", "pairs", "large")
     scratch.drop("rows", "texts", "bitmaps")
     return labels
 

@@ -127,3 +127,17 @@ def test_size_of_prefixes():
         k = ngram_join._first(np.int64(n), 85)
         least = -(-85 * n // 100)
         assert k == n - least + 1 and 1 <= k <= n
+
+
+def test_small_blocks_are_gathered_at_large_ones(spark):
+    # each pair of blocks meets, small ones beside one another in a row: far fewer rows than pairs
+    at = ("home", "tag", "probe", "part")
+    blocks = [(1, -1, k < 70, k, [(1000 * k + j,) for j in range(3 if k < 70 else 60)]) for k in range(74)]
+    frame = spark.createDataFrame(blocks, "home long, tag long, probe boolean, part long, nodes array<struct<node: long>>")
+    pairs = [(*x[:4], *y[:4], len(x[4]), len(y[4])) for i, x in enumerate(blocks) for y in blocks[i:] if x[2] or y[2]]
+    met = spark.createDataFrame(pairs, "home long, tag long, probe boolean, part long, home_ long, tag_ long, probe_ boolean, part_ long, n int, n_ int")
+    rows = ngram_join._gathered(met, frame, at).collect()
+    found = [frozenset((a.node // 1000, b.node // 1000)) for r in rows for a in r.nodes[:1] for b in r.others if b.node % 1000 == 0]
+    assert sorted(map(sorted, found)) == sorted(sorted({p[3], p[7]}) for p in pairs)
+    assert all(len({a.node // 1000 for a in r.nodes}) == 1 and len(r.nodes) == len(blocks[r.nodes[0].node // 1000][4]) for r in rows)
+    assert len(pairs) == 2765 and len(rows) < 200 and max(len(r.others) for r in rows) <= 3 * ngram_join.GATHERED
