@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -26,6 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+#: Tables that are written between two calls of `tidy`.
+TIDY = 6
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of plans that nobody uses any more, so that Spark's cleaner deletes their shuffle files.
+
+    The cleaner works when the JVM collects garbage, by itself once in half an hour (spark.cleaner.periodicGC.interval). Until then
+    an operator of many written tables fills the driver's heap with plans and task records, and disks with shuffle files.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Tables written once and read back, which cuts lineage without pinning rows to an executor.
 
@@ -38,10 +53,14 @@ class Scratch:
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.deleteOnExit(path)
+        self._saved = 0
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write df and return it as read from the written table."""
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self._saved += 1
+        if self._saved % TIDY == 0:
+            tidy(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

@@ -82,3 +82,13 @@ def test_stages(spark):
             start += r.length
         assert start == len(ids)
     assert corpus_pipeline.run(spark, SF).count() == at[5].count()
+
+
+def test_garbage_is_collected_as_tables_are_written(spark):
+    from groundplan.scratch import TIDY, Scratch
+
+    full = lambda: sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Old" in b.getName() or "Mark" in b.getName())
+    before, scratch = full(), Scratch(spark, "test")
+    for i in range(TIDY):
+        scratch.save(spark.range(3), f"t{i}")
+    assert full() > before
