@@ -99,9 +99,9 @@ def _unescape_only(names: tuple[str, ...]):
 def unescape(x: str | Column, names: tuple[str, ...] | None = None) -> Column:
     """Named and numeric character references resolved once, as browsers do; what is none stays.
 
-    Browsers also take some references without a semicolon ("&amp" where a text was cut off). With `names` only
-    these are resolved, and only where they end in a semicolon. The one step here that leaves the JVM (in Arrow batches): the table has over two thousand names, some of which count
-    without a semicolon, and as an expression it would be copied into every plan that reads a page.
+    Browsers also take some references without a semicolon ("&amp" where a text was cut off). With `names` only these are
+    resolved, and only where they end in a semicolon. The one step here that leaves the JVM (in Arrow batches): the table
+    has over two thousand names, and as an expression it would be copied into every plan that reads a page.
     """
     return (_unescape_only(names) if names else _unescaped)(col(x))
 
