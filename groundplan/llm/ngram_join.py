@@ -3,21 +3,24 @@
 A document's set is its distinct four-word shingles of the ASCII-lower-cased text (fewer words are one shingle). Two
 documents link if 100 * |intersection| >= 85 * |union|; the result is the connected components of all links.
 
-Prefixes. All sets are ordered by one global order, that of the shingles' hashes. A partner of a set of n shingles shares
+Order. All sets are ordered by one global order: the commonest shingles of a sample of documents come after all others, else
+it is that of the shingles' hashes. So a passage that many texts have is in the prefix of few. Nothing but cost rests on the sample.
+
+Prefixes. A partner of a set of n shingles shares
 c = ceil(0.85 n) of them at least. The l-prefix is the first n - c + l shingles, and two linked sets share at least
 min(l, l') shingles within their l- and l'-prefixes. Each document chooses its own l: it starts with 1, and where shingles
-of its prefix are common (estimated cost: the candidates that their lists hold), the prefix is lengthened until it should hold
+of its prefix are common (estimated cost: the candidates that their lists hold) and that holds a good part of all candidates, the prefix
+is lengthened until it should hold
 as many rare ones as the first had in all. A document looks up (probes) only the n - c + 1 rarest shingles of its prefix,
 leaving out the l - 1 commonest, and is listed under all of them. Of a linked pair the one with the smaller l finds the
-other: it shares l shingles with the other's prefix and left out l - 1. Before two sets are compared as a whole, the pair
-must share min(l, l') shingles in the prefixes of that length. Nothing rests on the estimates but the cost: any l is exact.
+other: it shares l shingles with the other's prefix and left out l - 1. Nothing rests on the estimates but the cost: any l is exact.
 
 Shingles that occur in one prefix only find nobody. Of the others, a list never yields all its pairs. Documents with equal
 sets are one node. In each list, the node whose shingles are commonest (the likely original of near copies) and the smallest one are
-compared with all, the links are contracted to components, and only pairs of different components with a probe among them
-are compared further: in short lists pair by pair, in long ones as blocks, by a bound on the similarity from bitmaps that
-is never below it: first the likeliest partner of each node, then, between the components that are left, all. A pair left out
-is in one component already, so no component is lost.
+compared with all that share many lists with them, and each node takes the name of its neighbour with the commonest shingles, or its own. Nodes
+of one name are connected, so only pairs of different names with a probe among them are compared further: in short lists
+pair by pair, if they share as many shingles of 1-prefixes as linked sets do (`_needed`), in long ones block by block, as
+matrices of 0 and 1. A block yields as few links as join what all its links join, so no component is lost.
 
 Defined results: null text, and text without words, is an empty set, linked with nothing (component: its own id); repeated
 rows and equal sets are one component; the component is the smallest id in it (null where it has none); an empty table gives no
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from groundplan.llm import minhash, textscan
 from groundplan.llm.frames import as_text, key_name, map_arrow, position
-from groundplan.llm.minhash import BLOCK, _chunks, _distinct_pairs, _merge, _unpacked, components
+from groundplan.llm.minhash import BLOCK, _chunks, _merge, components
 from groundplan.llm.textscan import U, mix
 from groundplan.scratch import Scratch
 
@@ -46,19 +49,68 @@ PERCENT = 85
 #: Documents under a shingle from which on it is common; the part of common ones beyond which lengthening has no end.
 COMMON = 32
 MOSTLY = 0.75
+#: Prefixes are lengthened if that spares this part of all candidates at least.
+WORTH = 0.25
+#: Documents by which common shingles are found: this part, not more than about so many, in tables of so many rows at least; a shingle
+#: in SEEN of them is common, and the MOST commonest are known to all tasks.
+PART, SAMPLE, ROWS, SEEN, MOST = 0.1, 10_000, 1_000, 4, 1 << 17
 #: Members of a list that are paired one by one.
 SHORT = 48
-#: Nodes of a small block, and small blocks that are compared with another at a time.
-FEW, GATHERED = BLOCK // 8, 32
+#: Weight of a small block (a node weighs 1, and 1 for each WEIGHT shingles), and small blocks that are compared with another at a time.
+FEW, GATHERED, WEIGHT = BLOCK // 8, 32, 1024
+#: Shingles that are compared at a time between two blocks.
+COLUMNS = 1 << 13
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def sets(s: textscan.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles in ascending order within each document, ones, and the documents' offsets."""
-    grams, weights, offs = minhash.shingles(replace(s, data=LOWER[s.data]), WORDS)
-    return grams, np.ones_like(weights), offs
+class Common:
+    """The shingles that come last in the global order: sorted, and with a table of their first 20 bits, which few others hit."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams = np.sort(grams.astype(U))
+        self.firsts = np.zeros(1 << 20, bool)
+        self.firsts[(self.grams >> U(44)).astype(np.int64)] = True
+
+    def holds(self, grams: np.ndarray) -> np.ndarray:
+        out = self.firsts[(grams >> U(44)).astype(np.int64)]
+        at = np.flatnonzero(out)
+        if len(at):
+            place = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
+            out[at] = self.grams[place] == grams[at]
+        return out
+
+
+def sets(s: textscan.Slice, common: Common | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles in the global order within each document (ascending, common ones after all others), and the documents' offsets."""
+    grams, _, offs = minhash.shingles(replace(s, data=LOWER[s.data]), WORDS)
+    if common is not None and (last := common.holds(grams)).any():
+        n = np.diff(offs)
+        doc = np.repeat(np.arange(len(n), dtype=np.uint16 if 2 * len(n) < 1 << 16 else np.int64), n)
+        grams = grams[np.argsort(doc * doc.dtype.type(2) + last.astype(doc.dtype), kind="stable")]
+    return grams, offs
+
+
+def _common(docs: DataFrame, text: str, key: str) -> Common | None:
+    """The commonest shingles of a sample of documents. They only settle the order, and any order is exact."""
+    rows = docs.count()
+    if rows < ROWS:
+        return None
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    words = as_text(f"c{position(docs, text)}")
+    some = flat.select(F.xxhash64(F.col(f"c{position(docs, key)}"), words).alias("h"), words.alias("text"))
+    some = some.filter(F.pmod("h", F.lit(1 << 20)) < int(min(PART, SAMPLE / rows) * (1 << 20))).select("text")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for s in textscan.slices(batch.column("text"), rows=minhash.AT_ONCE):
+                grams, counts = np.unique(sets(s)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["token", "n"])
+
+    counts = map_arrow(some, run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= SEEN)
+    found = [r.token for r in counts.orderBy(F.desc("n"), "token").limit(MOST).collect()]
+    return Common(np.array(found, np.int64).view(U)) if found else None
 
 
 def _sum(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -78,7 +130,7 @@ def _lists(grams: np.ndarray, offs: np.ndarray, skip: np.ndarray, take: np.ndarr
     return pa.ListArray.from_arrays(pa.array(np.append(before, take.sum()), pa.int32()), pa.array(grams[at].view(np.int64)))
 
 
-def _signed(docs: DataFrame, text: str, key: str, percent: int) -> DataFrame:
+def _signed(docs: DataFrame, text: str, key: str, percent: int, common: Common | None) -> DataFrame:
     """id, h1, h2 (of the text), s1, s2, n (of the set) and its 1-prefix, for each row."""
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     words = as_text(f"c{position(docs, text)}")
@@ -89,7 +141,7 @@ def _signed(docs: DataFrame, text: str, key: str, percent: int) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for s in textscan.slices(batch.column("text"), rows=minhash.AT_ONCE):
-                grams, _, offs = sets(s)
+                grams, offs = sets(s, common)
                 n = np.diff(offs)
                 short = np.where(n > 0, _first(n, percent), 0)
                 new = [_sum(mix(grams ^ U(0x51ED270B)), offs), _sum(mix(grams ^ U(0x2545F491)), offs), n]
@@ -103,13 +155,13 @@ def _text_hashes(words: Column) -> list[Column]:
     return [F.xxhash64(words).alias("h1"), F.xxhash64(F.lit("second"), words).alias("h2")]
 
 
-def _lengthened(texts: DataFrame, longer: DataFrame, percent: int) -> DataFrame:
+def _lengthened(texts: DataFrame, longer: DataFrame, percent: int, common: Common | None) -> DataFrame:
     """node and token: the shingles that the longer prefixes have more."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for s in textscan.slices(batch.column("text"), rows=minhash.AT_ONCE):
-                grams, _, offs = sets(s)
+                grams, offs = sets(s, common)
                 extra = batch.column("extra").slice(s.lo, s.hi - s.lo).to_numpy()
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(s.lo, s.hi - s.lo), _lists(grams, offs, _first(np.diff(offs), percent), extra)], names=["node", "tokens"])
 
@@ -123,21 +175,30 @@ def _alike(a: Column | str, b: Column | str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _needed(a: Column | str, b: Column | str, percent: int) -> Column:
+    """Shingles that linked sets of these sizes share in their 1-prefixes at least.
+
+    They share x = ceil(percent * (a + b) / (100 + percent)) in all. Take the prefix that ends first: what they share up to its end lies in both
+    prefixes, and the rest of its set is not more than ceil(percent * the larger / 100) - 1.
+    """
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    return F.greatest(F.lit(1), F.ceil((a + b) * percent / (100 + percent)) - F.floor((F.greatest(a, b) * percent + 99) / 100) + 1)
+
+
+def _parts(col: pa.Array) -> list[np.ndarray]:
+    """The set of each text."""
+    out = []
+    for s in textscan.slices(col):
+        grams, offs = sets(s)
+        out += [grams[i:j] for i, j in zip(offs[:-1], offs[1:], strict=True)]
+    return out
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, extra) that link, after they share extra + 1 shingles in their prefixes."""
+    """The rows of pairs (a, b, sa, sb) that link."""
     left, right = (_merge(texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}"))) for n in "ab")
 
-    def parts(col: pa.Array) -> list[np.ndarray]:
-        out = []
-        for s in textscan.slices(col):
-            grams, _, offs = sets(s)
-            out += [grams[i:j] for i, j in zip(offs[:-1], offs[1:], strict=True)]
-        return out
-
-    def link(x: np.ndarray, y: np.ndarray, extra: int) -> bool:
-        near = np.intersect1d(x[: _first(len(x), percent) + extra], y[: _first(len(y), percent) + extra], assume_unique=True)
-        if len(near) <= extra:
-            return False
+    def link(x: np.ndarray, y: np.ndarray) -> bool:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -146,62 +207,100 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for lo, hi in _chunks(whole):
                 batch = whole.slice(lo, hi - lo)
                 same = batch.column("ta").dictionary_encode()  # a pivot's text comes many times
-                known = parts(same.dictionary)
-                keep = pa.array([link(known[i], y, k) for i, y, k in zip(same.indices.to_pylist(), parts(batch.column("tb")), batch.column("extra").to_pylist(), strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
-
-    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "extra", "ta", "tb"), run, "a long, b long")
-
-
-def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """The pairs that may link by their bitmaps, see `_met`: these have a sixth of a text's bytes or less."""
-    sides = [_merge(maps.select(F.col("node").alias(n), F.col("total").alias(f"t{n}"), F.col("bits").alias(f"m{n}"))) for n in "ab"]
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            a, b = (batch.column(f"m{n}").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for n in "ab")
-            of = lambda bits: np.bitwise_count(bits.view(U)).sum(1, dtype=np.int64)
-            x, y, c = batch.column("ta").to_numpy(), batch.column("tb").to_numpy(), of(a & b)
-            with np.errstate(divide="ignore"):
-                keep = pa.array(x / (x - of(a) + c) + y / (y - of(b) + c) <= 1 + 100 / percent + 1e-6)
-            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b", "extra")], names=["a", "b", "extra"])
-
-    return map_arrow(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "extra", "ta", "tb", "ma", "mb"), run, "a long, b long, extra long")
-
-
-def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+                known = _parts(same.dictionary)
+                keep = pa.array([link(known[i], y) for i, y in zip(same.indices.to_pylist(), _parts(batch.column("tb")), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b", "sa", "sb")], names=["a", "b", "sa", "sb"])
+
+    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ta", "tb"), run, "a long, b long, sa long, sb long")
+
+
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of x has in common with each of y."""
+    both = np.intersect1d(*[np.unique(np.concatenate(z)) for z in (x, y)], assume_unique=True)
+    sides = []
+    for z in (x, y):
+        grams, owner = np.concatenate(z), np.repeat(np.arange(len(z)), [len(g) for g in z])
+        place = np.searchsorted(both, grams)
+        there = place < len(both)
+        there[there] = both[place[there]] == grams[there]
+        place, owner = place[there], owner[there]
+        order = np.argsort(place, kind="stable")
+        sides.append((place[order], owner[order], len(z)))
+    total = np.zeros((len(x), len(y)))
+    for lo in range(0, len(both), COLUMNS):
+        part = []
+        for place, owner, n in sides:
+            i, j = np.searchsorted(place, (lo, lo + COLUMNS))
+            ones = np.zeros((n, min(COLUMNS, len(both) - lo)), np.float32)
+            ones[owner[i:j], place[i:j] - lo] = 1
+            part.append(ones)
+        total += part[0] @ part[1].T
+    return total
+
+
+def _forest(x: pa.StructArray, y: pa.StructArray, percent: int) -> Iterator[tuple[int, int]]:
+    """As many links between two blocks as join all labels that their links join."""
+    (xn, xl), (yn, yl) = ([z.field(k).to_numpy() for k in (0, 1)] for z in (x, y))
+    xs = _parts(x.field(2))
+    ys = xs if x.equals(y) else _parts(y.field(2))
+    c = _shared(xs, ys)
+    size = np.array([len(g) for g in xs])[:, None] + np.array([len(g) for g in ys])[None]
+    i, j = np.nonzero((100 * c >= percent * (size - c)) & (xl[:, None] != yl[None]))
+    names, label = np.unique(np.concatenate([xl, yl]), return_inverse=True)
+    one, two = label[: len(xl)][i], label[len(xl) :][j]
+    first = np.unique(np.minimum(one, two) * len(names) + np.maximum(one, two), return_index=True)[1]
+    up = list(range(len(names)))
+
+    def root(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    for k in first.tolist():
+        a, b = root(int(one[k])), root(int(two[k]))
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            yield int(min(xn[i[k]], yn[j[k]])), int(max(xn[i[k]], yn[j[k]]))
+
+
+def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, order: Common | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The lists (token, node, size, extra, probe, score), of shingles in several prefixes; and the texts of their nodes."""
     first = nodes.select("node", F.explode("prefix").alias("token"))
     several = scratch.save(first.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "several")
     listed = scratch.save(first.join(_merge(several), "token"), "listed")
     words = as_text(f"c{position(docs, text)}")
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*_text_hashes(words), words.alias("text"))
-    wanted = listed.groupBy("node").agg(F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.sum("n").alias("score")).join(_merge(nodes.select("node", "size", "rep.h1", "rep.h2")), "node")
+    wanted = listed.groupBy("node").agg(F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.coalesce(F.sum(F.when(F.col("n") > COMMON, F.col("n"))), F.lit(0)).alias("many"), F.sum("n").alias("score")).join(_merge(nodes.select("node", "size", "rep.h1", "rep.h2")), "node")
     wanted = scratch.save(wanted, "wanted")
     texts = scratch.save(flat.groupBy("h1", "h2").agg(F.first("text").alias("text")).join(_merge(wanted.select("node", "h1", "h2")), ["h1", "h2"]).select("node", "text"), "texts")
 
     short = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
     part = F.col("common") / short
     extra = F.least(F.col("size") - short, F.ceil(1.25 * short * part / (1 - part)).cast("long") + 2)
-    longer = scratch.save(wanted.filter((F.col("common") > 0) & (part <= MOSTLY)).select("node", extra.alias("extra")).filter("extra > 0"), "longer")
-    if not longer.isEmpty():  # these find each other by the shingles that they have more, all others by their 1-prefixes
-        added = scratch.save(_lengthened(texts, longer, percent), "added")
+    able = (F.col("common") > 0) & (part <= MOSTLY) & (extra > 0)
+    spared, every = wanted.agg(F.sum(F.when(able, F.col("many"))), F.sum("score")).first()
+    if (spared or 0) > WORTH * (every or 0):  # these find each other by the shingles that they have more, all others by their 1-prefixes
+        longer = scratch.save(wanted.filter(able).select("node", extra.alias("extra")), "longer")
+        added = scratch.save(_lengthened(texts, longer, percent, order), "added")
         fresh = _merge(added.select("token").distinct().join(_merge(several), "token", "left_anti"))
         before = first.join(_merge(longer), "node", "left_semi").join(fresh, "token", "left_semi")
         rows = scratch.save(listed.select("token", "node").union(added.select("token", "node")).union(before.select("token", "node")), "lengthened")
         listed = rows.join(_merge(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")), "token")
-    rows = listed.join(_merge(wanted.select("node", "size", "score").join(_merge(longer), "node", "left").fillna(0, ["extra"])), "node")
-    mine = Window.partitionBy("node")
-    plain = rows.filter("extra = 0").withColumn("probe", F.lit(True))
-    chosen = rows.filter("extra > 0").withColumn("k", F.row_number().over(mine.orderBy("n", "token"))).withColumn("m", F.count(F.lit(1)).over(mine))
-    chosen = chosen.withColumn("probe", F.expr("k <= m - extra")).drop("k", "m")
-    lists = plain.union(chosen).select("token", "node", "size", "extra", "probe", "score")
-    lists = scratch.save(lists, "lists")
+        rows = listed.join(_merge(wanted.select("node", "size", "score").join(_merge(longer), "node", "left").fillna(0, ["extra"])), "node")
+        mine = Window.partitionBy("node")
+        plain = rows.filter("extra = 0").withColumn("probe", F.lit(True))
+        chosen = rows.filter("extra > 0").withColumn("k", F.row_number().over(mine.orderBy("n", "token"))).withColumn("m", F.count(F.lit(1)).over(mine))
+        chosen = chosen.withColumn("probe", F.expr("k <= m - extra")).drop("k", "m")
+        lists = plain.union(chosen)
+    else:
+        lists = listed.join(_merge(wanted.select("node", "size", "score")), "node").withColumns({"extra": F.lit(0).cast("long"), "probe": F.lit(True)})
+    lists = scratch.save(lists.select("token", "node", "size", "extra", "probe", "score"), "lists")
     scratch.drop("several", "listed", "wanted", "longer", "added", "lengthened")
     return lists, texts
 
 
-def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, maps: DataFrame, scratch: Scratch) -> DataFrame:
+def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """nodes, others: the blocks of long lists that are compared.
 
     Texts that are much alike meet in many lists. So each node has a home, the most common of its lists' pivots, and the nodes
@@ -211,31 +310,33 @@ def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, maps:
     at = ("home", "tag", "probe", "part")
     dealt = lambda of: F.pmod(F.xxhash64("node"), F.ceil(F.col(of) / BLOCK).cast("long")).alias("part")
     tag = lambda n: F.when(F.col(n) >= 32, F.col("label")).otherwise(F.lit(-1)).alias("tag")
-    packed = F.collect_list(F.struct("node", "label", "total", "bits")).alias("nodes")
+    packed = F.collect_list(F.struct("node", "label", "text")).alias("nodes"), F.sum("w").alias("n")
     order = lambda end: F.struct(*[F.col(c + end) for c in at])
     once = (F.col("probe") | F.col("probe_")) & (order("") <= order("_")) & ((F.col("tag") != F.col("tag_")) | (F.col("tag") == -1))
 
-    homes = wide.groupBy("node", "label").agg(F.max(F.struct("score", "home")).alias("h"), F.max("probe").alias("probe")).select("node", "label", "h.home", "probe")
+    homes = wide.groupBy("node", "label").agg(F.max(F.struct("score", "home")).alias("h"), F.max("probe").alias("probe"), F.first("w").alias("w")).select("node", "label", "h.home", "probe", "w")
     homes = scratch.save(homes, "homes")
-    sized = homes.groupBy("home", "label", "probe").agg(F.count(F.lit(1)).alias("n")).withColumn("tag", tag("n"))
-    room = sized.groupBy("home", "tag", "probe").agg(F.sum("n").alias("of"))
+    sized = homes.groupBy("home", "label", "probe").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).withColumn("tag", tag("n"))
+    room = sized.groupBy("home", "tag", "probe").agg(F.sum("w").alias("of"))
     placed = homes.join(_merge(sized.select("home", "label", "probe", "tag")), ["home", "label", "probe"]).join(_merge(room), ["home", "tag", "probe"])
-    placed = scratch.save(placed.select("node", "label", "home", "tag", "probe", dealt("of")), "placed")
+    placed = scratch.save(placed.select("node", "label", "w", "home", "tag", "probe", dealt("of")), "placed")
     seen = scratch.save(wide.select("token", "node").join(_merge(placed.select("node", *at)), "node").groupBy("token", *at).agg(F.count(F.lit(1)).alias("m")), "seen")
     full = scratch.save(seen.groupBy("token").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("h")).filter(F.col("h") * BLOCK <= 4 * F.col("m") + BLOCK).select("token"), "full")
     here = seen.join(_merge(full), "token").select("token", *at)
     there = here.select("token", *[F.col(c).alias(c + "_") for c in at])
     met = scratch.save(here.join(_merge(there), "token").filter(once).select(*at, *[c + "_" for c in at]).distinct(), "met")
     used = met.select(*at).union(met.select(*[F.col(c + "_").alias(c) for c in at])).distinct()
-    whole = placed.join(_merge(used), list(at), "left_semi").join(_merge(maps), "node").groupBy(*at).agg(packed)
+    whole = placed.join(_merge(used), list(at), "left_semi").join(_merge(texts), "node").groupBy(*at).agg(*packed)
     whole = scratch.save(whole, "whole")
     shared = _side_by_side(met, whole, at)
 
-    thin = long.join(_merge(full), "token", "left_anti")
-    sizes = counts.join(_merge(thin), "token").select("token", "label", tag("n"), F.when(F.col("n") >= 32, F.col("n")).otherwise(F.col("few")).alias("of"))
-    alone = wide.join(_merge(sizes), ["token", "label"]).select(F.col("token").alias("home"), "tag", "probe", dealt("of"), "node", "label")
-    alone = scratch.save(alone.join(_merge(maps), "node").groupBy(*at).agg(packed), "alone")
-    lengths = scratch.save(alone.select(*at, F.size("nodes").alias("n")), "lengths")
+    thin = scratch.save(long.join(_merge(full), "token", "left_anti"), "thin")
+    if thin.isEmpty():
+        return shared
+    sizes = counts.join(_merge(thin), "token").select("token", "label", tag("n"), F.when(F.col("n") >= 32, F.col("w")).otherwise(F.col("few")).alias("of"))
+    alone = wide.join(_merge(sizes), ["token", "label"]).select(F.col("token").alias("home"), "tag", "probe", dealt("of"), "node", "label", "w")
+    alone = scratch.save(alone.join(_merge(texts), "node").groupBy(*at).agg(*packed), "alone")
+    lengths = scratch.save(alone.select(*at, "n"), "lengths")
     other = lengths.select("home", F.col("home").alias("home_"), *[F.col(c).alias(c + "_") for c in (*at[1:], "n")])
     pairs = scratch.save(lengths.join(_merge(other), "home").filter(once).select(*at, *[c + "_" for c in at], "n", "n_"), "pairs")
     few = F.least("n", "n_") <= FEW
@@ -268,107 +369,73 @@ def _gathered(pairs: DataFrame, blocks: DataFrame, at: tuple[str, ...]) -> DataF
     return both.select(F.flatten("nodes").alias("nodes"), F.flatten("others").alias("others"))
 
 
-def _met(rows: DataFrame, maps: DataFrame, percent: int, scratch: Scratch, likeliest: bool) -> tuple[DataFrame, DataFrame | None]:
-    """The pairs (a, b, extra) of rows (token, node, label, size, extra, probe) with different labels and a probe among them in one list.
+def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Of rows (token, node, label, size, extra, probe): what links nodes of different labels with a probe among them in one list.
 
-    Those of short lists, and those of long ones (None: there are none), which have been sifted. likeliest: of long lists, only the
-    likeliest partner of each node in each two blocks.
+    The pairs (a, b, sa, sb) of short lists that may link; and links (a, b) between the nodes of long ones (None: there are none).
 
-    Short lists are paired row by row. Long ones are dealt to blocks of about BLOCK nodes, two of which are compared as
-    matrices: if c bitmap places are common and sets of X and Y take p and q places, the similarity is at most
-    1 / (X / (X - p + c) + Y / (Y - q + c) - 1). Nodes of one label are compared only where few of them (under 32) share a list.
+    Short lists are paired row by row; a pair with fewer shingles of short lists than linked sets share in their prefixes
+    doesn't link, or shares one of a long list. Long ones are dealt to blocks of about BLOCK nodes with their texts, two of which are
+    compared as matrices of 0 and 1, exactly. Nodes of one label are compared only where few of them (under 32) share a list.
     """
-    counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-    few = F.when(F.col("n") < 32, F.col("n")).otherwise(0)
+    rows = rows.withColumn("w", (1 + F.floor(F.col("size") / WEIGHT)).cast("long"))
+    counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"))
+    few = F.when(F.col("n") < 32, F.col("w")).otherwise(0)
     mixed = counts.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.sum(few).alias("few"), F.sum("n").alias("members")).filter("labels > 1")
     mixed = scratch.save(mixed.select("token", "few", "members"), "mixed")
     both = "token", "node", "label", "size", "extra", "probe"
     short = rows.select(*both).join(_merge(mixed.filter(F.col("members") <= SHORT).select("token")), "token")
     left, right = (short.select("token", *[F.col(c).alias(c + n) for c in both[1:]]) for n in "ab")
     fits = (F.col("nodea") < F.col("nodeb")) & (F.col("labela") != F.col("labelb")) & (F.col("probea") | F.col("probeb")) & _alike("sizea", "sizeb", percent)
-    pairs = left.join(_merge(right), "token").filter(fits).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.least("extraa", "extrab").alias("extra")).distinct()
+    need = F.when(F.greatest("extraa", "extrab") == 0, _needed("sizea", "sizeb", percent)).otherwise(1).alias("need")
+    pairs = left.join(_merge(right), "token").filter(fits).groupBy(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), need).agg(F.count(F.lit(1)).alias("n")).filter("n >= need")
+    pairs = pairs.select("a", "b", F.lit(0).cast("long").alias("sa"), F.lit(0).cast("long").alias("sb"))
     long = mixed.filter(F.col("members") > SHORT)
     if long.isEmpty():
         return pairs, None
     wide = rows.join(_merge(long.select("token")), "token")
-    met = _blocks_of_lists(counts, long, wide, maps, scratch)
-    least = percent / 100
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found, waiting = [np.empty((2, 0), np.int64)], 0
-            for (an, al, aw, ab), (bn, bl, bw, bb) in zip(_unpacked(batch.column(0)), _unpacked(batch.column(1)), strict=True):
-                c = ab @ bb.T
-                x, y = (aw - ab.sum(1))[:, None] + c, (bw - bb.sum(1))[None] + c
-                with np.errstate(divide="ignore"):
-                    bound = aw[:, None] / x + bw[None] / y
-                fine = (bound <= 1 + 1 / least + 1e-6) & (al[:, None] != bl[None])
-                if likeliest:
-                    bound = np.where(fine, bound, np.inf)
-                    best = np.zeros_like(fine)
-                    best[np.arange(len(an)), bound.argmin(1)] = True
-                    best[bound.argmin(0), np.arange(len(bn))] = True
-                    fine &= best
-                i, j = np.nonzero(fine)
-                found.append(np.stack([np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])]))
-                waiting += len(i)
-                if waiting > 1_000_000:
-                    yield _distinct_pairs(found)
-                    found, waiting = [np.empty((2, 0), np.int64)], 0
-            yield _distinct_pairs(found)
-
-    lengths = rows.filter("extra > 0").select("node", "extra").distinct()
-    far = map_arrow(met, run, "a long, b long").distinct()
-    for n in "ab":
-        far = far.join(_merge(lengths.select(F.col("node").alias(n), F.col("extra").alias(f"e{n}"))), n, "left")
-    return pairs, far.select("a", "b", F.least(F.coalesce("ea", F.lit(0)), F.coalesce("eb", F.lit(0))).cast("long").alias("extra"))
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                found = np.array([*_forest(x.values, y.values, percent)], np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return pairs, map_arrow(_blocks_of_lists(counts, long.select("token", "few"), wide, texts, scratch), run, "a long, b long")
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(_merge(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _stars(links: DataFrame) -> DataFrame:
+    """node, label: of links (a, b, sa, sb) each node's neighbour with the highest score, or itself. Nodes of one label are linked to it."""
+    both = links.select(F.col("a").alias("node"), F.struct(F.col("sa").alias("s"), F.col("a").alias("k")).alias("own"), F.struct(F.col("sb").alias("s"), F.col("b").alias("k")).alias("to"))
+    both = both.union(links.select("b", F.struct(F.col("sb").alias("s"), F.col("b").alias("k")), F.struct(F.col("sa").alias("s"), F.col("a").alias("k"))))
+    best = both.groupBy("node").agg(F.max("to").alias("to"), F.max("own").alias("own"))
+    return best.select("node", F.greatest("to", "own").getField("k").alias("label"))
+
+
 def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """node and label of all nodes that are linked with another."""
-    live = lists.filter("probe").groupBy("token").agg(F.min("extra").alias("lowest"), F.max(F.struct("score", "node", "size", "extra")).alias("p1"), F.min(F.struct("node", "size", "extra")).alias("p2"))
+    live = lists.filter("probe").groupBy("token").agg(F.min("extra").alias("lowest"), F.max(F.struct("score", "node", "size", "extra")).alias("p1"), F.min(F.struct("node", "score", "size", "extra")).alias("p2"))
     rows = scratch.save(lists.join(_merge(live), "token").filter("probe or extra >= lowest"), "rows")
-    ends = rows.select("node", "size", "extra", F.explode(F.array(F.col("p1").dropFields("score"), F.col("p2"))).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
-    star = ends.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), F.least("extra", "p.extra").alias("extra")).distinct()
-    maps = scratch.save(minhash.bitmaps(texts, sets), "bitmaps")
-    sifted = lambda pairs, name: scratch.save(_possible(pairs, maps, percent), name)
-    labels = components(scratch.save(_verified(sifted(star, "possible-1"), texts, percent), "links-1"), scratch, "cc1")
-    rows = rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score"))
     scratch.drop("lists")
-    for turn in (2, 3):  # first each node's likeliest partner, which joins most of a group, then all pairs between what is left
-        labelled = scratch.save(_relabelled(rows, labels), f"labelled-{turn}")
-        own = Scratch(scratch.spark, f"ngrams-{turn}")
-        short, long = _met(labelled, maps, percent, own, turn == 2)
-        if turn == 2:
-            if long is None:
-                continue
-            near = scratch.save(long, "near-2")
-        else:
-            near = sifted(short, "possible-3") if long is None else sifted(short, "possible-3").union(long)
-        labels = _joined(labels, scratch.save(_verified(near, texts, percent), f"links-{turn}"), scratch, turn)
-        scratch.drop(f"labelled-{turn}", "near-2")
-        own.drop("mixed", "homes", "placed", "seen", "full", "met", "whole", "alone", "lengths", "pairs", "large")
-    scratch.drop("rows", "texts", "bitmaps")
-    return labels
-
-
-def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
-    """The labels after further links between components."""
-    if links.isEmpty():
-        return labels
-    for n in "ab":
-        links = links.join(_merge(labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))), n, "left")
-    between = links.select("a", "b", F.coalesce("la", "a").alias("x"), F.coalesce("lb", "b").alias("y"))
-    between = scratch.save(between.select("a", "b", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), f"between-{turn}")
-    upper = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), scratch, f"cc{turn}")
-    every = between.select(F.explode(F.array("a", "b")).alias("node")).union(labels.select("node")).distinct()
-    upper = upper.select(F.col("node").alias("label"), F.col("label").alias("upper"))
-    found = _relabelled(every, labels).join(_merge(upper), "label", "left").select("node", F.coalesce("upper", "label").alias("label"))
-    return scratch.save(found, f"joined-{turn}")
+    p2 = F.struct(*[F.col(f"p2.{c}").alias(c) for c in ("score", "node", "size", "extra")])
+    ends = rows.select("node", "size", "extra", "score", F.explode(F.array("p1", p2)).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
+    mine = F.col("node") < F.col("p.node")
+    need = F.when(F.greatest("extra", "p.extra") == 0, F.ceil(_needed("size", "p.size", percent) / 2)).otherwise(1).alias("need")  # not all lists of both count here
+    score = lambda own: F.when(own, F.col("score")).otherwise(F.col("p.score"))
+    star = ends.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), score(mine).alias("sa"), score(~mine).alias("sb"), need).agg(F.count(F.lit(1)).alias("n"))
+    one = scratch.save(_verified(star.filter("n >= need").drop("n", "need"), texts, percent), "links-1")
+    rows = rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score"))
+    labelled = scratch.save(_relabelled(rows, _stars(one)), "labelled")
+    scratch.drop("rows")
+    pairs, far = _met(labelled, texts, percent, scratch)
+    two = _verified(pairs, texts, percent).select("a", "b")
+    links = scratch.save(one.select("a", "b").union(two if far is None else two.union(far)).distinct(), "links")
+    scratch.drop("labelled", "texts", "mixed", "homes", "placed", "seen", "full", "met", "whole", "thin", "alone", "lengths", "pairs", "large")
+    return components(links, scratch, "cc")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
@@ -376,15 +443,14 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: in
     if not 0 < percent <= 100:
         raise ValueError("the threshold is a percentage above 0")
     scratch = scratch or Scratch(docs.sparkSession, "ngrams")
-    signed = scratch.save(_signed(docs, text, key, percent), "signed")
-    ids = scratch.save(signed.select("id", "s1", "s2", "n"), "ids")
+    order = _common(docs, text, key)
+    signed = scratch.save(_signed(docs, text, key, percent, order), "signed")
+    ids = signed.select("id", "s1", "s2", "n")
     one = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("rep"), F.min("id").alias("id"), F.first("prefix").alias("prefix"))
     nodes = scratch.save(one.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", F.col("n").alias("size"), "rep", "id", "prefix"), "nodes")
-    scratch.drop("signed")
-    every = scratch.save(nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id"), "every")
-    lists, texts = _probes(nodes, docs, text, percent, scratch)
-    scratch.drop("nodes")
-    labels = scratch.save(_links(lists, texts, percent, scratch), "labels")
+    every = nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id")
+    lists, texts = _probes(nodes, docs, text, percent, order, scratch)
+    labels = _links(lists, texts, percent, scratch)
     known = every.join(_merge(labels), "node")
     least = scratch.save(known.groupBy("label").agg(F.min("id").alias("least")), "least")
     placed = known.join(_merge(least), "label").select("s1", "s2", "n", "least")

@@ -141,3 +141,53 @@ def test_small_blocks_are_gathered_at_large_ones(spark):
     assert sorted(map(sorted, found)) == sorted(sorted({p[3], p[7]}) for p in pairs)
     assert all(len({a.node // 1000 for a in r.nodes}) == 1 and len(r.nodes) == len(blocks[r.nodes[0].node // 1000][4]) for r in rows)
     assert len(pairs) == 2765 and len(rows) < 200 and max(len(r.others) for r in rows) <= 3 * ngram_join.GATHERED
+
+
+def test_common_shingles_come_last(spark, monkeypatch):
+    """A passage of many texts isn't in their prefixes, so that they meet in no long list; any order gives the same result."""
+    from groundplan.scratch import Scratch
+
+    monkeypatch.setattr(ngram_join, "ROWS", 10)
+    monkeypatch.setattr(ngram_join, "PART", 1)
+    r = random.Random(6)
+    passage = prose(r, 60)
+    rows = [(i, " ".join(prose(r, 200, 10**6) + passage)) for i in range(80)] + [(100 + i, " ".join([*passage, f"x{i}"])) for i in range(5)]
+    monkeypatch.setattr(Scratch, "drop", lambda self, *names: None)
+    scratch = Scratch(spark, "test")
+    assert got(spark, rows, scratch=scratch) == brute(rows)
+    lists = spark.read.parquet(f"{scratch.root}/lists")
+    assert lists.groupBy("token").count().filter(f"count > {ngram_join.COMMON}").count() == 0
+    for name, value in (("SHORT", 4), ("BLOCK", 8), ("COLUMNS", 16), ("SEEN", 6)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = corpus(5)
+    assert got(spark, rows) == brute(rows)
+
+
+def test_needed_in_prefixes(spark):
+    """Linked sets share as many shingles in their prefixes as is asked for, whatever the order."""
+    r, rows = random.Random(7), []
+    for _ in range(4000):
+        n = r.randint(1, 120)
+        base = r.sample(range(10**6), n)
+        x, y = [sorted(set(base[: n - r.randint(0, n // 6)]) | {r.randrange(10**6) for _ in range(r.randint(0, n // 12))}) for _ in "ab"]
+        c = len({*x} & {*y})
+        if x and y and 100 * c >= 85 * (len(x) + len(y) - c):
+            rows.append((len(x), len(y), len({*x[: ngram_join._first(len(x), 85)]} & {*y[: ngram_join._first(len(y), 85)]})))
+    frame = spark.createDataFrame(rows, "a long, b long, n long")
+    need = [k.need for k in frame.select(ngram_join._needed("a", "b", 85).alias("need")).collect()]
+    assert len(rows) > 300 and max(need) > 5 and all(n >= k for k, (_, _, n) in zip(need, rows, strict=True))
+    assert any(n == k > 1 for k, (_, _, n) in zip(need, rows, strict=True))
+
+
+def test_links_between_blocks(monkeypatch):
+    """Two blocks of near copies are joined by fewer links than they have nodes, and by all that is needed."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "COLUMNS", 50)
+    r = random.Random(8)
+    bases = [prose(r, 150, 10**6) for _ in range(3)]
+    texts = [" ".join(near(r, bases[k % 3], 1)) for k in range(60)]
+    block = lambda ks: pa.StructArray.from_arrays([pa.array(ks), pa.array(ks), pa.array([texts[k] for k in ks])], names=["node", "label", "text"])
+    found = [*ngram_join._forest(block([*range(30)]), block([*range(30, 60)]), 85)]
+    assert len(found) == 57 and all(a < b and a % 3 == b % 3 for a, b in found)
+    assert len([*ngram_join._forest(block([*range(30)]), block([*range(30)]), 85)]) == 27
