@@ -15,12 +15,13 @@ as many rare ones as the first had in all. A document looks up (probes) only the
 leaving out the l - 1 commonest, and is listed under all of them. Of a linked pair the one with the smaller l finds the
 other: it shares l shingles with the other's prefix and left out l - 1. Nothing rests on the estimates but the cost: any l is exact.
 
-Shingles that occur in one prefix only find nobody. Of the others, a list never yields all its pairs. Documents with equal
-sets are one node. In each list, the node whose shingles are commonest (the likely original of near copies) and the smallest one are
-compared with all that share many lists with them, and each node takes the name of its neighbour with the commonest shingles, or its own. Nodes
-of one name are connected, so only pairs of different names with a probe among them are compared further: in short lists
-pair by pair, if they share as many shingles of 1-prefixes as linked sets do (`_needed`), in long ones block by block, as
-matrices of 0 and 1. A block yields as few links as join what all its links join, so no component is lost.
+Shingles that occur in one prefix only find nobody. Documents with equal sets are one node. Of the others, short lists are paired row by
+row; a pair is looked at if it shares as many shingles of short lists as linked sets do in their 1-prefixes (`_needed`), or else
+shares one of a long list. Long lists never yield all their pairs: in each, the node whose shingles are commonest (the likely original of near
+copies) and the smallest one are compared with all, and each node takes the name of its neighbour with the commonest shingles, or its own.
+Nodes of one name are connected, so only pairs of different names with a probe among them are compared further, block by block, as
+matrices of 0 and 1. A block yields as few links as join what all its links join, so no component is lost. Texts are fetched once, of
+the nodes that have such pairs or long lists only.
 
 Defined results: null text, and text without words, is an empty set, linked with nothing (component: its own id); repeated
 rows and equal sets are one component; the component is the smallest id in it (null where it has none); an empty table gives no
@@ -264,16 +265,20 @@ def _forest(x: pa.StructArray, y: pa.StructArray, percent: int) -> Iterator[tupl
             yield int(min(xn[i[k]], yn[j[k]])), int(max(xn[i[k]], yn[j[k]]))
 
 
+def _texts(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """node and text of the nodes (node, h1, h2)."""
+    words = as_text(f"c{position(docs, text)}")
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*_text_hashes(words), words.alias("text"))
+    return flat.join(_merge(nodes), ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
+
+
 def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, order: Common | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The lists (token, node, size, extra, probe, score), of shingles in several prefixes; and the texts of their nodes."""
-    first = nodes.select("node", F.explode("prefix").alias("token"))
+    """The lists (token, node, size, extra, probe, n: members), of shingles in several prefixes; and the scores of their nodes."""
+    first = nodes.select("node", "size", F.explode("prefix").alias("token"))
     several = scratch.save(first.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "several")
     listed = scratch.save(first.join(_merge(several), "token"), "listed")
-    words = as_text(f"c{position(docs, text)}")
-    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*_text_hashes(words), words.alias("text"))
-    wanted = listed.groupBy("node").agg(F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.coalesce(F.sum(F.when(F.col("n") > COMMON, F.col("n"))), F.lit(0)).alias("many"), F.sum("n").alias("score")).join(_merge(nodes.select("node", "size", "rep.h1", "rep.h2")), "node")
+    wanted = listed.groupBy("node", "size").agg(F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.coalesce(F.sum(F.when(F.col("n") > COMMON, F.col("n"))), F.lit(0)).alias("many"), F.sum("n").alias("score"))
     wanted = scratch.save(wanted, "wanted")
-    texts = scratch.save(flat.groupBy("h1", "h2").agg(F.first("text").alias("text")).join(_merge(wanted.select("node", "h1", "h2")), ["h1", "h2"]).select("node", "text"), "texts")
 
     short = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
     part = F.col("common") / short
@@ -282,22 +287,22 @@ def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, order: C
     spared, every = wanted.agg(F.sum(F.when(able, F.col("many"))), F.sum("score")).first()
     if (spared or 0) > WORTH * (every or 0):  # these find each other by the shingles that they have more, all others by their 1-prefixes
         longer = scratch.save(wanted.filter(able).select("node", extra.alias("extra")), "longer")
+        texts = scratch.save(_texts(nodes.select("node", "rep.h1", "rep.h2").join(_merge(longer), "node", "left_semi"), docs, text), "longer-texts")
         added = scratch.save(_lengthened(texts, longer, percent, order), "added")
         fresh = _merge(added.select("token").distinct().join(_merge(several), "token", "left_anti"))
         before = first.join(_merge(longer), "node", "left_semi").join(fresh, "token", "left_semi")
         rows = scratch.save(listed.select("token", "node").union(added.select("token", "node")).union(before.select("token", "node")), "lengthened")
         listed = rows.join(_merge(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")), "token")
-        rows = listed.join(_merge(wanted.select("node", "size", "score").join(_merge(longer), "node", "left").fillna(0, ["extra"])), "node")
+        rows = listed.join(_merge(wanted.select("node", "size").join(_merge(longer), "node", "left").fillna(0, ["extra"])), "node")
         mine = Window.partitionBy("node")
         plain = rows.filter("extra = 0").withColumn("probe", F.lit(True))
         chosen = rows.filter("extra > 0").withColumn("k", F.row_number().over(mine.orderBy("n", "token"))).withColumn("m", F.count(F.lit(1)).over(mine))
         chosen = chosen.withColumn("probe", F.expr("k <= m - extra")).drop("k", "m")
-        lists = plain.union(chosen)
-    else:
-        lists = listed.join(_merge(wanted.select("node", "size", "score")), "node").withColumns({"extra": F.lit(0).cast("long"), "probe": F.lit(True)})
-    lists = scratch.save(lists.select("token", "node", "size", "extra", "probe", "score"), "lists")
-    scratch.drop("several", "listed", "wanted", "longer", "added", "lengthened")
-    return lists, texts
+        lists = scratch.save(plain.union(chosen).select("token", "node", "size", "extra", "probe", "n"), "lists")
+        scratch.drop("several", "listed", "longer", "longer-texts", "added", "lengthened")
+        return lists, wanted
+    scratch.drop("several")
+    return listed.withColumns({"extra": F.lit(0).cast("long"), "probe": F.lit(True)}), wanted
 
 
 def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -369,31 +374,32 @@ def _gathered(pairs: DataFrame, blocks: DataFrame, at: tuple[str, ...]) -> DataF
     return both.select(F.flatten("nodes").alias("nodes"), F.flatten("others").alias("others"))
 
 
-def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """Of rows (token, node, label, size, extra, probe): what links nodes of different labels with a probe among them in one list.
+def _short(lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, sa, sb) of short lists that may link, paired row by row.
+
+    A pair with fewer shingles of short lists than linked sets share in their prefixes doesn't link, or shares one of a long list.
+    """
+    both = "node", "size", "extra", "probe"
+    short = lists.filter(F.col("n") <= SHORT)
+    left, right = (short.select("token", *[F.col(c).alias(c + n) for c in both]) for n in "ab")
+    fits = (F.col("nodea") < F.col("nodeb")) & (F.col("probea") | F.col("probeb")) & _alike("sizea", "sizeb", percent)
+    need = F.when(F.greatest("extraa", "extrab") == 0, _needed("sizea", "sizeb", percent)).otherwise(1).alias("need")
+    pairs = left.join(_merge(right), "token").filter(fits).groupBy(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), need).agg(F.count(F.lit(1)).alias("n")).filter("n >= need")
+    return pairs.select("a", "b", F.lit(0).cast("long").alias("sa"), F.lit(0).cast("long").alias("sb"))
 
-    The pairs (a, b, sa, sb) of short lists that may link; and links (a, b) between the nodes of long ones (None: there are none).
 
-    Short lists are paired row by row; a pair with fewer shingles of short lists than linked sets share in their prefixes
-    doesn't link, or shares one of a long list. Long ones are dealt to blocks of about BLOCK nodes with their texts, two of which are
-    compared as matrices of 0 and 1, exactly. Nodes of one label are compared only where few of them (under 32) share a list.
+def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between nodes of different labels with a probe among them in one list, of rows (token, node, label, size, probe, home, score).
+
+    Lists are dealt to blocks of about BLOCK nodes with their texts, two of which are compared as matrices of 0 and 1, exactly. Nodes of one
+    label are compared only where few of them (under 32) share a list.
     """
     rows = rows.withColumn("w", (1 + F.floor(F.col("size") / WEIGHT)).cast("long"))
     counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"))
     few = F.when(F.col("n") < 32, F.col("w")).otherwise(0)
-    mixed = counts.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.sum(few).alias("few"), F.sum("n").alias("members")).filter("labels > 1")
-    mixed = scratch.save(mixed.select("token", "few", "members"), "mixed")
-    both = "token", "node", "label", "size", "extra", "probe"
-    short = rows.select(*both).join(_merge(mixed.filter(F.col("members") <= SHORT).select("token")), "token")
-    left, right = (short.select("token", *[F.col(c).alias(c + n) for c in both[1:]]) for n in "ab")
-    fits = (F.col("nodea") < F.col("nodeb")) & (F.col("labela") != F.col("labelb")) & (F.col("probea") | F.col("probeb")) & _alike("sizea", "sizeb", percent)
-    need = F.when(F.greatest("extraa", "extrab") == 0, _needed("sizea", "sizeb", percent)).otherwise(1).alias("need")
-    pairs = left.join(_merge(right), "token").filter(fits).groupBy(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), need).agg(F.count(F.lit(1)).alias("n")).filter("n >= need")
-    pairs = pairs.select("a", "b", F.lit(0).cast("long").alias("sa"), F.lit(0).cast("long").alias("sb"))
-    long = mixed.filter(F.col("members") > SHORT)
-    if long.isEmpty():
-        return pairs, None
-    wide = rows.join(_merge(long.select("token")), "token")
+    mixed = counts.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.sum(few).alias("few")).filter("labels > 1")
+    mixed = scratch.save(mixed.select("token", "few"), "mixed")
+    wide = rows.join(_merge(mixed.select("token")), "token")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -401,7 +407,7 @@ def _met(rows: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> t
                 found = np.array([*_forest(x.values, y.values, percent)], np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    return pairs, map_arrow(_blocks_of_lists(counts, long.select("token", "few"), wide, texts, scratch), run, "a long, b long")
+    return map_arrow(_blocks_of_lists(counts, mixed, wide, texts, scratch), run, "a long, b long")
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -416,26 +422,32 @@ def _stars(links: DataFrame) -> DataFrame:
     return best.select("node", F.greatest("to", "own").getField("k").alias("label"))
 
 
-def _links(lists: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _links(lists: DataFrame, wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch: Scratch) -> DataFrame:
     """node and label of all nodes that are linked with another."""
-    live = lists.filter("probe").groupBy("token").agg(F.min("extra").alias("lowest"), F.max(F.struct("score", "node", "size", "extra")).alias("p1"), F.min(F.struct("node", "score", "size", "extra")).alias("p2"))
-    rows = scratch.save(lists.join(_merge(live), "token").filter("probe or extra >= lowest"), "rows")
-    scratch.drop("lists")
-    p2 = F.struct(*[F.col(f"p2.{c}").alias(c) for c in ("score", "node", "size", "extra")])
-    ends = rows.select("node", "size", "extra", "score", F.explode(F.array("p1", p2)).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
-    mine = F.col("node") < F.col("p.node")
-    need = F.when(F.greatest("extra", "p.extra") == 0, F.ceil(_needed("size", "p.size", percent) / 2)).otherwise(1).alias("need")  # not all lists of both count here
-    score = lambda own: F.when(own, F.col("score")).otherwise(F.col("p.score"))
-    star = ends.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), score(mine).alias("sa"), score(~mine).alias("sb"), need).agg(F.count(F.lit(1)).alias("n"))
-    one = scratch.save(_verified(star.filter("n >= need").drop("n", "need"), texts, percent), "links-1")
-    rows = rows.select("token", "node", "size", "extra", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score"))
-    labelled = scratch.save(_relabelled(rows, _stars(one)), "labelled")
-    scratch.drop("rows")
-    pairs, far = _met(labelled, texts, percent, scratch)
-    two = _verified(pairs, texts, percent).select("a", "b")
-    links = scratch.save(one.select("a", "b").union(two if far is None else two.union(far)).distinct(), "links")
-    scratch.drop("labelled", "texts", "mixed", "homes", "placed", "seen", "full", "met", "whole", "thin", "alone", "lengths", "pairs", "large")
-    return components(links, scratch, "cc")
+    pairs = scratch.save(_short(lists, percent), "short")
+    long = lists.filter(F.col("n") > SHORT).drop("n").join(_merge(wanted.select("node", "score")), "node")
+    long = scratch.save(long, "long")
+    hot = not long.isEmpty()
+    if hot:
+        live = long.filter("probe").groupBy("token").agg(F.min("extra").alias("lowest"), F.max(F.struct("score", "node", "size", "extra")).alias("p1"), F.min(F.struct("node", "score", "size", "extra")).alias("p2"))
+        rows = scratch.save(long.join(_merge(live), "token").filter("probe or extra >= lowest"), "rows")
+        p2 = F.struct(*[F.col(f"p2.{c}").alias(c) for c in ("score", "node", "size", "extra")])
+        ends = rows.select("node", "size", "extra", "score", F.explode(F.array("p1", p2)).alias("p")).filter((F.col("p.node") != F.col("node")) & _alike("p.size", "size", percent))
+        mine = F.col("node") < F.col("p.node")
+        score = lambda own: F.when(own, F.col("score")).otherwise(F.col("p.score"))
+        star = ends.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), score(mine).alias("sa"), score(~mine).alias("sb")).distinct()
+        pairs = scratch.save(pairs.union(star), "star")
+    used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long.select("node")).distinct()
+    texts = scratch.save(_texts(nodes.join(_merge(used), "node", "left_semi"), docs, text), "texts")
+    scratch.drop("lists", "listed", "wanted", "long")
+    links = scratch.save(_verified(pairs, texts, percent), "links-1")
+    if hot:
+        rows = rows.select("token", "node", "size", "probe", F.col("p1.node").alias("home"), F.col("p1.score").alias("score"))
+        labelled = scratch.save(_relabelled(rows, _stars(links)), "labelled")
+        far = _met(labelled, texts, percent, scratch)
+        links = scratch.save(links.select("a", "b").union(far).distinct(), "links")
+    scratch.drop("short", "star", "rows", "labelled", "texts", "mixed", "homes", "placed", "seen", "full", "met", "whole", "thin", "alone", "lengths", "pairs", "large")
+    return components(links.select("a", "b"), scratch, "cc")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
@@ -445,12 +457,14 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: in
     scratch = scratch or Scratch(docs.sparkSession, "ngrams")
     order = _common(docs, text, key)
     signed = scratch.save(_signed(docs, text, key, percent, order), "signed")
-    ids = signed.select("id", "s1", "s2", "n")
+    ids = scratch.save(signed.select("id", "s1", "s2", "n"), "ids")
     one = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("rep"), F.min("id").alias("id"), F.first("prefix").alias("prefix"))
     nodes = scratch.save(one.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", F.col("n").alias("size"), "rep", "id", "prefix"), "nodes")
-    every = nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id")
-    lists, texts = _probes(nodes, docs, text, percent, order, scratch)
-    labels = _links(lists, texts, percent, scratch)
+    scratch.drop("signed")
+    every = scratch.save(nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id", "rep.h1", "rep.h2"), "every")
+    lists, wanted = _probes(nodes, docs, text, percent, order, scratch)
+    scratch.drop("nodes")
+    labels = _links(lists, wanted, every.select("node", "h1", "h2"), docs, text, percent, scratch)
     known = every.join(_merge(labels), "node")
     least = scratch.save(known.groupBy("label").agg(F.min("id").alias("least")), "least")
     placed = known.join(_merge(least), "label").select("s1", "s2", "n", "least")

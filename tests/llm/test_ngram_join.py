@@ -155,8 +155,8 @@ def test_common_shingles_come_last(spark, monkeypatch):
     monkeypatch.setattr(Scratch, "drop", lambda self, *names: None)
     scratch = Scratch(spark, "test")
     assert got(spark, rows, scratch=scratch) == brute(rows)
-    lists = spark.read.parquet(f"{scratch.root}/lists")
-    assert lists.groupBy("token").count().filter(f"count > {ngram_join.COMMON}").count() == 0
+    lists = spark.read.parquet(f"{scratch.root}/listed")
+    assert lists.count() > 0 and lists.groupBy("token").count().filter(f"count > {ngram_join.COMMON}").count() == 0
     for name, value in (("SHORT", 4), ("BLOCK", 8), ("COLUMNS", 16), ("SEEN", 6)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(5)
