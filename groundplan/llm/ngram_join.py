@@ -50,11 +50,13 @@ PERCENT = 85
 #: Documents under a shingle from which on it is common; the part of common ones beyond which lengthening has no end.
 COMMON = 32
 MOSTLY = 0.75
-#: Prefixes are lengthened if that spares this part of all candidates at least.
+#: Prefixes are lengthened if that spares this part of all candidates at least, and more than the texts that are read for it have shingles.
 WORTH = 0.25
-#: Documents by which common shingles are found: this part, not more than about so many, in tables of so many rows at least; a shingle
-#: in SEEN of them is common, and the MOST commonest are known to all tasks.
-PART, SAMPLE, ROWS, SEEN, MOST = 0.1, 10_000, 1_000, 4, 1 << 17
+#: Documents by which common shingles are found: this part, in tables of so many rows at least; a shingle in SEEN of them is common,
+#: and the commonest, MOST at most, are known to all tasks. The part doesn't fall as tables grow: SEEN would stand for ever longer lists.
+PART, ROWS, SEEN, MOST = 0.1, 1_000, 4, 1 << 20
+#: Shingles to a place of a sketch, at least half as many, and the fewest places.
+SHARE, PLACES = 8, 16
 #: Members of a list that are paired one by one.
 SHORT = 48
 #: Weight of a small block (a node weighs 1, and 1 for each WEIGHT shingles), and small blocks that are compared with another at a time.
@@ -67,15 +69,17 @@ LOWER[0x41:0x5B] += 32
 
 
 class Common:
-    """The shingles that come last in the global order: sorted, and with a table of their first 20 bits, which few others hit."""
+    """The shingles that come last in the global order: sorted, and with a table of their first bits (20 or more), which few others hit."""
 
     def __init__(self, grams: np.ndarray):
         self.grams = np.sort(grams.astype(U))
-        self.firsts = np.zeros(1 << 20, bool)
-        self.firsts[(self.grams >> U(44)).astype(np.int64)] = True
+        bits = max(20, len(grams).bit_length() + 3)
+        self.rest = U(64 - bits)
+        self.firsts = np.zeros(1 << bits, bool)
+        self.firsts[(self.grams >> self.rest).astype(np.int64)] = True
 
     def holds(self, grams: np.ndarray) -> np.ndarray:
-        out = self.firsts[(grams >> U(44)).astype(np.int64)]
+        out = self.firsts[(grams >> self.rest).astype(np.int64)]
         at = np.flatnonzero(out)
         if len(at):
             place = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
@@ -93,15 +97,14 @@ def sets(s: textscan.Slice, common: Common | None = None) -> tuple[np.ndarray, n
     return grams, offs
 
 
-def _common(docs: DataFrame, text: str, key: str) -> Common | None:
+def _common(docs: DataFrame, text: str, key: str, scratch: Scratch) -> Common | None:
     """The commonest shingles of a sample of documents. They only settle the order, and any order is exact."""
-    rows = docs.count()
-    if rows < ROWS:
+    if docs.count() < ROWS:
         return None
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     words = as_text(f"c{position(docs, text)}")
     some = flat.select(F.xxhash64(F.col(f"c{position(docs, key)}"), words).alias("h"), words.alias("text"))
-    some = some.filter(F.pmod("h", F.lit(1 << 20)) < int(min(PART, SAMPLE / rows) * (1 << 20))).select("text")
+    some = some.filter(F.pmod("h", F.lit(1 << 20)) < int(PART * (1 << 20))).select("text")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -110,8 +113,16 @@ def _common(docs: DataFrame, text: str, key: str) -> Common | None:
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
     counts = map_arrow(some, run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= SEEN)
-    found = [r.token for r in counts.orderBy(F.desc("n"), "token").limit(MOST).collect()]
-    return Common(np.array(found, np.int64).view(U)) if found else None
+    counts = scratch.save(counts, "common")
+    least, room = 0, MOST
+    for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.n
+    found = counts.filter(F.col("n") >= least).select("token").toArrow().column("token").to_numpy() if least else []
+    scratch.drop("common")
+    return Common(found.view(U)) if len(found) else None
 
 
 def _sum(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -131,13 +142,41 @@ def _lists(grams: np.ndarray, offs: np.ndarray, skip: np.ndarray, take: np.ndarr
     return pa.ListArray.from_arrays(pa.array(np.append(before, take.sum()), pa.int32()), pa.array(grams[at].view(np.int64)))
 
 
+def _sketches(grams: np.ndarray, offs: np.ndarray) -> pa.BinaryArray:
+    """Of each set, how many of its shingles fall to each place: a byte a place (255: or more), a power of two of places.
+
+    The sums of differences between two sketches are never above the number of shingles that only one of the sets has.
+    """
+    n = np.diff(offs)
+    places = np.maximum(PLACES, 1 << np.ceil(np.log2(np.maximum(n, 1) / SHARE)).clip(0).astype(np.int64))
+    ends = np.cumsum(places)
+    at = np.repeat(ends - places, n) + (grams & np.repeat(places - 1, n).astype(U)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=int(places.sum())), 255).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(counts)])
+
+
+def _differences(x: pa.BinaryArray, y: pa.BinaryArray) -> np.ndarray:
+    """The sum of differences of each pair of sketches; the longer one is folded to the places of the shorter."""
+    sides = []
+    for z in (x, y):
+        offs = np.frombuffer(z.buffers()[1], np.int32)[z.offset : z.offset + len(z) + 1].astype(np.int64)
+        sides.append((offs[:-1], np.diff(offs), np.frombuffer(z.buffers()[2] or b"", np.uint8)))
+    out = np.zeros(len(x), np.int64)
+    kinds, kind = np.unique(np.stack([sides[0][1], sides[1][1]]), axis=1, return_inverse=True)
+    for k, places in enumerate(kinds.T.tolist()):
+        rows = np.flatnonzero(kind.ravel() == k)
+        a, b = (data[starts[rows][:, None] + np.arange(m)].astype(np.int64).reshape(len(rows), -1, min(places)).sum(1) for (starts, _, data), m in zip(sides, places, strict=True))
+        out[rows] = np.abs(a - b).sum(1)
+    return out
+
+
 def _signed(docs: DataFrame, text: str, key: str, percent: int, common: Common | None) -> DataFrame:
-    """id, h1, h2 (of the text), s1, s2, n (of the set) and its 1-prefix, for each row."""
+    """id, h1, h2 (of the text), s1, s2, n (of the set), its sketch and its 1-prefix, for each row."""
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     words = as_text(f"c{position(docs, text)}")
     base = flat.select(F.col(f"c{position(docs, key)}").alias("id"), *_text_hashes(words), words.alias("text"))
     kept = base.schema.fields[:3]
-    more = [T.StructField(c, T.LongType()) for c in ("s1", "s2", "n")]
+    more = [*[T.StructField(c, T.LongType()) for c in ("s1", "s2", "n")], T.StructField("sketch", T.BinaryType())]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -145,9 +184,9 @@ def _signed(docs: DataFrame, text: str, key: str, percent: int, common: Common |
                 grams, offs = sets(s, common)
                 n = np.diff(offs)
                 short = np.where(n > 0, _first(n, percent), 0)
-                new = [_sum(mix(grams ^ U(0x51ED270B)), offs), _sum(mix(grams ^ U(0x2545F491)), offs), n]
+                new = [_sum(mix(grams ^ U(0x51ED270B)), offs), _sum(mix(grams ^ U(0x2545F491)), offs), n, _sketches(grams, offs)]
                 rest = [batch.column(f.name).slice(s.lo, s.hi - s.lo) for f in kept]
-                yield pa.RecordBatch.from_arrays([*rest, *map(pa.array, new), _lists(grams, offs, np.zeros_like(n), short)], names=[*[f.name for f in kept], "s1", "s2", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([*rest, *map(pa.array, new), _lists(grams, offs, np.zeros_like(n), short)], names=[*[f.name for f in kept], "s1", "s2", "n", "sketch", "prefix"])
 
     return map_arrow(base, run, T.StructType([*kept, *more, T.StructField("prefix", T.ArrayType(T.LongType()))]))
 
@@ -157,17 +196,19 @@ def _text_hashes(words: Column) -> list[Column]:
 
 
 def _lengthened(texts: DataFrame, longer: DataFrame, percent: int, common: Common | None) -> DataFrame:
-    """node and token: the shingles that the longer prefixes have more."""
+    """The rows of longer (node, size, score, extra), each with a token: the shingles that the longer prefixes have more."""
+    told = longer.columns
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for s in textscan.slices(batch.column("text"), rows=minhash.AT_ONCE):
                 grams, offs = sets(s, common)
                 extra = batch.column("extra").slice(s.lo, s.hi - s.lo).to_numpy()
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(s.lo, s.hi - s.lo), _lists(grams, offs, _first(np.diff(offs), percent), extra)], names=["node", "tokens"])
+                rest = [batch.column(c).slice(s.lo, s.hi - s.lo) for c in told]
+                yield pa.RecordBatch.from_arrays([*rest, _lists(grams, offs, _first(np.diff(offs), percent), extra)], names=[*told, "tokens"])
 
-    both = texts.join(_merge(longer), "node").select("node", "extra", "text")
-    return map_arrow(both, run, "node long, tokens array<long>").select("node", F.explode("tokens").alias("token"))
+    both = texts.join(_merge(longer), "node").select(*told, "text")
+    return map_arrow(both, run, T.StructType([*longer.schema, T.StructField("tokens", T.ArrayType(T.LongType()))])).select(*told, F.explode("tokens").alias("token"))
 
 
 def _alike(a: Column | str, b: Column | str, percent: int) -> Column:
@@ -195,6 +236,22 @@ def _parts(col: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def _sifted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The rows of pairs (a, b, sa, sb) that may link by the sketches (node, n, sketch): no pair that links is lost."""
+    left, right = (_merge(sketches.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"t{k}"))) for k in "ab")
+    kept = ("a", "b", "sa", "sb")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            for lo in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lo, 1024)
+                size = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+                keep = pa.array(_differences(batch.column("ta"), batch.column("tb")) * (100 + percent) <= size * (100 - percent))
+                yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in kept], names=[*kept])
+
+    return map_arrow(pairs.join(left, "a").join(right, "b").select(*kept, "na", "nb", "ta", "tb"), run, "a long, b long, sa long, sb long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The rows of pairs (a, b, sa, sb) that link."""
     left, right = (_merge(texts.select(F.col("node").alias(n), F.col("text").alias(f"t{n}"))) for n in "ab")
@@ -272,37 +329,41 @@ def _texts(nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     return flat.join(_merge(nodes), ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, order: Common | None, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The lists (token, node, size, extra, probe, n: members), of shingles in several prefixes; and the scores of their nodes."""
+def _probes(nodes: DataFrame, docs: DataFrame, text: str, percent: int, order: Common | None, scratch: Scratch) -> DataFrame:
+    """The lists (token, node, size, score, extra, probe, n: members), of shingles in several prefixes.
+
+    What is told of a node goes along with its rows, so that lists are joined by their shingles only.
+    """
     first = nodes.select("node", "size", F.explode("prefix").alias("token"))
     several = scratch.save(first.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "several")
     listed = scratch.save(first.join(_merge(several), "token"), "listed")
-    wanted = listed.groupBy("node", "size").agg(F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.coalesce(F.sum(F.when(F.col("n") > COMMON, F.col("n"))), F.lit(0)).alias("many"), F.sum("n").alias("score"))
-    wanted = scratch.save(wanted, "wanted")
+    common = F.count(F.when(F.col("n") > COMMON, True)).alias("common"), F.coalesce(F.sum(F.when(F.col("n") > COMMON, F.col("n"))), F.lit(0)).alias("many")
+    wanted = scratch.save(listed.groupBy("node", "size").agg(*common, F.sum("n").alias("score"), F.collect_list(F.struct("token", "n")).alias("of")), "wanted")
 
     short = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
     part = F.col("common") / short
     extra = F.least(F.col("size") - short, F.ceil(1.25 * short * part / (1 - part)).cast("long") + 2)
     able = (F.col("common") > 0) & (part <= MOSTLY) & (extra > 0)
-    spared, every = wanted.agg(F.sum(F.when(able, F.col("many"))), F.sum("score")).first()
-    if (spared or 0) > WORTH * (every or 0):  # these find each other by the shingles that they have more, all others by their 1-prefixes
-        longer = scratch.save(wanted.filter(able).select("node", extra.alias("extra")), "longer")
+    spared, every, read = wanted.agg(F.sum(F.when(able, F.col("many"))), F.sum("score"), F.sum(F.when(able, F.col("size")))).first()
+    told = "node", "size", "score", "extra"
+    if (spared or 0) > max(WORTH * (every or 0), read or 0):  # these find each other by the shingles that they have more, all others by their 1-prefixes
+        longer = scratch.save(wanted.filter(able).select("node", "size", "score", extra.alias("extra")), "longer")
         texts = scratch.save(_texts(nodes.select("node", "rep.h1", "rep.h2").join(_merge(longer), "node", "left_semi"), docs, text), "longer-texts")
         added = scratch.save(_lengthened(texts, longer, percent, order), "added")
         fresh = _merge(added.select("token").distinct().join(_merge(several), "token", "left_anti"))
-        before = first.join(_merge(longer), "node", "left_semi").join(fresh, "token", "left_semi")
-        rows = scratch.save(listed.select("token", "node").union(added.select("token", "node")).union(before.select("token", "node")), "lengthened")
-        listed = rows.join(_merge(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")), "token")
-        rows = listed.join(_merge(wanted.select("node", "size").join(_merge(longer), "node", "left").fillna(0, ["extra"])), "node")
+        before = nodes.select("node", "prefix").join(_merge(longer), "node").select(*told, F.explode("prefix").alias("token")).join(fresh, "token", "left_semi")
+        known = wanted.select("node", "size", "score", F.when(able, extra).otherwise(0).alias("extra"), F.explode("of.token").alias("token"))
+        rows = scratch.save(known.union(added.select(*told, "token")).union(before.select(*told, "token")), "lengthened")
+        rows = rows.join(_merge(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")), "token")
         mine = Window.partitionBy("node")
         plain = rows.filter("extra = 0").withColumn("probe", F.lit(True))
         chosen = rows.filter("extra > 0").withColumn("k", F.row_number().over(mine.orderBy("n", "token"))).withColumn("m", F.count(F.lit(1)).over(mine))
         chosen = chosen.withColumn("probe", F.expr("k <= m - extra")).drop("k", "m")
-        lists = scratch.save(plain.union(chosen).select("token", "node", "size", "extra", "probe", "n"), "lists")
-        scratch.drop("several", "listed", "longer", "longer-texts", "added", "lengthened")
-        return lists, wanted
-    scratch.drop("several")
-    return listed.withColumns({"extra": F.lit(0).cast("long"), "probe": F.lit(True)}), wanted
+        lists = scratch.save(plain.union(chosen).select("token", *told, "probe", "n"), "lists")
+        scratch.drop("several", "listed", "wanted", "longer", "longer-texts", "added", "lengthened")
+        return lists
+    scratch.drop("several", "listed")
+    return wanted.select("node", "size", "score", F.lit(0).cast("long").alias("extra"), F.lit(True).alias("probe"), F.explode("of").alias("at")).select("at.token", *told, "probe", "at.n")
 
 
 def _blocks_of_lists(counts: DataFrame, long: DataFrame, wide: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -422,11 +483,10 @@ def _stars(links: DataFrame) -> DataFrame:
     return best.select("node", F.greatest("to", "own").getField("k").alias("label"))
 
 
-def _links(lists: DataFrame, wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch: Scratch) -> DataFrame:
+def _links(lists: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, percent: int, scratch: Scratch) -> DataFrame:
     """node and label of all nodes that are linked with another."""
     pairs = scratch.save(_short(lists, percent), "short")
-    long = lists.filter(F.col("n") > SHORT).drop("n").join(_merge(wanted.select("node", "score")), "node")
-    long = scratch.save(long, "long")
+    long = scratch.save(lists.filter(F.col("n") > SHORT).drop("n"), "long")
     hot = not long.isEmpty()
     if hot:
         live = long.filter("probe").groupBy("token").agg(F.min("extra").alias("lowest"), F.max(F.struct("score", "node", "size", "extra")).alias("p1"), F.min(F.struct("node", "score", "size", "extra")).alias("p2"))
@@ -437,8 +497,9 @@ def _links(lists: DataFrame, wanted: DataFrame, nodes: DataFrame, docs: DataFram
         score = lambda own: F.when(own, F.col("score")).otherwise(F.col("p.score"))
         star = ends.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"), score(mine).alias("sa"), score(~mine).alias("sb")).distinct()
         pairs = scratch.save(pairs.union(star), "star")
+    pairs = scratch.save(_sifted(pairs, nodes.select("node", "n", "sketch"), percent), "sifted")
     used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long.select("node")).distinct()
-    texts = scratch.save(_texts(nodes.join(_merge(used), "node", "left_semi"), docs, text), "texts")
+    texts = scratch.save(_texts(nodes.select("node", "h1", "h2").join(_merge(used), "node", "left_semi"), docs, text), "texts")
     scratch.drop("lists", "listed", "wanted", "long")
     links = scratch.save(_verified(pairs, texts, percent), "links-1")
     if hot:
@@ -446,7 +507,7 @@ def _links(lists: DataFrame, wanted: DataFrame, nodes: DataFrame, docs: DataFram
         labelled = scratch.save(_relabelled(rows, _stars(links)), "labelled")
         far = _met(labelled, texts, percent, scratch)
         links = scratch.save(links.select("a", "b").union(far).distinct(), "links")
-    scratch.drop("short", "star", "rows", "labelled", "texts", "mixed", "homes", "placed", "seen", "full", "met", "whole", "thin", "alone", "lengths", "pairs", "large")
+    scratch.drop("short", "star", "sifted", "rows", "labelled", "texts", "mixed", "homes", "placed", "seen", "full", "met", "whole", "thin", "alone", "lengths", "pairs", "large")
     return components(links.select("a", "b"), scratch, "cc")
 
 
@@ -455,16 +516,17 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: in
     if not 0 < percent <= 100:
         raise ValueError("the threshold is a percentage above 0")
     scratch = scratch or Scratch(docs.sparkSession, "ngrams")
-    order = _common(docs, text, key)
+    order = _common(docs, text, key, scratch)
     signed = scratch.save(_signed(docs, text, key, percent, order), "signed")
     ids = scratch.save(signed.select("id", "s1", "s2", "n"), "ids")
-    one = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("rep"), F.min("id").alias("id"), F.first("prefix").alias("prefix"))
-    nodes = scratch.save(one.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", F.col("n").alias("size"), "rep", "id", "prefix"), "nodes")
+    one = signed.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("rep"), F.min("id").alias("id"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
+    nodes = scratch.save(one.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", F.col("n").alias("size"), "rep", "id", "prefix", "sketch"), "nodes")
     scratch.drop("signed")
-    every = scratch.save(nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id", "rep.h1", "rep.h2"), "every")
-    lists, wanted = _probes(nodes, docs, text, percent, order, scratch)
+    every = scratch.save(nodes.select("node", "s1", "s2", F.col("size").alias("n"), "id", "rep.h1", "rep.h2", "sketch"), "every")
+    lists = _probes(nodes, docs, text, percent, order, scratch)
     scratch.drop("nodes")
-    labels = _links(lists, wanted, every.select("node", "h1", "h2"), docs, text, percent, scratch)
+    labels = _links(lists, every.select("node", "n", "sketch", "h1", "h2"), docs, text, percent, scratch)
+    every = every.drop("sketch")
     known = every.join(_merge(labels), "node")
     least = scratch.save(known.groupBy("label").agg(F.min("id").alias("least")), "least")
     placed = known.join(_merge(least), "label").select("s1", "s2", "n", "least")

@@ -1,5 +1,6 @@
 """The join against all pairs, over odd texts, near copies around the threshold, common passages and long lists."""
 
+import os
 import random
 import re
 
@@ -191,3 +192,44 @@ def test_links_between_blocks(monkeypatch):
     found = [*ngram_join._forest(block([*range(30)]), block([*range(30, 60)]), 85)]
     assert len(found) == 57 and all(a < b and a % 3 == b % 3 for a, b in found)
     assert len([*ngram_join._forest(block([*range(30)]), block([*range(30)]), 85)]) == 27
+
+
+def test_sketches_lose_no_link(spark):
+    """Sketches never tell of more differing shingles than there are, whatever their lengths; unlike texts are told apart before they are fetched."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(9)
+    sets, pairs = [], []
+    for n in (1, 2, 15, 16, 17, 130, 1000, 5000, 1 << 17):
+        base = r.integers(0, 2**64, n, np.uint64)
+        for part in (0, 0.1, 0.17, 0.5, 1):
+            sets += [np.unique(base), np.unique(np.concatenate([base[int(n * part) :], r.integers(0, 2**64, int(n * part * r.random()) + 1, np.uint64)]))]
+            pairs.append((len(sets) - 2, len(sets) - 1))
+    sets += [np.arange(1, 400, dtype=np.uint64) << np.uint64(20), np.arange(1, 380, dtype=np.uint64) << np.uint64(20)]  # all at one place, which holds 255 at most
+    pairs += [(len(sets) - 2, len(sets) - 1), (len(sets) - 1, 0)]
+    sketches = ngram_join._sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    a, b = (sketches.take(pa.array(x)) for x in zip(*pairs, strict=True))
+    found = ngram_join._differences(a, b).tolist()
+    assert found == ngram_join._differences(b.slice(0), a).tolist() and found[3:] == ngram_join._differences(a.slice(3), b.slice(3)).tolist()
+    assert all(k <= len(np.setxor1d(sets[i], sets[j])) for k, (i, j) in zip(found, pairs, strict=True))
+    rows = [(k, len(x), bytes(y.as_py())) for k, (x, y) in enumerate(zip(sets, sketches, strict=True))]
+    frame = spark.createDataFrame([(*p, 0, 0) for p in pairs], "a long, b long, sa long, sb long")
+    kept = {(x.a, x.b) for x in ngram_join._sifted(frame, spark.createDataFrame(rows, "node long, n long, sketch binary"), 85).collect()}
+    links = {(i, j) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert links <= kept and len(links) > 10 and all(len(np.intersect1d(sets[i], sets[j])) >= 0.5 * len(sets[i]) for i, j in kept if len(sets[i]) > 100)
+
+
+def test_texts_of_unlike_candidates_are_not_fetched(spark, monkeypatch):
+    """Texts that meet in lists of a common passage, and lists' pivots, are sifted before any text is sent; short savings lengthen nothing."""
+    from groundplan.scratch import Scratch
+
+    r = random.Random(10)
+    passages = [prose(r, 120, 10**6) for _ in range(4)]
+    rows = [(i, " ".join(prose(r, 780 if i // 4 % 2 else 665, 10**6) + passages[i % 4])) for i in range(160)]
+    rows += [(200 + i, " ".join(near(r, rows[i][1].split(), 2))) for i in range(10)]
+    monkeypatch.setattr(Scratch, "drop", lambda self, *names: None)
+    scratch = Scratch(spark, "test")
+    assert got(spark, rows, scratch=scratch) == brute(rows)
+    read = lambda name: spark.read.parquet(f"{scratch.root}/{name}")
+    assert read("short").count() > 500 and read("sifted").count() <= 12 and read("texts").count() <= 24
+    assert "longer" not in os.listdir(scratch.root.removeprefix("file:"))
